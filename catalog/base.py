@@ -13,13 +13,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# Values exactly between two roundings would come out by the order of summation. Both sides
+# add this before rounding to 6 digits.
+NUDGE = 1e-9
+
+
+def nudged(sql: str) -> str:
+    """``round(x, 6)`` to ``round(x + NUDGE, 6)`` throughout."""
+    out, stack, i = [], [], 0
+    while i < len(sql):
+        if sql.startswith("round(", i):
+            stack.append("round")
+            out.append("round((")
+            i += 6
+            continue
+        c = sql[i]
+        if c == "(":
+            stack.append("(")
+        elif c == ")" and stack:
+            if stack.pop() == "round":
+                body = "".join(out)
+                if body.endswith(", 6"):
+                    out = [body[:-3], f") + {NUDGE}::DOUBLE, 6"]
+                else:
+                    cut = body.rindex(",")
+                    out = [body[:cut], ")", body[cut:]]
+        out.append(c)
+        i += 1
+    return "".join(out)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = nudged(sql)
         return fn
 
     return add
@@ -39,7 +69,7 @@ def hourly(spark: SparkSession, sf: str, fill: str = "chain") -> DataFrame:
 
 
 def r6(c: str | Column) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    return F.round((F.col(c) if isinstance(c, str) else c) + NUDGE, 6)
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:

@@ -44,6 +44,11 @@ def floor_div(c: Column, n: int) -> Column:
     return F.call_function("div", c - F.pmod(c, n_col), n_col)
 
 
+def long(n: int) -> Column:
+    """BIGINT literal."""
+    return F.lit(n).cast("bigint")
+
+
 def safe_div(a: Column, b: Column) -> Column:
     """a / b, NULL for a zero divisor (ANSI mode would raise)."""
     return a / F.nullif(b, F.lit(0.0))

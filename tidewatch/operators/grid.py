@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scalar import epoch_us, floor_div, from_epoch_us, no_nan
+from tidewatch.functions.scalar import epoch_us, floor_div, from_epoch_us, long, no_nan
 from tidewatch.operators.fill import METHODS, carried_points, edge_points, filled, nearest_points
 from tidewatch.plans.chunks import CHUNK_ROWS, attach, to_chunks
 
@@ -203,7 +203,7 @@ def future_steps(df: DataFrame, keys: Sequence[str], ts: str, hours: int, freq:
     like, step = df.schema[ts].dataType, FREQUENCIES[frequency(freq)]
     steps = hours * 60 * MINUTE // step
     last = df.groupBy(*keys).agg(F.max(epoch_us(F.col(ts))).alias("_last"))
-    ahead = last.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(steps)))).select(
+    ahead = last.withColumn("_k", F.explode(F.sequence(long(1), long(steps)))).select(
         *keys, from_epoch_us(F.col("_last") + F.col("_k") * F.lit(step), like).alias(ts), F.lit(True).alias("is_future"))
     if not history:
         return ahead

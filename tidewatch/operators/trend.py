@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.scalar import epoch_us
+from tidewatch.functions.scalar import epoch_us, long
 from tidewatch.operators.grid import FREQUENCIES, frequency
 from tidewatch.operators.quantile import exact_quantiles
 from tidewatch.plans.chunks import attach, over_rows
@@ -92,7 +92,7 @@ def seasonal_forecast(df: DataFrame, keys: Sequence[str], ts: str, value: str, h
     line = attach(line, seasonal_sigma(season, keys), keys)
     step_us, grid_us = FREQUENCIES[frequency(step)], FREQUENCIES[frequency(grid)]
     n = hours * 60 * FREQUENCIES["1min"] // step_us
-    ahead = line.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn(
+    ahead = line.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).withColumn(
         ts, F.timestamp_micros(epoch_us(F.col("_last_ts")) + F.col("_k") * F.lit(step_us)).cast(df.schema[ts].dataType))
     ahead = ahead.withColumn("_slot", _slot(ts)).join(season.select(*keys, "_slot", "_season"), on=[*keys, "_slot"], how="left")
     x = F.col("_last_pos").cast("double") + F.col("_k") * F.lit(step_us) / F.lit(float(grid_us))
@@ -200,7 +200,7 @@ def fourier_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     if hours:
         step_us = FREQUENCIES[frequency(step)]
         n = hours * 60 * FREQUENCIES["1min"] // step_us
-        ahead = span.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(n)))).select(
+        ahead = span.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).select(
             *keys, F.timestamp_micros(F.col("_t1") + F.col("_k") * F.lit(step_us)).cast(df.schema[ts].dataType).alias(ts),
             F.lit(None).cast("double").alias(value))
         rows = rows.unionByName(ahead)

@@ -77,12 +77,18 @@ def threshold_rules(df: DataFrame, keys: Sequence[str], metric: str, value: str,
         *df.columns, "threshold_anomaly", "threshold_reason", "threshold_severity")
 
 
+def _with_residual_std(df: DataFrame, keys: Sequence[str], residual: str) -> DataFrame:
+    """Sample std of the residuals per series; baselines bring it along."""
+    if "residual_std" in df.columns:
+        return df
+    return attach(df, df.groupBy(*keys).agg(F.stddev_samp(residual).alias("residual_std")), keys)
+
+
 def residual_two_sigma(df: DataFrame, keys: Sequence[str], residual: str = "residual", k: float = 2.0,
                        flag: str = "anomaly_trend") -> DataFrame:
     """|residual| above k sample deviations of the series' residuals."""
-    stats = df.groupBy(*keys).agg(F.stddev_samp(residual).alias("_std"))
-    return attach(df, stats, keys).withColumn(
-        flag, F.coalesce(F.abs(residual) > k * F.col("_std"), F.lit(False))).drop("_std")
+    return _with_residual_std(df, keys, residual).withColumn(
+        flag, F.coalesce(F.abs(residual) > k * F.col("residual_std"), F.lit(False)))
 
 
 def severity(metric: Column, score: Column) -> Column:
@@ -96,11 +102,11 @@ def residual_scores(df: DataFrame, keys: Sequence[str], metric: str, residual: s
                     cuts: Mapping[str, float] = RESIDUAL_CUTS, default: float = RESIDUAL_CUT_DEFAULT) -> DataFrame:
     """Adds anomaly_score = |residual| / sample std, residual_anomaly (above the
     metric's cut; never where the std is 0) and severity of the anomalous rows."""
-    stats = df.groupBy(*keys).agg(F.stddev_samp(residual).alias("_std"))
-    scored = attach(df, stats, keys).withColumn("anomaly_score", safe_div(F.abs(residual), F.col("_std")))
+    scored = _with_residual_std(df, keys, residual).withColumn(
+        "anomaly_score", safe_div(F.abs(residual), F.col("residual_std")))
     flagged = scored.withColumn("residual_anomaly", F.coalesce(
         F.col("anomaly_score") > _by_metric(F.col(metric), cuts, default), F.lit(False)))
-    return flagged.withColumn("severity", F.when(F.col("residual_anomaly"), severity(F.col(metric), F.col("anomaly_score")))).drop("_std")
+    return flagged.withColumn("severity", F.when(F.col("residual_anomaly"), severity(F.col(metric), F.col("anomaly_score"))))
 
 
 def residual_band(df: DataFrame, keys: Sequence[str], value: str, predicted: str = "predicted", k: float = 3.0,

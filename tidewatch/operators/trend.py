@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidewatch.functions.scalar import epoch_us, long
 from tidewatch.operators.grid import FREQUENCIES, frequency
 from tidewatch.operators.quantile import exact_quantiles
-from tidewatch.plans.chunks import attach, over_rows
+from tidewatch.plans.chunks import attach, moving_mean, over_rows
 from tidewatch.plans.staging import stage
 
 # Two-sided normal quantiles of the interval widths in use.
@@ -33,7 +33,7 @@ def _banded(df: DataFrame, keys: list[str], value: str, width: float) -> DataFra
     sigma = with_res.groupBy(*keys).agg(F.stddev_samp("residual").alias("_sigma"))
     z = F.lit(Z_OF_WIDTH[width])
     return attach(with_res, sigma, keys).withColumns({
-        "yhat_lower": F.col("yhat") - z * F.col("_sigma"), "yhat_upper": F.col("yhat") + z * F.col("_sigma")})
+        "residual_std": F.col("_sigma"), "yhat_lower": F.col("yhat") - z * F.col("_sigma"), "yhat_upper": F.col("yhat") + z * F.col("_sigma")})
 
 
 # -- T1(a): line plus mean of the detrended values per (weekday, hour) slot
@@ -42,59 +42,61 @@ def _slot(ts: str) -> Column:
     return F.weekday(ts) * 24 + F.hour(ts)
 
 
-def seasonal_fit(df: DataFrame, keys: Sequence[str], ts: str, value: str, pos: str = "pos",
-                 width: float = 0.90) -> tuple[DataFrame, DataFrame]:
-    """The line per series (slope, intercept, sigma, last position and time) and the
-    season per (series, slot). Series with fewer than 10 points are left out."""
-    keys = list(keys)
-    x, y = F.col(pos).cast("double"), F.col(value)
-    known = df.filter(y.isNotNull())
-    line = known.groupBy(*keys).agg(
-        F.regr_slope(y, x).alias("_slope"), F.regr_intercept(y, x).alias("_icpt"), F.count(y).alias("_n"),
-        F.max(pos).alias("_last_pos"), F.max(ts).alias("_last_ts")).filter(F.col("_n") >= MIN_POINTS)
-    detrended = y - (F.col("_icpt") + F.col("_slope") * x)
-    # One pass over the rows for both the season and, from its sums, the residual spread.
-    season = (
-        known.join(line, on=keys) if keys else attach(known, line, keys).filter(F.col("_n").isNotNull())
-    ).groupBy(*keys, _slot(ts).alias("_slot")).agg(
-        F.avg(detrended).alias("_season"), F.count(F.lit(1)).alias("_k"), F.var_pop(detrended).alias("_var"))
-    return line, season
-
-
-def seasonal_sigma(season: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Residual std per series: within-slot sums of squares over (n - 1), as residual means are 0 in each slot."""
-    total = F.sum(F.col("_k"))
-    return season.groupBy(*keys).agg(
-        F.sqrt(F.sum(F.col("_k") * F.col("_var")) / F.nullif((total - 1).cast("double"), F.lit(0.0))).alias("_sigma"))
+def seasonal_fit(df: DataFrame, keys: Sequence[str], ts: str, value: str, pos: str = "pos") -> DataFrame:
+    """One row per (series, slot) with line, season and residual std of the series.
+
+    One pass over the rows: the moments of (position, value) per slot are enough for the
+    line over all slots, the season of each slot and the spread of the residuals. Series
+    with fewer than 10 points are left out.
+    """
+    x, y = F.when(F.col(value).isNotNull(), F.col(pos)).cast("double"), F.col(value)
+    w = Window.partitionBy(*keys)  # at most 168 slots per series
+    n, total = F.col("_k"), F.sum("_k").over(w)
+    slots = df.groupBy(*keys, _slot(ts).alias("_slot")).agg(
+        F.count(y).alias("_k"), F.avg(x).alias("_mx"), F.avg(y).alias("_my"), F.var_pop(x).alias("_vx"),
+        F.var_pop(y).alias("_vy"), F.covar_pop(x, y).alias("_cxy"), F.max(pos).alias("_p"), F.max(ts).alias("_t"))
+    means = slots.withColumns({"_n": total, "_ax": F.sum(n * F.col("_mx")).over(w) / total.cast("double"),
+                               "_ay": F.sum(n * F.col("_my")).over(w) / total.cast("double"),
+                               "_last_pos": F.max("_p").over(w), "_last_ts": F.max("_t").over(w)})
+    dx, dy = F.col("_mx") - F.col("_ax"), F.col("_my") - F.col("_ay")
+    lined = means.filter(F.col("_n") >= MIN_POINTS).withColumn(
+        "_slope", F.sum(n * (F.col("_cxy") + dx * dy)).over(w)
+        / F.nullif(F.sum(n * (F.col("_vx") + dx * dx)).over(w), F.lit(0.0)))
+    slope = F.col("_slope")
+    spread = n * (F.col("_vy") + slope * slope * F.col("_vx") - 2.0 * slope * F.col("_cxy"))
+    return lined.withColumns({
+        "_icpt": F.col("_ay") - slope * F.col("_ax"), "_season": dy - slope * dx,
+        "_sigma": F.sqrt(F.greatest(F.sum(spread).over(w), F.lit(0.0)) / (F.col("_n") - 1).cast("double")),
+    }).select(*keys, "_slot", "_slope", "_icpt", "_season", "_sigma", "_last_pos", "_last_ts")
+
+
+BASELINE_COLUMNS = ("yhat", "residual", "residual_std", "yhat_lower", "yhat_upper")
 
 
 def seasonal_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str, pos: str = "pos",
                       width: float = 0.90) -> DataFrame:
-    """T1(a): adds yhat, residual, yhat_lower, yhat_upper; NULL for series with too few points."""
-    keys = list(keys)
-    line, season = seasonal_fit(df, keys, ts, value, pos)
-    line = attach(line, seasonal_sigma(season, keys), keys)
-    out = attach(df, line, keys).withColumn("_slot", _slot(ts))
-    out = out.join(season.select(*keys, "_slot", "_season"), on=[*keys, "_slot"], how="left")
+    """T1(a): adds yhat, residual, residual_std, yhat_lower, yhat_upper; NULL for series with too few points."""
+    fit = seasonal_fit(df, keys, ts, value, pos).drop("_last_pos", "_last_ts")
+    out = df.withColumn("_slot", _slot(ts)).join(fit, on=[*keys, "_slot"], how="left")
     yhat = F.col("_icpt") + F.col("_slope") * F.col(pos).cast("double") + F.col("_season")
     z = F.lit(Z_OF_WIDTH[width])
     return out.withColumn("yhat", yhat).withColumns({
-        "residual": F.col(value) - F.col("yhat"),
+        "residual": F.col(value) - F.col("yhat"), "residual_std": F.col("_sigma"),
         "yhat_lower": F.col("yhat") - z * F.col("_sigma"), "yhat_upper": F.col("yhat") + z * F.col("_sigma"),
-    }).select(*df.columns, "yhat", "residual", "yhat_lower", "yhat_upper")
+    }).select(*df.columns, *BASELINE_COLUMNS)
 
 
 def seasonal_forecast(df: DataFrame, keys: Sequence[str], ts: str, value: str, hours: int = 24, step: str = "1min",
                       grid: str = "1h", pos: str = "pos", width: float = 0.90) -> DataFrame:
     """T5: ``hours`` ahead at ``step``; positions run on in units of the history's ``grid``."""
     keys = list(keys)
-    line, season = seasonal_fit(df, keys, ts, value, pos)
-    line = attach(line, seasonal_sigma(season, keys), keys)
+    fit = seasonal_fit(df, keys, ts, value, pos)
+    line = fit.groupBy(*keys).agg(*[F.first(c).alias(c) for c in ("_slope", "_icpt", "_sigma", "_last_pos", "_last_ts")])
     step_us, grid_us = FREQUENCIES[frequency(step)], FREQUENCIES[frequency(grid)]
     n = hours * 60 * FREQUENCIES["1min"] // step_us
     ahead = line.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).withColumn(
         ts, F.timestamp_micros(epoch_us(F.col("_last_ts")) + F.col("_k") * F.lit(step_us)).cast(df.schema[ts].dataType))
-    ahead = ahead.withColumn("_slot", _slot(ts)).join(season.select(*keys, "_slot", "_season"), on=[*keys, "_slot"], how="left")
+    ahead = ahead.withColumn("_slot", _slot(ts)).join(fit.select(*keys, "_slot", "_season"), on=[*keys, "_slot"], how="left")
     x = F.col("_last_pos").cast("double") + F.col("_k") * F.lit(step_us) / F.lit(float(grid_us))
     z = F.lit(Z_OF_WIDTH[width])
     return ahead.withColumn("yhat", F.col("_icpt") + F.col("_slope") * x + F.coalesce("_season", F.lit(0.0))).select(
@@ -175,7 +177,7 @@ def _ridge_solver(size: int, n_hinges: int):
 def fourier_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str,
                      seasons: Sequence[str] = ("weekly", "daily"), width: float = 0.90,
                      hours: int = 0, step: str = "1h") -> DataFrame:
-    """T1(b): keys, ts, value, yhat, residual, yhat_lower, yhat_upper; with ``hours`` also
+    """T1(b): keys, ts, value and the baseline columns; with ``hours`` also
     the future steps, their value NULL.
 
     Rows never meet in one place: each task sums cross-products of its Arrow batches, the
@@ -210,15 +212,14 @@ def fourier_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str,
     for term in terms[1:]:
         yhat = yhat + term
     return _banded(placed.withColumn("yhat", yhat), keys, value, width).select(
-        *keys, ts, value, "yhat", "residual", "yhat_lower", "yhat_upper")
+        *keys, ts, value, *BASELINE_COLUMNS)
 
 
 # -- T3: moving-average trend plus slot means
 
 def _trend_long(df: DataFrame, keys: list[str], value: str, pos: str, period: int, **kw) -> DataFrame:
     before, after = period // 2, (period - 1) // 2
-    return over_rows(df, keys, pos, {"_trend": lambda w: F.avg(value).over(w.rowsBetween(-before, after))},
-                     before=before, after=after, **kw).withColumn("_period", F.lit(period).cast("bigint"))
+    return moving_mean(df, keys, pos, value, "_trend", before, after, **kw).withColumn("_period", F.lit(period).cast("bigint"))
 
 
 def _trend_short(df: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
@@ -278,8 +279,12 @@ def predict(df: DataFrame, keys: Sequence[str], ts: str, value: str, baseline: s
     """T4: yhat and its band by the chosen baseline; series with fewer than 10 points, which
     the trend fits refuse, take the decomposition."""
     keys = list(keys)
-    wanted = [*df.columns, "yhat", "residual", "yhat_lower", "yhat_upper"]
-    as_yhat = lambda d: d.withColumnRenamed("predicted", "yhat").select(*wanted)
+    wanted = [*df.columns, *BASELINE_COLUMNS]
+
+    def as_yhat(d: DataFrame) -> DataFrame:
+        std = d.groupBy(*keys).agg(F.stddev_samp("residual").alias("residual_std"))
+        return attach(d.withColumnRenamed("predicted", "yhat"), std, keys).select(*wanted)
+
     if baseline == "decompose":
         return as_yhat(decompose(df, keys, value, pos, **kw))
     sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))

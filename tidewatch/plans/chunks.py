@@ -26,6 +26,7 @@ from tidewatch.functions.scalar import floor_div
 from tidewatch.plans.staging import stage
 
 CHUNK_ROWS = 1 << 16
+Exprs = Mapping[str, Callable[[WindowSpec], Column]]
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,12 +100,13 @@ def to_chunks(df: DataFrame, keys: Sequence[str], pos: str, rows: int) -> DataFr
 
 
 def over_rows(df: DataFrame, keys: Sequence[str], pos: str,
-              exprs: Mapping[str, Callable[[WindowSpec], Column]],
-              before: int = 0, after: int = 0, chunk_rows: int | None = None) -> DataFrame:
+              exprs: Exprs | Sequence[Exprs], before: int = 0, after: int = 0,
+              chunk_rows: int | None = None) -> DataFrame:
     """Evaluate window expressions whose frames reach at most ``before`` rows back and
     ``after`` rows ahead.
 
     Each expression gets the ordered window of its chunk and may frame it, lag or lead.
+    A list of mappings is evaluated in turn, later ones seeing the columns of earlier ones.
     """
     rows = max(chunk_rows or CHUNK_ROWS, before, after, 1)
     home = chunk_of(pos, rows)
@@ -117,5 +119,27 @@ def over_rows(df: DataFrame, keys: Sequence[str], pos: str,
     halo = F.explode(F.filter(F.array(*targets), lambda c: c.isNotNull()))
     spread = df.withColumn("_chunk", halo if len(targets) > 1 else home)
     window = Window.partitionBy(*keys, "_chunk").orderBy(pos)
-    out = spread.withColumns({name: build(window) for name, build in exprs.items()})
+    out = spread
+    for step in [exprs] if isinstance(exprs, Mapping) else exprs:
+        out = out.withColumns({name: build(window) for name, build in step.items()})
     return out.filter(F.col("_chunk") == home).drop("_chunk")
+
+
+def moving_mean(df: DataFrame, keys: Sequence[str], pos: str, value: str, name: str, before: int, after: int,
+                chunk_rows: int | None = None) -> DataFrame:
+    """Mean over a long frame as the difference of two running sums: the cost of a row does
+    not grow with the frame, as it does for a sliding window."""
+    every = (Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = (Window.unboundedPreceding, 0)
+    known = F.col(value).isNotNull().cast("bigint")
+    sums = {}
+    for side, v in (("s", F.coalesce(F.col(value), F.lit(0.0))), ("c", known)):
+        sums[f"_{side}"] = lambda w, v=v: F.sum(v).over(w.rowsBetween(*so_far))
+        sums[f"_{side}_all"] = lambda w, v=v: F.sum(v).over(w.rowsBetween(*every))
+    ends = {}
+    for side in ("s", "c"):
+        ends[f"_{side}_in"] = lambda w, side=side: (
+            F.coalesce(F.lead(f"_{side}", after).over(w) if after else F.col(f"_{side}"), F.col(f"_{side}_all"))
+            - F.coalesce(F.lag(f"_{side}", before + 1).over(w), F.lit(0)))
+    out = over_rows(df, keys, pos, [sums, ends], before, after, chunk_rows)
+    return out.withColumn(name, F.col("_s_in") / F.nullif(F.col("_c_in").cast("double"), F.lit(0.0))).select(*df.columns, name)

@@ -47,13 +47,12 @@ def health_report(per_metric: DataFrame, metric: str = "metric") -> DataFrame:
     line = F.when(F.col("anomalies") > 0, F.concat(
         title, F.lit(": Review "), F.col("anomalies").cast("string"), F.lit(" detected anomalies for potential health concerns"))
     ).otherwise(F.concat(title, F.lit(": Patterns appear normal and healthy")))
-    lines = per_metric.select(F.col(metric), F.lit(1).cast("bigint").alias("metrics"), "anomalies", "patterns", "features",
-                              line.alias("recommendation"))
-    total = per_metric.agg(F.count(F.lit(1)).alias("metrics"), F.sum("anomalies").alias("anomalies"),
-                           F.count_if(F.col("patterns") > 0).alias("patterns"), F.sum("features").alias("features")).select(
-        F.lit(None).cast("string").alias(metric), "metrics", "anomalies", "patterns", "features",
-        F.lit(None).cast("string").alias("recommendation"))
-    return lines.unionByName(total)
+    out = per_metric.rollup(metric).agg(
+        F.count(F.lit(1)).alias("metrics"), F.sum("anomalies").alias("anomalies"), F.grouping(metric).alias("_total"),
+        F.sum("patterns").alias("_patterns"), F.count_if(F.col("patterns") > 0).alias("_with_patterns"), F.sum("features").alias("features"))
+    is_total = F.col("_total") == 1
+    return out.select(metric, "metrics", "anomalies", F.when(is_total, F.col("_with_patterns")).otherwise(F.col("_patterns")).alias("patterns"),
+                      "features", F.when(~is_total, line).alias("recommendation"))
 
 
 def json_report(df: DataFrame, ts: str, cols: Sequence[str], flags: dict[str, str], final: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import CHAIN, HOURLY, KEY, grid_sql, hourly, near_sql, query, r6, rounded, table
+from catalog.base import CHAIN, HOURLY, KEY, NUDGE, grid_sql, hourly, near_sql, query, r6, rounded, table
 from catalog.series import FEATURES_SQL, MINUTES, minutes
 from tidewatch.operators import detect, trend, vote
 from tidewatch.operators.cluster import eligibility, quality
@@ -83,11 +83,11 @@ z AS (SELECT event_type, stddev_pop(residual) AS sd FROM p GROUP BY 1),
 dec AS (SELECT p.*, predicted - 1.96 * sd AS yhat_lower, predicted + 1.96 * sd AS yhat_upper FROM p JOIN z USING (event_type))"""
 
 
-@query("T3_decompose_minute_grid", MINUTE_DECOMPOSE + " SELECT event_type, ts, " + ", ".join(f"round({c}, 4) AS {c}" for c in PARTS) + " FROM dec")
+@query("T3_decompose_minute_grid", MINUTE_DECOMPOSE + " SELECT event_type, ts, " + ", ".join(f"round({c} + 1e-9::DOUBLE, 4) AS {c}" for c in PARTS) + " FROM dec")
 def _(spark, sf):
     """Over a million values: compared to 4 digits, as some always lie next to a rounding at 6."""
     out = trend.decompose(minutes(spark, sf, "chain"), KEY, "value")
-    return out.select("event_type", "ts", *[F.round(c, 4).alias(c) for c in PARTS])
+    return out.select("event_type", "ts", *[F.round(F.col(c) + NUDGE, 4).alias(c) for c in PARTS])
 
 
 @query("T4_baseline_fallback", SEASONAL + " SELECT event_type, ts, round(yhat, 6) AS yhat FROM fit")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.constants import INTERPRETATION, QUALITY_BANDS, QUALITY_DEFAULT
 from tidewatch.operators.clean import standardize
 from tidewatch.plans.chunks import attach
+from tidewatch.plans.staging import stage
 
 
 def _assembled(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
@@ -29,11 +30,12 @@ def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, n_ini
            label: str = "cluster") -> DataFrame:
     """K1: labels on standardized columns. Of ``n_init`` starts the cheapest wins; labels are
     numbered by centroid, so that they do not depend on the start's order."""
-    n = df.count()
+    rows = stage(df, "kmeans")  # read by the scaling, every round of training and the result
+    n = rows.count()
     if n < k:
         raise ValueError(f"{n} rows are too few for {k} clusters")
-    z, zs = scaled(df, cols)
-    data = _assembled(z, zs, "_v").persist()  # training reads it many times
+    z, zs = scaled(rows, cols)
+    data = _assembled(z, zs, "_v").persist()
     try:
         models = [KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="_raw").fit(data) for i in range(n_init)]
     finally:

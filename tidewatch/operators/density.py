@@ -14,7 +14,6 @@ diagonal is just under eps, so that
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,28 +41,28 @@ def _dist2(a: Sequence[str], b: Sequence[str]) -> Column:
     return _total([(F.col(p) - F.col(q)) * (F.col(p) - F.col(q)) for p, q in zip(a, b)])
 
 
-def _shift(cells: Sequence[str], reach: int, half: bool = False) -> Column:
-    """Array of neighbour cells (as structs n0..) of a row's cell; ``half`` keeps one of each pair of directions."""
-    offsets = list(product(range(-reach, reach + 1), repeat=len(cells)))
-    if half:
-        offsets = [o for o in offsets if o > (0,) * len(cells)]
-    return F.array(*[F.struct(*[(F.col(c) + F.lit(o)).alias(f"n{i}") for i, (c, o) in enumerate(zip(cells, off))])
-                     for off in offsets])
+def _around(frame: DataFrame, cells: Sequence[str], reach: int, names: Sequence[str]) -> DataFrame:
+    """One row per neighbour cell within ``reach`` along each axis, in columns ``names``."""
+    for c, n in zip(cells, names):
+        frame = frame.withColumn(n, F.explode(F.sequence(F.col(c) - reach, F.col(c) + reach)))
+    return frame
 
 
 def _probe(points: DataFrame, keys: list[str], d: int, reach: int, side: float, eps: float,
            columns: Sequence[str]) -> DataFrame:
-    """One row per (point, cell that can hold a neighbour): renamed to q*, the cell in c*."""
-    xs, cs = _coords("x", d), _coords("c", d)
-    rows = points.withColumn("_n", F.explode(_shift(cs, reach)))
-    gap = []
-    for i in range(d):
-        lo = F.col("_n")[f"n{i}"].cast("double") * F.lit(side)
-        away = F.greatest(lo - F.col(xs[i]), F.col(xs[i]) - lo - F.lit(side), F.lit(0.0))
-        gap.append(away * away)
-    rows = rows.filter(_total(gap) <= eps * eps * (1 + 1e-6))
-    return rows.select(*keys, *[F.col("_n")[f"n{i}"].alias(cs[i]) for i in range(d)],
-                       *[F.col(x).alias(f"q{i}") for i, x in enumerate(xs)], *columns)
+    """One row per (point, cell that can hold a neighbour): the point in q*, the cell in c*.
+    Cells out of reach are dropped axis by axis."""
+    limit = eps * eps * (1 + 1e-6)
+    rows = points.select(*keys, *columns, *[F.col(x).alias(q) for x, q in zip(_coords("x", d), _coords("q", d))],
+                         *[F.col(c).alias(f"_{c}") for c in _coords("c", d)])
+    gap = F.lit(0.0)
+    for c, q in zip(_coords("c", d), _coords("q", d)):
+        rows = rows.withColumn(c, F.explode(F.sequence(F.col(f"_{c}") - reach, F.col(f"_{c}") + reach)))
+        lo = F.col(c).cast("double") * F.lit(side)
+        away = F.greatest(lo - F.col(q), F.col(q) - lo - F.lit(side), F.lit(0.0))
+        gap = gap + away * away
+        rows = rows.filter(gap <= limit)
+    return rows.drop(*[f"_{c}" for c in _coords("c", d)])
 
 
 def _touching_cells(core: DataFrame, keys: list[str], d: int, eps: float, side: float, reach: int) -> DataFrame:
@@ -97,9 +96,9 @@ def _touching_cells(core: DataFrame, keys: list[str], d: int, eps: float, side:
 
     a_cells, b_cells = _coords("a", d), _coords("b", d)
     cells = stage(boxes(core, cs), "cells")
-    left = side_of(cells.withColumn("_n", F.explode(_shift(cs, reach, half=True))), "a_",
-                   [*[F.col(c).alias(a) for a, c in zip(a_cells, cs)],
-                    *[F.col("_n")[f"n{i}"].alias(b) for i, b in enumerate(b_cells)]])
+    later = F.struct(*b_cells) > F.struct(*cs)  # each pair of cells once
+    left = side_of(_around(cells, cs, reach, b_cells).filter(later), "a_",
+                   [*[F.col(c).alias(a) for a, c in zip(a_cells, cs)], *b_cells])
     right = side_of(cells, "b_", [F.col(c).alias(b) for b, c in zip(b_cells, cs)])
     pairs = stage(judged(left.join(right, on=[*keys, *b_cells])), "pairs")
     ids = [*keys, *a_cells, *b_cells]

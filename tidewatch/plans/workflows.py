@@ -93,7 +93,8 @@ def parse_single_file(df: DataFrame, ts: str = "timestamp", keys: Sequence[str]
 
 
 def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: str, pos: str = "pos", size: int = 60,
-            k: int = 4, method: str = "kmeans", baseline: str = "seasonal", seed: int = 42) -> dict[str, DataFrame]:
+            k: int = 4, method: str = "kmeans", baseline: str = "seasonal", seed: int = 42,
+            n_init: int = 1) -> dict[str, DataFrame]:
     """Window features with clusters, trend anomalies, and one report row per metric.
 
     ``long`` must be gridded and filled. All metrics run together; only the k-means models,
@@ -111,7 +112,7 @@ def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: s
         if n < k or not used:
             continue
         if method == "kmeans":
-            part = cluster.kmeans(part, used, min(k, n), seed, n_init=10)
+            part = cluster.kmeans(part, used, min(k, n), seed, n_init)
         else:
             reduced = cluster.pca(part, used, 2)
             part = detect.dbscan(reduced, [], ["pca1", "pca2"], 0.5, max(1, min(5, n // 10))).drop("pca1", "pca2", "is_core", "is_noise")

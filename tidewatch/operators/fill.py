@@ -23,30 +23,36 @@ def edge_points(pos: str, cols: Sequence[str]) -> list[Column]:
             for c in cols for side, agg in (("first", F.min), ("last", F.max))]
 
 
+# Looking ahead is looking back in descending order: a frame that runs to the end of the
+# partition is rebuilt for every row, one that starts at its beginning only grows.
+SO_FAR = (Window.unboundedPreceding, 0)
+EARLIER = (Window.unboundedPreceding, -1)
+
+
 def carried_points(keys: Sequence[str], cols: Sequence[str]) -> dict[str, Column]:
     """Window over chunks: last point of earlier chunks, first point of later ones."""
-    w = Window.partitionBy(*keys).orderBy("_chunk")
-    back = w.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = w.rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy(*keys)
+    back, ahead = w.orderBy("_chunk").rowsBetween(*EARLIER), w.orderBy(F.desc("_chunk")).rowsBetween(*EARLIER)
     out: dict[str, Column] = {}
     for c in cols:
         out[f"_carry_prev_{c}"] = F.last(f"_last_{c}", ignorenulls=True).over(back)
-        out[f"_carry_next_{c}"] = F.first(f"_first_{c}", ignorenulls=True).over(ahead)
+        out[f"_carry_next_{c}"] = F.last(f"_first_{c}", ignorenulls=True).over(ahead)
     return out
 
 
-def nearest_points(keys: Sequence[str], pos: str, cols: Sequence[str]) -> dict[str, Column]:
+def nearest_points(keys: Sequence[str], pos: str, cols: Sequence[str], strictly_after: bool = False) -> dict[str, Column]:
     """Nearest present point at or before / at or after each row, with the carried one
-    where the chunk has none. Needs the ``_carry_*`` columns."""
-    w = Window.partitionBy(*keys, "_chunk").orderBy(pos)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    where the chunk has none; if asked also the nearest one strictly after. Needs the
+    ``_carry_*`` columns."""
+    w = Window.partitionBy(*keys, "_chunk")
+    back, ahead = w.orderBy(pos), w.orderBy(F.desc(pos))
     out: dict[str, Column] = {}
     for c in cols:
-        out[f"_prev_{c}"] = F.coalesce(F.last(point(pos, c), ignorenulls=True).over(back),
-                                       F.col(f"_carry_prev_{c}"))
-        out[f"_next_{c}"] = F.coalesce(F.first(point(pos, c), ignorenulls=True).over(ahead),
-                                       F.col(f"_carry_next_{c}"))
+        near = F.last(point(pos, c), ignorenulls=True)
+        out[f"_prev_{c}"] = F.coalesce(near.over(back.rowsBetween(*SO_FAR)), F.col(f"_carry_prev_{c}"))
+        out[f"_next_{c}"] = F.coalesce(near.over(ahead.rowsBetween(*SO_FAR)), F.col(f"_carry_next_{c}"))
+        if strictly_after:
+            out[f"_after_{c}"] = F.coalesce(near.over(ahead.rowsBetween(*EARLIER)), F.col(f"_carry_next_{c}"))
     return out
 
 

@@ -76,12 +76,8 @@ def _dense(observed: DataFrame, keys: list[str], cols: list[str], methods: Mappi
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_bin")
     near = base.join(spans, on=[*keys, "_chunk"]).withColumns({
         "_until": F.coalesce(F.lead("_bin").over(in_chunk), F.col("_next_lo"), F.col("_bin") + 1) - 1,
-        **nearest_points(keys, "_bin", carry_cols),
-        # the nearest later point of the empty bins that follow this observed bin
-        **{f"_after_{c}": F.coalesce(
-            F.first(F.when(F.col(c).isNotNull(), F.struct(F.col("_bin").alias("p"), F.col(c).alias("v"))),
-                    ignorenulls=True).over(in_chunk.rowsBetween(1, Window.unboundedFollowing)),
-            F.col(f"_carry_next_{c}")) for c in carry_cols},
+        # "after": the nearest later point of the empty bins that follow this observed bin
+        **nearest_points(keys, "_bin", carry_cols, strictly_after=True),
     })
     # Two levels, so that no row ever carries an array longer than a chunk.
     span = F.lit(chunk_rows).cast("bigint")

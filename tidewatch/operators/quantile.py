@@ -7,35 +7,48 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.plans.chunks import running_total
+from tidewatch.plans.chunks import attach, running_total
+
+
+ACCURACY = 10_000  # rank error of the bracketing sketch is at most n / ACCURACY
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[str, float]) -> DataFrame:
     """Linear-interpolated quantiles per group: keys and one column per name in ``qs``.
 
-    Equal values are merged into (value, count) first; the merged values are range
-    sorted, so that neither one group nor one repeated value lands in a single task,
-    and only the values at the wanted ranks are kept.
+    Two passes, neither shuffling the rows: a quantile sketch per group brackets each wanted
+    rank with certainty, then only the few values inside the brackets are kept one by one,
+    all smaller ones as one count. Those values are merged into (value, count) and range
+    sorted, so that even a bracket of any size never lands in a single task.
     """
     keys = list(keys)
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    slack = 3.0 / ACCURACY
+    edges = []
+    for q in qs.values():
+        edges += [max(q - slack, 0.0), min(q + slack, 1.0)]
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, ACCURACY).alias("_edge"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    brackets = sketch.select(*keys, "_total", F.array(*[
+        F.struct(
+            F.lit(i).alias("q"), ((F.col("_total") - 1).cast("double") * F.lit(float(q))).alias("rank"),
+            (F.col("_min") if edges[2 * i] <= 0 else F.col("_edge")[2 * i]).alias("lo"),
+            (F.col("_max") if edges[2 * i + 1] >= 1 else F.col("_edge")[2 * i + 1]).alias("hi"))
+        for i, q in enumerate(qs.values())]).alias("_brackets"))
+    placed = attach(rows, brackets.select(*keys, "_brackets"), keys).withColumn("_b", F.explode("_brackets"))
+    inside = F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v"))  # NULL: below the bracket
     counts = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = running_total(counts, keys, ["_v"], F.col("_n"), "_before", "_total")
-    rank = {name: (F.col("_total") - 1).cast("double") * F.lit(float(q)) for name, q in qs.items()}
+        placed.filter(F.col("_v") <= F.col("_b.hi"))
+        .groupBy(*keys, F.col("_b.q").alias("_q"), F.col("_b.rank").alias("_rank"), inside.alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_n")))
+    ranked = running_total(counts, [*keys, "_q"], ["_x"], F.col("_n"), "_before", "_kept")
+    low, high = F.floor("_rank"), F.ceil("_rank")
     covers = lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_n"))
-    wanted = F.lit(False)
-    for r in rank.values():
-        wanted = wanted | covers(F.floor(r)) | covers(F.ceil(r))
-    aggs = []
-    for i, r in enumerate(rank.values()):
-        aggs += [F.max(F.when(covers(F.floor(r)), F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(covers(F.ceil(r)), F.col("_v"))).alias(f"_hi{i}"),
-                 F.max(r - F.floor(r)).alias(f"_f{i}")]
-    picked = ranked.filter(wanted).groupBy(*keys).agg(*aggs)
-    return picked.select(*keys, *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
-        for i, name in enumerate(qs)
-    ])
+    ends = ranked.filter(covers(low) | covers(high)).groupBy(*keys, "_q").agg(
+        F.max(F.when(covers(low), F.col("_x"))).alias("_lo"), F.max(F.when(covers(high), F.col("_x"))).alias("_hi"),
+        F.max(F.col("_rank") - low).alias("_f"))
+    bracketed = F.when(F.col("_lo").isNotNull() & F.col("_hi").isNotNull(), F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
+    checked = F.coalesce(bracketed, F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    return ends.withColumn("_value", checked).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_q") == i, F.col("_value"))).alias(name) for i, name in enumerate(qs)])

@@ -16,7 +16,7 @@ T0 = dt.datetime(2024, 1, 1)
 
 
 def series(spark, values, key="a"):
-    return spark.createDataFrame([(key, i, v) for i, v in enumerate(values)], "k string, pos long, v double")
+    return spark.createDataFrame([(key, i, None if v is None else float(v)) for i, v in enumerate(values)], "k string, pos long, v double")
 
 
 def column(df, c, order="pos"):

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.plans.chunks import attach, running_total
 
 
-ACCURACY = 10_000  # rank error of the bracketing sketch is at most n / ACCURACY
+# The rank error of the bracketing sketch is at most n / ACCURACY; a bracket must also reach
+# two ranks further, the neighbours a quantile is interpolated between. In ranks: a big
+# group has 3 n / ACCURACY > 6 against an error of n / ACCURACY, a small one n / 50 > 4
+# against at most 2; a tiny one keeps all its values.
+ACCURACY = 10_000
+BIG_SLACK, SMALL_SLACK = 3.0 / ACCURACY, 0.02
+SMALL, TINY = 2 * ACCURACY, 200
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[str, float]) -> DataFrame:
@@ -23,20 +29,25 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: dict[str
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    slack = 3.0 / ACCURACY
-    edges = []
+    edges = []  # per quantile: low and high for big groups, low and high for small ones
     for q in qs.values():
-        edges += [max(q - slack, 0.0), min(q + slack, 1.0)]
+        for slack in (BIG_SLACK, SMALL_SLACK):
+            edges += [max(q - slack, 0.0), min(q + slack, 1.0)]
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", edges, ACCURACY).alias("_edge"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    brackets = sketch.select(*keys, "_total", F.array(*[
-        F.struct(
-            F.lit(i).alias("q"), ((F.col("_total") - 1).cast("double") * F.lit(float(q))).alias("rank"),
-            (F.col("_min") if edges[2 * i] <= 0 else F.col("_edge")[2 * i]).alias("lo"),
-            (F.col("_max") if edges[2 * i + 1] >= 1 else F.col("_edge")[2 * i + 1]).alias("hi"))
+    n = F.col("_total")
+
+    def edge(at: int, outermost: str) -> Column:
+        def one(i: int) -> Column:
+            return F.col(outermost) if edges[i] in (0.0, 1.0) else F.col("_edge")[i]
+        return F.when(n <= TINY, F.col(outermost)).when(n <= SMALL, one(at + 2)).otherwise(one(at))
+
+    brackets = sketch.select(*keys, F.array(*[
+        F.struct(F.lit(i).alias("q"), ((n - 1).cast("double") * F.lit(float(q))).alias("rank"),
+                 edge(4 * i, "_min").alias("lo"), edge(4 * i + 1, "_max").alias("hi"))
         for i, q in enumerate(qs.values())]).alias("_brackets"))
-    placed = attach(rows, brackets.select(*keys, "_brackets"), keys).withColumn("_b", F.explode("_brackets"))
+    placed = attach(rows, brackets, keys).withColumn("_b", F.explode("_brackets"))
     inside = F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v"))  # NULL: below the bracket
     counts = (
         placed.filter(F.col("_v") <= F.col("_b.hi"))

@@ -385,12 +385,15 @@ def _(spark, sf):
     return rounded(out.select("event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "k"), "k")
 
 
-@query("G5_threshold_and_residual", HOURLY + """, rl AS (SELECT *, sum((value > 60)::INT) OVER w >= 3 AND event_type = 'click' AS hi, sum((value < 5)::INT) OVER w >= 3 AND event_type = 'click' AS lo,
+RULES_AND_RESIDUAL = """, rl AS (SELECT *, sum((value > 60)::INT) OVER w >= 3 AND event_type = 'click' AS hi, sum((value < 5)::INT) OVER w >= 3 AND event_type = 'click' AS lo,
    (value > 150 OR value < 2) AND event_type = 'error' AS now FROM g WINDOW w AS (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
 t AS (SELECT *, avg(value) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 11 FOLLOWING) AS trend FROM g),
 s AS (SELECT event_type, pos % 24 AS slot, avg(value - trend) AS seasonal FROM t GROUP BY 1, 2),
 p AS (SELECT t.event_type, t.ts, t.pos, t.value, trend + seasonal AS predicted, value - trend - seasonal AS residual FROM t JOIN s ON t.event_type = s.event_type AND t.pos % 24 = s.slot),
-z AS (SELECT event_type, stddev_pop(residual) AS sd, avg(residual) AS mu FROM p GROUP BY 1)
+z AS (SELECT event_type, stddev_pop(residual) AS sd, avg(residual) AS mu FROM p GROUP BY 1)"""
+
+
+@query("G5_threshold_and_residual", HOURLY + RULES_AND_RESIDUAL + """
 SELECT p.event_type, p.ts, hi OR lo OR now AS threshold_anomaly, abs(residual - mu) > 3 * sd OR p.value > predicted + 1.96 * sd OR p.value < predicted - 1.96 * sd AS residual_anomaly
 FROM p JOIN z USING (event_type) JOIN rl ON p.event_type = rl.event_type AND p.pos = rl.pos""")
 def _(spark, sf):

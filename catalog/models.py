@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import HOURLY, KEY, hourly, query, r6, rounded, table
-from catalog.detectors import EVENT_RULES, RULES_SQL
+from catalog.detectors import EVENT_RULES, RULES_AND_RESIDUAL, RULES_SQL, SEASONAL
 from tidewatch.operators import cluster, density, detect, features, forest, grid
 from tidewatch.plans import workflows
 from tidewatch.streaming import live
@@ -142,15 +142,19 @@ def _(spark, sf):
     return rounded(cluster.davies_bouldin(_vectors(spark, sf), "label", E), "davies_bouldin")
 
 
-@query("G4_analyze_report")
+@query("G4_analyze_report", SEASONAL + """ SELECT event_type, (count(*) FILTER (abs(residual) / nullif(sd, 0) > 3))::BIGINT AS anomalies,
+    4::BIGINT AS patterns, 31::BIGINT AS features FROM fit GROUP BY 1""")
 def _(spark, sf):
     return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value")["report"]
 
 
-@query("G5_detect_all")
+@query("G5_detect_all", DENSITY_SQL + RULES_AND_RESIDUAL + """
+SELECT p.event_type, p.ts, round(p.value, 6) AS value, hi OR lo OR now AS threshold_anomaly,
+  abs(residual - mu) > 3 * sd OR p.value > predicted + 1.96 * sd OR p.value < predicted - 1.96 * sd AS residual_anomaly, n.pos IS NULL AS cluster_anomaly
+FROM p JOIN z USING (event_type) JOIN rl ON p.event_type = rl.event_type AND p.pos = rl.pos LEFT JOIN near_core n ON p.event_type = n.event_type AND p.pos = n.pos""")
 def _(spark, sf):
-    out = workflows.detect_all(hourly(spark, sf), KEY, "event_type", "ts", "value", rules=EVENT_RULES, period=24)
-    return out.select("event_type", "ts", "value", "threshold_anomaly", "residual_anomaly", "cluster_anomaly")
+    out = workflows.detect_all(hourly(spark, sf), KEY, "event_type", "ts", "value", rules=(EVENT_RULES[0], EVENT_RULES[2]), period=24)
+    return rounded(out.select("event_type", "ts", "value", "threshold_anomaly", "residual_anomaly", "cluster_anomaly"), "value")
 
 
 @query("G6_ensemble_with_outliers")

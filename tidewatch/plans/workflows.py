@@ -103,14 +103,14 @@ def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: s
     keys = list(keys)
     long = stage(long, "series")
     feats = stage(features.impute_features(features.window_features(long, keys, value, size, pos), keys=[metric]), "features")
-    names = [r[0] for r in feats.select(metric).distinct().collect()]  # metric names, a handful
+    # one row per metric, a handful: its number of windows and the spread of each feature
+    spreads = feats.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"), *[F.stddev_samp(c).alias(c) for c in features.FEATURES])
     clustered = None
-    for name in sorted(names):
-        part = feats.filter(F.col(metric) == name)
-        used = [c for c in features.FEATURES if c not in features.constant_features(part)]
-        n = part.count()
+    for row in sorted(spreads.collect(), key=lambda r: r[metric]):
+        n, used = row["_n"], [c for c in features.FEATURES if row[c] != 0]
         if n < k or not used:
             continue
+        part = feats.filter(F.col(metric) == row[metric])
         if method == "kmeans":
             part = cluster.kmeans(part, used, min(k, n), seed, n_init)
         else:

@@ -8,7 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import exact, mix, simhash
+from tidewatch.llm import exact, mix, simhash, toxic
+from tidewatch.llm import labels as lab
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -76,3 +77,10 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxic.learn(docs, table(spark, sf, "labels"))
+    return toxic.score(docs, model).withColumn("held_out", lab.held_out("doc_id", 5, 0))

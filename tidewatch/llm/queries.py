@@ -8,10 +8,12 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import exact, mix, simhash, toxic
+from tidewatch.llm import decontaminate, exact, mix, simhash, toxic
 from tidewatch.llm import labels as lab
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))  # corpus_pipeline lies beside the package
+
+import corpus_pipeline  # noqa: E402
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +86,13 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxic.learn(docs, table(spark, sf, "labels"))
     return toxic.score(docs, model).withColumn("held_out", lab.held_out("doc_id", 5, 0))
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, exact, mix, simhash, toxic
+from tidewatch.llm import decontaminate, exact, language, mix, quality, simhash, toxic
 from tidewatch.llm import labels as lab
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))  # corpus_pipeline lies beside the package
@@ -96,3 +96,16 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality.learn(docs, table(spark, sf, "labels"))
+    return quality.score(docs, model).withColumn("held_out", lab.held_out("doc_id", 5, 0))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return language.predict(docs, language.learn(docs)).withColumn("held_out", lab.held_out("doc_id", 3, 1))

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, exact, language, mix, quality, simhash, toxic
+from tidewatch.llm import decontaminate, exact, language, mix, quality, sentences, simhash, toxic
 from tidewatch.llm import labels as lab
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))  # corpus_pipeline lies beside the package
@@ -109,3 +109,24 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return language.predict(docs, language.learn(docs)).withColumn("held_out", lab.held_out("doc_id", 3, 1))
+
+
+OP8 = r"""
+WITH split AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*') AS s FROM documents),
+plain AS (SELECT doc_id, list_transform(s, lambda x: regexp_replace(lower(trim(x, ' ')), '\s+', ' ', 'g')) AS p FROM split WHERE len(s) > 0),
+starts AS (SELECT doc_id, p, unnest(range(greatest(len(p) - 1, 1))) AS pos FROM plain),
+runs AS (SELECT doc_id, pos, array_to_string(p[pos + 1 : pos + 2], ' ') AS run FROM starts),
+spans AS (SELECT * FROM runs WHERE regexp_matches(run, '^(?:\S+\s+){9}\S')),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k FROM spans),
+covered AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM firsts WHERE k > 1),
+gone AS (SELECT doc_id, list_sort(list(pos)) AS gone FROM covered GROUP BY 1)
+SELECT d.doc_id, len(s)::BIGINT AS n_sentences, coalesce(len(list_filter(gone, lambda i: i < len(s))), 0)::BIGINT AS n_removed,
+       coalesce(len(list_filter(gone, lambda i: i < len(s) AND NOT list_contains(gone, i - 1))), 0)::BIGINT AS n_spans,
+       CASE WHEN gone IS NULL THEN text
+            ELSE array_to_string(list_transform(list_filter(range(len(s)), lambda i: NOT list_contains(gone, i)), lambda i: s[i + 1]), '') END AS text
+FROM split d LEFT JOIN gone g ON d.doc_id = g.doc_id"""
+
+
+@query("op8_substring_dedup", OP8)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences.dedup(table(spark, sf, "documents"))

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, exact, language, mix, quality, sentences, simhash, toxic, warc
+from tidewatch.llm import decontaminate, exact, language, mix, quality, repeats, sentences, simhash, toxic, warc
 from tidewatch.llm import labels as lab
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))  # corpus_pipeline lies beside the package
@@ -135,3 +135,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_warc_round_trip")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf, "pages"))
+
+
+@query("op10_suffix_repeats")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.dedup(table(spark, sf, "documents"))

@@ -449,16 +449,6 @@ def _(spark, sf):
     return reports.summary_counts(_report(spark, sf), "event_type")
 
 
-@query("G9_health_report", SCORES_SQL + """, a AS (SELECT event_type, (count(*) FILTER (hit))::BIGINT AS anomalies FROM fl GROUP BY 1),
-l AS (SELECT event_type, 1::BIGINT AS metrics, anomalies, 4::BIGINT AS patterns, 31::BIGINT AS features,
-  upper(event_type[1]) || event_type[2:] || CASE WHEN anomalies > 0 THEN ': Review ' || anomalies || ' detected anomalies for potential health concerns' ELSE ': Patterns appear normal and healthy' END AS recommendation FROM a)
-SELECT * FROM l UNION ALL SELECT NULL, count(*)::BIGINT, sum(anomalies)::BIGINT, count(*)::BIGINT, sum(features)::BIGINT, NULL FROM l""")
-def _(spark, sf):
-    per = _scored(spark, sf).groupBy("event_type").agg(F.count_if("residual_anomaly").alias("anomalies")).withColumns({
-        "patterns": F.lit(4).cast("bigint"), "features": F.lit(31).cast("bigint")})
-    return reports.health_report(per, "event_type")
-
-
 @query("G10_json_report", """WITH s AS (SELECT count(value)::BIGINT AS count, round(avg(value), 3) AS mean, round(stddev_samp(value), 3) AS std, round(min(value), 3) AS min,
   round(max(value), 3) AS max, round(median(value), 3) AS q50, count(*) AS n, (count(*) FILTER (value > 150))::BIGINT AS hits,
   strftime(min(ts), '%Y-%m-%d') AS start, strftime(max(ts), '%Y-%m-%d') AS stop FROM events)

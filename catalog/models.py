@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from catalog.base import HOURLY, KEY, hourly, query, r6, rounded, table
 from catalog.detectors import EVENT_RULES, RULES_AND_RESIDUAL, RULES_SQL, SEASONAL
+from catalog.series import FEATURES_SQL
 from tidewatch.operators import cluster, density, detect, features, forest, grid
-from tidewatch.plans import workflows
+from tidewatch.plans import reports, workflows
+from tidewatch.plans.chunks import attach
 from tidewatch.streaming import live
 
-METRICS = ["click", "purchase", "view"]
+METRICS = ["click", "error", "purchase", "signup", "view"]
 
 
 def wide(spark, sf):
-    """Hourly means of three event types side by side: ts, click, purchase, view."""
+    """Hourly means of all event types side by side: ts and a column per type."""
     g = grid.resample(table(spark, sf, "events"), [], "ts", "1h", {
         m: F.avg(F.when(F.col("event_type") == m, F.col("value"))) for m in METRICS}, "chain")
     return g.select("ts", *METRICS)
@@ -87,21 +89,87 @@ def _(spark, sf):
     return detect.multivariate_outliers(wide(spark, sf), ["ts"], METRICS)
 
 
-@query("N10_multivariate_density", "WITH " + f"""o AS (SELECT date_trunc('hour', ts) AS ts, avg(value) FILTER (event_type = 'click') AS click, avg(value) FILTER (event_type = 'purchase') AS purchase,
-  avg(value) FILTER (event_type = 'view') AS view FROM events GROUP BY 1),
+# The wide table in SQL, standardized: x (ts, one column per type).
+_AT = ", ".join(f"avg(value) FILTER (event_type = '{m}') AS {m}" for m in METRICS)
+_CASE = "CASE m " + " ".join(f"WHEN '{m}' THEN {m}" for m in METRICS) + " END"
+_BACK = ", ".join(f"max(z) FILTER (m = '{m}') AS {m}" for m in METRICS)
+WIDE_SQL = f"""WITH o AS (SELECT date_trunc('hour', ts) AS ts, {_AT} FROM events GROUP BY 1),
 sp AS (SELECT unnest(generate_series((SELECT min(ts) FROM o), (SELECT max(ts) FROM o), INTERVAL 1 HOUR)) AS ts),
-l AS (SELECT unnest(['click', 'purchase', 'view']) AS m, sp.ts, row_number() OVER (ORDER BY sp.ts) - 1 AS pos, o.click, o.purchase, o.view FROM sp LEFT JOIN o USING (ts)),
-v AS (SELECT m, ts, dense_rank() OVER (ORDER BY ts) - 1 AS pos, CASE m WHEN 'click' THEN click WHEN 'purchase' THEN purchase ELSE view END AS value FROM l),
-""" + HOURLY.split("near AS")[1].replace("event_type", "m").replace("FROM cells", "FROM v").replace(" (SELECT", "near AS (SELECT", 1) + """,
+l AS (SELECT unnest({METRICS}) AS m, sp.ts, {", ".join("o." + m for m in METRICS)} FROM sp LEFT JOIN o USING (ts)),
+v AS (SELECT m, ts, dense_rank() OVER (ORDER BY ts) - 1 AS pos, {_CASE} AS value FROM l),
+""" + HOURLY.split("near AS")[1].replace("event_type", "m").replace("FROM cells", "FROM v").replace(" (SELECT", "near AS (SELECT", 1) + f""",
 z AS (SELECT m, ts, (value - avg(value) OVER (PARTITION BY m)) / stddev_pop(value) OVER (PARTITION BY m) AS z FROM g),
-x AS (SELECT ts, max(z) FILTER (m = 'click') AS a, max(z) FILTER (m = 'purchase') AS b, max(z) FILTER (m = 'view') AS c FROM z GROUP BY 1),
-nb AS (SELECT p.ts, q.ts AS other FROM x p JOIN x q ON (p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.c - q.c) ** 2 <= 0.25),
+x AS (SELECT ts, {_BACK} FROM z GROUP BY 1)"""
+
+
+@query("N10_multivariate_density", WIDE_SQL + f""",
+nb AS (SELECT p.ts, q.ts AS other FROM x p JOIN x q ON {" + ".join(f"(p.{m} - q.{m}) ** 2" for m in METRICS)} <= 0.25),
 core AS (SELECT ts FROM nb GROUP BY 1 HAVING count(*) >= 5)
 SELECT x.ts, x.ts NOT IN (SELECT nb.ts FROM nb JOIN core ON nb.other = core.ts) AS is_outlier FROM x""")
 def _(spark, sf):
     return detect.multivariate_outliers(wide(spark, sf), ["ts"], METRICS, by_isolation=False).select("ts", "is_outlier")
 
 
+@query("K2_density_embeddings", """WITH nb AS (SELECT p.vec_id, q.vec_id AS other FROM embeddings p JOIN embeddings q
+  ON list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) ** 2)) <= 0.64),
+core AS (SELECT vec_id FROM nb GROUP BY 1 HAVING count(*) >= 4)
+SELECT e.vec_id, c.vec_id IS NOT NULL AS is_core, e.vec_id NOT IN (SELECT nb.vec_id FROM nb JOIN core ON nb.other = core.vec_id) AS is_noise
+FROM embeddings e LEFT JOIN core c ON e.vec_id = c.vec_id""")
+def _(spark, sf):
+    return density.dbscan(_vectors(spark, sf), [], E, eps=0.8, min_samples=4, labels=False).select("vec_id", "is_core", "is_noise")
+
+
+# A tenth of the rows is flagged: the number of rows above the linear 0.9 quantile, if no two scores are equal there.
+@query("K3_isolation_share", WIDE_SQL + """, n AS (SELECT count(*) AS n FROM x)
+SELECT n::BIGINT AS n_rows, (n - 1 - floor(0.9 * (n - 1)))::BIGINT AS flagged, true AS highest FROM n""")
+def _(spark, sf):
+    out = forest.isolation_outliers(wide(spark, sf), ["ts"], METRICS)
+    hit = F.col("is_outlier_iso")
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(hit).alias("flagged"),
+                   (F.min(F.when(hit, F.col("iso_score"))) > F.max(F.when(~hit, F.col("iso_score")))).alias("highest"))
+
+
+# A k-means result is a fixed point: no row is nearer to another centroid than to its own.
+@query("K1_kmeans_fixed_point", WIDE_SQL + " SELECT count(*)::BIGINT AS n_rows, least(3, count(*))::BIGINT AS clusters, 0::BIGINT AS misplaced FROM x")
+def _(spark, sf):
+    out = cluster.kmeans(wide(spark, sf), METRICS, k=3)
+    z, zs = cluster.scaled(out, METRICS)
+    own = z.groupBy("cluster").agg(F.array(*[F.avg(c) for c in zs]).alias("_m"))
+    centroids = own.agg(F.collect_list(F.struct("cluster", "_m")).alias("_all"))
+    far = lambda m: F.aggregate(F.zip_with(m, F.array(*zs), lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x)
+    rows = attach(z, centroids, []).withColumn("_d", F.transform("_all", lambda c: F.struct(c["cluster"].alias("k"), far(c["_m"]).alias("d"))))
+    mine = F.filter("_d", lambda x: x["k"] == F.col("cluster"))[0]["d"]
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster").alias("clusters"),
+                    F.count_if(F.array_min(F.transform("_d", lambda x: x["d"])) < mine - 1e-3).alias("misplaced"))
+
+
+# With as many components as columns a row keeps its length, and components are uncorrelated with falling variance.
+@query("K4_pca_keeps_lengths", WIDE_SQL + f" SELECT ts, round({' + '.join(f'{m} ** 2' for m in METRICS)}, 6) AS length2 FROM x")
+def _(spark, sf):
+    out = cluster.pca(wide(spark, sf), METRICS, len(METRICS))
+    total = F.lit(0.0)
+    for i in range(len(METRICS)):
+        total = total + F.col(f"pca{i + 1}") * F.col(f"pca{i + 1}")
+    return rounded(out.select("ts", total.alias("length2")), "length2")
+
+
+@query("K4_pca_uncorrelated", WIDE_SQL + f""" SELECT count(*)::BIGINT AS n_rows, round({' + '.join(f'var_pop({m})' for m in METRICS)}, 6) AS variance,
+  0.0::DOUBLE AS largest_covariance, true AS falling FROM x""")
+def _(spark, sf):
+    n = len(METRICS)
+    out = cluster.pca(wide(spark, sf), METRICS, n)
+    p = [f"pca{i + 1}" for i in range(n)]
+    row = out.agg(F.count(F.lit(1)).alias("n_rows"), *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(p)],
+                  F.greatest(*[F.abs(F.covar_pop(a, b)) for i, a in enumerate(p) for b in p[:i]]).alias("largest_covariance"))
+    falling = F.lit(True)
+    for i in range(1, n):
+        falling = falling & (F.col(f"v{i - 1}") >= F.col(f"v{i}"))
+    total = F.lit(0.0)
+    for i in range(n):
+        total = total + F.col(f"v{i}")
+    return row.select("n_rows", r6(total).alias("variance"), F.round("largest_covariance", 6).alias("largest_covariance"), falling.alias("falling"))
+
+
 @query("K4_pca_two_components")
 def _(spark, sf):
     return cluster.pca(_vectors(spark, sf), E, 2).select("vec_id", "label", "pca1", "pca2")
@@ -142,10 +210,33 @@ def _(spark, sf):
     return rounded(cluster.davies_bouldin(_vectors(spark, sf), "label", E), "davies_bouldin")
 
 
-@query("G4_analyze_report", SEASONAL + """ SELECT event_type, (count(*) FILTER (abs(residual) / nullif(sd, 0) > 3))::BIGINT AS anomalies,
-    4::BIGINT AS patterns, 31::BIGINT AS features FROM fit GROUP BY 1""")
+def _analysis(spark, sf):
+    return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value", n_init=2)["report"]
+
+
+# Windows and features that vary are counted from the features themselves, the fit is measured on the baseline.
+REPORT_COLUMNS = ["event_type", "anomalies", "patterns", "windows", "features", "mae", "rmse", "trend_stability", "data_volatility"]
+ANALYSIS_SQL = SEASONAL + ", " + FEATURES_SQL.split("WITH ", 1)[1].split(HOURLY.split("WITH ", 1)[1] + ", ", 1)[-1] + f""",
+wn AS (SELECT event_type, count(*)::BIGINT AS windows, ({" + ".join(f"(stddev_samp({c}::DOUBLE) > 1e-9)::INT" for c in features.FEATURES)})::BIGINT AS features FROM feat GROUP BY 1),
+st AS (SELECT *, yhat - lag(yhat) OVER (PARTITION BY event_type ORDER BY pos) AS step FROM fit),
+fm AS (SELECT event_type, (count(*) FILTER (abs(residual) / nullif(sd, 0) > 3))::BIGINT AS anomalies, avg(abs(residual)) AS mae, sqrt(avg(residual ** 2)) AS rmse,
+  1 / (1 + stddev_pop(step)) AS trend_stability, stddev_samp(value) AS data_volatility FROM st GROUP BY 1),
+an AS (SELECT event_type, anomalies, CASE WHEN windows >= 4 THEN 4 ELSE 0 END::BIGINT AS patterns, windows, features, mae, rmse, trend_stability, data_volatility
+  FROM fm LEFT JOIN wn USING (event_type))"""
+
+
+@query("G4_analyze_report", ANALYSIS_SQL + " SELECT event_type, anomalies, patterns, windows, features, round(mae, 6) AS mae, round(rmse, 6) AS rmse, "
+       "round(trend_stability, 6) AS trend_stability, round(data_volatility, 6) AS data_volatility FROM an")
+def _(spark, sf):
+    return rounded(_analysis(spark, sf).select(*REPORT_COLUMNS), *REPORT_COLUMNS[5:])
+
+
+@query("G9_health_report", ANALYSIS_SQL + """,
+l AS (SELECT event_type, 1::BIGINT AS metrics, anomalies, patterns, features,
+  upper(event_type[1]) || event_type[2:] || CASE WHEN anomalies > 0 THEN ': Review ' || anomalies || ' detected anomalies for potential health concerns' ELSE ': Patterns appear normal and healthy' END AS recommendation FROM an)
+SELECT * FROM l UNION ALL SELECT NULL, count(*)::BIGINT, sum(anomalies)::BIGINT, (count(*) FILTER (patterns > 0))::BIGINT, sum(features)::BIGINT, NULL FROM l""")
 def _(spark, sf):
-    return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value")["report"]
+    return reports.health_report(_analysis(spark, sf), "event_type")
 
 
 @query("G5_detect_all", DENSITY_SQL + RULES_AND_RESIDUAL + """
@@ -184,7 +275,7 @@ def _(spark, sf):
  CASE WHEN value < CASE event_type WHEN 'click' THEN 5 WHEN 'view' THEN 10 ELSE 2 END THEN 'high' ELSE 'medium' END AS threshold_severity FROM events
  WHERE (event_type = 'click' AND (value < 5 OR value > 60)) OR (event_type = 'view' AND (value < 10 OR value > 40)) OR (event_type = 'error' AND (value < 2 OR value > 150))""")
 def _(spark, sf):
-    out = live.run_to_table(live.alert_stream(_stream(spark, sf), "event_type", "value", EVENT_RULES))
+    out = live.run_to_table(live.alert_stream(_stream(spark, sf), "event_type", "value", [(*r[:4], 0) for r in EVENT_RULES]))
     return out.select("event_id", "threshold_reason", "threshold_severity")
 
 

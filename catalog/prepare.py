@@ -172,14 +172,14 @@ LABELLED = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
 
 def _labelled(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return docs.join(table(spark, sf, "labels"), on="doc_id", how="left")
 
 
-@query("P1_null_counts", f"""WITH t AS (SELECT d.doc_id, lang, n_chars, quality, toxic FROM {LABELLED}),
-c AS (SELECT count(*) AS n, count(doc_id) AS a, count(lang) AS b, count(n_chars) AS c, count(quality) AS d, count(toxic) AS e FROM t)
+@query("P1_null_counts", f"""WITH t AS (SELECT d.doc_id, text, lang, source, n_chars, quality, toxic FROM {LABELLED}),
+c AS (SELECT count(*) AS n, count(doc_id) AS a, count(text) AS x, count(lang) AS b, count(source) AS y, count(n_chars) AS c, count(quality) AS d, count(toxic) AS e FROM t)
 SELECT u."column", (n - u.k)::BIGINT AS missing_count, round((n - u.k) / n::DOUBLE * 100, 2) AS missing_pct FROM c,
- LATERAL (VALUES ('doc_id', a), ('lang', b), ('n_chars', c), ('quality', d), ('toxic', e)) AS u("column", k)""")
+ LATERAL (VALUES ('doc_id', a), ('text', x), ('lang', b), ('source', y), ('n_chars', c), ('quality', d), ('toxic', e)) AS u("column", k)""")
 def _(spark, sf):
     return profile.null_counts(_labelled(spark, sf)).select("column", "missing_count", "missing_pct")
 
@@ -190,7 +190,7 @@ def _(spark, sf):
     return profile.missing_total(_labelled(spark, sf))
 
 
-@query("P3_column_types", """SELECT * FROM (VALUES ('doc_id', 'bigint'), ('lang', 'string'), ('n_chars', 'bigint'), ('quality', 'int'),
+@query("P3_column_types", """SELECT * FROM (VALUES ('doc_id', 'bigint'), ('text', 'string'), ('lang', 'string'), ('source', 'string'), ('n_chars', 'bigint'), ('quality', 'int'),
     ('toxic', 'int')) AS t("column", dtype) WHERE (SELECT count(*) FROM documents) > 0""")
 def _(spark, sf):
     return profile.null_counts(_labelled(spark, sf)).select("column", "dtype")
@@ -202,7 +202,7 @@ def _(spark, sf):
     return profile.duplicate_rows(table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_returnflag"))
 
 
-NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("P5_numeric_ranges", " UNION ALL ".join(
@@ -217,16 +217,16 @@ def _(spark, sf):
 
 
 @query("P7_describe", " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count({c})::BIGINT AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min,
+    f"""SELECT '{c}' AS "column", count({c})::BIGINT AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c})::DOUBLE AS min,
     round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75,
-    max({c}) AS max FROM lineitem""" for c in NUMERIC))
+    max({c})::DOUBLE AS max FROM lineitem""" for c in NUMERIC))
 def _(spark, sf):
     return rounded(profile.describe(table(spark, sf, "lineitem"), NUMERIC), "mean", "std", "q25", "q50", "q75")
 
 
-@query("P8_schema_info", f"""WITH c AS (SELECT count(d.doc_id) AS a, count(lang) AS b, count(n_chars) AS c, count(quality) AS d, count(toxic) AS e FROM {LABELLED})
+@query("P8_schema_info", f"""WITH c AS (SELECT count(d.doc_id) AS a, count(text) AS x, count(lang) AS b, count(source) AS y, count(n_chars) AS c, count(quality) AS d, count(toxic) AS e FROM {LABELLED})
 SELECT u."column", u.dtype, u.k::BIGINT AS present_count FROM c,
- LATERAL (VALUES ('doc_id', 'bigint', a), ('lang', 'string', b), ('n_chars', 'bigint', c), ('quality', 'int', d), ('toxic', 'int', e)) AS u("column", dtype, k)""")
+ LATERAL (VALUES ('doc_id', 'bigint', a), ('text', 'string', x), ('lang', 'string', b), ('source', 'string', y), ('n_chars', 'bigint', c), ('quality', 'int', d), ('toxic', 'int', e)) AS u("column", dtype, k)""")
 def _(spark, sf):
     return profile.null_counts(_labelled(spark, sf)).select("column", "dtype", "present_count")
 
@@ -249,8 +249,9 @@ def _(spark, sf):
 
 # -- cleaning
 
-@query("C1_drop_sparse_rows", f"""SELECT d.doc_id, lang, n_chars, quality, toxic FROM {LABELLED}
-    WHERE (d.doc_id IS NOT NULL)::INT + (lang IS NOT NULL)::INT + (n_chars IS NOT NULL)::INT + (quality IS NOT NULL)::INT + (toxic IS NOT NULL)::INT >= 4""")
+@query("C1_drop_sparse_rows", f"""SELECT d.doc_id, text, lang, source, n_chars, quality, toxic FROM {LABELLED}
+    WHERE (d.doc_id IS NOT NULL)::INT + (text IS NOT NULL)::INT + (lang IS NOT NULL)::INT + (source IS NOT NULL)::INT + (n_chars IS NOT NULL)::INT + (quality IS NOT NULL)::INT
+      + (toxic IS NOT NULL)::INT >= 6""")
 def _(spark, sf):
     return clean.drop_sparse_rows(_labelled(spark, sf), 20)
 

@@ -385,12 +385,14 @@ def _(spark, sf):
     return out.withColumns({c: F.round(c, 4) for c in ("variance", "mean", "std")})
 
 
-@query("A12_feature_relevance", "WITH v AS (SELECT DISTINCT unnest([" + ", ".join(f"'{c}'" for c in features.FEATURES) + f"""]) AS feature FROM events)
-SELECT feature, {_CATEGORY} AS relevance FROM v""")
+@query("A12_feature_relevance", FEATURES_SQL + f""", base AS (SELECT event_type, window_id, {_feat_cols(features.FEATURES)} FROM feat),
+v AS ({_var_rows(features.FEATURES)})
+SELECT {_CATEGORY} AS relevance, count(*)::BIGINT AS features, (count(*) FILTER (v > 1e-9))::BIGINT AS varying FROM v GROUP BY 1""")
 def _(spark, sf):
-    names = F.array(*[F.lit(c) for c in features.FEATURES])
-    rows = table(spark, sf, "events").select(F.explode(names).alias("feature")).distinct()
-    return rows.withColumn("relevance", stats.relevance(F.col("feature")))
+    feats = features.window_features(hourly(spark, sf), KEY, "value", 60)
+    feats = rounded(feats, *[c for c in features.FEATURES if c not in _COUNTS])
+    out = stats.top_features(feats, features.FEATURES, len(features.FEATURES))
+    return out.groupBy("relevance").agg(F.count(F.lit(1)).alias("features"), F.count_if(F.col("variance") > 1e-9).alias("varying"))
 
 
 @query("K8_cluster_insights", HOURLY + """, c AS (SELECT event_type, (pos % 4)::INT AS cluster, value, value * 2 AS double_value FROM g)

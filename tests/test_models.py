@@ -67,9 +67,48 @@ def test_dbscan_decides_crowded_cells_by_boxes(spark, monkeypatch):
         check(spark, np.vstack([a, b]), ["s"] * 160, 0.5, 5)
 
 
-def test_dbscan_limits(spark):
-    with pytest.raises(ValueError):
-        density.dbscan(spark.range(1), [], ["a", "b", "c", "d"])
+def test_dbscan_on_many_columns_and_crowded_cells(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(0, 0.15, (60, 5)), rng.normal(1.5, 0.2, (50, 5)), rng.uniform(-3, 3, (40, 5))])
+    for crowd in (2048, 3):
+        monkeypatch.setattr(density, "CROWDED_CELL", crowd)
+        check(spark, x, ["s"] * 75 + ["t"] * 75, 0.5, 4)
+
+
+def test_dbscan_keeps_all_rows(spark):
+    """Keys that look alike as text, NULL keys and NULL coordinates."""
+    rows = [(a, b, i, float(i % 5) / 10, 0.0) for a, b in (("a|b", "c"), ("a", "b|c"), (None, "c"), ("c", None)) for i in range(10)]
+    rows += [("a", "b|c", 99, None, 0.0), ("a", "b|c", 98, float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "p string, q string, i int, x double, y double")
+    out = density.dbscan(df, ["p", "q"], ["x", "y"], 0.3, 3).collect()
+    assert sorted((r.p or "", r.q or "", r.i) for r in out) == sorted((r[0] or "", r[1] or "", r[2]) for r in rows)
+    assert all((r.cluster is None and r.is_noise is None) == (r.i > 90) for r in out) and all(r.cluster == 0 for r in out if r.i < 90)
+    many = density.dbscan(df.withColumns({"z": F.col("x"), "w": F.col("x")}), ["p", "q"], ["x", "y", "z", "w"], 0.6, 3).collect()
+    assert len(many) == len(rows) and all(r.cluster == 0 for r in many if r.i < 90)
+
+
+def test_dbscan_is_of_one_evaluation(spark):
+    """Sums in another order between building and reading lose no row."""
+    df = spark.range(20000).select((F.col("id") % 400).alias("k"), (F.rand(5) / 3).alias("v")).groupBy("k").agg(F.avg("v").alias("x"), F.stddev("v").alias("y"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        out = density.dbscan(df, [], ["x", "y"], 0.01, 3)
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        assert out.count() == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dbscan_leaves_two_tables(spark):
+    import os
+
+    from tidewatch.plans.staging import staging_root
+    at = staging_root(spark)
+    had = set(os.listdir(at)) if os.path.isdir(at) else set()
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in rng.uniform(0, 1, (150, 2))], "x double, y double")
+    density.dbscan(df, [], ["x", "y"], 0.1, 3).count()
+    assert len(set(os.listdir(at)) - had) == 2
 
 
 def test_components_of_a_long_chain(spark):
@@ -91,8 +130,7 @@ def test_kmeans_finds_the_blobs_and_numbers_by_centroid(spark):
     parts = [set(out.cluster[i * n:(i + 1) * n]) for i in range(3)]
     assert all(len(p) == 1 for p in parts) and len(set.union(*parts)) == 3
     assert parts[1] == {2}
-    with pytest.raises(ValueError):
-        cluster.kmeans(df.limit(2), ["a", "b"], 3)
+    assert [r.cluster for r in cluster.kmeans(df.limit(2), ["a", "b"], 3).collect()] == [None, None]
 
 
 def test_quality_of_good_and_bad_labels(spark):
@@ -102,7 +140,29 @@ def test_quality_of_good_and_bad_labels(spark):
     for f in (cluster.silhouette, cluster.silhouette_squared):
         assert f(good, "label", ["a", "b"]).first().silhouette > 0.8 > 0.1 > f(bad, "label", ["a", "b"]).first().silhouette
     assert cluster.davies_bouldin(good, "label", ["a", "b"]).first()[0] < 0.3
-    assert cluster.silhouette(good, "label", ["a", "b"], exact_rows=10).first().distance == "squared"
+    assert cluster.silhouette(good, "label", ["a", "b"], "squared").first().distance == "squared"
+
+
+def test_silhouette_in_blocks_is_the_same(spark, monkeypatch):
+    df, n = blobs(spark)
+    one = df.withColumn("label", F.least(F.lit(3), (F.col("id") / 110).cast("int")))
+    want = cluster.silhouette(one, "label", ["a", "b"]).first()[0]
+    monkeypatch.setattr(cluster, "BLOCK_ROWS", 40)
+    assert abs(cluster.silhouette(one, "label", ["a", "b"]).first()[0] - want) < 1e-9
+    x = np.array([(r.a, r.b) for r in one.orderBy("id").collect()])
+    lab = np.array([r.label for r in one.orderBy("id").collect()])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    s = []
+    for i in range(len(x)):
+        a = d[i][lab == lab[i]].sum() / (np.sum(lab == lab[i]) - 1)
+        b = min(d[i][lab == k].mean() for k in set(lab) - {lab[i]})
+        s.append((b - a) / max(a, b))
+    assert abs(np.mean(s) - want) < 1e-9
+
+
+def test_every_row_can_be_drawn_for_a_tree(spark):
+    nodes, per_tree = forest.fit_forest(spark.range(3000).select("id", (F.col("id") % 97).cast("double").alias("a")), ["id"], ["a"], trees=40, sample=64)
+    assert per_tree == 64 and nodes.select("tree").distinct().count() == 40
 
 
 def test_pca_is_centered_orthogonal_and_ordered(spark):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -26,18 +27,20 @@ def scaled(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> tuple[Data
     return standardize(df, cols, suffix=suffix), [f"{c}{suffix}" for c in cols]
 
 
-def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, n_init: int = 1,
+def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, n_init: int = 10,
            label: str = "cluster") -> DataFrame:
-    """K1: labels on standardized columns. Of ``n_init`` starts the cheapest wins; labels are
-    numbered by centroid, so that they do not depend on the start's order."""
+    """K1: labels on standardized columns. Of ``n_init`` starts, which run side by side, the cheapest wins; labels are
+    numbered by centroid, so that they do not depend on the start's order. With fewer rows than ``k`` there is
+    no model: all labels are NULL (``eligibility`` tells the reason)."""
     rows = stage(df, "kmeans")  # read by the scaling, every round of training and the result
-    n = rows.count()
-    if n < k:
-        raise ValueError(f"{n} rows are too few for {k} clusters")
+    if rows.limit(k).count() < k:
+        return rows.withColumn(label, F.lit(None).cast("int"))
     z, zs = scaled(rows, cols)
     data = _assembled(z, zs, "_v").persist()
     try:
-        models = [KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="_raw").fit(data) for i in range(n_init)]
+        data.count()  # once, before the starts share it
+        with ThreadPoolExecutor(min(n_init, 4)) as pool:
+            models = list(pool.map(lambda i: KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="_raw").fit(data), range(n_init)))
     finally:
         data.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)
@@ -163,39 +166,46 @@ def with_enough_rows(df: DataFrame, keys: Sequence[str], needed: int) -> DataFra
     return attach(df, sizes, keys).filter(F.col("_n") >= needed).drop("_n")
 
 
-EXACT_ROWS = 20_000  # largest matrix the exact silhouette ships to the tasks
+BLOCK_ROWS = 2048  # points of a block; a task compares two blocks at a time
 
 
-def silhouette(df: DataFrame, label: str, cols: Sequence[str], exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """K5: mean Euclidean silhouette and the ``distance`` it used.
+def silhouette(df: DataFrame, label: str, cols: Sequence[str], distance: str = "euclidean") -> DataFrame:
+    """K5: mean silhouette under the ``distance`` asked for, which is told in a column.
 
-    The Euclidean score compares every point with every other. Up to ``exact_rows`` points
-    (window-level counts) the checked, small matrix goes to every task and each Arrow batch
-    is compared with it; above, the score under squared distance needs no pairs.
+    The Euclidean score is defined on every point against every other: points are dealt into blocks by a hash, and
+    each task compares one block with one other, giving sums per point and cluster. For tables
+    where that is too much the caller asks for "squared", which needs no pairs.
     """
-    cols = list(cols)
-    points = df.select(F.col(label).cast("int").alias("_own"), _as_array(cols).alias("_x"))
-    if points.limit(exact_rows + 1).count() > exact_rows:
+    if distance == "squared":
         return silhouette_squared(df, label, cols)
-    table = points.toPandas()
-    labels = table["_own"].to_numpy()
-    x = np.array(table["_x"].tolist(), dtype=float).reshape(len(table), len(cols))
-    packed = df.sparkSession.sparkContext.broadcast((x, labels, np.unique(labels)))
-
-    @F.pandas_udf("double")
-    def score(own: pd.Series, rows: pd.Series) -> pd.Series:
-        all_x, all_labels, names = packed.value
-        out = []
-        for k, row in zip(own, rows):
-            dist = np.sqrt(((all_x - np.asarray(row)) ** 2).sum(axis=1))
-            sums = np.array([dist[all_labels == name].sum() for name in names])
-            sizes = np.array([(all_labels == name).sum() for name in names])
-            mine = names == k
-            if sizes[mine][0] <= 1 or len(names) < 2:
-                out.append(0.0)
-                continue
-            a, b = sums[mine][0] / (sizes[mine][0] - 1), (sums / sizes)[~mine].min()
-            out.append(float((b - a) / max(a, b)) if max(a, b) > 0 else 0.0)
-        return pd.Series(out)
-
-    return points.agg(F.avg(score("_own", "_x")).alias("silhouette")).withColumn("distance", F.lit("euclidean"))
+    if distance != "euclidean":
+        raise ValueError(f"unknown distance {distance!r}")
+    points = stage(df.select(F.monotonically_increasing_id().alias("_id"), F.col(label).cast("int").alias("_own"), _as_array(list(cols)).alias("_x")), "points")
+    blocks = max(1, -(-points.count() // BLOCK_ROWS))
+    dealt = points.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
+    block = stage(dealt.groupBy("_b").agg(F.collect_list(F.struct("_id", "_own", "_x")).alias("_p")), "blocks")
+    left = block.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
+    pairs = left.repartition(min(blocks * blocks, 4096), "_b", "_to").join(block.select(F.col("_b").alias("_to"), F.col("_p").alias("_q")), "_to").select("_p", "_q")
+
+    def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for p, q in zip(part["_p"], part["_q"]):
+                a, b = (np.array([r["_x"] for r in side], float) for side in (p, q))
+                of = np.array([r["_own"] for r in q])
+                names, at = np.unique(of, return_inverse=True)
+                far = np.empty((len(a), len(b)))
+                for i in range(0, len(a), 64):
+                    far[i:i + 64] = np.sqrt(((a[i:i + 64, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+                member = (at[:, None] == np.arange(len(names))[None, :]).astype(float)
+                sums = far @ member
+                yield pd.DataFrame({
+                    "_id": np.repeat([r["_id"] for r in p], len(names)), "_own": np.repeat([r["_own"] for r in p], len(names)),
+                    "_k": np.tile(names, len(p)), "_s": sums.ravel(), "_n": np.tile(member.sum(axis=0), len(p))})
+
+    sums = pairs.mapInPandas(compare, "_id long, _own int, _k int, _s double, _n double").groupBy("_id", "_own", "_k").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    mine = F.col("_k") == F.col("_own")
+    per = sums.groupBy("_id").agg(F.max(F.when(mine, F.col("_n"))).alias("_size"), F.max(F.when(mine, F.col("_s"))).alias("_in"), F.min(F.when(~mine, F.col("_s") / F.col("_n"))).alias("_out"))
+    a = F.col("_in") / F.nullif(F.col("_size") - 1, F.lit(0.0))
+    s = (F.col("_out") - a) / F.nullif(F.greatest(a, F.col("_out")), F.lit(0.0))
+    value = F.when((F.col("_size") <= 1) | F.col("_out").isNull(), 0.0).otherwise(F.coalesce(s, F.lit(0.0)))
+    return per.agg(F.avg(value).alias("silhouette")).withColumn("distance", F.lit("euclidean"))

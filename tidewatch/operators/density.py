@@ -9,6 +9,12 @@ diagonal is just under eps, so that
   bounded number of others (surrounding cells x min_samples), never with its own crowd;
 * clusters are connected components of cells, and whether two cells touch is decided
   by bounding boxes, split further only where a box pair is undecided.
+
+That holds for up to three columns. With more, cells over the columns of the widest spread find the
+candidates, more columns being taken while a cell is crowded, and distances are taken over all columns;
+clusters are then connected components of core points.
+
+The input is written once, so that verdicts and rows are of one evaluation; keys may be NULL.
 """
 
 from __future__ import annotations
@@ -19,9 +25,11 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.plans.staging import stage
+from tidewatch.plans.chunks import one_key
+from tidewatch.plans.staging import drop, scratch, stage, stage_at
 
-MAX_DIMS = 3
+CELL_DIMS = 3  # with more columns, cells are laid over the widest few of them
+CROWDED_CELL, MOST_AXES = 2048, 6
 SIDE_SLACK = 1 - 1e-9
 PAIR_BUDGET = 1024  # point pairs of one cell pair that are compared directly
 
@@ -65,6 +73,15 @@ def _probe(points: DataFrame, keys: list[str], d: int, reach: int, side: float,
     return rows.drop(*[f"_{c}" for c in _coords("c", d)])
 
 
+def _cell(x: str, side: float) -> Column:
+    return F.floor(F.col(x) / F.lit(side)).cast("bigint")
+
+
+def _part(x: str, cell: str, side: float, scale: int) -> Column:
+    """The cell's part that holds x, cells being cut into ``scale`` (a power of two) along each axis; parts nest exactly."""
+    return F.col(cell) * F.lit(scale) + F.floor((F.col(x) / F.lit(side) - F.col(cell)) * F.lit(float(scale))).cast("bigint")
+
+
 def _touching_cells(core: DataFrame, keys: list[str], d: int, eps: float, side: float, reach: int) -> DataFrame:
     """Pairs (keys, a*, b*) of cells that hold core points within eps of each other."""
     xs, cs = _coords("x", d), _coords("c", d)
@@ -111,7 +128,7 @@ def _touching_cells(core: DataFrame, keys: list[str], d: int, eps: float, side:
     level = 0
     while not work.isEmpty():
         scale = split**level
-        placed = core.withColumns({f"p{i}": F.floor(F.col(x) * F.lit(scale / side)).cast("bigint") for i, x in enumerate(xs)})
+        placed = core.withColumns({f"p{i}": _part(x, c, side, scale) for i, (x, c) in enumerate(zip(xs, cs))})
         at = _coords("p", d)
         as_a = placed.select(*keys, *[F.col(p).alias(f"s{a}") for p, a in zip(at, a_cells)], *[F.col(x).alias(f"u{i}") for i, x in enumerate(xs)])
         as_b = placed.select(*keys, *[F.col(p).alias(f"s{b}") for p, b in zip(at, b_cells)], *[F.col(x).alias(f"v{i}") for i, x in enumerate(xs)])
@@ -126,7 +143,7 @@ def _touching_cells(core: DataFrame, keys: list[str], d: int, eps: float, side:
         if wide.isEmpty():
             break
         fine = split**level
-        finer = core.withColumns({f"p{i}": F.floor(F.col(x) * F.lit(fine / side)).cast("bigint") for i, x in enumerate(xs)})
+        finer = core.withColumns({f"p{i}": _part(x, c, side, fine) for i, (x, c) in enumerate(zip(xs, cs))})
         parts = stage(boxes(finer, at).withColumns({f"up{i}": F.floor(F.col(f"p{i}") / split).cast("bigint") for i in range(d)}), "parts")
         sub_a = side_of(parts, "a_", [*[F.col(f"up{i}").alias(s) for i, s in enumerate(s_a)], *[F.col(p).alias(f"f{s}") for p, s in zip(at, s_a)]])
         sub_b = side_of(parts, "b_", [*[F.col(f"up{i}").alias(s) for i, s in enumerate(s_b)], *[F.col(p).alias(f"f{s}") for p, s in zip(at, s_b)]])
@@ -148,35 +165,56 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours and then the label of that
     label, so long chains shrink by half; it ends when no label changes.
     """
-    both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stage(nodes.select("node", F.col("node").alias("label")), "labels")
+    spark = nodes.sparkSession
+    both, both_path = stage_at(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels, path = stage_at(nodes.select("node", F.col("node").alias("label")), "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
         step = labels.join(near, on="node", how="left").select("node", F.col("label").alias("_old"), F.least("label", F.coalesce("_near", "label")).alias("_new"))
         jump = labels.select(F.col("node").alias("_new"), F.col("label").alias("_far"))
-        nxt = stage(step.join(jump, on="_new").select("node", "_old", F.least("_new", "_far").alias("label")), "labels")
+        nxt, nxt_path = stage_at(step.join(jump, on="_new").select("node", "_old", F.least("_new", "_far").alias("label")), "labels")
         changed = not nxt.filter(F.col("_old") != F.col("label")).isEmpty()
-        labels = nxt.select("node", "label")
+        drop(spark, path)
+        labels, path = nxt.select("node", "label"), nxt_path
         if not changed:
+            drop(spark, both_path)
             return labels
 
 
 def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float = 0.5, min_samples: int = 5,
            labels: bool = True) -> DataFrame:
     """Adds is_core, is_noise and (with ``labels``) cluster: -1 for noise, else 0, 1, ...
-    per series in the order of each cluster's smallest cell. Rows with a NULL among
-    ``cols`` must have been filled or dropped before."""
-    keys, cols = list(keys), list(cols)
+    per series in the order of each cluster's smallest cell (more than three columns: smallest core point).
+    Rows with a NULL or NaN among ``cols`` have NULL verdicts."""
+    cols = list(cols)
     d = len(cols)
-    if not 1 <= d <= MAX_DIMS:
-        raise ValueError(f"1 to {MAX_DIMS} columns, got {d}; reduce them with PCA first")
+    if not d:
+        raise ValueError("no columns to cluster on")
+    added = ["is_core", "is_noise", "cluster"] if labels else ["is_core", "is_noise"]
+    xs = [f"_x{i}" for i in range(d)]
+    rows = stage(df.withColumns({x: F.col(c).cast("double") for x, c in zip(xs, cols)}), "rows")
+    keyed, key = one_key(rows, keys)
+    whole = F.lit(True)
+    for x in xs:
+        whole = whole & F.col(x).isNotNull() & ~F.isnan(x)
+    whole = F.coalesce(whole, F.lit(False))
+    with scratch(df.sparkSession):
+        points = keyed.filter(whole).groupBy(*key, *[F.col(x).alias(f"x{i}") for i, x in enumerate(xs)]).agg(F.count(F.lit(1)).alias("w"))
+        judge = _by_cells if d <= CELL_DIMS else _by_points
+        found = stage(judge(points, key, d, eps, min_samples, labels), "verdicts", keep=True)
+    found = found.withColumnsRenamed({f"x{i}": x for i, x in enumerate(xs)})
+    done = keyed.filter(whole).join(found, on=[*key, *xs]).select(*df.columns, *added)
+    kinds = {c: found.schema[c].dataType for c in added}
+    return done.unionByName(keyed.filter(~whole).select(*df.columns, *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()]))
+
+
+def _by_cells(points: DataFrame, keys: list[str], d: int, eps: float, min_samples: int, labels: bool) -> DataFrame:
+    """Verdicts (keys, x*, is_core, is_noise, cluster) of different points in up to three dimensions."""
     side = eps / sqrt(d) * SIDE_SLACK
     reach = ceil(eps / side)
     xs, cs, qs = _coords("x", d), _coords("c", d), _coords("q", d)
     eps2 = eps * eps
-    points = stage(
-        df.groupBy(*keys, *[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs)]).agg(F.count(F.lit(1)).alias("w"))
-        .withColumns({c: F.floor(F.col(x) / F.lit(side)).cast("bigint") for c, x in zip(cs, xs)}), "points")
+    points = stage(points.withColumns({c: _cell(x, side) for c, x in zip(cs, xs)}), "points")
     crowd = points.groupBy(*keys, *cs).agg(F.sum("w").alias("cw"))
     points = points.join(crowd, on=[*keys, *cs])
     crowded = points.filter(F.col("cw") >= min_samples).select(*keys, *xs, *cs, "w")
@@ -192,7 +230,9 @@ def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float =
     core = stage(crowded.unionByName(thin.filter(F.col("_near") >= min_samples).drop("_near")), "core")
     loose = thin.filter(~(F.coalesce("_near", F.lit(0)) >= min_samples)).drop("_near")
 
-    node = lambda names: F.concat_ws("|", *[F.col(k).cast("string") for k in keys], *[F.col(c).cast("string") for c in names])
+    def node(names: list[str]) -> Column:
+        return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"n{i}") for i, c in enumerate(names)])
+
     if labels:
         cells = core.select(*keys, *cs).distinct()
         pairs = _touching_cells(core, keys, d, eps, side, reach)
@@ -216,7 +256,39 @@ def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float =
         *keys, *xs, F.lit(False).alias("is_core"), F.col("cluster").isNull().alias("is_noise"),
         F.coalesce("cluster", F.lit(-1)).alias("cluster"))
     verdicts = core.select(*keys, *xs, F.lit(True).alias("is_core"), F.lit(False).alias("is_noise"), "cluster").unionByName(rest)
-    found = verdicts.withColumnsRenamed(dict(zip(xs, [f"_x{i}" for i in range(d)])))
-    at_point = df.withColumns({f"_x{i}": F.col(c).cast("double") for i, c in enumerate(cols)})
-    out = at_point.join(found, on=[*keys, *[f"_x{i}" for i in range(d)]]).select(*df.columns, "is_core", "is_noise", "cluster")
-    return out if labels else out.drop("cluster")
+    return verdicts
+
+
+def _by_points(points: DataFrame, keys: list[str], d: int, eps: float, min_samples: int, labels: bool) -> DataFrame:
+    """The same verdicts with more dimensions: candidates share or neighbour a cell over some of the columns."""
+    xs = _coords("x", d)
+    points = stage(points.withColumn("id", F.monotonically_increasing_id()), "points")
+    spread = points.agg(*[F.stddev_pop(x).alias(x) for x in xs]).first()
+    widest = sorted(xs, key=lambda x: (-(spread[x] or 0.0), x))
+    for n in range(CELL_DIMS, min(d, MOST_AXES) + 1):
+        axes = widest[:n]
+        crowd = points.groupBy(*keys, *[_cell(x, eps).alias(f"c{i}") for i, x in enumerate(axes)]).count().agg(F.max("count")).first()[0]
+        if (crowd or 0) <= CROWDED_CELL:
+            break
+    cs = _coords("c", n)
+    at = points.select(*keys, "id", "w", F.array(*xs).alias("v"), *[_cell(x, eps).alias(c) for x, c in zip(axes, cs)])
+    asks = points.select(*keys, F.col("id").alias("a"), F.array(*xs).alias("u"), *[_cell(x, eps).alias(c) for x, c in zip(axes, cs)])
+    for c in cs:
+        asks = asks.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+    far = F.aggregate(F.zip_with("u", "v", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x)
+    near = stage(asks.join(at, on=[*keys, *cs]).filter(far <= eps * eps).select("a", F.col("id").alias("b"), "w"), "near")
+    core = stage(near.groupBy("a").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_samples).select("a"), "core")
+    of_core = stage(near.join(core.select(F.col("a").alias("b")), "b").select("a", "b"), "of-core")
+    parts = core.select(F.col("a").alias("id"), F.lit(0).alias("cluster"))
+    if labels:
+        links = of_core.join(core, "a").filter("a < b")
+        named = components(core.select(F.col("a").alias("node")), links).select(F.col("node").alias("id"), "label")
+        named = stage(points.join(named, "id").select(*keys, "id", "label", F.struct(*xs).alias("_p")), "components")
+        order = named.groupBy(*keys, "label").agg(F.min("_p").alias("_first"))
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1
+        parts = named.join(order.select("label", number.alias("cluster")), "label").select("id", "cluster")
+    parts = stage(parts, "parts")
+    border = of_core.join(parts, F.col("b") == F.col("id")).groupBy("a").agg(F.min("cluster").alias("_near"))
+    out = points.join(parts, "id", "left").join(border.withColumnRenamed("a", "id"), "id", "left")
+    return out.select(*keys, *xs, F.col("cluster").isNotNull().alias("is_core"), F.col("_near").isNull().alias("is_noise"),
+                      F.coalesce("cluster", "_near", F.lit(-1)).alias("cluster"))

@@ -114,7 +114,7 @@ def residual_band(df: DataFrame, keys: Sequence[str], value: str, predicted: str
     """Residual further than k population deviations from its mean, or value outside
     the prediction band. Missing predictions take the last, then the next one; missing
     bounds take prediction -/+ 1."""
-    filled = fill_gaps(fill_gaps(df, keys, pos, [predicted], "ffill", **kw), keys, pos, [predicted], "bfill", **kw)
+    filled = fill_gaps(df, keys, pos, [predicted], "nearest", **kw)
     p, v = F.col(predicted), F.col(value)
     filled = filled.withColumns({"yhat_lower": F.coalesce("yhat_lower", p - 1.0), "yhat_upper": F.coalesce("yhat_upper", p + 1.0),
                                  "residual": v - p})
@@ -132,7 +132,7 @@ DENSITY_FEATURES = ("value", "roll_mean_5", "roll_std_5")
 
 def density_features(df: DataFrame, keys: Sequence[str], value: str, pos: str = "pos", **kw) -> DataFrame:
     """N9 inputs: the gap-filled value, its trailing 5-row mean and std (NULL as 0), standardized per series."""
-    filled = fill_gaps(fill_gaps(df, keys, pos, [value], "ffill", **kw), keys, pos, [value], "bfill", **kw)
+    filled = fill_gaps(df, keys, pos, [value], "nearest", **kw)
     rolled = trailing_stats(filled.withColumn("_value", F.col(value)), keys, "_value", 5, pos, std_null=0.0, **kw)
     feats = rolled.withColumns({"f0": F.coalesce("_value", F.lit(0.0)), "f1": F.coalesce("roll_mean_5", F.lit(0.0)),
                                 "f2": F.coalesce("roll_std_5", F.lit(0.0))}).drop("_value", "roll_mean_5", "roll_std_5")

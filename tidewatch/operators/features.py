@@ -31,35 +31,54 @@ FEATURES = (
 )
 
 
-@F.pandas_udf(T.DoubleType())
-def approximate_entropy(windows: pd.Series, m: pd.Series, r: pd.Series) -> pd.Series:
-    """|phi(m) - phi(m+1)| with tolerance r * population std, self-matches counted."""
+def _by_length(windows: pd.Series) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, matrix) of the windows of each length; a batch has few lengths, mostly one."""
+    sizes = windows.map(len).to_numpy()
+    return [(at, np.stack(windows.iloc[at].to_list()).astype(float)) for n in np.unique(sizes) if n for at in [np.flatnonzero(sizes == n)]]
 
-    def phi(x: np.ndarray, m: int, tol: float) -> float:
-        t = np.lib.stride_tricks.sliding_window_view(x, m)
-        close = np.abs(t[:, None, :] - t[None, :, :]).max(axis=2) <= tol
-        return float(np.log(close.mean(axis=1)).mean())
 
-    def one(x, m: int, r: float) -> float | None:
-        x = np.asarray(x, dtype=float)
-        if len(x) <= m + 1:
-            return 0.0
-        tol = r * x.std()
-        return abs(phi(x, m, tol) - phi(x, m + 1, tol))
+def _phi(x: np.ndarray, m: int, tol: np.ndarray) -> np.ndarray:
+    """Mean log share of the m-runs of each row that are within the row's tolerance of each m-run."""
+    n = x.shape[1] - m + 1
+    far = np.zeros((len(x), n, n))
+    for k in range(m):
+        part = x[:, k:k + n]
+        np.maximum(far, np.abs(part[:, :, None] - part[:, None, :]), out=far)
+    return np.log((far <= tol[:, None, None]).mean(axis=2)).mean(axis=1)
 
-    return pd.Series([one(x, int(a), float(b)) for x, a, b in zip(windows, m, r)])
+
+ENTROPY_CELLS = 1 << 22  # distances held at a time
 
 
 @F.pandas_udf(T.DoubleType())
-def fft_centroid(windows: pd.Series) -> pd.Series:
-    """Centre of mass of the absolute real spectrum."""
+def approximate_entropy(windows: pd.Series, m: pd.Series, r: pd.Series) -> pd.Series:
+    """|phi(m) - phi(m+1)| with tolerance r * population std, self-matches counted."""
+    out = np.zeros(len(windows))
+    orders, shares = m.to_numpy(dtype=int), r.to_numpy(dtype=float)
+    for at, x in _by_length(windows):
+        for order in np.unique(orders[at]):
+            mine = orders[at] == order
+            rows, places, n = x[mine], at[mine], x.shape[1]
+            if n <= order + 1:
+                continue
+            tol = shares[places] * rows.std(axis=1)
+            step = max(1, ENTROPY_CELLS // (n * n))
+            for i in range(0, len(rows), step):
+                part = slice(i, i + step)
+                out[places[part]] = np.abs(_phi(rows[part], order, tol[part]) - _phi(rows[part], order + 1, tol[part]))
+    return pd.Series(out)
 
-    def one(x) -> float | None:
-        a = np.abs(np.fft.rfft(np.asarray(x, dtype=float)))
-        total = a.sum()
-        return float((np.arange(len(a)) * a).sum() / total) if total > 0 else None
 
-    return pd.Series([one(x) for x in windows], dtype="float64")
+@F.pandas_udf(T.DoubleType())
+def fft_centroid(windows: pd.Series) -> pd.Series:
+    """Centre of mass of the absolute real spectrum."""
+    out = np.full(len(windows), np.nan)
+    for at, x in _by_length(windows):
+        a = np.abs(np.fft.rfft(x, axis=1))
+        total = a.sum(axis=1)
+        some = total > 0
+        out[at[some]] = (a[some] @ np.arange(a.shape[1])) / total[some]
+    return pd.Series(out)
 
 
 def _total(a: Column) -> Column:

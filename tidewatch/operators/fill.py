@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.plans.chunks import CHUNK_ROWS, to_chunks
 
-METHODS = ("interpolate", "interpolate_both", "chain", "ffill", "bfill", "zero", "none")
+METHODS = ("interpolate", "interpolate_both", "chain", "ffill", "bfill", "nearest", "zero", "none")
 
 
 def point(pos: str, col: str) -> Column:
@@ -68,6 +68,8 @@ def filled(value: Column, pos: Column, prev: Column, nxt: Column, method: str) -
         return F.coalesce(value, prev["v"])
     if method == "bfill":
         return F.coalesce(value, nxt["v"])
+    if method == "nearest":
+        return F.coalesce(value, prev["v"], nxt["v"])
     if method == "zero":
         return F.coalesce(value, F.lit(0).cast("double"))
     if method == "none":
@@ -81,7 +83,7 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
 
     interpolate: linear, leading NULLs stay, trailing take the last value;
     interpolate_both / chain: leading take the first value as well;
-    ffill, bfill, zero, none as named.
+    nearest: the last value, before the first one the next; ffill, bfill, zero, none as named.
     """
     if method not in METHODS:
         raise ValueError(f"unknown fill method {method!r}; one of {METHODS}")
@@ -89,14 +91,13 @@ def fill_gaps(df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str],
         return df
     if method == "zero":
         return df.na.fill(0, subset=list(cols))
-    keys = list(keys)
     # One shuffle to (series, chunk); both branches below read the same exchange.
-    base = to_chunks(df, keys, pos, chunk_rows)
+    base, key = to_chunks(df, keys, pos, chunk_rows)
     carry = (
-        base.groupBy(*keys, "_chunk").agg(*edge_points(pos, cols))
-        .select(*keys, "_chunk", *[c.alias(n) for n, c in carried_points(keys, cols).items()])
+        base.groupBy(*key, "_chunk").agg(*edge_points(pos, cols))
+        .select(*key, "_chunk", *[c.alias(n) for n, c in carried_points(key, cols).items()])
     )
-    near = base.join(carry, on=[*keys, "_chunk"]).withColumns(nearest_points(keys, pos, cols))
+    near = base.join(carry, on=[*key, "_chunk"]).withColumns(nearest_points(key, pos, cols))
     done = near.withColumns({
         c: filled(F.col(c), F.col(pos), F.col(f"_prev_{c}"), F.col(f"_next_{c}"), method) for c in cols
     })

@@ -1,4 +1,4 @@
-"""Isolation forest (K3): a bounded sample, trees grown one per task, rows scored in Spark."""
+"""Isolation forest (K3): a sample per tree from all rows, trees grown one per task, rows scored in Spark."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ from tidewatch.operators.quantile import exact_quantiles
 from tidewatch.plans.staging import stage
 
 TREES, SAMPLE = 100, 256
-POOL = 1 << 16  # rows from which the tree samples are drawn
 SPREAD = 1 << 62
 
 
@@ -56,21 +55,18 @@ def fit_forest(df: DataFrame, row_key: Sequence[str], cols: Sequence[str], trees
                seed: int = 42) -> tuple[DataFrame, int]:
     """Tree nodes (at most trees x (2 sample - 1) rows) and the sample size per tree.
 
-    Rows are drawn by hash of their key: first a pool of about ``POOL`` rows, then for each
-    tree the rows of smallest hash, so that a repeated task draws the same rows.
+    Rows are drawn by a hash of their key and the tree, straight from the table, so that each row is as
+    likely as any other and a repeated task draws the same rows.
     """
     n = df.count()
     per_tree = min(sample, n)
-    hashed = F.pmod(F.xxhash64(*row_key, F.lit(seed)), F.lit(SPREAD))
-    pool = df if n <= POOL else df.filter(hashed < int(SPREAD * (POOL / n)))
-    pool = stage(pool.select(*row_key, *[F.col(c).cast("double").alias(c) for c in cols]), "pool")
-    pool_n = min(n, POOL)
     # Three times the wanted share leaves the per-tree ranking a few hundred rows.
-    share = min(1.0, 3.0 * per_tree / max(pool_n, 1)) if pool_n > 4 * per_tree else 1.0
-    draws = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_h", F.pmod(F.xxhash64(*row_key, "tree", F.lit(seed)), F.lit(SPREAD))).filter(F.col("_h") < int(SPREAD * share))
+    share = min(1.0, 3.0 * per_tree / max(n, 1)) if n > 4 * per_tree else 1.0
+    drawn = lambda t: F.pmod(F.xxhash64(*row_key, t, F.lit(seed)), F.lit(SPREAD))
+    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < int(SPREAD * share))
+    draws = df.select(*row_key, F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"), F.explode(picked).alias("tree")).withColumn("_h", drawn(F.col("tree")))
     ranked = draws.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_h", *row_key)))
-    picked = ranked.filter(F.col("_r") <= per_tree).select("tree", F.array(*cols).alias("_x"))
+    picked = ranked.filter(F.col("_r") <= per_tree).select("tree", "_x")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(pdf["_x"].tolist(), dtype=float)
@@ -115,6 +111,7 @@ def score_forest(df: DataFrame, cols: Sequence[str], nodes: DataFrame, per_tree:
 def isolation_outliers(df: DataFrame, row_key: Sequence[str], cols: Sequence[str], contamination: float = 0.1,
                        seed: int = 42, trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """Adds iso_score and is_outlier_iso: scores above their (1 - contamination) quantile."""
+    df = stage(df, "rows")  # read by the count, the draws and the scores
     nodes, per_tree = fit_forest(df, row_key, cols, trees, sample, seed)
     scored = stage(score_forest(df, cols, nodes, per_tree, "iso_score"), "scored")
     cut = exact_quantiles(scored, [], "iso_score", {"cut": 1.0 - contamination}).select("cut").scalar()

@@ -62,22 +62,22 @@ def _dense(observed: DataFrame, keys: list[str], cols: list[str], methods: Mappi
     from the observed bin before it. One shuffle of observed bins to (series, chunk).
     """
     carry_cols = [c for c in cols if methods.get(c, "none") not in ("none", "zero")]
-    base = to_chunks(observed, keys, "_bin", chunk_rows)
-    over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
+    base, key = to_chunks(observed, keys, "_bin", chunk_rows)
+    over_chunks = Window.partitionBy(*key).orderBy("_chunk")
     spans = (
-        base.groupBy(*keys, "_chunk").agg(F.min("_bin").alias("_lo"), *edge_points("_bin", carry_cols))
+        base.groupBy(*key, "_chunk").agg(F.min("_bin").alias("_lo"), *edge_points("_bin", carry_cols))
         .select(
-            *keys, "_chunk",
+            *key, "_chunk",
             F.lead("_lo").over(over_chunks).alias("_next_lo"),
             F.first("_lo").over(over_chunks.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"),
-            *[c.alias(n) for n, c in carried_points(keys, carry_cols).items()],
+            *[c.alias(n) for n, c in carried_points(key, carry_cols).items()],
         )
     )
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_bin")
-    near = base.join(spans, on=[*keys, "_chunk"]).withColumns({
+    in_chunk = Window.partitionBy(*key, "_chunk").orderBy("_bin")
+    near = base.join(spans, on=[*key, "_chunk"]).withColumns({
         "_until": F.coalesce(F.lead("_bin").over(in_chunk), F.col("_next_lo"), F.col("_bin") + 1) - 1,
         # "after": the nearest later point of the empty bins that follow this observed bin
-        **nearest_points(keys, "_bin", carry_cols, strictly_after=True),
+        **nearest_points(key, "_bin", carry_cols, strictly_after=True),
     })
     # Two levels, so that no row ever carries an array longer than a chunk.
     span = F.lit(chunk_rows).cast("bigint")
@@ -173,7 +173,7 @@ def conform(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], fr
     """Place readings on the grid that starts at each series' first timestamp.
 
     Nothing is aggregated: readings off the grid are left out, empty steps are NULL.
-    Timestamps must be unique within a series.
+    Two readings of a series at one timestamp are an error, as they would have no one place.
     """
     step, keys = FREQUENCIES[frequency(freq)], list(keys)
     like = df.schema[ts].dataType
@@ -184,7 +184,9 @@ def conform(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str], fr
         anchored.withColumn("_phase", phase)
         .filter(F.pmod(F.col("_us") - F.col("_phase"), F.lit(step)) == 0)
         .groupBy(*keys, "_phase", floor_div(F.col("_us") - F.col("_phase"), step).alias("_bin"))
-        .agg(*[F.first(c).alias(c) for c in cols])
+        .agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
+        .withColumns({c: F.when(F.col("_n") == 1, F.col(c)).otherwise(
+            F.raise_error(F.lit("two readings at one timestamp")).cast(df.schema[c].dataType)) for c in cols})
     )
     dense = _dense(observed, [*keys, "_phase"], list(cols), dict.fromkeys(cols, fill), chunk_rows)
     label = from_epoch_us(F.col("_bin") * F.lit(step) + F.col("_phase"), like)

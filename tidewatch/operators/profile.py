@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.constants import VALIDATION_RULES
 from tidewatch.functions.scalar import no_nan
-from tidewatch.operators.quantile import exact_quantiles
+from tidewatch.operators.quantile import column_quantiles
 from tidewatch.sources.roles import numeric_columns
 
 
@@ -72,16 +72,9 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample std, min, exact quartiles and max, all columns in one job."""
-    cols = list(cols or numeric_columns(df))
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), no_nan(F.col(c).cast("double")).alias("value")) for c in cols])))
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    """Count, mean, sample std, min, exact quartiles and max of each column."""
+    out = column_quantiles(df, list(cols or numeric_columns(df)), {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return out.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def validate(df: DataFrame, row_key: Sequence[str], rules=VALIDATION_RULES) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.constants import RELEVANCE, RELEVANCE_DEFAULT
 from tidewatch.functions.scalar import count_true, epoch_us, moment_kurtosis, moment_skew, safe_div
 from tidewatch.operators.quantile import exact_quantiles
-from tidewatch.plans.chunks import attach
+from tidewatch.plans.chunks import attach, match
 
 DAY_US = 86_400_000_000
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -68,7 +68,7 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) ->
     counts = attach(df.filter(v.isNotNull()), ranges, keys).groupBy(*keys, number.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return grid.join(counts, on=[*keys, "bin"], how="left").select(
+    return match(grid, counts, [*keys, "bin"], "left").select(
         *keys, "bin", (F.col("_lo") + width * F.col("bin")).alias("bin_start"),
         (F.col("_lo") + width * (F.col("bin") + 1)).alias("bin_end"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))

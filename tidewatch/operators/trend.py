@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidewatch.functions.scalar import epoch_us, long
 from tidewatch.operators.grid import FREQUENCIES, frequency
 from tidewatch.operators.quantile import exact_quantiles
-from tidewatch.plans.chunks import attach, moving_mean, over_rows
+from tidewatch.plans.chunks import attach, match, moving_mean, over_rows
 from tidewatch.plans.staging import stage
 
 # Two-sided normal quantiles of the interval widths in use.
@@ -77,7 +77,7 @@ def seasonal_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str, p
                       width: float = 0.90) -> DataFrame:
     """T1(a): adds yhat, residual, residual_std, yhat_lower, yhat_upper; NULL for series with too few points."""
     fit = seasonal_fit(df, keys, ts, value, pos).drop("_last_pos", "_last_ts")
-    out = df.withColumn("_slot", _slot(ts)).join(fit, on=[*keys, "_slot"], how="left")
+    out = match(df.withColumn("_slot", _slot(ts)), fit, [*keys, "_slot"], "left")
     yhat = F.col("_icpt") + F.col("_slope") * F.col(pos).cast("double") + F.col("_season")
     z = F.lit(Z_OF_WIDTH[width])
     return out.withColumn("yhat", yhat).withColumns({
@@ -96,7 +96,7 @@ def seasonal_forecast(df: DataFrame, keys: Sequence[str], ts: str, value: str, h
     n = hours * 60 * FREQUENCIES["1min"] // step_us
     ahead = line.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).withColumn(
         ts, F.timestamp_micros(epoch_us(F.col("_last_ts")) + F.col("_k") * F.lit(step_us)).cast(df.schema[ts].dataType))
-    ahead = ahead.withColumn("_slot", _slot(ts)).join(fit.select(*keys, "_slot", "_season"), on=[*keys, "_slot"], how="left")
+    ahead = match(ahead.withColumn("_slot", _slot(ts)), fit.select(*keys, "_slot", "_season"), [*keys, "_slot"], "left")
     x = F.col("_last_pos").cast("double") + F.col("_k") * F.lit(step_us) / F.lit(float(grid_us))
     z = F.lit(Z_OF_WIDTH[width])
     return ahead.withColumn("yhat", F.col("_icpt") + F.col("_slope") * x + F.coalesce("_season", F.lit(0.0))).select(
@@ -265,7 +265,7 @@ def decompose(df: DataFrame, keys: Sequence[str], value: str, pos: str = "pos",
         season = exact_quantiles(smooth, slots, "_detrended", {"seasonal": 0.5})
     else:
         season = smooth.groupBy(*slots).agg(F.avg("_detrended").alias("seasonal"))
-    out = smooth.join(season, on=slots).withColumn("predicted", F.col("_trend") + F.col("seasonal"))
+    out = match(smooth, season, slots).withColumn("predicted", F.col("_trend") + F.col("seasonal"))
     out = out.withColumn("residual", F.col(value) - F.col("predicted"))
     sigma = out.groupBy(*keys).agg(F.stddev_pop("residual").alias("_sigma"))
     return attach(out, sigma, keys).select(
@@ -295,7 +295,7 @@ def predict(df: DataFrame, keys: Sequence[str], ts: str, value: str, baseline: s
         fitted = seasonal_baseline(enough, keys, ts, value, pos, **kw)
     elif baseline == "fourier":
         model = fourier_baseline(enough, keys, ts, value, **kw).drop(value)
-        fitted = enough.join(model, on=[*keys, ts], how="left")
+        fitted = match(enough, model, [*keys, ts], "left")
     else:
         raise ValueError(f"unknown baseline {baseline!r}")
     return fitted.select(*wanted).unionByName(as_yhat(decompose(few, keys, value, pos)))

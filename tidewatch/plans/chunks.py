@@ -29,6 +29,20 @@ CHUNK_ROWS = 1 << 16
 Exprs = Mapping[str, Callable[[WindowSpec], Column]]
 
 
+def match(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns, NULL being equal to NULL: rows without a series key are a series, too."""
+    other = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & left[c].eqNullSafe(other[f"_on_{c}"])
+    return left.join(other, same, how).drop(*[f"_on_{c}" for c in on])
+
+
+def one_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The series keys as one struct, which is never NULL and equals another with NULLs in the same places."""
+    return (df.withColumn("_key", F.struct(*keys)), ["_key"]) if keys else (df, [])
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add per-series statistics (unique on ``keys``) to every row.
 
@@ -38,7 +52,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     extra = [c for c in stats.columns if c not in keys]
     if keys:
-        return df.join(stats, on=list(keys), how="left")
+        return match(df, stats, keys, "left")
     row = stats.select(F.struct(*extra).alias("row")).scalar()
     df = df.withColumn("_stats", row)
     return df.withColumns({c: F.col("_stats")[c] for c in extra}).drop("_stats")
@@ -60,19 +74,20 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], weig
         .withColumn("_part", F.spark_partition_id()),
         "ordered",
     )
-    by_key = Window.partitionBy(*keys)
-    parts = staged.groupBy(*keys, "_part").agg(F.sum(w_total).alias("_sum")).select(
-        *keys, "_part",
+    staged, key = one_key(staged, keys)
+    by_key = Window.partitionBy(*key)
+    parts = staged.groupBy(*key, "_part").agg(F.sum(w_total).alias("_sum")).select(
+        *key, "_part",
         F.coalesce(F.sum("_sum").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"),
         F.sum("_sum").over(by_key).alias(total),
     )
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    inside = Window.partitionBy(*key, "_part").orderBy(*order)
     return (
-        staged.join(parts, on=[*keys, "_part"])
+        staged.join(parts, on=[*key, "_part"])
         .withColumn(before, F.sum(w_total).over(inside.rowsBetween(Window.unboundedPreceding, 0))
                     - F.col(w_total) + F.col("_offset"))
-        .drop("_part", "_offset", w_total)
+        .drop("_part", "_offset", w_total, "_key")
     )
 
 
@@ -86,17 +101,17 @@ def chunk_of(pos: str, rows: int) -> Column:
     return floor_div(F.col(pos), rows)
 
 
-def to_chunks(df: DataFrame, keys: Sequence[str], pos: str, rows: int) -> DataFrame:
-    """Shuffle once to (series, chunk) for a branch of chunk summaries and its join back.
+def to_chunks(df: DataFrame, keys: Sequence[str], pos: str, rows: int) -> tuple[DataFrame, list[str]]:
+    """Shuffle once to (series, chunk) for a branch of chunk summaries and its join back: the rows and the columns to join on.
 
     The explicit non-null filter is the one Spark would infer on one side of that join
     only; with it on both, the two branches are the same plan and share one exchange.
-    Rows without a series key belong to no series and are left out.
     """
+    keyed, key = one_key(df.withColumn("_chunk", chunk_of(pos, rows)), keys)
     known = F.lit(True)
-    for c in (*keys, "_chunk"):
+    for c in (*key, "_chunk"):
         known = known & F.col(c).isNotNull()
-    return df.withColumn("_chunk", chunk_of(pos, rows)).filter(known).repartition(*keys, "_chunk")
+    return keyed.filter(known).repartition(*key, "_chunk"), key
 
 
 def over_rows(df: DataFrame, keys: Sequence[str], pos: str,

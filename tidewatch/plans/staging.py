@@ -43,22 +43,23 @@ def staging_root(spark: SparkSession) -> str:
     return path
 
 
-def staging_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path in the shared folder."""
+def staging_path(spark: SparkSession, tag: str, keep: bool = False) -> str:
+    """A fresh path in the shared folder; ``keep`` lets it outlive the innermost ``scratch``."""
     path = f"{staging_root(spark)}/{tag}-{uuid.uuid4().hex}"
-    if _paths:
-        _paths[-1].append(path)
+    level = len(_paths) - 1 - keep
+    if level >= 0:
+        _paths[level].append(path)
     return path
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
+def stage(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Write ``df`` and return it as a scan of the written table."""
-    return stage_at(df, tag)[0]
+    return stage_at(df, tag, keep)[0]
 
 
-def stage_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+def stage_at(df: DataFrame, tag: str, keep: bool = False) -> tuple[DataFrame, str]:
     """``stage`` together with the path, for a later ``drop``."""
-    path = staging_path(df.sparkSession, tag)
+    path = staging_path(df.sparkSession, tag, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -72,7 +73,7 @@ def drop(spark: SparkSession, *paths: str) -> None:
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """What is staged inside goes at the end: results must be staged outside of it."""
+    """What is staged inside goes at the end, but for what is staged with ``keep``."""
     _paths.append([])
     try:
         yield

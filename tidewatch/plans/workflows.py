@@ -12,7 +12,7 @@ from tidewatch.functions.scalar import no_nan, to_number, to_time
 from tidewatch.operators import clean, cluster, detect, features, grid, trend
 from tidewatch.operators.fill import fill_gaps
 from tidewatch.operators.vote import join_flags, vote
-from tidewatch.plans.chunks import with_position
+from tidewatch.plans.chunks import match, with_position
 from tidewatch.plans.staging import stage
 from tidewatch.sources.roles import ensure_timestamp, numeric_columns, synthetic_times, to_long
 
@@ -94,53 +94,73 @@ def parse_single_file(df: DataFrame, ts: str = "timestamp", keys: Sequence[str]
 
 def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: str, pos: str = "pos", size: int = 60,
             k: int = 4, method: str = "kmeans", baseline: str = "seasonal", seed: int = 42,
-            n_init: int = 1) -> dict[str, DataFrame]:
-    """Window features with clusters, trend anomalies, and one report row per metric.
+            n_init: int = 10) -> dict[str, DataFrame]:
+    """Window features with clusters, trend anomalies, and one report row per metric: anomalies, patterns
+    (clusters), features that vary, windows, silhouette, Davies-Bouldin and their band, and how well the trend fits.
 
-    ``long`` must be gridded and filled. All metrics run together; only the k-means models,
-    one per metric of a short list, are fitted one after the other.
+    ``long`` must be gridded and filled. All metrics run together but for the cluster models, one per metric of a
+    short list. A metric with fewer windows than clusters has 0 patterns and a ``reason``.
     """
     keys = list(keys)
     long = stage(long, "series")
     feats = stage(features.impute_features(features.window_features(long, keys, value, size, pos), keys=[metric]), "features")
     # one row per metric, a handful: its number of windows and the spread of each feature
     spreads = feats.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"), *[F.stddev_samp(c).alias(c) for c in features.FEATURES])
-    clustered = None
-    for row in sorted(spreads.collect(), key=lambda r: r[metric]):
+    clustered, rated, used_of = None, [], {}
+    for row in sorted(spreads.collect(), key=lambda r: (r[metric] is None, r[metric])):
         n, used = row["_n"], [c for c in features.FEATURES if row[c] != 0]
+        used_of[row[metric]] = (n, len(used) if n > 1 else 0)
         if n < k or not used:
             continue
-        part = feats.filter(F.col(metric) == row[metric])
+        part = feats.filter(F.col(metric).eqNullSafe(F.lit(row[metric])))
         if method == "kmeans":
-            part = cluster.kmeans(part, used, min(k, n), seed, n_init)
+            part = cluster.kmeans(part, used, k, seed, n_init)
         else:
-            reduced = cluster.pca(part, used, 2)
-            part = detect.dbscan(reduced, [], ["pca1", "pca2"], 0.5, max(1, min(5, n // 10))).drop("pca1", "pca2", "is_core", "is_noise")
+            z, zs = cluster.scaled(part, used)
+            part = detect.dbscan(z, [], zs, 0.5, max(1, min(5, n // 10))).drop(*zs, "is_core", "is_noise")
+        part = stage(part, "clustered")
+        z, zs = cluster.scaled(part, used)
+        z = stage(z.select("cluster", *zs), "scaled")
+        rated.append((row[metric], cluster.silhouette(z, "cluster", zs).first()[0], cluster.davies_bouldin(z, "cluster", zs).first()[0]))
         clustered = part if clustered is None else clustered.unionByName(part)
     if clustered is None:
         clustered = feats.withColumn("cluster", F.lit(-1)).filter(F.lit(False))
-    scored = detect.residual_scores(trend.predict(long, keys, ts, value, baseline, pos), keys, metric)
-    anomalies = scored.groupBy(metric).agg(F.count_if("residual_anomaly").alias("anomalies"))
+    scored = stage(detect.residual_scores(trend.predict(long, keys, ts, value, baseline, pos), keys, metric), "scored")
+    kind = long.schema[metric].dataType.simpleString()
+    spark = long.sparkSession
+    counts = spark.createDataFrame([(m, n, u) for m, (n, u) in used_of.items()], f"{metric} {kind}, windows bigint, features bigint")
+    ratings = spark.createDataFrame(rated, f"{metric} {kind}, silhouette double, davies_bouldin double")
+    report = scored.groupBy(metric).agg(F.count_if("residual_anomaly").alias("anomalies"))
     patterns = clustered.groupBy(metric).agg(F.count_distinct("cluster").alias("patterns"))
-    report = (
-        anomalies.join(patterns, on=metric, how="left")
-        .withColumns({"patterns": F.coalesce("patterns", F.lit(0).cast("bigint")),
-                      "features": F.lit(len(features.FEATURES)).cast("bigint")}))
-    return {"features": feats, "clusters": clustered, "scored": scored, "report": report}
+    for part in (patterns, counts, ratings, trend.fit_metrics(scored, [metric], value, pos=pos)):
+        report = match(report, part, [metric], "left")
+    zero = F.lit(0).cast("bigint")
+    report = report.withColumns({"patterns": F.coalesce("patterns", zero), "features": F.coalesce("features", zero), "windows": F.coalesce("windows", zero)})
+    report = report.withColumns({
+        "quality": F.when(F.col("silhouette").isNotNull(), cluster.quality(F.col("silhouette"), F.col("davies_bouldin"))),
+        "reason": F.when(F.col("windows") < k, F.format_string("%d rows, %s needed", "windows", F.lit(str(k))))})
+    return {"features": feats, "clusters": clustered, "scored": scored, "report": report,
+            "sizes": clustered.groupBy(metric, "cluster").agg(F.count(F.lit(1)).alias("size")),
+            "insights": cluster.insights(clustered, [metric], "cluster", features.FEATURES, F.col(metric))}
 
 
 def detect_all(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: str, pos: str = "pos",
                rules=THRESHOLD_RULES, residual_k: float = 3.0, eps: float = 0.5, min_samples: int = 5,
-               period: int | None = None) -> DataFrame:
-    """Threshold, residual and density flags on every reading of every metric."""
+               period: int | None = None, baseline: str = "decompose") -> DataFrame:
+    """Threshold, residual and density flags on every reading of every metric. ``baseline``: what the
+    residuals are taken from; the trend fits ("seasonal", "fourier") fall back to the decomposition for short series."""
     keys = list(keys)
     flagged = detect.threshold_rules(long, keys, metric, value, rules, pos)
-    season = trend.decompose(fill_gaps(long, keys, pos, [value], "chain"), keys, value, pos, period)
-    joined = flagged.join(season.select(*keys, pos, "predicted", "yhat_lower", "yhat_upper"), on=[*keys, pos], how="left")
+    whole = fill_gaps(long, keys, pos, [value], "chain")
+    if baseline == "decompose":
+        season = trend.decompose(whole, keys, value, pos, period)
+    else:
+        season = trend.predict(whole, keys, ts, value, baseline, pos).withColumnRenamed("yhat", "predicted")
+    joined = match(flagged, season.select(*keys, pos, "predicted", "yhat_lower", "yhat_upper"), [*keys, pos], "left")
     banded = stage(detect.residual_band(joined, keys, value, k=residual_k, pos=pos), "banded")
     dense = detect.density_outliers(banded.select(*keys, pos, value), keys, value, eps, min_samples, pos).select(
         *keys, pos, "cluster", "cluster_anomaly")
-    return banded.join(dense, on=[*keys, pos], how="left").withColumn(
+    return match(banded, dense, [*keys, pos], "left").withColumn(
         "cluster_anomaly", F.coalesce("cluster_anomaly", F.lit(False)))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.constants import METRIC_PATTERNS, TIMESTAMP_HINTS, TIMESTAMP_NAMES
-from tidewatch.functions.scalar import to_number, to_time
+from tidewatch.functions.scalar import epoch_us, from_epoch_us, to_number, to_time
 from tidewatch.plans.chunks import with_position
 
 TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -20,10 +20,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def parse_share(df: DataFrame, fmt: str | None = None) -> dict[str, tuple[float, bool]]:
-    """For each text or time column: share of all rows that parse as a timestamp, and
-    whether every present value does. One aggregation over all columns."""
-    fields = [f for f in df.schema if isinstance(f.dataType, (T.StringType, *TIME_TYPES))]
+def parse_share(df: DataFrame, fmt: str | None = None, columns: Sequence[str] | None = None) -> dict[str, tuple[float, bool]]:
+    """For each text or time column (of ``columns``): share of all rows that parse as a timestamp, and
+    whether every present value does. One aggregation over all of them."""
+    fields = [f for f in df.schema if isinstance(f.dataType, (T.StringType, *TIME_TYPES)) and (columns is None or f.name in columns)]
     if not fields:
         return {}
     exprs = [F.count(F.lit(1)).alias("n")]
@@ -41,19 +41,34 @@ def timestamp_column(df: DataFrame, mode: str = "exact", fmt: str | None = None)
 
     exact: a column with a known name whose values all parse, else the first column of
     which more than half of the rows parse. substring: the first column, in order, that
-    has a hint in its name or is text that parses throughout.
+    is a time with a hint in its name, or text of which all values parse (with a hint: some). A number
+    with a hint in its name stays a metric. Text is only read where the name and type don't decide.
     """
-    shares = parse_share(df, fmt)
     if mode == "exact":
-        for c in df.columns:
-            if c.lower() in TIMESTAMP_NAMES and shares.get(c, (0.0, False))[1]:
-                return c
+        known = [c for c in df.columns if c.lower() in TIMESTAMP_NAMES]
+        shares = parse_share(df, fmt, known)
+        named = next((c for c in known if shares.get(c, (0.0, False))[1]), None)
+        if named is not None:
+            return named
+        shares = parse_share(df, fmt)
         return next((c for c in df.columns if shares.get(c, (0.0, False))[0] > 0.5), None)
     if mode != "substring":
         raise ValueError(f"unknown mode {mode!r}")
+    hinted = lambda c: any(h in c.lower() for h in TIMESTAMP_HINTS)
+    candidates = []
     for c in df.columns:
-        text = isinstance(df.schema[c].dataType, T.StringType)
-        if any(h in c.lower() for h in TIMESTAMP_HINTS) or (text and shares[c][1]):
+        kind = df.schema[c].dataType
+        if isinstance(kind, TIME_TYPES) and hinted(c):
+            if not candidates:
+                return c
+            candidates.append(c)
+            break
+        if isinstance(kind, T.StringType):
+            candidates.append(c)
+    shares = parse_share(df, fmt, candidates)
+    for c in candidates:
+        share, whole = shares[c]
+        if isinstance(df.schema[c].dataType, TIME_TYPES) or whole or (hinted(c) and share > 0):
             return c
     return None
 
@@ -81,10 +96,9 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def synthetic_times(df: DataFrame, order: Sequence[str], ts: str = "timestamp",
                     start: str = "2024-01-01 00:00:00") -> DataFrame:
     """D3: one minute per row from ``start``, in an explicit unique row order."""
-    base = F.lit(start).cast("timestamp_ntz")
-    minutes = F.make_dt_interval(mins=F.col("_pos").cast("int"))
+    base = epoch_us(F.lit(start).cast("timestamp_ntz"))
     placed = with_position(df, [], order, pos="_pos", count="_n")
-    return placed.withColumn(ts, base + minutes).drop("_pos", "_n")
+    return placed.withColumn(ts, from_epoch_us(base + F.col("_pos") * F.lit(60_000_000), T.TimestampNTZType())).drop("_pos", "_n")
 
 
 def metric_of(columns: Sequence[str]) -> list[tuple[str, str]]:

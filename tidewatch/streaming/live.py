@@ -38,7 +38,9 @@ def resample_stream(stream: DataFrame, keys: Sequence[str], ts: str, value: str,
 
 
 def alert_stream(stream: DataFrame, metric: str, value: str, rules=THRESHOLD_RULES) -> DataFrame:
-    """Readings outside their metric's range, at once, with reason and severity. No state."""
+    """Readings outside their metric's range, at once, with reason and severity. No state: rules that ask
+    for several readings in a row are left to ``run_sustained_alerts``."""
+    rules = [r for r in rules if not r[4]]
     v, m = F.col(value).cast("double"), F.col(metric)
     reason, severity = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, label, low, high, _ in rules:

@@ -111,12 +111,12 @@ def _(spark, sf):
 
 
 @query("K2_density_embeddings", """WITH nb AS (SELECT p.vec_id, q.vec_id AS other FROM embeddings p JOIN embeddings q
-  ON list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) ** 2)) <= 0.64),
+  ON list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) ** 2)) <= 1.44),
 core AS (SELECT vec_id FROM nb GROUP BY 1 HAVING count(*) >= 4)
 SELECT e.vec_id, c.vec_id IS NOT NULL AS is_core, e.vec_id NOT IN (SELECT nb.vec_id FROM nb JOIN core ON nb.other = core.vec_id) AS is_noise
 FROM embeddings e LEFT JOIN core c ON e.vec_id = c.vec_id""")
 def _(spark, sf):
-    return density.dbscan(_vectors(spark, sf), [], E, eps=0.8, min_samples=4, labels=False).select("vec_id", "is_core", "is_noise")
+    return density.dbscan(_vectors(spark, sf), [], E, eps=1.2, min_samples=4, labels=False).select("vec_id", "is_core", "is_noise")
 
 
 # A tenth of the rows is flagged: the number of rows above the linear 0.9 quantile, if no two scores are equal there.

@@ -253,7 +253,7 @@ def _(spark, sf):
     WHERE (d.doc_id IS NOT NULL)::INT + (text IS NOT NULL)::INT + (lang IS NOT NULL)::INT + (source IS NOT NULL)::INT + (n_chars IS NOT NULL)::INT + (quality IS NOT NULL)::INT
       + (toxic IS NOT NULL)::INT >= 6""")
 def _(spark, sf):
-    return clean.drop_sparse_rows(_labelled(spark, sf), 20)
+    return clean.drop_sparse_rows(_labelled(spark, sf), 10)
 
 
 @query("C2_deduplicate", "SELECT DISTINCT l_quantity, l_discount, l_tax, l_returnflag FROM lineitem")

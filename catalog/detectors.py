@@ -44,6 +44,27 @@ def _(spark, sf):
     return trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", width=0.80)
 
 
+# The level and the base slope are all but free, so their normal equations hold: residuals sum to 0, alone and times t.
+FREE_TERMS = HOURLY + """ SELECT event_type, count(*)::BIGINT AS n_rows, 0.0::DOUBLE AS level, 0.0::DOUBLE AS slope FROM g GROUP BY 1"""
+
+
+def _free_terms(out):
+    spans = out.groupBy("event_type").agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("_a"), F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("_b"))
+    t = (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_a")) / (F.col("_b") - F.col("_a"))
+    return out.join(spans, "event_type").groupBy("event_type").agg(
+        F.count("residual").alias("n_rows"), F.round(F.abs(F.avg("residual")), 4).alias("level"), F.round(F.abs(F.avg(F.col("residual") * t)), 4).alias("slope"))
+
+
+@query("T1_fourier_normal_equations", FREE_TERMS)
+def _(spark, sf):
+    return _free_terms(trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", ("yearly", "weekly", "daily"), width=0.80))
+
+
+@query("T2_fourier_normal_equations", FREE_TERMS)
+def _(spark, sf):
+    return _free_terms(trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", width=0.80))
+
+
 DECOMPOSE_SHORT = HOURLY + """, t AS (SELECT *, avg(value) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN {before} PRECEDING AND {after} FOLLOWING) AS trend FROM g),
 s AS (SELECT event_type, pos % {period} AS slot, {mid}(value - trend) AS seasonal FROM t GROUP BY 1, 2),
 p AS (SELECT t.event_type, t.ts, t.pos, t.value, trend, seasonal, trend + seasonal AS predicted, value - trend - seasonal AS residual
@@ -109,6 +130,13 @@ def _(spark, sf):
     return out.filter(F.col("value").isNull()).drop("value", "residual")
 
 
+@query("T5_fourier_steps", HOURLY + """, l AS (SELECT event_type, max(ts) AS last, count(*) AS n FROM g GROUP BY 1)
+SELECT event_type, unnest(generate_series(last + INTERVAL 1 MINUTE, last + INTERVAL 24 HOUR, INTERVAL 1 MINUTE)) AS ts, true AS inside FROM l""")
+def _(spark, sf):
+    out = trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", hours=24, step="1min").filter(F.col("value").isNull())
+    return out.select("event_type", "ts", ((F.col("yhat_lower") < F.col("yhat")) & (F.col("yhat") < F.col("yhat_upper"))).alias("inside"))
+
+
 @query("T6_fit_metrics", SEASONAL + """, c AS (SELECT *, yhat - lag(yhat) OVER (PARTITION BY event_type ORDER BY pos) AS step FROM fit)
 SELECT event_type, round(avg(abs(residual)), 6) AS mae, round(sqrt(avg(residual ** 2)), 6) AS rmse,
  round(1 / (1 + stddev_pop(step)), 6) AS trend_stability, round(stddev_samp(value), 6) AS data_volatility FROM c GROUP BY 1""")

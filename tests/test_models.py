@@ -205,6 +205,26 @@ def test_sustained_alerts_cross_batches_like_one_batch(spark, tmp_path):
     assert out.select("batch").distinct().count() == 2
 
 
+def test_idle_series_keep_their_state_without_a_rewrite(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "COMPACT", 2)
+    t0 = dt.datetime(2024, 1, 1)
+    runs = [[("m", 11), ("n", 11)], [("m", 12)], [("m", 13)], [("m", 1)], [("m", 2)], [("n", 12), (None, 11)], [("n", 13), (None, 12)], [(None, 13)]]
+    i = 0
+    for part in runs:
+        rows = []
+        for k, v in part:
+            rows.append((k, i, t0 + dt.timedelta(minutes=i), float(v)))
+            i += 1
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = live.read_stream(spark, str(tmp_path / "in"), schema, "ts", files_per_trigger=1).withColumn("kind", F.lit("m"))
+    out = live.run_sustained_alerts(stream, ["m"], "kind", "ts", "v", ["id"], RULES, state=str(tmp_path / "state"))
+    assert sorted((r.m or "", r.v) for r in out.collect()) == [("", 13.0), ("m", 13.0), ("n", 13.0)]
+    state = spark.read.parquet(str(tmp_path / "state"))
+    assert {r.m for r in state.filter("batch = 7").collect()} == {None}  # only the series of that batch
+    assert {r.batch for r in state.select("batch").distinct().collect()} == {4, 5, 6, 7}
+
+
 def test_late_rows_and_open_bins_stay_out(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1)
     at = lambda h, m=0: t0 + dt.timedelta(hours=h, minutes=m)

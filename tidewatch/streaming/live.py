@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +12,8 @@ from tidewatch.functions.constants import THRESHOLD_RULES
 from tidewatch.functions.scalar import no_nan
 from tidewatch.operators.detect import threshold_rules
 from tidewatch.operators.grid import FREQUENCIES, MINUTE, frequency
-from tidewatch.plans.chunks import with_position
-from tidewatch.plans.staging import staging_path
+from tidewatch.plans.chunks import match, with_position
+from tidewatch.plans.staging import drop, staging_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, ts: str, fmt: str = "parquet",
@@ -62,31 +62,48 @@ def run_to_table(stream: DataFrame, out: str | None = None, checkpoint: str | No
     return spark.read.schema(stream.schema).parquet(out)
 
 
+COMPACT = 16  # batches between two gatherings of the state
+
+
 def run_sustained_alerts(stream: DataFrame, keys: Sequence[str], metric: str, ts: str, value: str,
                          order: Sequence[str] = (), rules=THRESHOLD_RULES, out: str | None = None,
                          checkpoint: str | None = None, state: str | None = None) -> DataFrame:
     """Rules over k consecutive readings, across micro-batches; returns the alerts as a table.
 
-    Each micro-batch runs the batch operator on its rows and the last k - 1 readings per
-    series of the batch before, which is all a run can need. So a hot series is cut into
-    chunks like anywhere else, and a repeated batch overwrites its own output and state.
+    Each micro-batch runs the batch operator on its rows and the last k - 1 readings of their series, which is all
+    a run can need; a hot series is cut into chunks like anywhere else. Only series in the batch get new
+    state; every ``COMPACT`` batches the state of all is gathered and what lies before the last gathering is removed. A repeated batch
+    overwrites its own output and state. A reading that arrives after later ones of its series is judged among the
+    carried readings in order of time; alerts already given stay.
     """
     spark, keys = stream.sparkSession, list(keys)
     out = out or staging_path(spark, "alerts")
     state = state or staging_path(spark, "alert-state")
     reach = max([k for *_, k in rules] + [1]) - 1
     plain = T.StructType([f for f in stream.schema])
+    stored = T.StructType([*plain, T.StructField("batch", T.LongType())])
     result = T.StructType([*plain, T.StructField("threshold_reason", T.StringType()), T.StructField("threshold_severity", T.StringType())])
 
+    def latest(rows: DataFrame) -> DataFrame:
+        top = F.max("batch").over(Window.partitionBy(*keys))
+        return rows.withColumn("_top", top).filter(F.col("batch") == F.col("_top")).select(*plain.names)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_new", F.lit(True))
+        rows, idle = batch.withColumn("_new", F.lit(True)), None
         if batch_id > 0:
-            carried = batch.sparkSession.read.schema(plain).parquet(f"{state}/batch={batch_id - 1}")
-            rows = rows.unionByName(carried.withColumn("_new", F.lit(False)))
+            kept = batch.sparkSession.read.schema(stored).parquet(state).filter(F.col("batch") < batch_id)
+            touched = batch.select(*keys).distinct() if keys else None
+            mine = match(kept, touched, keys, "left_semi") if keys else kept
+            rows = rows.unionByName(latest(mine).withColumn("_new", F.lit(False)))
+            if keys and batch_id % COMPACT == 0:
+                idle = latest(match(kept, touched, keys, "left_anti"))
         placed = with_position(rows, keys, [ts, *order])
         flagged = threshold_rules(placed, keys, metric, value, rules)
         flagged.filter(F.col("_new") & F.col("threshold_anomaly")).select(*result.names).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        placed.filter(F.col("pos") >= F.col("n_rows") - reach).select(*plain.names).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        tail = placed.filter(F.col("pos") >= F.col("n_rows") - reach).select(*plain.names)
+        (tail if idle is None else tail.unionByName(idle)).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        if batch_id % COMPACT == 0:  # the gathering before this one has all of these
+            drop(batch.sparkSession, *[f"{state}/batch={i}" for i in range(max(0, batch_id - 2 * COMPACT), batch_id - COMPACT)])
 
     query = (
         stream.writeStream.foreachBatch(handle).trigger(availableNow=True)

@@ -65,8 +65,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int
     """
     slim = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     gone = stage(repeated_sentences(slim, span, least), "gone")
-    joined = slim.join(gone.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
-    joined = joined.select("id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
+    # texts without a repeat are not shuffled, as long as the filter holds the number of those with one
+    name = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("id")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "id")), 16, "0")))
+    bits = size_for(gone.count())
+    rows = with_hits(slim, stage(hit(gone, name, bits), "marked"), name, bits, "_maybe")
+    none = F.array().cast("array<int>")
+    hurt = rows.filter("_maybe").join(gone.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
+    joined = (rows.filter("not _maybe").select("id", F.coalesce("text", F.lit("")).alias("text"), none.alias("gone"))
+              .unionByName(hurt.select("id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("gone", none).alias("gone"))))
     rest = joined.select("id", "gone", F.when(F.size("gone") > 0, split("text")).alias("s"), "text",
                          F.coalesce(F.regexp_count("text", F.lit(SENTENCE)), F.lit(0)).alias("n"))
     mine = F.filter("gone", lambda i: i < F.col("n"))

@@ -133,3 +133,15 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 120)] + [(500, 400), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(121)} | {500: 400, 400: 400}
+
+
+def test_columns_of_any_kind_pass_through(spark):
+    from tidewatch.llm import decontaminate
+    rows = [(1, "a b c d e", {"x": 1}, [1.5]), (1, "a b c d e", {"x": 2}, None), (2, "a b c d e", None, []), (3, "q r s t", {}, [2.0]), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h map<string,int>, id array<double>")
+    assert sorted(r.doc_id or 0 for r in exact.exact_dedup(docs).collect()) == [0, 2, 3]
+    kept = simhash.near_dedup(docs).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 1, 3] and [r["_h"] for r in kept if r.doc_id == 1] == [{"x": 2}]
+    items = spark.createDataFrame([("k", "a b c d e")], "item_id string, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()} == {(1, "k"), (2, "k")}
+    assert sorted(r.doc_id or 0 for r in decontaminate.keep_clean(docs, items).collect()) == [0, 3]

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewatch.llm.flat import MIX, flat, mixed, pieces, prefix, span_hash, words
 from tidewatch.plans.staging import stage
@@ -179,7 +180,7 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[Block]:
     n = 1 + size // BLOCK_BYTES
     for k in range(n):
         rows = slim.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()
-        rows.sort(key=lambda r: (r["id"] is None, r["id"] or 0, r["text"]))
+        rows.sort(key=lambda r: (str(r["id"]), r["text"]))
         yield make_block([r["id"] for r in rows], [r["text"] for r in rows])
 
 
@@ -192,6 +193,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
     schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, item_id {items.schema[item_id].dataType.simpleString()}, score double, first_word int, end_word int"
+    kind = to_arrow_type(items.schema[item_id].dataType)
     out = None
     for block in _blocks(items, item_id, item_text):
         keep = rare_seeds(docs, block, text) if block.seeds else {}
@@ -202,7 +204,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
                 found = _matches(b.column(1), block, keep, tables, threshold)
                 cols = list(zip(*found)) or [[]] * 5
                 ids = b.column(0).take(pa.array(cols[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([block.ids[k] for k in cols[1]], pa.int64()), pa.array(cols[2], pa.float64()),
+                yield pa.RecordBatch.from_arrays([ids, pa.array([block.ids[k] for k in cols[1]], kind), pa.array(cols[2], pa.float64()),
                                                   pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], ["doc_id", "item_id", "score", "first_word", "end_word"])
 
         part = slim.mapInArrow(run, schema)

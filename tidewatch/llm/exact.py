@@ -63,5 +63,5 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     again = rows.filter("_again").join(groups, F.col("text_sha256") == F.col("_sha"), "left")
     single = again.filter("_sha is null").select("row")
     largest = again.filter(F.col("_sha").isNotNull() & F.col("id").eqNullSafe(F.col("keep_id")))
-    one = largest.groupBy("_sha").agg(F.max_by("row", F.xxhash64("row")).alias("row")).select("row")
+    one = largest.groupBy("_sha").agg(F.max_by("row", F.to_json("row")).alias("row")).select("row")
     return rows.filter("not _again").select("row").unionByName(single).unionByName(one).select("row.*")

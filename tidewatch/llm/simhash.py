@@ -237,11 +237,11 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
     """``docs`` with one row of each component, that with the smallest id; all columns as they were.
 
-    Of rows that repeat this id one stays, picked by a hash of the row. Only the rows that go
-    are looked up, by id and text digest, so kept texts move only where that list is too large to broadcast.
+    Of rows that repeat this id one stays, by text and then by the other columns. Only the rows that go
+    are looked up, by id and a hash of the text, so kept texts move only where that list is too large to broadcast.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("row"), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.struct(*columns)).alias("h")).alias("who"),
+    keyed = docs.select(F.struct(*columns).alias("row"), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h")).alias("who"),
                         F.col(text).alias("text"))
     fps = stage(fingerprints(keyed, "who", "text", shingle).withColumnRenamed("doc_id", "who"), "fps")
     order = F.struct(F.col("who.id").isNull().alias("void"), F.col("who.id").alias("id"), F.col("who.h").alias("h"))
@@ -255,10 +255,10 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
             .select(F.col("who.id").alias("_id"), F.col("who.h").alias("_h")).distinct())
     gone = stage(gone, "gone")
     kept = keyed.join(gone, F.col("who.id").eqNullSafe(F.col("_id")) & (F.col("who.h") == F.col("_h")), "left_anti")
-    # a whole row that occurs again, of which one stays: only such rows are grouped
+    # an id and text that occur again, of which one row stays: only such rows are grouped
     again = stage(fps.groupBy(F.col("who.id").alias("_id"), F.col("who.h").alias("_h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id", "_h"), "again")
     same = F.col("who.id").eqNullSafe(F.col("_id")) & (F.col("who.h") == F.col("_h"))
     if not again.limit(1).count():
         return kept.select("row.*")
-    first = kept.join(again, same, "left_semi").groupBy("who.id", "who.h").agg(F.first("row").alias("row")).select("row")
+    first = kept.join(again, same, "left_semi").groupBy("who.id", "who.h").agg(F.max_by("row", F.to_json("row")).alias("row")).select("row")
     return kept.join(again, same, "left_anti").select("row").unionByName(first).select("row.*")

@@ -26,7 +26,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 PRIOR = 30.0  # texts that a prior weighs
 DRIFT, LOWEST, HIGHEST = 0.1, -1.0, 8.0
 SIGNIFICANT = 0.01  # expected segments as good in a clean text
-CERTAIN = (-4.0, 9.0)  # beyond these more or less of it changes no verdict
+LEAST, BENDS, MOST = -4.0, (5.0, 9.0, 14.0), 30.0  # the excess is held between the ends, and weighs differently between the bends
 
 _inside = np.zeros(256, bool)
 _inside[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -38,7 +38,7 @@ class Model:
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
     rate: float = 1.0
     log_k: float = 0.0
-    beta: tuple[float, float] = (-30.0, 0.0)
+    beta: tuple[float, ...] = (-30.0, *[0.0] * (len(BENDS) + 1))
 
 
 def token_buckets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,23 +204,40 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     model = Model(c[0] + c[2], c[1] + c[3], rate, log_k)
     x = excess(model, best, n)
     if 0 < y.sum() < len(y):
-        beta = lab.logistic(x, y)
-        model.beta = (float(beta[0]), float(max(0.0, beta[1])))
+        model.beta = rising(bent(x), y)
     else:
-        model.beta = (30.0 if len(y) and y[0] else -30.0, 0.0)
+        model.beta = (30.0 if len(y) and y[0] else -30.0, *[0.0] * (len(BENDS) + 1))
     return model
 
 
+def bent(x):
+    """The part of the excess below the first bend, between two bends, and above the last one, as columns."""
+    edges = (LEAST, *BENDS, MOST)
+    return np.stack([np.clip(x, a, b) - a for a, b in zip(edges, edges[1:])], axis=-1)
+
+
+def rising(parts: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """A logistic fit that never falls: parts that would weigh less than nothing are left out one by one."""
+    used = list(range(parts.shape[1]))
+    while True:
+        beta = lab.logistic(parts[:, used], y)
+        if not used or beta[1:].min() >= 0:
+            out = np.zeros(parts.shape[1])
+            out[used] = beta[1:]
+            return (float(beta[0]), *out.tolist())
+        used.pop(int(beta[1:].argmin()))
+
+
 def excess(model: Model, best, n):
-    """Minus the log of the segments as good that chance brings, held between the two ends of CERTAIN."""
-    return np.clip(model.rate * best - np.log(np.maximum(n, 1)) - model.log_k, *CERTAIN)
+    """Minus the log of the segments as good that chance brings, held between LEAST and MOST."""
+    return np.clip(model.rate * best - np.log(np.maximum(n, 1)) - model.log_k, LEAST, MOST)
 
 
 def _verdict(model: Model, s: np.ndarray) -> tuple[float, int]:
     found = text_segments(s)
     x = [float(excess(model, f[2], len(s))) for f in found]
     top = max(x, default=float(excess(model, 0.0, len(s))))
-    z = model.beta[0] + model.beta[1] * top
+    z = model.beta[0] + float(bent(top) @ np.array(model.beta[1:]))
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30)))), sum(v >= -np.log(SIGNIFICANT) for v in x)
 
 

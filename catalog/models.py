@@ -119,6 +119,18 @@ def _(spark, sf):
     return density.dbscan(_vectors(spark, sf), [], E, eps=1.2, min_samples=4, labels=False).select("vec_id", "is_core", "is_noise")
 
 
+@query("N10_behaviour_table", WIDE_SQL + f""",
+nb AS (SELECT p.ts, q.ts AS other FROM x p JOIN x q ON {" + ".join(f"(p.{m} - q.{m}) ** 2" for m in METRICS)} <= 0.25),
+core AS (SELECT ts FROM nb GROUP BY 1 HAVING count(*) >= 5),
+k AS (SELECT x.ts, x.ts NOT IN (SELECT nb.ts FROM nb JOIN core ON nb.other = core.ts) AS noise FROM x)
+SELECT ts, noise AS is_outlier_dbscan, CASE WHEN noise THEN true END AS is_outlier, true AS labelled, true AS placed FROM k""")
+def _(spark, sf):
+    out = workflows.behaviour(wide(spark, sf), ["ts"], METRICS, n_init=2)
+    return out.select("ts", "is_outlier_dbscan", F.when(F.col("is_outlier_dbscan"), F.col("is_outlier")).alias("is_outlier"),
+                      (F.col("kmeans_cluster").between(0, 2) & ((F.col("density_cluster") == -1) == F.col("is_outlier_dbscan"))).alias("labelled"),
+                      (F.col("pca1").isNotNull() & F.col("pca2").isNotNull() & F.col("pca3").isNotNull()).alias("placed"))
+
+
 # A tenth of the rows is flagged: the number of rows above the linear 0.9 quantile, if no two scores are equal there.
 @query("K3_isolation_share", WIDE_SQL + """, n AS (SELECT count(*) AS n FROM x)
 SELECT n::BIGINT AS n_rows, (n - 1 - floor(0.9 * (n - 1)))::BIGINT AS flagged, true AS highest FROM n""")

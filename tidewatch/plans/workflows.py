@@ -144,6 +144,18 @@ def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: s
             "insights": cluster.insights(clustered, [metric], "cluster", features.FEATURES, F.col(metric))}
 
 
+def behaviour(df: DataFrame, row_key: Sequence[str], cols: Sequence[str], k: int = 3, eps: float = 0.5, min_samples: int = 5,
+              contamination: float = 0.1, seed: int = 42, n_init: int = 10) -> DataFrame:
+    """Rows of several metrics side by side with kmeans_cluster, density_cluster, is_outlier_dbscan, is_outlier_iso,
+    is_outlier and pca1 to pca3, all of the standardized ``cols``. Rows with a missing metric must be filled before."""
+    rows = cluster.kmeans(df, cols, k, seed, n_init, label="kmeans_cluster")
+    z, zs = cluster.scaled(rows, cols)
+    dense = detect.dbscan(z, [], zs, eps, min_samples).drop("is_core").withColumnsRenamed({"is_noise": "is_outlier_dbscan", "cluster": "density_cluster"})
+    apart = detect.isolation_outliers(dense, row_key, zs, contamination, seed).drop("iso_score", *zs)
+    out = apart.withColumn("is_outlier", F.col("is_outlier_dbscan") | F.col("is_outlier_iso"))
+    return cluster.pca(out, cols, 3)
+
+
 def detect_all(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: str, pos: str = "pos",
                rules=THRESHOLD_RULES, residual_k: float = 3.0, eps: float = 0.5, min_samples: int = 5,
                period: int | None = None, baseline: str = "decompose") -> DataFrame:

@@ -41,8 +41,8 @@ def timestamp_column(df: DataFrame, mode: str = "exact", fmt: str | None = None)
 
     exact: a column with a known name whose values all parse, else the first column of
     which more than half of the rows parse. substring: the first column, in order, that
-    is a time with a hint in its name, or text of which all values parse (with a hint: some). A number
-    with a hint in its name stays a metric. Text is only read where the name and type don't decide.
+    is a time or text with a hint in its name, or text of which all values parse. A number
+    with a hint in its name stays a metric. Only text before the first such name is read.
     """
     if mode == "exact":
         known = [c for c in df.columns if c.lower() in TIMESTAMP_NAMES]
@@ -54,23 +54,17 @@ def timestamp_column(df: DataFrame, mode: str = "exact", fmt: str | None = None)
         return next((c for c in df.columns if shares.get(c, (0.0, False))[0] > 0.5), None)
     if mode != "substring":
         raise ValueError(f"unknown mode {mode!r}")
-    hinted = lambda c: any(h in c.lower() for h in TIMESTAMP_HINTS)
-    candidates = []
+    candidates = []  # text columns before the first one that its name decides
     for c in df.columns:
         kind = df.schema[c].dataType
-        if isinstance(kind, TIME_TYPES) and hinted(c):
-            if not candidates:
-                return c
-            candidates.append(c)
-            break
-        if isinstance(kind, T.StringType):
+        text = isinstance(kind, T.StringType)
+        if any(h in c.lower() for h in TIMESTAMP_HINTS) and (text or isinstance(kind, TIME_TYPES)):
+            shares = parse_share(df, fmt, candidates)
+            return next((x for x in candidates if shares[x][1]), c)
+        if text:
             candidates.append(c)
     shares = parse_share(df, fmt, candidates)
-    for c in candidates:
-        share, whole = shares[c]
-        if isinstance(df.schema[c].dataType, TIME_TYPES) or whole or (hinted(c) and share > 0):
-            return c
-    return None
+    return next((c for c in candidates if shares[c][1]), None)
 
 
 def ensure_timestamp(df: DataFrame, mode: str = "exact", fmt: str | None = None) -> tuple[DataFrame, str | None]:

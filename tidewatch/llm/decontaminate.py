@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidewatch.llm.flat import MIX, flat, mixed, pieces, prefix, span_hash, words
+from tidewatch.llm.flat import MIX, flat, mixed, pieces, prefix, small_batches, span_hash, words
 from tidewatch.plans.staging import stage
 
 SEED_WORDS = 4
@@ -93,6 +93,7 @@ def _table(seeds: np.ndarray) -> np.ndarray:
 
 def rare_seeds(docs: DataFrame, block: Block, text: str) -> dict[int, np.ndarray]:
     """Per n whether each posting is kept: corpus counts over all texts, compared within each item."""
+    small_batches(docs)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {n: _table(s[0]) for n, s in block.seeds.items()}
         count = {n: np.zeros(len(s[0]), np.int64) for n, s in block.seeds.items()}
@@ -191,6 +192,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     score is 1 for an unchanged copy. Null and empty texts and items match nothing; repeated rows give repeated
     results; without items or texts there are no rows. No row is shuffled but counts of seeds.
     """
+    small_batches(docs)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
     schema = f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, item_id {items.schema[item_id].dataType.simpleString()}, score double, first_word int, end_word int"
     kind = to_arrow_type(items.schema[item_id].dataType)
@@ -214,6 +216,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows in which an item is found; columns as they were, and nothing is shuffled."""
+    small_batches(docs)
     out = docs
     for block in _blocks(items, item_id, item_text):
         if not block.seeds:

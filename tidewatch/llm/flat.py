@@ -7,8 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 PIECE_BYTES = 1 << 20
+BATCH_BYTES = "8m"
 
 # The bytes that separate words, and odd bases of the rolling hashes.
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -16,6 +18,12 @@ BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
 
 
+def small_batches(df: DataFrame) -> None:
+    """Arrow batches of this session hold about 8 MB: what a task and its Python worker keep of whole texts at a time.
+    A longer text is a batch by itself. The setting is read when a plan runs, so it stays."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the n + 1 bounds between them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

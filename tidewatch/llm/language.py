@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import labels as lab
-from tidewatch.llm.flat import BASE, MIX, pieces, sums
+from tidewatch.llm.flat import BASE, MIX, pieces, small_batches, sums
 from tidewatch.plans.staging import stage
 
 GRAMS = (1, 2, 3)
@@ -55,6 +55,7 @@ def learn(docs: DataFrame, folds: int = 3, held: int = 1, most: int = lab.TRAIN_
 
     One row per (bucket, language) comes to the driver, bounded by MATRIX_CELLS. Without any such document there is no language.
     """
+    small_batches(docs)
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (lab.fold(doc_id, folds) != held))
     ids = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
     per = stage(ids.groupBy("lang").count(), "langs")
@@ -96,6 +97,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     Texts that are null or have no letter are ``und`` with score 0, as is everything if no language was learned;
     ties go to the language that is first by name. Repeated rows get equal results.
     """
+    small_batches(docs)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"), letters.alias("letters"))
     names = np.array([*model.langs, UNKNOWN], object)

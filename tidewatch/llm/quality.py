@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import labels as lab
-from tidewatch.llm.flat import SPACES, pieces, prefix, span_hash, sums, words
+from tidewatch.llm.flat import SPACES, pieces, prefix, small_batches, span_hash, sums, words
 
 FIT_ROWS = 50_000  # labelled rows that the trees are grown on, at most about
 BINS, DEPTH, TREES, RATE, LEAF, RIDGE = 64, 4, 60, 0.15, 5.0, 1.0
@@ -176,6 +176,7 @@ def probability(model: Model, x: np.ndarray) -> np.ndarray:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held: int = 0, most: int = FIT_ROWS) -> Model:
     """The model from labelled documents outside the held-out fold, about ``most`` at most: their statistics come to the driver."""
+    small_batches(docs)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, bounds in pieces(b.column(0)):
@@ -192,6 +193,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """(doc_id, score, predicted) per document. Null and empty texts have all statistics 0 and get a score; repeated rows get equal ones."""
+    small_batches(docs)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.bloom import hit, size_for, with_hits
-from tidewatch.llm.flat import flat, pieces, prefix, span_hash
+from tidewatch.llm.flat import flat, pieces, prefix, small_batches, span_hash
 from tidewatch.plans.staging import stage
 
 LENGTH, GRAM = 400, 64
@@ -209,6 +209,7 @@ def _maybe_in(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
 
 def repeated_stretches(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(k1, k2, spans) per text of (k1, k2, text) with repeats: [first, end) stretches of bytes, not yet merged."""
+    small_batches(texts)
     found = stage(anchors(texts, length, gram), "anchors")
     local = found.filter("uses = 0").select("k1", "k2", "first", "end")
     found = found.filter("uses > 0")
@@ -282,6 +283,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     or repeat; equal rows get equal results. An empty table gives no rows. Texts without repeats are not shuffled
     as long as the filter holds their number.
     """
+    small_batches(docs)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("k1"), F.xxhash64(F.lit("again"), body).alias("k2"), body.alias("text"))
     spans = stage(repeated_stretches(rows.filter(F.octet_length("text") >= length).select("k1", "k2", "text"), length, gram), "stretches")

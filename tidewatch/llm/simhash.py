@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.components import components
-from tidewatch.llm.flat import SPACES, pieces, sums, words
+from tidewatch.llm.flat import SPACES, pieces, small_batches, sums, words
 from tidewatch.plans.staging import drop, stage, stage_at
 
 SAMPLE = 20_000  # fingerprints that the estimates are made on
@@ -61,6 +61,7 @@ def _fingerprint_piece(data: np.ndarray, bounds: np.ndarray, shingle: int, seed:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp): the fingerprint as a long. Texts without words, null ones included, have 0."""
+    small_batches(docs)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, bounds in pieces(b.column(1)):
@@ -185,6 +186,7 @@ def link(distinct: DataFrame, t: int = 2) -> DataFrame:
 
     Not every near pair is listed: inside a probe's group each fingerprint points to the smallest that it reaches.
     """
+    small_batches(distinct)
     spark = distinct.sparkSession
     total = distinct.count()
     share = min(1.0, SAMPLE / max(1, total))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import labels as lab
-from tidewatch.llm.flat import pieces, prefix, span_hash, sums, words
+from tidewatch.llm.flat import pieces, prefix, small_batches, span_hash, sums, words
 
 BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
@@ -166,6 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     Each half of them is scored by what the other half teaches, to set the extreme-value law and the
     logistic fit; the final scores come from both. Without any label all scores are 0.
     """
+    small_batches(docs)
     train = lab.training_rows(docs, labels, label, folds, held, most).withColumn("text", F.lower("text"))
     c = _counts(train)
     if not c.any():
@@ -243,6 +244,7 @@ def _verdict(model: Model, s: np.ndarray) -> tuple[float, int]:
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, score, predicted, n_passages (significant segments). Null and empty texts have no token and get a score."""
+    small_batches(docs)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,6 +259,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def passages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Significant segments: doc_id, first and end (token positions), segment_score, expected (as good ones in a clean text of this length)."""
+    small_batches(docs)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,6 +275,7 @@ def passages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without the rows that the model calls toxic (score 0.5 or more); columns as they were, and nothing is shuffled."""
+    small_batches(docs)
     lowered = docs.select(*[F.lower(F.col(f"`{text}`")).alias("_lower"), *[F.col(f"`{c}`") for c in docs.columns]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

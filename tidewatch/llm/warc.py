@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.flat import small_batches
 from tidewatch.plans.staging import stage, staging_path
 
 ROLL_BYTES = 16 << 20
@@ -71,6 +72,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     own names and list them in a written table, so what a lost or repeated attempt leaves behind is in no list.
     Payloads are looked up by digest; they are shuffled only if the list of repeated digests is too large to broadcast.
     """
+    small_batches(pages)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
     again = (rows.filter(F.octet_length("payload") >= least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -268,6 +270,7 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
     member without end may make it hold the rest of the archive). Of revisits payload_bytes
     and payload_digest are those of the full payload, as their headers give them. An empty archive gives no rows.
     """
+    small_batches(archives)
     n = max(1, min(archives.count(), 4 * archives.sparkSession.sparkContext.defaultParallelism))
     kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.binary())
     names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -294,6 +297,7 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 def read_content(files: DataFrame, payloads: bool = True) -> DataFrame:
     """``read`` for rows (path, content) of Spark's binaryFile source, for stores that only Spark reaches; a task holds a few whole files."""
+    small_batches(files)
     import io
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,8 +34,7 @@ _inside[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = T
 
 @dataclass
 class Model:
-    clean: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
-    toxic: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
+    counts: tuple[np.ndarray, np.ndarray, np.ndarray] = field(default_factory=lambda: packed(np.zeros(1), np.zeros(1)))
     rate: float = 1.0
     log_k: float = 0.0
     beta: tuple[float, ...] = (-30.0, *[0.0] * (len(BENDS) + 1))
@@ -55,6 +54,18 @@ def token_buckets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return (np.column_stack([*cols, word]) >> np.uint64(44)).astype(np.int32), own
 
 
+def packed(clean: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets in use with their counts: what is sent to the tasks."""
+    used = np.flatnonzero((clean > 0) | (toxic > 0)).astype(np.int32)
+    return used, clean[used].astype(np.float32), toxic[used].astype(np.float32)
+
+
+def unpacked(used: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    out = np.zeros((2, BUCKETS), np.float32)
+    out[0, used], out[1, used] = clean, toxic
+    return out[0], out[1]
+
+
 def token_scores(buckets: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Log-odds of each token, each column being the prior of the next; a shorter word has one column several times, counted once."""
     n1 = float(toxic.sum(dtype=np.float64)) + 1
@@ -172,15 +183,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     if not c.any():
         return Model()
     c = c.astype(np.float32)
-    halves = [(c[2], c[3]), (c[0], c[1])]  # for half 0: learned from half 1
+    halves = [packed(c[2], c[3]), packed(c[0], c[1])]  # for half 0: learned from half 1
     edges = np.linspace(LOWEST, HIGHEST, 181)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [unpacked(*h) for h in halves]
         for b in batches:
             best, n, y, hist = [], [], [], np.zeros(180, np.int64)
             for h in (0, 1):
                 part = b.filter(pa.array(b.column(2).to_numpy() == h))
-                for row, s in _scored(part.column(0), *halves[h]):
+                for row, s in _scored(part.column(0), *counts[h]):
                     found = text_segments(s)
                     best.append(max((x[2] for x in found), default=0.0))
                     n.append(len(s))
@@ -202,7 +214,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     clean = y == 0
     # the median of the law is (log(k n) - log log 2) / rate
     log_k = float(np.median(rate * best[clean] - np.log(np.maximum(n[clean], 1)))) + np.log(np.log(2)) if clean.any() else 0.0
-    model = Model(c[0] + c[2], c[1] + c[3], rate, log_k)
+    model = Model(packed(c[0] + c[2], c[1] + c[3]), rate, log_k)
     x = excess(model, best, n)
     if 0 < y.sum() < len(y):
         model.beta = rising(bent(x), y)
@@ -248,8 +260,9 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = unpacked(*model.counts)
         for b in batches:
-            got = [_verdict(model, s) for _, s in _scored(b.column(1), model.clean, model.toxic)]
+            got = [_verdict(model, s) for _, s in _scored(b.column(1), *counts)]
             p = np.array([g[0] for g in got], float)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array([g[1] for g in got], pa.int32())],
                                              ["doc_id", "score", "predicted", "n_passages"])
@@ -263,8 +276,9 @@ def passages(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = unpacked(*model.counts)
         for b in batches:
-            rows = [(i, *f, float(np.exp(-excess(model, f[2], len(s))))) for i, s in _scored(b.column(1), model.clean, model.toxic) for f in text_segments(s)]
+            rows = [(i, *f, float(np.exp(-excess(model, f[2], len(s))))) for i, s in _scored(b.column(1), *counts) for f in text_segments(s)]
             rows = [r for r in rows if r[4] <= SIGNIFICANT]
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
@@ -279,8 +293,9 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     lowered = docs.select(*[F.lower(F.col(f"`{text}`")).alias("_lower"), *[F.col(f"`{c}`") for c in docs.columns]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = unpacked(*model.counts)
         for b in batches:
-            keep = [_verdict(model, s)[0] < 0.5 for _, s in _scored(b.column(0), model.clean, model.toxic)]
+            keep = [_verdict(model, s)[0] < 0.5 for _, s in _scored(b.column(0), *counts)]
             yield pa.RecordBatch.from_arrays(b.columns[1:], names=b.schema.names[1:]).filter(pa.array(keep, pa.bool_()))
 
     return lowered.mapInArrow(run, docs.schema)

@@ -75,7 +75,14 @@ def words(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class Cache(dict):
+    """Stays where it was filled: a function that travels with a job takes an empty one along."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = Cache()
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -128,3 +128,17 @@ def test_no_items_and_no_texts(spark, docs_of):
     assert decontaminate.matches(docs_of([(1, "a b c d e")]), none).count() == 0
     assert decontaminate.keep_clean(docs_of([(1, "a")]), none).count() == 1
     assert decontaminate.matches(docs_of([]), spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")).count() == 0
+
+
+def test_an_edited_passage_is_found_however_often_it_occurs(spark, docs_of):
+    item = [f"q{k}" for k in range(15)]
+    edited = [*item[:3], "x", *item[4:7], "y", *item[8:]]  # four of its 4-grams are left
+    other = ["z" if k % 4 == 3 and k < 11 else w for k, w in enumerate(reversed(item))][::-1]
+    assert brute_score(item, edited) / 30 == 0.8
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for copies in (1, 5, 1000):
+        # one whole copy, too, which must not make the seeds of the others look common
+        docs = docs_of([(i, " ".join(["a b", *edited, "c"])) for i in range(copies)] + [(5000, " ".join(item)), (6000, " ".join(other)), (7000, "c d")])
+        want = {i for i in range(copies)} | {5000} | ({6000} if brute_score(item, other) >= 15 else set())
+        assert {r.doc_id for r in decontaminate.matches(docs, bench).collect()} == want
+        assert {r.doc_id for r in decontaminate.keep_clean(docs, bench).collect()} == {i for i in [6000, 7000] if i not in want}

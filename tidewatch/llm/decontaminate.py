@@ -1,8 +1,9 @@
-"""Benchmark items found in training texts: rare word n-grams as seeds, then local alignment.
+"""Benchmark items found in training texts: word n-grams as seeds, then local alignment.
 
-Seeds of an item are its n-grams but those much more common in the corpus than its others. Around each
-seed hit the item is aligned with the text by Smith-Waterman over words, so that edited and
-paraphrased copies score by what is left of the item.
+Seeds of an item are all its n-grams, however common: of an edited copy that occurs often, the common
+ones may be all that is left. Around each seed hit the item is aligned with the text by Smith-Waterman
+over words, so that edited and paraphrased copies score by what is left of the item. Where too few of
+the item's words occur around a hit to reach the threshold in any order, the alignment is spared.
 Items are broadcast in blocks of a bounded size; each block is one pass over the texts.
 """
 
@@ -22,7 +23,6 @@ from tidewatch.plans.staging import stage
 
 SEED_WORDS = 4
 BLOCK_BYTES = 16 << 20  # of item texts broadcast at once
-COMMON = 4  # times the median count of the item's n-grams
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5  # of the score of an unchanged copy
 
@@ -91,39 +91,6 @@ def _table(seeds: np.ndarray) -> np.ndarray:
     return out
 
 
-def rare_seeds(docs: DataFrame, block: Block, text: str) -> dict[int, np.ndarray]:
-    """Per n whether each posting is kept: corpus counts over all texts, compared within each item."""
-    small_batches(docs)
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {n: _table(s[0]) for n, s in block.seeds.items()}
-        count = {n: np.zeros(len(s[0]), np.int64) for n, s in block.seeds.items()}
-        for b in batches:
-            for _, _, data, bounds in pieces(b.column(0)):
-                tokens, own = _tokens(data, bounds)
-                for n, s in block.seeds.items():
-                    count[n] += np.bincount(_hits(tokens, own, n, s[0], tables[n])[2], minlength=len(s[0]))
-        for n, c in count.items():
-            used = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), n), pa.int32()), pa.array(used, pa.int32()), pa.array(c[used])], ["n", "seed", "uses"])
-
-    rows = docs.select(F.lower(F.col(f"`{text}`")).alias("text")).mapInArrow(run, "n int, seed int, uses long")
-    got = rows.groupBy("n", "seed").agg(F.sum("uses").alias("uses")).toArrow()  # a row per seed of the block at most
-    n_of, seed, uses = (got.column(c).to_numpy() for c in ("n", "seed", "uses"))
-    keep = {}
-    for n, (unique, first, item, _) in block.seeds.items():
-        count = np.zeros(len(unique))
-        count[seed[n_of == n]] = uses[n_of == n]
-        per = np.repeat(count, np.diff(first))
-        order = np.lexsort((per, item))
-        starts = np.searchsorted(item[order], np.arange(len(block.ids)))
-        size = np.bincount(item, minlength=len(block.ids))
-        median = np.zeros(len(block.ids))
-        has = size > 0
-        median[has] = per[order][starts[has] + (size[has] - 1) // 2]
-        keep[n] = per <= COMMON * (median[item] + 1)
-    return keep
-
-
 def best_alignment(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Score of the best local alignment of item a with text part b, and where it ends in b (exclusive)."""
     steps = -GAP * np.arange(len(b) + 1)
@@ -138,7 +105,7 @@ def best_alignment(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return top, end
 
 
-def _matches(column: pa.Array, block: Block, keep: dict[int, np.ndarray], tables: dict[int, np.ndarray], threshold: float) -> list[tuple[int, int, float, int, int]]:
+def _matches(column: pa.Array, block: Block, tables: dict[int, np.ndarray], threshold: float) -> list[tuple[int, int, float, int, int]]:
     """(row, item, score, first word, end word) of the best match of each item in each text, from the threshold on."""
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for i, _, data, bounds in pieces(column):
@@ -150,7 +117,7 @@ def _matches(column: pa.Array, block: Block, keep: dict[int, np.ndarray], tables
                 size = first[seed + 1] - first[seed]
                 posting = np.repeat(first[seed] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
                 rows = np.column_stack([np.repeat(text, size), item[posting], np.repeat(pos, size) - at[posting]])
-                spots.append(rows[keep[n][posting]])
+                spots.append(rows)
         if not spots:
             continue
         spots = np.unique(np.concatenate(spots), axis=0)
@@ -165,6 +132,8 @@ def _matches(column: pa.Array, block: Block, keep: dict[int, np.ndarray], tables
             slack = 8 + m // 4
             a = max(own[text], low - slack)
             b = min(own[text + 1], spots[e - 1, 2] + m + slack)
+            if np.isin(block.tokens[item], tokens[a:b]).sum() / m < threshold:  # no alignment scores more
+                continue
             top, end = best_alignment(block.tokens[item], tokens[a:b])
             score = top / (MATCH * m)
             key = (i + int(text), int(item))
@@ -190,7 +159,7 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """(doc_id, item_id, score, first_word, end_word) of every item whose alignment with a text reaches the threshold.
 
     score is 1 for an unchanged copy. Null and empty texts and items match nothing; repeated rows give repeated
-    results; without items or texts there are no rows. No row is shuffled but counts of seeds.
+    results; without items or texts there are no rows. Nothing is shuffled.
     """
     small_batches(docs)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text"))
@@ -198,12 +167,10 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     kind = to_arrow_type(items.schema[item_id].dataType)
     out = None
     for block in _blocks(items, item_id, item_text):
-        keep = rare_seeds(docs, block, text) if block.seeds else {}
-
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block, keep: dict = keep) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             tables = {n: _table(s[0]) for n, s in block.seeds.items()}
             for b in batches:
-                found = _matches(b.column(1), block, keep, tables, threshold)
+                found = _matches(b.column(1), block, tables, threshold)
                 cols = list(zip(*found)) or [[]] * 5
                 ids = b.column(0).take(pa.array(cols[0], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([block.ids[k] for k in cols[1]], kind), pa.array(cols[2], pa.float64()),
@@ -221,13 +188,12 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     for block in _blocks(items, item_id, item_text):
         if not block.seeds:
             continue
-        keep = rare_seeds(docs, block, text)
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block, keep: dict = keep) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             tables = {n: _table(s[0]) for n, s in block.seeds.items()}
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                clean[[m[0] for m in _matches(b.column(0), block, keep, tables, threshold)]] = False
+                clean[[m[0] for m in _matches(b.column(0), block, tables, threshold)]] = False
                 yield pa.RecordBatch.from_arrays(b.columns[1:], names=b.schema.names[1:]).filter(pa.array(clean))
 
         out = out.select(F.lower(F.col(f"`{text}`")).alias("_lower"), *[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, docs.schema)

@@ -236,19 +236,17 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
-    """``docs`` with one row of each component, that with the smallest id; all columns as they were.
-
-    Of rows that repeat this id one stays, by text and then by the other columns. Only the rows that go
-    are looked up, by id and a hash of the text, so kept texts move only where that list is too large to broadcast.
-    """
+def with_key(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Each row as ``row``, with ``who`` (id, h: a hash of the text) and ``text``."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*columns).alias("row"), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h")).alias("who"),
-                        F.col(text).alias("text"))
-    fps = stage(fingerprints(keyed, "who", "text", shingle).withColumnRenamed("doc_id", "who"), "fps")
+    return docs.select(F.struct(*columns).alias("row"), F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h")).alias("who"),
+                       F.col(text).alias("text"))
+
+
+def keep_first(keyed: DataFrame, fps: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` that stay: of each component of ``roots`` over the ``fp`` of (who, fp) the first."""
     order = F.struct(F.col("who.id").isNull().alias("void"), F.col("who.id").alias("id"), F.col("who.h").alias("h"))
     distinct = stage(fps.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")), "distinct")
-    roots = components(link(distinct.select("fp"), bits))
     rooted = stage(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "rooted")
     lowest = (rooted.groupBy(F.col("root").alias("_r")).agg(F.min("first").alias("stays"), F.sum("n").alias("size")).filter("size > 1"))
     crowded = stage(rooted.join(lowest, F.col("root") == F.col("_r")).select(F.col("fp").alias("_fp"), "stays"), "crowded")
@@ -264,3 +262,14 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
         return kept.select("row.*")
     first = kept.join(again, same, "left_semi").groupBy("who.id", "who.h").agg(F.max_by("row", F.to_json("row")).alias("row")).select("row")
     return kept.join(again, same, "left_anti").select("row").unionByName(first).select("row.*")
+
+
+def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest id; all columns as they were.
+
+    Of rows that repeat this id one stays, by text and then by the other columns. Only the rows that go
+    are looked up, by id and a hash of the text, so kept texts move only where that list is too large to broadcast.
+    """
+    keyed = with_key(docs, doc_id, text)
+    fps = stage(fingerprints(keyed, "who", "text", shingle).withColumnRenamed("doc_id", "who"), "fps")
+    return keep_first(keyed, fps, components(link(stage(fps.select("fp").distinct(), "fingerprints"), bits)))

@@ -52,6 +52,17 @@ def test_sentences_against_brute_force(docs_of):
     assert sentences.dedup(docs_of([])).count() == 0
 
 
+def test_texts_of_one_id_lose_only_their_own_repeats(docs_of):
+    passage = "this passage of six words more. occurs in two of the texts. "
+    for key in (None, 7):
+        rows = [(1, passage), (key, "first unique. second unique. " + passage), (key, "a one. b two. c three. d four. e five."), (key, None), (key, "")]
+        got = sorted((r.n_removed, r.text) for r in sentences.dedup(docs_of(rows)).collect())
+        assert got == sorted([(0, passage), (2, "first unique. second unique. "), (0, rows[2][1]), (0, ""), (0, "")])
+        # at the same position, too, one stays
+        got = sorted(r.n_removed for r in sentences.dedup(docs_of([(key, passage + "x."), (key, passage + "y."), (key, passage + "z.")])).collect())
+        assert got == [0, 2, 2]
+
+
 def brute_score(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i in range(1, len(a) + 1):

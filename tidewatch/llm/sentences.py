@@ -23,54 +23,60 @@ def split(text: str | Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE), F.lit(0))
 
 
+def _known(docs: DataFrame) -> DataFrame:
+    """(id, text) with two hashes of the text, which tell apart the texts of one id."""
+    return docs.select("id", "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("again"), "text").alias("t2"))
+
+
 def _plain(sentence: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(sentence)), r"\s+", " ")
 
 
 def _spans(docs: DataFrame, span: int, least: int) -> DataFrame:
-    """(id, at, digest) of every run of ``span`` sentences with enough words; shorter texts are one run."""
-    sentences = docs.select("id", F.transform(split("text"), _plain).alias("s")).filter(F.size("s") > 0)
+    """(id, t1, t2, at, h1, h2, digest) of every run of ``span`` sentences with enough words; shorter texts are one run."""
+    sentences = docs.select("id", "t1", "t2", F.transform(split("text"), _plain).alias("s")).filter(F.size("s") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("s") - span, F.lit(0)))
-    runs = sentences.select("id", F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("s", i + 1, span), " "))).alias("at", "run"))
+    runs = sentences.select("id", "t1", "t2", F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("s", i + 1, span), " "))).alias("at", "run"))
     enough = F.col("run").rlike(rf"^(?:\S+\s+){{{least - 1}}}\S") if least > 1 else F.lit(True)
     digest = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("run")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "run")), 16, "0")))
-    return runs.filter(enough).select("id", "at", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit("again"), "run").alias("h2"), digest.alias("digest"))
+    return runs.filter(enough).select("id", "t1", "t2", "at", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit("again"), "run").alias("h2"), digest.alias("digest"))
 
 
 def repeated_sentences(docs: DataFrame, span: int = SPAN, least: int = LEAST_WORDS) -> DataFrame:
-    """(id, gone) of (id, text): per text the sorted positions of the sentences that a repeated run covers.
+    """(id, t1, t2, gone) of (id, text, t1, t2): per text the sorted positions of the sentences that a repeated run covers.
 
     The first run of each kind is found by an aggregate that is summed up before its shuffle. Then runs are
     made a second time, and only those whose hash may be a repeated one are shuffled to be joined.
     """
-    where = F.struct(F.col("id").isNull().alias("void"), "id", "at")
+    where = F.struct(F.col("id").isNull().alias("void"), "id", "at", "t1", "t2")
     first = (_spans(docs, span, least).groupBy("h1", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
              .select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first"))
     first = stage(first, "repeated")
     bits = size_for(first.count())
     code = F.concat(F.lower(F.lpad(F.hex("_h1"), 16, "0")), F.lower(F.lpad(F.hex("_h2"), 16, "0")))
     marked = stage(hit(first.select(code.alias("digest")), F.col("digest"), bits), "marked")
-    again = with_hits(_spans(docs, span, least), marked, F.col("digest"), bits, "_maybe").filter("_maybe").select("id", "at", "h1", "h2")
+    again = with_hits(_spans(docs, span, least), marked, F.col("digest"), bits, "_maybe").filter("_maybe").select("id", "t1", "t2", "at", "h1", "h2")
     later = again.join(first, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).filter(where > F.col("first"))
-    covered = later.select("id", F.explode(F.sequence(F.col("at"), F.col("at") + span - 1)).alias("at")).distinct()
-    return covered.groupBy("id").agg(F.array_sort(F.collect_list("at")).alias("gone"))
+    covered = later.select("id", "t1", "t2", F.explode(F.sequence(F.col("at"), F.col("at") + span - 1)).alias("at")).distinct()
+    return covered.groupBy("id", "t1", "t2").agg(F.array_sort(F.collect_list("at")).alias("gone"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, least: int = LEAST_WORDS) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, n_spans (runs of removed sentences), text (what is left).
 
     Case and spaces don't matter to equality. Runs under ``least`` words and sentences alone never count.
-    Null and empty texts have no sentence and stay empty; rows with one id (or none) are one text to the order,
-    so what repeats between them at the same position stays in all of them. An empty table gives no rows.
+    Null and empty texts have no sentence and stay empty. Texts with one id (or none) are told apart by two hashes, which
+    also order what they repeat at the same position; rows that repeat id and text get equal verdicts. An empty table gives no rows.
     """
-    slim = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    slim = _known(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")))
     gone = stage(repeated_sentences(slim, span, least), "gone")
     # texts without a repeat are not shuffled, as long as the filter holds the number of those with one
-    name = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("id")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "id")), 16, "0")))
+    name = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("id", "t1", "t2")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "id", "t1", "t2")), 16, "0")))
     bits = size_for(gone.count())
     rows = with_hits(slim, stage(hit(gone, name, bits), "marked"), name, bits, "_maybe")
     none = F.array().cast("array<int>")
-    hurt = rows.filter("_maybe").join(gone.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
+    same = (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2")) & F.col("id").eqNullSafe(F.col("_id"))
+    hurt = rows.filter("_maybe").join(gone.withColumnsRenamed({"id": "_id", "t1": "_t1", "t2": "_t2"}), same, "left")
     joined = (rows.filter("not _maybe").select("id", F.coalesce("text", F.lit("")).alias("text"), none.alias("gone"))
               .unionByName(hurt.select("id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("gone", none).alias("gone"))))
     rest = joined.select("id", "gone", F.when(F.size("gone") > 0, split("text")).alias("s"), "text",

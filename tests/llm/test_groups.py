@@ -129,6 +129,37 @@ def test_links_on_random_bits(spark, monkeypatch):
     assert groups(lambda x: root.get(simhash._signed(x), simhash._signed(x))) == groups(comp.get)
 
 
+@pytest.mark.parametrize("t", [1, 3])
+def test_links_at_other_distances(spark, monkeypatch, t):
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    rnd = random.Random(t)
+    fps = {0, 2**64 - 1}
+    for _ in range(12):
+        x = rnd.getrandbits(64)
+        for _ in range(9):
+            fps.add(x)
+            for _ in range(rnd.randrange(1, t + 2)):
+                x ^= 1 << rnd.randrange(64)
+    fps |= {x ^ (1 << 5) ^ (1 << 9) for x in list(fps)[:20]} | set(range(16))
+    fps = sorted(fps)
+    root = {r.node: r.root for r in components(simhash.link(spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long"), t)).collect()}
+    want = brute_components(fps, t)
+    for i, x in enumerate(fps):
+        for y in fps[:i]:
+            same = root.get(simhash._signed(x), simhash._signed(x)) == root.get(simhash._signed(y), simhash._signed(y))
+            assert same == (want[x] == want[y])
+
+
+def brute_components(fps, t):
+    comp = {x: x for x in fps}
+    for i, x in enumerate(fps):
+        for y in fps[:i]:
+            if (x ^ y).bit_count() <= t and comp[x] != comp[y]:
+                a, b = comp[x], comp[y]
+                comp = {k: b if v == a else v for k, v in comp.items()}
+    return comp
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 120)] + [(500, 400), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -29,10 +29,10 @@ def brute(rows, span=2, least=10):
         first[run] = min(first.get(run, where), where)
     for run, where, i in runs:
         if where > first[run]:
-            gone.setdefault(rows[i][0], set()).update(range(where[2], where[2] + span))
+            gone.setdefault(rows[i], set()).update(range(where[2], where[2] + span))
     out = []
-    for (d, _), s in zip(rows, cut):
-        g = {x for x in gone.get(d, ()) if x < len(s)}
+    for (d, t), s in zip(rows, cut):
+        g = {x for x in gone.get((d, t), ()) if x < len(s)}
         out.append((d, len(s), len(g), sum(x - 1 not in g for x in g), "".join(x for k, x in enumerate(s) if k not in g)))
     return sorted(out, key=str)
 

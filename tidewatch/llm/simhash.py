@@ -169,15 +169,18 @@ def _forest(batches: Iterator[pa.RecordBatch], t: int) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a_out, np.zeros(0, np.int64)])), pa.array(np.concatenate([*b_out, np.zeros(0, np.int64)]))], ["a", "b"])
 
 
-def _finer(hot: DataFrame, masks: list[int]) -> dict[int, list[int]]:
-    """For every crowded mask three masks that also fix a third of its open bits, each third holding as much of the variation."""
+def _finer(hot: DataFrame, t: int) -> dict[int, list[int]]:
+    """For every crowded mask t + 1 masks that also fix a share of its open bits, each share holding as much of the variation.
+
+    A mask has more than t open bits here, so no share is empty and every new mask is finer.
+    """
     ones = [F.avg(F.shiftrightunsigned(F.col("fp"), b).bitwiseAND(1).cast("double")).alias(f"b{b}") for b in range(64)]
-    out = {}
+    out, lanes = {}, 2 * (t + 1)
     for r in hot.groupBy("mask").agg(*ones).collect():  # one row per mask
         fixed = r["mask"] & (2**64 - 1)
         open_bits = sorted((b for b in range(64) if not fixed >> b & 1), key=lambda b: -r[f"b{b}"] * (1 - r[f"b{b}"]))
-        thirds = [[b for i, b in enumerate(open_bits) if (i % 6 if i % 6 < 3 else 5 - i % 6) == j] for j in range(3)]
-        out[r["mask"]] = [fixed | sum(1 << b for b in part) for part in thirds]
+        shares = [[b for i, b in enumerate(open_bits) if min(i % lanes, lanes - 1 - i % lanes) == j] for j in range(t + 1)]
+        out[r["mask"]] = [fixed | sum(1 << b for b in share) for share in shares]
     return out
 
 
@@ -192,31 +195,31 @@ def link(distinct: DataFrame, t: int = 2) -> DataFrame:
     share = min(1.0, SAMPLE / max(1, total))
     order = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
     sample = np.array([r[0] for r in distinct.filter(order).select("fp").collect()], np.int64).view(np.uint64)
-    if t != 2:
-        raise ValueError("crowded probes are split for two bits")
-    masks = plan_probes(sample, t, total)
-    # below a mask with struck-out bits, too, a pair differs in two open bits at most: it agrees on a third of them
-    keys, found, used = _keys(distinct, masks), None, []
+    # below a mask with struck-out bits, too, a pair differs in t open bits at most: it agrees on one of t + 1 shares of them
+    keys, found, used = _keys(distinct, plan_probes(sample, t, total)), None, []
     while True:
         groups, path = stage_at(keys.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).filter("n > 1"), "probes")
         used.append(path)
         pairs = groups.filter("n = 2").filter(_near("a", "b", t)).select("a", "b")
-        some = groups.filter("n > 2").select(F.col("mask").alias("_m"), F.col("key").alias("_k"), "n")
-        members, path = stage_at(keys.join(some, (F.col("mask") == F.col("_m")) & (F.col("key") == F.col("_k"))).select("mask", "key", "fp", "n"), "members")
+        some = groups.filter("n > 2").select(F.col("mask").alias("_m"), F.col("key").alias("_k"), "n", F.col("a").alias("least"))
+        members, path = stage_at(keys.join(some, (F.col("mask") == F.col("_m")) & (F.col("key") == F.col("_k"))).select("mask", "key", "fp", "n", "least"), "members")
         used.append(path)
         few = (members.filter(f"n <= {CROWD}").groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
                .select("fps").mapInArrow(lambda batches: _forest(batches, t), "a long, b long"))
-        part = stage(pairs.unionByName(few), "near")
+        crowds = members.filter(f"n > {CROWD}")
+        all_near = F.bit_count(F.bitwise_not("mask")) <= t  # nothing that is open can keep two of the group apart
+        whole = crowds.filter(all_near).filter("fp != least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+        part = stage(pairs.unionByName(few).unionByName(whole), "near")
         found = part if found is None else found.unionByName(part)
-        hot = members.filter(f"n > {CROWD}").select("mask", "fp").distinct()
-        finer = _finer(hot, masks)
+        hot = crowds.filter(~all_near).select("mask", "fp").distinct()
+        finer = _finer(hot, t)
         if not finer:
             break
-        keys = None
         nested = [(m, [_signed(x) for x in finer[m]]) for m in sorted(finer)]
-        options = F.create_map(*[x for m, three in nested for x in (F.lit(m), F.array(*[F.lit(v) for v in three]))])
+        options = F.create_map(*[x for m, parts in nested for x in (F.lit(m), F.array(*[F.lit(v) for v in parts]))])
         keys = (hot.select("fp", F.explode(options[F.col("mask")]).alias("mask"))
                 .select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp").distinct())
+    drop(spark, *used)
     return found
 
 

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, exact, language, mix, quality, repeats, sentences, simhash, toxic, warc
+from tidewatch.llm import centroids, codes, decontaminate, exact, language, mix, quality, repeats, scoring, sentences, simhash, toxic, warc
 from tidewatch.llm import labels as lab
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))  # corpus_pipeline lies beside the package
@@ -140,3 +140,58 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_suffix_repeats")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.dedup(table(spark, sf, "documents"))
+
+
+_OP11_ROUND = """
+s{i} AS (SELECT vec_id, copy, cluster, distance FROM (SELECT v.vec_id, v.copy, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance,
+               row_number() OVER (PARTITION BY v.vec_id, v.copy ORDER BY distance, c.cluster) AS place
+        FROM flat v JOIN c{i} c USING (d) GROUP BY 1, 2, 3) WHERE place = 1),"""
+_OP11_MOVE = """
+m{j} AS (SELECT cluster, d, sum(x)::HUGEINT AS t, count(*)::HUGEINT AS n FROM s{i} JOIN flat USING (vec_id, copy) GROUP BY 1, 2),
+c{j} AS (SELECT c.cluster, c.d, CASE WHEN n IS NULL THEN c.x ELSE ((t - ((t % n) + n) % n) // n)::BIGINT END AS x FROM c{i} c LEFT JOIN m{j} USING (cluster, d)),"""
+
+OP11 = """
+WITH kept AS (SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY embedding) AS copy, [floor(64 * y::DOUBLE)::BIGINT FOR y IN embedding] AS v FROM embeddings
+              WHERE len(embedding) = 64 AND len([y FOR y IN embedding IF y IS NOT NULL AND isfinite(y)]) = 64),
+flat AS MATERIALIZED (SELECT vec_id, copy, unnest(v) AS x, unnest(range(64)) AS d FROM kept),
+c0 AS (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS d FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS cluster FROM kept) WHERE cluster < 16),
+""" + "".join(_OP11_ROUND.format(i=i) + _OP11_MOVE.format(i=i, j=i + 1) for i in range(3)) + _OP11_ROUND.format(i=3) + """
+named AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY 1)
+SELECT vec_id, cluster::INT AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM s3 JOIN named USING (cluster)"""
+
+
+@query("op11_centroid_clusters", OP11)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf, "embeddings"))
+
+
+_OP12_ROUND = """
+s{i} AS (SELECT vec_id, copy, p, e, distance FROM (SELECT v.vec_id, v.copy, v.p, b.e, sum((v.x - b.x) * (v.x - b.x))::BIGINT AS distance,
+               row_number() OVER (PARTITION BY v.vec_id, v.copy, v.p ORDER BY distance, b.e) AS place
+        FROM flat v JOIN b{i} b USING (p, d) GROUP BY 1, 2, 3, 4) WHERE place = 1),"""
+_OP12_MOVE = """
+m{j} AS (SELECT p, e, d, sum(x)::HUGEINT AS t, count(*)::HUGEINT AS n FROM s{i} JOIN flat USING (vec_id, copy, p) GROUP BY 1, 2, 3),
+b{j} AS (SELECT b.p, b.e, b.d, CASE WHEN n IS NULL THEN b.x ELSE ((t - ((t % n) + n) % n) // n)::BIGINT END AS x FROM b{i} b LEFT JOIN m{j} USING (p, e, d)),"""
+
+OP12 = """
+WITH kept AS (SELECT vec_id, label, row_number() OVER (PARTITION BY vec_id ORDER BY embedding) AS copy, [floor(4096 * y::DOUBLE)::BIGINT FOR y IN embedding] AS v FROM embeddings
+              WHERE len(embedding) = 64 AND len([y FOR y IN embedding IF y IS NOT NULL AND isfinite(y)]) = 64),
+flat AS MATERIALIZED (SELECT vec_id, copy, x, i // 8 AS p, i % 8 AS d FROM (SELECT vec_id, copy, unnest(v) AS x, unnest(range(64)) AS i FROM kept)),
+b0 AS (SELECT e, x, i // 8 AS p, i % 8 AS d FROM (SELECT e, unnest(v) AS x, unnest(range(64)) AS i
+       FROM (SELECT v, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept) WHERE e < 16)),
+""" + "".join(_OP12_ROUND.format(i=i) + _OP12_MOVE.format(i=i, j=i + 1) for i in range(6)) + _OP12_ROUND.format(i=6) + """
+coded AS (SELECT vec_id, copy, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error FROM s6 GROUP BY 1, 2),
+books AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, d)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, label, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id, copy), books"""
+
+
+@query("op12_vector_codes", OP12)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.encode(table(spark, sf, "embeddings"))
+
+
+@query("op13_lm_scores")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.score(table(spark, sf, "documents"))

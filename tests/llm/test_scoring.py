@@ -11,7 +11,7 @@ import pytest
 
 from tidewatch.llm import scoring
 from tidewatch.llm.queries import QUERIES
-from tidewatch.llm.trie import STEP, Monotone, Trie, quantised, value_of
+from tidewatch.llm.trie import NONE, STEP, Monotone, Trie, quantised, value_of
 
 
 def tokens(text):
@@ -122,8 +122,7 @@ def test_trie_against_a_dictionary(tmp_path):
     asked = sorted({*grams, *[tuple(rnd.randrange(70) for _ in range(3)) for _ in range(3000)]})
     more = np.array(sorted([*words.tolist(), *rnd.sample(range(1 << 50, 1 << 51), 10)]), np.uint64)
     qb, qa, qc = (np.array(x) for x in zip(*asked))
-    lower = quantised(-np.random.default_rng(3).random(len(asked)) * 5)
-    want = [p.get(g, k.get(g[:2], 0) + int(x)) for g, x in zip(asked, lower)]
     for trie in (Trie.open(path), Trie.mapped(path.read_bytes())):
-        assert trie.lookup(more, qa, qb, qc, lower).tolist() == want
+        own, share = trie.lookup(more, qa, qb, qc)
+        assert own.tolist() == [p.get(g, NONE) for g in asked] and share.tolist() == [k.get(g[:2], 0) for g in asked]
     assert abs(value_of(quantised(np.array([-1.5])))[0] + 1.5) <= STEP / 2

@@ -5,7 +5,8 @@ contexts a b); per context the c that follow it, each as its rank among all succ
 far smaller number than c. Every level is one sequence that rises within each parent's range; ranges are
 laid end to end, each starting above the last value of the one before, so the whole level is monotone and
 kept in Elias-Fano form, as are the pointers to the ranges. A lookup is a search for the successor of a
-value within one bucket of high bits. Probabilities and back-off weights are 16-bit codes of their logarithms.
+value within one bucket of high bits. Probabilities and the weights that contexts leave to shorter ones are 16-bit
+codes of their logarithms.
 """
 
 from __future__ import annotations
@@ -16,29 +17,33 @@ import struct
 import numpy as np
 
 STEP = 24 / 65535  # of log10 between neighbouring codes
+NONE = 65535
 
 
 def quantised(log10p: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(-log10p / STEP), 0, 65535).astype(np.uint16)
+    return np.clip(np.rint(-log10p / STEP), 0, NONE - 1).astype(np.uint16)
 
 
 def value_of(codes: np.ndarray) -> np.ndarray:
     return codes.astype(np.float64) * -STEP
 
 
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_IN_BYTE = np.array([[([i for i in range(8) if byte >> i & 1] + [8] * 8)[r] for byte in range(256)] for r in range(8)], np.uint8).ravel()
+
+
 def _select(words: np.ndarray, before: np.ndarray, i: np.ndarray, ones: bool) -> np.ndarray:
     """Position of the i-th one (or zero); ``before``: how many there are before each word."""
     w = np.searchsorted(before, i, side="right") - 1
     x = words[w] if ones else ~words[w]
-    left = (i - before[w]).astype(np.int64)
-    at = np.zeros(len(i), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):  # halve the part of the word that holds it
-        low = (x >> at.astype(np.uint64)) & np.uint64((1 << width) - 1)
-        n = np.bitwise_count(low).astype(np.int64)
-        up = left >= n
-        left -= np.where(up, n, 0)
-        at += np.where(up, width, 0)
-    return (w.astype(np.int64) << 6) + at
+    left = (i - before[w]).astype(np.uint64)
+    # ones up to and with each byte of a word, side by side in its bytes
+    n = x - ((x >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    n = (n & np.uint64(0x3333333333333333)) + ((n >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    n = ((n + (n >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES
+    skip = np.bitwise_count(((left * _ONES | _TOPS) - n) & _TOPS).astype(np.uint64) << np.uint64(3)
+    left -= ((n << np.uint64(8)) >> skip) & np.uint64(255)
+    return (w.astype(np.int64) << 6) + (skip + _IN_BYTE[((x >> skip) & np.uint64(255)) | (left << np.uint64(8))]).astype(np.int64)
 
 
 class Monotone:
@@ -150,10 +155,10 @@ class Trie:
         new = np.ones(len(a), bool)
         new[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1])
         first = np.flatnonzero(new)
-        pairs = np.unique(b.astype(np.int64) * max(n, 1) + c)
+        pairs, of = np.unique(b.astype(np.int64) * max(n, 1) + c, return_inverse=True)
         pair_b, pair_c = pairs // max(n, 1), pairs % max(n, 1)
         followers_at = np.searchsorted(pair_b, np.arange(n + 1))
-        rank = np.searchsorted(pairs, b.astype(np.int64) * max(n, 1) + c) - followers_at[b]
+        rank = of - followers_at[b]
         contexts_at = np.searchsorted(b[first], np.arange(n + 1))
         trigrams_at = np.append(first, len(a))
         levels = {"words": words, "followers_at": followers_at, "followers": _chained(pair_c, followers_at), "contexts_at": contexts_at,
@@ -165,36 +170,41 @@ class Trie:
         return b"".join([*out, struct.pack("<2q", len(first), len(a)), backoff.astype(np.uint16).tobytes(), prob.astype(np.uint16).tobytes()])
 
     def _within(self, level: str, parent: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Position of ``value`` among the children of ``parent`` in a level, the first child's position, and whether it is there."""
+        """Position of ``value`` among the children of ``parent`` in a level, the first child's position, and whether it is there.
+        Neighbours with one parent share the search for its range."""
         at, seq = self.levels[f"{level}_at"], self.levels[level]
-        start, end = (at[parent + i].astype(np.int64) for i in (0, 1))
+        first = np.flatnonzero(np.diff(parent, prepend=-1))
+        many = np.diff(np.append(first, len(parent)))
+        start, end = (at[parent[first] + i].astype(np.int64) for i in (0, 1))
         if not seq.n:
-            return start, start, np.zeros(len(parent), bool)
+            return np.repeat(start, many), np.repeat(start, many), np.zeros(len(parent), bool)
         base = np.where(start > 0, seq[np.maximum(start - 1, 0)] + np.uint64(1), np.uint64(0))
-        pos, found = seq.successor(base + value.astype(np.uint64))
+        start, end = np.repeat(start, many), np.repeat(end, many)
+        pos, found = seq.successor(np.repeat(base, many) + value.astype(np.uint64))
         return pos, start, found & (pos >= start) & (pos < end)
 
-    def lookup(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Codes of log10 P(c | a b); a, b and c are indexes into ``words``, sorted by (b, a, c); ``lower`` has the codes of P(c | b)."""
-        if not len(a):
-            return np.zeros(0, np.uint16)
+    def lookup(self, words: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the trigrams' own probabilities (``NONE`` where there is none) and of their contexts' weights (0: all, where
+        there is no such context). a, b and c are indexes into ``words``, sorted by (b, a, c)."""
+        own, share = np.full(len(a), NONE, np.uint16), np.zeros(len(a), np.uint16)
         index, known = self.levels["words"].successor(words)
-        out = lower.astype(np.int64)
         live = np.flatnonzero(known[a] & known[b])
         if not len(live):
-            return lower.astype(np.uint16)
-        n = len(words)
-        pair, back = np.unique(b[live].astype(np.int64) * n + a[live], return_inverse=True)
-        ctx, _, has = self._within("contexts", index[pair // n], index[pair % n])
-        live, ctx = live[has[back]], ctx[back[has[back]]]
-        out[live] += self.backoff[ctx].astype(np.int64)
+            return own, share
+        new = np.ones(len(live), bool)
+        new[1:] = (np.diff(b[live]) != 0) | (np.diff(a[live]) != 0)
+        pair, of = live[new], np.cumsum(new) - 1
+        ctx, _, has = self._within("contexts", index[b[pair]], index[a[pair]])
+        live, ctx = live[has[of]], ctx[of[has[of]]]
+        share[live] = self.backoff[ctx]
         with_c = known[c[live]]
         live, ctx = live[with_c], ctx[with_c]
         if not len(live):
-            return np.minimum(out, 65535).astype(np.uint16)
-        pair, back = np.unique(b[live].astype(np.int64) * n + c[live], return_inverse=True)
+            return own, share
+        n = len(words)
+        pair, of = np.unique(b[live].astype(np.int64) * n + c[live], return_inverse=True)
         pos, start, has = self._within("followers", index[pair // n], index[pair % n])
-        live, ctx, rank = live[has[back]], ctx[has[back]], (pos - start)[back[has[back]]]
+        live, ctx, rank = live[has[of]], ctx[has[of]], (pos - start)[of[has[of]]]
         at, _, has = self._within("trigrams", ctx, rank)
-        out[live[has]] = self.prob[at[has]]
-        return np.minimum(out, 65535).astype(np.uint16)
+        own[live[has]] = self.prob[at[has]]
+        return own, share

@@ -1,12 +1,15 @@
 """Density clustering against brute force; properties of the seeded models; streams against batch."""
 
 import datetime as dt
+import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import cluster, density, detect, forest
+from tidewatch.plans.chunks import with_position
 from tidewatch.streaming import live
 
 
@@ -192,37 +195,106 @@ RULES = (("m", "x", 0, 10, 3),)
 SCHEMA = "m string, id long, ts timestamp, v double"
 
 
+def feed(spark, path, *parts):
+    """A file per micro-batch, and the stream that reads them one by one."""
+    for rows in parts:
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.05)  # files are read in the order of their times
+    return live.read_stream(spark, path, spark.read.parquet(path).schema, "ts", files_per_trigger=1)
+
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def readings(values, key="m", start=0):
+    return [(key, start + i, T0 + dt.timedelta(minutes=start + i), None if v is None else float(v)) for i, v in enumerate(values)]
+
+
 def test_sustained_alerts_cross_batches_like_one_batch(spark, tmp_path):
-    t0 = dt.datetime(2024, 1, 1)
-    values = [1, 11, 12, 13, 14, 2, -1, -2, -3, 5, 11, 12]
-    rows = [("m", i, t0 + dt.timedelta(minutes=i), float(v)) for i, v in enumerate(values)]
-    for b, cut in enumerate(((0, 3), (3, 8), (8, 12))):
-        spark.createDataFrame(rows[cut[0]:cut[1]], SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    schema = spark.read.parquet(str(tmp_path / "in")).schema
-    stream = live.read_stream(spark, str(tmp_path / "in"), schema, "ts", files_per_trigger=1)
+    rows = readings([1, 11, 12, 13, 14, 2, -1, -2, -3, 5, 11, 12, None, 11])
+    stream = feed(spark, str(tmp_path / "in"), rows[:3], rows[3:8], rows[8:])
     out = live.run_sustained_alerts(stream, ["m"], "m", "ts", "v", ["id"], RULES)
     assert sorted((r.id, r.threshold_severity) for r in out.collect()) == [(3, "high"), (4, "high"), (8, "medium")]
-    assert out.select("batch").distinct().count() == 2
+    assert out.columns == ["m", "id", "ts", "v", "threshold_reason", "threshold_severity"]
 
 
-def test_idle_series_keep_their_state_without_a_rewrite(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(live, "COMPACT", 2)
-    t0 = dt.datetime(2024, 1, 1)
-    runs = [[("m", 11), ("n", 11)], [("m", 12)], [("m", 13)], [("m", 1)], [("m", 2)], [("n", 12), (None, 11)], [("n", 13), (None, 12)], [(None, 13)]]
-    i = 0
-    for part in runs:
-        rows = []
-        for k, v in part:
-            rows.append((k, i, t0 + dt.timedelta(minutes=i), float(v)))
-            i += 1
-        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    schema = spark.read.parquet(str(tmp_path / "in")).schema
-    stream = live.read_stream(spark, str(tmp_path / "in"), schema, "ts", files_per_trigger=1).withColumn("kind", F.lit("m"))
-    out = live.run_sustained_alerts(stream, ["m"], "kind", "ts", "v", ["id"], RULES, state=str(tmp_path / "state"))
-    assert sorted((r.m or "", r.v) for r in out.collect()) == [("", 13.0), ("m", 13.0), ("n", 13.0)]
-    state = spark.read.parquet(str(tmp_path / "state"))
-    assert {r.m for r in state.filter("batch = 7").collect()} == {None}  # only the series of that batch
-    assert {r.batch for r in state.select("batch").distinct().collect()} == {4, 5, 6, 7}
+def batch_alerts(spark, rows):
+    placed = with_position(spark.createDataFrame(rows, SCHEMA), ["m"], ["ts", "id"])
+    out = detect.threshold_rules(placed.withColumn("kind", F.lit("m")), ["m"], "kind", "v", RULES)
+    return sorted((r.id, r.threshold_reason, r.threshold_severity) for r in out.filter("threshold_anomaly").collect())
+
+
+def test_sustained_alerts_of_many_series_in_five_batches(spark, tmp_path):
+    """Same alerts as the batch operator, null key, ties in time and empty batches of a series included."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(400):
+        key = rnd.choice(["m", "n", None, "x"])
+        rows.append((key, i, T0 + dt.timedelta(minutes=i // 2), rnd.choice([None, 5.0, 11.0, 12.0, 13.0, -1.0, -2.0])))
+    cuts = [0, 90, 91, 180, 300, 400]
+    parts = [rnd.sample(rows[a:b], b - a) for a, b in zip(cuts, cuts[1:])]
+    stream = feed(spark, str(tmp_path / "in"), *parts).withColumn("kind", F.lit("m"))
+    out = live.run_sustained_alerts(stream, ["m"], "kind", "ts", "v", ["id"], RULES)
+    got = sorted((r.id, r.threshold_reason, r.threshold_severity) for r in out.collect())
+    assert got == batch_alerts(spark, rows) and len(got) > 10
+
+
+def test_a_late_reading_is_judged_where_it_belongs(spark, tmp_path):
+    rows = readings([11, 12, 1, 13, 14, 15])
+    stream = feed(spark, str(tmp_path / "in"), [rows[0], rows[3]], [rows[1]], [rows[2]], rows[4:])
+    out = live.run_sustained_alerts(stream, ["m"], "m", "ts", "v", ["id"], RULES)
+    # reading 1 arrives late and completes nothing behind it; the low reading 2 then breaks the run, which counts again from 3 on
+    assert [r.id for r in out.orderBy("id").collect()] == [5]
+
+
+def test_a_restarted_stream_goes_on_with_its_state(spark, tmp_path):
+    rows = readings([1, 11, 12, 13, 14, 2])
+    where = dict(out=str(tmp_path / "out"), checkpoint=str(tmp_path / "state"))
+    stream = feed(spark, str(tmp_path / "in"), rows[:3])
+    assert live.run_sustained_alerts(stream, ["m"], "m", "ts", "v", ["id"], RULES, **where).count() == 0
+    for _ in range(2):  # the second time there is nothing new
+        stream = feed(spark, str(tmp_path / "in"), *([rows[3:]] if _ == 0 else []))
+        out = live.run_sustained_alerts(stream, ["m"], "m", "ts", "v", ["id"], RULES, **where)
+        assert sorted(r.id for r in out.collect()) == [3, 4]
+
+
+def test_only_the_series_of_a_batch_are_read(spark, tmp_path):
+    many = [r for k in range(40) for r in readings([11, 12], f"s{k}", 10 * k)]
+    one = [("s3", 1000, T0 + dt.timedelta(minutes=1000), 13.0)]
+    stream = feed(spark, str(tmp_path / "in"), many, one).withColumn("kind", F.lit("m"))
+    alerts = live.sustained_alert_stream(stream, ["m"], "kind", "ts", "v", ["id"], RULES)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, live.ROCKSDB)
+    try:
+        query = (alerts.writeStream.format("parquet").trigger(availableNow=True).option("path", str(tmp_path / "out"))
+                 .option("checkpointLocation", str(tmp_path / "state")).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set(setting, was)
+    reads = [p["stateOperators"][0]["customMetrics"]["rocksdbGetCount"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(reads) == 2 and reads[0] >= 40 and reads[1] <= 4
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1000]
+
+
+def test_idle_series_are_forgotten(spark, tmp_path):
+    rows = readings([11, 12])
+    gap = [("m", 50, T0 + dt.timedelta(hours=5), 13.0), ("m", 51, T0 + dt.timedelta(hours=5, minutes=1), 13.0), ("m", 52, T0 + dt.timedelta(hours=5, minutes=2), 13.0)]
+    other = [("n", 60 + i, T0 + dt.timedelta(hours=9 + i), 1.0) for i in range(3)]
+    stream = feed(spark, str(tmp_path / "in"), rows, gap, *[[r] for r in other]).withColumn("kind", F.lit("m"))
+    alerts = live.sustained_alert_stream(stream, ["m"], "kind", "ts", "v", ["id"], RULES, idle="1 hour", late="1 minute")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, live.ROCKSDB)
+    try:
+        query = (alerts.writeStream.format("parquet").trigger(availableNow=True).option("path", str(tmp_path / "out"))
+                 .option("checkpointLocation", str(tmp_path / "state")).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.set(setting, was)
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [52]  # the run began anew after the gap
+    tail = spark.read.format("statestore").option("path", str(tmp_path / "state")).option("stateVarName", "tail").load()
+    assert {r["key"][0] for r in tail.collect()} == {"n"}
 
 
 def test_late_rows_and_open_bins_stay_out(spark, tmp_path):

@@ -40,13 +40,13 @@ from tidewatch.llm.trie import NONE, Trie, quantised, value_of
 from tidewatch.plans.staging import drop, stage_at
 
 DISCOUNT = 0.8
-BLOCK_TOKENS = 1 << 20  # a block ends with the text that reaches them
+BLOCK_TOKENS = 700_000  # a block ends with the text that reaches them
 SHARD_TOKENS, LEAST_SHARDS = 1 << 19, 64
-HOT = 65_536  # most frequent words: short names, and pairs that start with one are dealt by both words
+HOT = 65_536  # at most so many words are frequent: pairs that start with one of them are dealt by both words
 HEAVY, MASS = 1 << 20, 1000.0
 END, WORD = np.uint64(0), np.uint64((1 << 63) - 1)  # hash of the end mark; bits of a word's hash
-# Names in pairs and trigrams: ranks, the begin mark, and 47 bits of the hash of other words under a bit of their own.
-BEGIN, ONCE, RARE = np.uint64(1 << 46), np.uint64(1 << 45), np.uint64(1 << 47)
+# Names in pairs and trigrams: a word's number, then a bit that tells frequent words.
+BEGIN, ONCE, OFTEN, FIRST = np.uint64(1), np.uint64(3), np.uint64(1), np.uint64(2)
 MESSAGE = "kind string, shard int, block long, body binary"
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -79,16 +79,13 @@ def _messages(rows: list[tuple]) -> pa.Table:
 
 # -- blocks ------------------------------------------------------------------------
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each text with an end mark behind, and tokens per text."""
-    hashes, counts = [], []
-    for _, _, data, bounds in pieces(column):
+def _tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Per piece of whole texts its first and end row, hashes of the words of each text with an end mark behind, and tokens per text."""
+    for i, j, data, bounds in pieces(column):
         data = _lower[data]
         starts, ends, own = words(data, bounds, _inside)
         h = np.maximum(span_hash(prefix(data), starts, ends) & WORD, np.uint64(1))
-        hashes.append(np.insert(h, own[1:], END))
-        counts.append(np.diff(own) + 1)
-    return (np.concatenate(hashes), np.concatenate(counts)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        yield i, j, np.insert(h, own[1:], END), np.diff(own) + 1
 
 
 def make_blocks(docs: DataFrame, doc_id: str, text: str, folds: int, held: int) -> DataFrame:
@@ -114,17 +111,16 @@ def make_blocks(docs: DataFrame, doc_id: str, text: str, folds: int, held: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, flags, hashes, counts, total = [], [], [], [], 0
         for b in batches:
-            h, n = _tokens(b.column(1))
-            if not len(n):
-                continue
-            ids.append(b.column(0))
-            flags.append(b.column(2).to_numpy(zero_copy_only=False).astype(bool))
-            hashes.append(h)
-            counts.append(n)
-            total += len(h)
-            if total >= BLOCK_TOKENS:
-                yield close(ids, flags, hashes, counts)
-                ids, flags, hashes, counts, total = [], [], [], [], 0
+            held = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for i, j, h, n in _tokens(b.column(1)):
+                ids.append(b.column(0)[i:j])
+                flags.append(held[i:j])
+                hashes.append(h)
+                counts.append(n)
+                total += len(h)
+                if total >= BLOCK_TOKENS:
+                    yield close(ids, flags, hashes, counts)
+                    ids, flags, hashes, counts, total = [], [], [], [], 0
         if ids:
             yield close(ids, flags, hashes, counts)
 
@@ -154,15 +150,6 @@ class Block:
         return out
 
 
-def named(hashes: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Names of words: a small number for a frequent one, else bits of the hash."""
-    out = hashes & (RARE - np.uint64(1)) | RARE
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-        out = np.where(hot[at] == hashes, rank[at], out)
-    return out
-
-
 def distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Different rows of columns of numbers from -1 below ``size``, in order, and for each row which of them it is."""
     width = int(size + 1).bit_length()
@@ -240,38 +227,39 @@ def _ask_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Re
             yield from _messages(rows).to_batches()
 
 
-def _count_words(table: pa.Table) -> pa.Table:
-    """Per word its count and whether it occurs once in all texts; and the shard's most frequent words."""
+def _count_words(table: pa.Table, shards: int) -> pa.Table:
+    """Per word its count, whether it occurs once in all texts and its number, small for frequent words; and the shard's highest counts."""
     rows = table.to_pylist()
     asked = [unpack(r["body"]) for r in rows]
     found, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     n, every = _added(len(found), inverse, *(np.concatenate([a[i] for a in asked]) for i in (1, 2)))
+    number = np.empty(len(found), np.uint64)
+    number[np.argsort(-every, kind="stable")] = np.arange(len(found), dtype=np.uint64) * np.uint64(shards) + np.uint64(rows[0]["shard"])
     out, at = [], 0
     for r, a in zip(rows, asked):
         which = inverse[at: at + len(a[0])]
-        out.append(("words", r["shard"], r["block"], pack(n[which], every[which] == 1)))
+        out.append(("words", r["shard"], r["block"], pack(n[which], every[which] == 1, number[which])))
         at += len(a[0])
-    top = np.argsort(-n, kind="stable")[:HOT]
-    top = top[n[top] > 0]
-    out.append(("top", rows[0]["shard"], -1, pack(found[top], n[top], np.array([n.sum(), (n > 0).sum()], np.int64))))
+    out.append(("top", rows[0]["shard"], -1, pack(np.sort(n)[::-1][: HOT + 1].copy(), np.array([n.sum(), (n > 0).sum()], np.int64))))
     return _messages(out)
 
 
 def _hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for body in b.column(0).to_pylist():
-            h, n, total = unpack(body)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(h.view(np.int64), 0)), pa.array(np.append(n, -1)), pa.array(np.append(np.zeros_like(n), total[0])),
-                                              pa.array(np.append(np.zeros_like(n), total[1]))], ["h", "n", "tokens", "kinds"])
+            n, total = unpack(body)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(n, -1)), pa.array(np.append(np.zeros_like(n), total[0])),
+                                              pa.array(np.append(np.zeros_like(n), total[1]))], ["n", "tokens", "kinds"])
 
 
 class Words:
     """What a block knows after the first round."""
 
-    def __init__(self, block: Block, answers: pa.Table, shards: int, hot: np.ndarray, rank: np.ndarray):
+    def __init__(self, block: Block, answers: pa.Table, shards: int, level: int):
         order = np.argsort(_word_shard(block.vocabulary, shards), kind="stable")
-        self.n, self.alone = _answers(answers, "words", order)
-        self.names = np.append(named(block.vocabulary, hot, rank), [ONCE, BEGIN])  # so that index -1 is the begin mark
+        self.n, self.alone, number = _answers(answers, "words", order)
+        names = (number + FIRST) << np.uint64(1) | (self.n > level).astype(np.uint64)
+        self.names = np.append(names, [ONCE, BEGIN])  # so that index -1 is the begin mark
         self.alone = np.append(self.alone, [False, False])
 
 
@@ -290,16 +278,16 @@ class Pairs:
         self.ask = np.full(len(self.b), -1, np.int64)
         self.ask[asks] = ask
         names = [known.names[qb], known.names[qc]]
-        shard = np.where(names[0] & RARE > 0, _shard(names[:1], shards), _shard(names, shards))
+        shard = np.where(names[0] & OFTEN > 0, _shard(names, shards), _shard(names[:1], shards))
         counts = _added(len(qb), ask, self.trained[asks], self.every[asks])
         self.columns, self.shard = [*names, *(n.astype(np.uint32) for n in counts)], shard
 
 
-def _ask_pairs(left: pa.Table, right: pa.Table, shards: int, hot: np.ndarray, rank: np.ndarray) -> pa.Table:
+def _ask_pairs(left: pa.Table, right: pa.Table, shards: int, level: int) -> pa.Table:
     out = []
     for row in left.to_pylist():
         block = Block(row)
-        pairs = Pairs(block, Words(block, right, shards, hot, rank), shards)
+        pairs = Pairs(block, Words(block, right, shards, level), shards)
         out += _dealt("pairs", block.number, pairs.shard, pairs.columns)[0]
     return _messages(out)
 
@@ -314,13 +302,13 @@ def _count_pairs(table: pa.Table) -> pa.Table:
     n, every = _added(len(pb), inverse, m, e)
     followers = np.zeros(len(ids), np.int64)
     np.add.at(followers, pb, np.where(ids[pc] == ONCE, n, n > 0))
-    mine = np.where(ids & RARE > 0, followers, 0)
+    mine = np.where(ids & OFTEN > 0, 0, followers)
     out, i = [], 0
     for r, a in zip(rows, asked):
         which = inverse[i: i + len(a[0])]
         out.append(("pairs", r["shard"], r["block"], pack(n[which], every[which] == 1, mine[pb[which]])))
         i += len(a[0])
-    often = np.flatnonzero((ids & RARE == 0) & (followers > 0))
+    often = np.flatnonzero((ids & OFTEN > 0) & (followers > 0))
     out.append(("followers", rows[0]["shard"], -1, pack(ids[often], followers[often])))
     return _messages(out)
 
@@ -336,10 +324,9 @@ def _follower_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 @dataclass
 class Corpus:
-    """Totals, and tables of at most ``HOT`` entries."""
+    """Totals, and the followers of at most ``HOT`` names."""
     shards: int
-    hot: np.ndarray
-    rank: np.ndarray
+    level: int  # words of a higher count are frequent
     train_docs: int = 0
     train_tokens: int = 0
     kinds: int = 0
@@ -350,7 +337,7 @@ class Trigrams:
     """What a block knows after two rounds, its different trigrams, and the questions about them."""
 
     def __init__(self, block: Block, answers: pa.Table, corpus: Corpus):
-        self.words = known = Words(block, answers, corpus.shards, corpus.hot, corpus.rank)
+        self.words = known = Words(block, answers, corpus.shards, corpus.level)
         self.pairs = pairs = Pairs(block, known, corpus.shards)
         n, alone, follows = _answers(answers, "pairs", np.argsort(pairs.shard, kind="stable")) or (np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))
         asked = pairs.ask >= 0
@@ -358,7 +345,7 @@ class Trigrams:
         self.once = pairs.sure | (asked & (alone[pairs.ask] if len(n) else False))
         b_name = known.names[pairs.b]
         followers = np.where(asked, follows[pairs.ask] if len(n) else 0, pairs.trained).astype(np.int64)
-        often = np.flatnonzero(asked & (b_name & RARE == 0))
+        often = np.flatnonzero(asked & (b_name & OFTEN > 0))
         name, count = corpus.followers
         if len(name):
             at = np.minimum(np.searchsorted(name, b_name[often]), len(name) - 1)
@@ -469,8 +456,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
 
     Learned from all texts whose id's crc32 modulo ``folds`` isn't ``held``; rows without an id are learned from. A null or
     empty text is its end mark. Equal texts have equal scores, repeated rows each count, other columns aren't read, and an
-    empty table gives no rows. Scores are within some 3e-4 a token of the formulas, by the 16-bit codes. Words that aren't among
-    the ``HOT`` most frequent go by 47 bits of their hash in pairs and trigrams: of a billion different ones some thousand pairs share a name.
+    empty table gives no rows. Scores are within some 3e-4 a token of the formulas, by the 16-bit codes. Words are told apart by
+    63 bits of a hash.
     """
     spark = docs.sparkSession
     # what a finished round has shuffled isn't read again: rounds are cut by written tables
@@ -490,17 +477,13 @@ def _rounds(docs: DataFrame, doc_id: str, text: str, folds: int, held: int) -> D
     shards, train_docs = max(LEAST_SHARDS, -(-size[0] // SHARD_TOKENS)), size[1]
 
     asked = blocks.mapInArrow(lambda batches: _ask_words(batches, shards), MESSAGE)
-    by_word, word_path = stage_at(asked.groupBy("shard").applyInArrow(_count_words, MESSAGE), "words")
-    top = by_word.filter("kind = 'top'").select("body").mapInArrow(_hot_rows, "h long, n long, tokens long, kinds long")
+    by_word, word_path = stage_at(asked.groupBy("shard").applyInArrow(lambda t: _count_words(t, shards), MESSAGE), "words")
+    top = by_word.filter("kind = 'top'").select("body").mapInArrow(_hot_rows, "n long, tokens long, kinds long")
     total = top.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
-    train_tokens, kinds = total[0], total[1]
-    often = np.array([r[0] for r in top.filter("n > 0").orderBy(F.desc("n"), "h").limit(HOT).select("h").collect()], np.int64).view(np.uint64)
-    order = np.argsort(often)
-    hot, rank = often[order], order.astype(np.uint64)
-
-    corpus = Corpus(shards, hot, rank, train_docs, train_tokens, kinds)
+    highest = [r[0] for r in top.orderBy(F.desc("n")).limit(HOT + 1).select("n").collect()]
+    corpus = Corpus(shards, max(highest[-1], 0) if len(highest) > HOT else 0, train_docs, *total)
     slim = blocks.select("block", "held", "body").groupBy("block")
-    asked = slim.cogroup(by_word.filter("kind = 'words'").groupBy("block")).applyInArrow(lambda x, y: _ask_pairs(x, y, shards, hot, rank), MESSAGE)
+    asked = slim.cogroup(by_word.filter("kind = 'words'").groupBy("block")).applyInArrow(lambda x, y: _ask_pairs(x, y, shards, corpus.level), MESSAGE)
     by_pair, pair_path = stage_at(asked.groupBy("shard").applyInArrow(_count_pairs, MESSAGE), "pairs")
     follows = by_pair.filter("kind = 'followers'").select("body").mapInArrow(_follower_rows, "name long, n long").groupBy("name").agg(F.sum("n"))
     named_counts = np.array([tuple(r) for r in follows.collect()], np.int64).reshape(-1, 2)  # at most HOT names and the begin mark

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import cluster, density, detect, forest
+from tidewatch.operators import cluster, cover, density, detect, forest
 from tidewatch.plans.chunks import with_position
 from tidewatch.streaming import live
 
@@ -70,12 +70,43 @@ def test_dbscan_decides_crowded_cells_by_boxes(spark, monkeypatch):
         check(spark, np.vstack([a, b]), ["s"] * 160, 0.5, 5)
 
 
-def test_dbscan_on_many_columns_and_crowded_cells(spark, monkeypatch):
+@pytest.mark.parametrize("leaf,asks,partners", [(512, 2048, 16), (6, 4, 1)])
+def test_dbscan_on_many_columns(spark, monkeypatch, leaf, asks, partners):
+    """Trees of one leaf and of many, tight cells, a chain over many leaves, points apart, a copied point."""
+    for name, n in (("LEAF", leaf), ("ASKS", asks), ("PARTNERS", partners)):
+        monkeypatch.setattr(cover, name, n)
     rng = np.random.default_rng(3)
-    x = np.vstack([rng.normal(0, 0.15, (60, 5)), rng.normal(1.5, 0.2, (50, 5)), rng.uniform(-3, 3, (40, 5))])
-    for crowd in (2048, 3):
-        monkeypatch.setattr(density, "CROWDED_CELL", crowd)
-        check(spark, x, ["s"] * 75 + ["t"] * 75, 0.5, 4)
+    chain = np.outer(np.arange(50) * 0.3, np.ones(5) / np.sqrt(5)) + 4
+    x = np.vstack([rng.normal(0, 0.03, (40, 5)), rng.normal(0, 0.15, (40, 5)), rng.normal(1.5, 0.2, (40, 5)), rng.uniform(-3, 3, (30, 5)), chain, np.tile(chain[7], (6, 1))])
+    order = rng.permutation(len(x))
+    check(spark, x[order], ["s" if i % 3 else "t" for i in range(len(x))], 0.5, 4)
+
+
+def test_dbscan_numbers_alike_in_any_number_of_columns(spark):
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(c, 0.1, (30, 2)) for c in ((2, 2), (-3, 1), (0, 5), (2, -4))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id int, a double, b double").withColumns({"c": F.lit(0.0), "d": F.lit(1.0)})
+    two = {r.id: r.cluster for r in density.dbscan(df, [], ["a", "b"], 0.5, 4).collect()}
+    four = {r.id: r.cluster for r in density.dbscan(df, [], ["a", "b", "c", "d"], 0.5, 4).collect()}
+    assert two == four and [two[i] for i in (30, 60, 90, 0)] in ([0, 1, 3, 2], [0, 1, 2, 3])
+
+
+def test_a_dense_ball_in_many_columns_makes_no_pairs(spark, monkeypatch):
+    """100,000 points within eps / 2 of their mean in 64 columns: nothing that is written has more rows than points, links or asks."""
+    n, d = 100_000, 64
+    rows = spark.range(n).select("id", *[(F.rand(i) * 0.05).alias(f"f{i}") for i in range(d)])
+    sizes, keep = [], cover.stage
+
+    def counted(df, tag):
+        df = keep(df, tag)
+        sizes.append((tag, df.count()))
+        return df
+
+    monkeypatch.setattr(cover, "stage", counted)
+    got = density.dbscan(rows, [], [f"f{i}" for i in range(d)], 0.5, 5)
+    assert got.agg(F.count(F.lit(1)), F.min("cluster"), F.max("cluster"), F.min("is_core")).first()[:] == (n, 0, 0, True)
+    between = [size for tag, size in sizes if tag in ("pairs", "asks", "answers", "leaf-pairs", "links")]
+    assert len(between) >= 6 and max(between) == 0 and max(size for _, size in sizes) == n
 
 
 def test_dbscan_keeps_all_rows(spark):

@@ -10,9 +10,8 @@ diagonal is just under eps, so that
 * clusters are connected components of cells, and whether two cells touch is decided
   by bounding boxes, split further only where a box pair is undecided.
 
-That holds for up to three columns. With more, cells over the columns of the widest spread find the
-candidates, more columns being taken while a cell is crowded, and distances are taken over all columns;
-clusters are then connected components of core points.
+That holds for up to three columns. With more, cells would have too many neighbours, and a tree of balls takes
+their place (``cover``). Clusters are numbered alike: in the order of their smallest core points.
 
 The input is written once, so that verdicts and rows are of one evaluation; keys may be NULL.
 """
@@ -25,11 +24,11 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.cover import by_cover
 from tidewatch.plans.chunks import one_key
 from tidewatch.plans.staging import drop, scratch, stage, stage_at
 
-CELL_DIMS = 3  # with more columns, cells are laid over the widest few of them
-CROWDED_CELL, MOST_AXES = 2048, 6
+CELL_DIMS = 3
 SIDE_SLACK = 1 - 1e-9
 PAIR_BUDGET = 1024  # point pairs of one cell pair that are compared directly
 
@@ -184,7 +183,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float = 0.5, min_samples: int = 5,
            labels: bool = True) -> DataFrame:
     """Adds is_core, is_noise and (with ``labels``) cluster: -1 for noise, else 0, 1, ...
-    per series in the order of each cluster's smallest cell (more than three columns: smallest core point).
+    per series in the order of each cluster's smallest core point.
     Rows with a NULL or NaN among ``cols`` have NULL verdicts."""
     cols = list(cols)
     d = len(cols)
@@ -200,8 +199,11 @@ def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float =
     whole = F.coalesce(whole, F.lit(False))
     with scratch(df.sparkSession):
         points = keyed.filter(whole).groupBy(*key, *[F.col(x).alias(f"x{i}") for i, x in enumerate(xs)]).agg(F.count(F.lit(1)).alias("w"))
-        judge = _by_cells if d <= CELL_DIMS else _by_points
-        found = stage(judge(points, key, d, eps, min_samples, labels), "verdicts", keep=True)
+        if d <= CELL_DIMS:
+            verdicts = _by_cells(points, key, d, eps, min_samples, labels)
+        else:
+            verdicts = by_cover(points, key, d, eps, min_samples, labels, components)
+        found = stage(verdicts, "verdicts", keep=True)
     found = found.withColumnsRenamed({f"x{i}": x for i, x in enumerate(xs)})
     done = keyed.filter(whole).join(found, on=[*key, *xs]).select(*df.columns, *added)
     kinds = {c: found.schema[c].dataType for c in added}
@@ -234,12 +236,12 @@ def _by_cells(points: DataFrame, keys: list[str], d: int, eps: float, min_sample
         return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"n{i}") for i, c in enumerate(names)])
 
     if labels:
-        cells = core.select(*keys, *cs).distinct()
+        cells = core.groupBy(*keys, *cs).agg(F.min(F.struct(*xs)).alias("_p"))
         pairs = _touching_cells(core, keys, d, eps, side, reach)
         parts = components(cells.select(node(cs).alias("node")),
                            pairs.select(node(_coords("a", d)).alias("a"), node(_coords("b", d)).alias("b")))
         named = stage(cells.withColumn("node", node(cs)).join(parts, on="node"), "components")
-        order = named.groupBy(*keys, "label").agg(F.min(F.struct(*cs)).alias("_first"))
+        order = named.groupBy(*keys, "label").agg(F.min("_p").alias("_first"))
         number = Window.partitionBy(*keys).orderBy("_first")
         ids = order.select(*keys, "label", (F.row_number().over(number) - 1).alias("cluster"))
         cell_ids = named.join(ids, on=[*keys, "label"]).select(*keys, *cs, "cluster")
@@ -257,38 +259,3 @@ def _by_cells(points: DataFrame, keys: list[str], d: int, eps: float, min_sample
         F.coalesce("cluster", F.lit(-1)).alias("cluster"))
     verdicts = core.select(*keys, *xs, F.lit(True).alias("is_core"), F.lit(False).alias("is_noise"), "cluster").unionByName(rest)
     return verdicts
-
-
-def _by_points(points: DataFrame, keys: list[str], d: int, eps: float, min_samples: int, labels: bool) -> DataFrame:
-    """The same verdicts with more dimensions: candidates share or neighbour a cell over some of the columns."""
-    xs = _coords("x", d)
-    points = stage(points.withColumn("id", F.monotonically_increasing_id()), "points")
-    spread = points.agg(*[F.stddev_pop(x).alias(x) for x in xs]).first()
-    widest = sorted(xs, key=lambda x: (-(spread[x] or 0.0), x))
-    for n in range(CELL_DIMS, min(d, MOST_AXES) + 1):
-        axes = widest[:n]
-        crowd = points.groupBy(*keys, *[_cell(x, eps).alias(f"c{i}") for i, x in enumerate(axes)]).count().agg(F.max("count")).first()[0]
-        if (crowd or 0) <= CROWDED_CELL:
-            break
-    cs = _coords("c", n)
-    at = points.select(*keys, "id", "w", F.array(*xs).alias("v"), *[_cell(x, eps).alias(c) for x, c in zip(axes, cs)])
-    asks = points.select(*keys, F.col("id").alias("a"), F.array(*xs).alias("u"), *[_cell(x, eps).alias(c) for x, c in zip(axes, cs)])
-    for c in cs:
-        asks = asks.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
-    far = F.aggregate(F.zip_with("u", "v", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x)
-    near = stage(asks.join(at, on=[*keys, *cs]).filter(far <= eps * eps).select("a", F.col("id").alias("b"), "w"), "near")
-    core = stage(near.groupBy("a").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_samples).select("a"), "core")
-    of_core = stage(near.join(core.select(F.col("a").alias("b")), "b").select("a", "b"), "of-core")
-    parts = core.select(F.col("a").alias("id"), F.lit(0).alias("cluster"))
-    if labels:
-        links = of_core.join(core, "a").filter("a < b")
-        named = components(core.select(F.col("a").alias("node")), links).select(F.col("node").alias("id"), "label")
-        named = stage(points.join(named, "id").select(*keys, "id", "label", F.struct(*xs).alias("_p")), "components")
-        order = named.groupBy(*keys, "label").agg(F.min("_p").alias("_first"))
-        number = F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1
-        parts = named.join(order.select("label", number.alias("cluster")), "label").select("id", "cluster")
-    parts = stage(parts, "parts")
-    border = of_core.join(parts, F.col("b") == F.col("id")).groupBy("a").agg(F.min("cluster").alias("_near"))
-    out = points.join(parts, "id", "left").join(border.withColumnRenamed("a", "id"), "id", "left")
-    return out.select(*keys, *xs, F.col("cluster").isNotNull().alias("is_core"), F.col("_near").isNull().alias("is_noise"),
-                      F.coalesce("cluster", "_near", F.lit(-1)).alias("cluster"))

@@ -40,8 +40,8 @@ from tidewatch.llm.trie import NONE, Trie, quantised, value_of
 from tidewatch.plans.staging import drop, stage_at
 
 DISCOUNT = 0.8
-BLOCK_TOKENS = 700_000  # a block ends with the text that reaches them
-SHARD_TOKENS, LEAST_SHARDS = 1 << 19, 64
+BLOCK_TOKENS = 400_000  # a block ends with the text that reaches them
+SHARD_TOKENS, LEAST_SHARDS = 1 << 20, 64
 HOT = 65_536  # at most so many words are frequent: pairs that start with one of them are dealt by both words
 HEAVY, MASS = 1 << 20, 1000.0
 END, WORD = np.uint64(0), np.uint64((1 << 63) - 1)  # hash of the end mark; bits of a word's hash
@@ -59,7 +59,7 @@ _inside[list(SPACES)] = False
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays byte by byte (all first bytes, all second ones, ...), compressed."""
-    squeeze = zstandard.ZstdCompressor(level=1)
+    squeeze = zstandard.ZstdCompressor(level=2)
     return pickle.dumps([(a.dtype.str, len(a), squeeze.compress(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes()) if len(a) else b"")
                          for a in arrays])
 
@@ -135,14 +135,14 @@ class Block:
     def __init__(self, row: dict):
         self.number, self.held = row["block"], np.array(row["held"], bool)
         self.vocabulary, code, self.counts = unpack(row["body"])
-        self.code = code.astype(np.int64)
+        self.code = code.astype(np.int32)
         self.ends = np.cumsum(self.counts)
         self.starts = self.ends - self.counts
         self.trains = np.repeat(~self.held, self.counts)
 
     def before(self, k: int) -> np.ndarray:
         """Index of the word k places before each token; -1 for the begin of its text."""
-        out = np.full(len(self.code), -1, np.int64)
+        out = np.full(len(self.code), -1, np.int32)
         out[k:] = self.code[: max(0, len(self.code) - k)]
         for i in range(k):
             at = self.starts + i
@@ -156,9 +156,10 @@ def distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np
     if width * len(columns) <= 63:
         key = np.zeros(len(columns[0]), np.int64)
         for c in columns:
-            key = (key << width) | (c + 1)
+            key <<= width
+            key |= c.astype(np.int64) + 1
         found, inverse = np.unique(key, return_inverse=True)
-        return [((found >> (width * (len(columns) - 1 - i))) & ((1 << width) - 1)) - 1 for i in range(len(columns))], inverse
+        return [((found >> (width * (len(columns) - 1 - i))) & ((1 << width) - 1)) - 1 for i in range(len(columns))], inverse.astype(np.int32)
     order = np.lexsort(columns[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -166,7 +167,7 @@ def distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np
         new[1:] |= c[order][1:] != c[order][:-1]
     inverse = np.empty(len(order), np.int64)
     inverse[order] = np.cumsum(new) - 1
-    return [c[order][new] for c in columns], inverse
+    return [c[order][new].astype(np.int64) for c in columns], inverse
 
 
 def _shard(keys: list[np.ndarray], shards: int) -> np.ndarray:
@@ -334,7 +335,7 @@ class Corpus:
 
 
 class Trigrams:
-    """What a block knows after two rounds, its different trigrams, and the questions about them."""
+    """What a block knows after two rounds, and its questions about trigrams."""
 
     def __init__(self, block: Block, answers: pa.Table, corpus: Corpus):
         self.words = known = Words(block, answers, corpus.shards, corpus.level)
@@ -354,25 +355,23 @@ class Trigrams:
         self.p1 = (known.n + 1.0) / (corpus.train_tokens + corpus.kinds + 1.0)
         context = n_word[pairs.b].astype(np.float64)
         self.p2 = np.where(context > 0, (np.maximum(self.n_pair - DISCOUNT, 0) + DISCOUNT * followers * self.p1[pairs.c]) / np.maximum(context, 1), self.p1[pairs.c])
-        self.later = np.ones(len(block.code), bool)
-        self.later[block.starts] = False
+        # tokens behind a first one, the pair (a, b) before each, and those whose context also occurs elsewhere
+        later = np.ones(len(block.code), bool)
+        later[block.starts] = False
+        self.later = np.flatnonzero(later)
+        self.context = pairs.of[self.later - 1]
+        self.open = np.flatnonzero(~self.once[self.context] & (self.n_pair[self.context] > 0))
+        at = self.later[self.open]
         size = len(block.vocabulary)
-        (self.b, self.a, self.c), self.of = distinct([block.before(1)[self.later], block.before(2)[self.later], block.code[self.later]], size)
-        self.pair, self.context = np.empty(len(self.b), np.int64), np.empty(len(self.b), np.int64)
-        self.pair[self.of] = pairs.of[self.later]
-        self.context[self.of] = pairs.of[np.flatnonzero(self.later) - 1]  # (a, b) is the pair of the token before
-        self.trained = _counts(len(self.b), self.of, block.trains[self.later])[0]
-        self.total = self.n_pair[self.context]
-        asks = np.flatnonzero(~self.once[self.context] & (self.total > 0))
-        (qb, qa, qc), ask = distinct([self.b[asks], self.a[asks], np.where(self.once[self.pair[asks]], size, self.c[asks])], size + 1)
-        self.ask = np.full(len(self.b), -1, np.int64)
-        self.ask[asks] = ask
-        names = [known.names[qb], known.names[qa], known.names[qc]]
-        total = np.zeros(len(qb), np.int64)
-        total[ask] = self.total[asks]
+        c = np.where(self.once[pairs.of[at]], size, block.code[at])
+        (b, a, c), self.ask = distinct([block.before(1)[at], block.before(2)[at], c], size + 1)
+        names = [known.names[b], known.names[a], known.names[c]]
+        total = np.zeros(len(b), np.int64)
+        total[self.ask] = self.n_pair[self.context[self.open]]
         heavy = total >= HEAVY
         self.shard = np.where(heavy, _shard(names, corpus.shards), _shard(names[:2], corpus.shards))
-        self.columns = [*names, _added(len(qb), ask, self.trained[asks])[0].astype(np.uint32), np.where(heavy, total, 0)]
+        n = np.bincount(self.ask[block.trains[at]], minlength=len(b))
+        self.columns = [*names, n.astype(np.uint32), np.where(heavy, total, 0)]
 
 
 def _ask_trigrams(left: pa.Table, right: pa.Table, corpus: Corpus) -> pa.Table:
@@ -394,7 +393,9 @@ def _score_trigrams(table: pa.Table) -> pa.Table:
     del asked
     ids, at = np.unique(np.concatenate((b, a, c)), return_inverse=True)
     k = len(b)
+    del a, b, c
     (qb, qa, qc), inverse = distinct([at[:k], at[k: 2 * k], at[2 * k:]], len(ids))
+    del at
     (n,) = _added(len(qb), inverse, m)
     given = np.empty(len(qb), np.int64)
     given[inverse] = total
@@ -431,19 +432,18 @@ def _final(block: Block, ids: pa.Array, answers: pa.Table, corpus: Corpus) -> pa
     log1 = np.log10(known.p1)
     base = np.add.reduceat(log1[block.code], block.starts)
     n_known = np.add.reduceat((known.words.n > 0).astype(np.int64)[block.code], block.starts)
-    p2 = known.p2[known.pair]
-    # a context that occurs once has one follower, here if this text is learned from; one that doesn't occur leaves all to P2
-    own = np.where(known.total > 0, 1 - DISCOUNT, 0.0)
-    share = np.where(known.total > 0, DISCOUNT, 1.0)
-    asked = known.ask >= 0
-    if asked.any():
+    # a context that occurs once has one follower, here, in a text that is learned from; one that doesn't occur leaves all to P2
+    seen = known.n_pair[known.context] > 0
+    own, share = np.where(seen, 1 - DISCOUNT, 0.0), np.where(seen, DISCOUNT, 1.0)
+    if len(known.open):
         code, weight = _answers(answers, "codes", np.argsort(known.shard, kind="stable"))
-        code, weight = code[known.ask[asked]], weight[known.ask[asked]]
-        absent = (code == NONE) | (known.once[known.pair[asked]] & (known.trained[asked] == 0))
-        own[asked] = np.where(absent, 0.0, 10.0 ** value_of(code))
-        share[asked] = 10.0 ** value_of(weight)
-    per = np.log10(known.p2[known.pairs.of])
-    per[known.later] = np.log10(own + share * p2)[known.of]
+        code, weight, at = code[known.ask], weight[known.ask], known.later[known.open]
+        absent = (code == NONE) | (known.once[known.pairs.of[at]] & ~block.trains[at])
+        own[known.open] = np.where(absent, 0.0, 10.0 ** value_of(code))
+        share[known.open] = 10.0 ** value_of(weight)
+    per = known.p2[known.pairs.of]
+    per[known.later] = own + share * per[known.later]
+    per = np.log10(per)
     score = np.add.reduceat(per, block.starts)
     return pa.table([ids, pa.array(block.held), pa.array(block.counts), pa.array(n_known), pa.array(np.full(len(base), corpus.train_tokens, np.int64)), pa.array(base), pa.array(score)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -491,8 +491,9 @@ def _rounds(docs: DataFrame, doc_id: str, text: str, folds: int, held: int) -> D
     corpus.followers = (named_counts[:, 0].view(np.uint64).copy(), named_counts[:, 1].copy())
 
     answers = by_word.filter("kind = 'words'").unionByName(by_pair.filter("kind = 'pairs'"))
-    asked = slim.cogroup(answers.groupBy("block")).applyInArrow(lambda x, y: _ask_trigrams(x, y, corpus), MESSAGE)
+    asked, ask_path = stage_at(slim.cogroup(answers.groupBy("block")).applyInArrow(lambda x, y: _ask_trigrams(x, y, corpus), MESSAGE), "asks")
     by_trigram, trigram_path = stage_at(asked.groupBy("shard").applyInArrow(_score_trigrams, MESSAGE), "trigrams")
+    drop(spark, ask_path)
 
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
     result = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -8,6 +8,7 @@ from catalog.base import HOURLY, KEY, hourly, query, r6, rounded, table
 from catalog.detectors import EVENT_RULES, RULES_AND_RESIDUAL, RULES_SQL, SEASONAL
 from catalog.series import FEATURES_SQL
 from tidewatch.operators import cluster, density, detect, features, forest, grid
+from tidewatch.operators.clean import standardize
 from tidewatch.plans import reports, workflows
 from tidewatch.plans.chunks import attach
 from tidewatch.streaming import live
@@ -38,8 +39,7 @@ def _(spark, sf):
 @query("K1_kmeans_window_features")
 def _(spark, sf):
     feats = features.impute_features(features.window_features(hourly(spark, sf), KEY, "value"))
-    used = ["mean", "standard_deviation", "linear_trend_slope", "autocorrelation_lag_1", "approximate_entropy"]
-    return cluster.kmeans(feats.select("event_type", "window_id", *used), used, k=4, n_init=3)
+    return cluster.kmeans(feats.select("event_type", "window_id", *features.FEATURES), features.FEATURES, k=4)
 
 
 # N9 features: value, trailing 5-row mean and std, standardized per event type; noise by brute force.
@@ -110,13 +110,20 @@ def _(spark, sf):
     return detect.multivariate_outliers(wide(spark, sf), ["ts"], METRICS, by_isolation=False).select("ts", "is_outlier")
 
 
-@query("K2_density_embeddings", """WITH nb AS (SELECT p.vec_id, q.vec_id AS other FROM embeddings p JOIN embeddings q
+# Labels as above; clusters are numbered by their smallest core vector.
+@query("K2_density_embeddings", """WITH RECURSIVE nb AS (SELECT p.vec_id, q.vec_id AS other FROM embeddings p JOIN embeddings q
   ON list_sum(list_transform(range(1, 65), lambda i: (p.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) ** 2)) <= 1.44),
-core AS (SELECT vec_id FROM nb GROUP BY 1 HAVING count(*) >= 4)
-SELECT e.vec_id, c.vec_id IS NOT NULL AS is_core, e.vec_id NOT IN (SELECT nb.vec_id FROM nb JOIN core ON nb.other = core.vec_id) AS is_noise
-FROM embeddings e LEFT JOIN core c ON e.vec_id = c.vec_id""")
+core AS (SELECT vec_id FROM nb GROUP BY 1 HAVING count(*) >= 4),
+ce AS (SELECT nb.vec_id, nb.other FROM nb JOIN core c ON nb.vec_id = c.vec_id JOIN core d ON nb.other = d.vec_id),
+reach AS (SELECT vec_id, vec_id AS root FROM core UNION SELECT ce.other, r.root FROM reach r JOIN ce ON ce.vec_id = r.vec_id WHERE r.root < ce.other),
+comp AS (SELECT vec_id, min(root) AS root FROM reach GROUP BY 1),
+named AS (SELECT root, row_number() OVER (ORDER BY min(embedding)) - 1 AS cluster FROM comp JOIN embeddings USING (vec_id) GROUP BY 1),
+own AS (SELECT vec_id, cluster FROM comp JOIN named USING (root)),
+edge AS (SELECT nb.vec_id, min(own.cluster) AS cluster FROM nb JOIN own ON nb.other = own.vec_id GROUP BY 1)
+SELECT e.vec_id, o.vec_id IS NOT NULL AS is_core, d.vec_id IS NULL AS is_noise, coalesce(o.cluster, d.cluster, -1)::INT AS cluster
+FROM embeddings e LEFT JOIN own o ON e.vec_id = o.vec_id LEFT JOIN edge d ON e.vec_id = d.vec_id""")
 def _(spark, sf):
-    return density.dbscan(_vectors(spark, sf), [], E, eps=1.2, min_samples=4, labels=False).select("vec_id", "is_core", "is_noise")
+    return density.dbscan(_vectors(spark, sf), [], E, eps=1.2, min_samples=4).select("vec_id", "is_core", "is_noise", "cluster")
 
 
 @query("N10_behaviour_table", WIDE_SQL + f""",
@@ -125,7 +132,7 @@ core AS (SELECT ts FROM nb GROUP BY 1 HAVING count(*) >= 5),
 k AS (SELECT x.ts, x.ts NOT IN (SELECT nb.ts FROM nb JOIN core ON nb.other = core.ts) AS noise FROM x)
 SELECT ts, noise AS is_outlier_dbscan, CASE WHEN noise THEN true END AS is_outlier, true AS labelled, true AS placed FROM k""")
 def _(spark, sf):
-    out = workflows.behaviour(wide(spark, sf), ["ts"], METRICS, n_init=2)
+    out = workflows.behaviour(wide(spark, sf), ["ts"], METRICS)
     return out.select("ts", "is_outlier_dbscan", F.when(F.col("is_outlier_dbscan"), F.col("is_outlier")).alias("is_outlier"),
                       (F.col("kmeans_cluster").between(0, 2) & ((F.col("density_cluster") == -1) == F.col("is_outlier_dbscan"))).alias("labelled"),
                       (F.col("pca1").isNotNull() & F.col("pca2").isNotNull() & F.col("pca3").isNotNull()).alias("placed"))
@@ -155,6 +162,21 @@ def _(spark, sf):
                     F.count_if(F.array_min(F.transform("_d", lambda x: x["d"])) < mine - 1e-3).alias("misplaced"))
 
 
+# The same for every metric of one job: windows per metric, clusters, none misplaced.
+@query("K1_kmeans_per_metric_fixed_point", FEATURES_SQL + """ SELECT event_type, count(*)::BIGINT AS n_rows, 4::BIGINT AS clusters, 0::BIGINT AS misplaced
+  FROM feat GROUP BY 1 HAVING count(*) >= 4""")
+def _(spark, sf):
+    feats = features.impute_features(features.window_features(hourly(spark, sf), KEY, "value"), keys=KEY)
+    out = cluster.kmeans(feats, features.FEATURES, k=4, keys=KEY).filter("cluster is not null")
+    zs = [f"{c}_z" for c in features.FEATURES]
+    z = standardize(out, features.FEATURES, KEY, "_z").select(*KEY, "window_id", "cluster", F.array(*zs).alias("z"))
+    middle = z.groupBy(*KEY, "cluster").agg(F.array(*[F.avg(F.get("z", F.lit(i))) for i in range(len(zs))]).alias("m"))
+    far = F.aggregate(F.zip_with("z", "m", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda a, x: a + x)
+    met = z.join(middle.withColumnRenamed("cluster", "other"), KEY).groupBy(*KEY, "window_id", "cluster").agg(
+        F.min(far).alias("least"), F.max(F.when(F.col("other") == F.col("cluster"), far)).alias("mine"))
+    return met.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster").alias("clusters"), F.count_if(F.col("least") < F.col("mine") - 1e-3).alias("misplaced"))
+
+
 # With as many components as columns a row keeps its length, and components are uncorrelated with falling variance.
 @query("K4_pca_keeps_lengths", WIDE_SQL + f" SELECT ts, round({' + '.join(f'{m} ** 2' for m in METRICS)}, 6) AS length2 FROM x")
 def _(spark, sf):
@@ -222,8 +244,40 @@ def _(spark, sf):
     return rounded(cluster.davies_bouldin(_vectors(spark, sf), "label", E), "davies_bouldin")
 
 
+# Density clusters as labels, noise left out.
+_DENSE = DENSITY_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+ce AS (SELECT nb.event_type, nb.pos, nb.other FROM nb JOIN core c ON nb.event_type = c.event_type AND nb.pos = c.pos JOIN core d ON nb.event_type = d.event_type AND nb.other = d.pos),
+reach AS (SELECT event_type, pos, pos AS root FROM core UNION SELECT ce.event_type, ce.other, r.root FROM reach r JOIN ce ON ce.event_type = r.event_type AND ce.pos = r.pos WHERE r.root < ce.other),
+comp AS (SELECT event_type, pos, min(root) AS root FROM reach GROUP BY 1, 2),
+pt AS (SELECT x.event_type, x.pos, x.a, x.b, x.c, root FROM x JOIN comp ON x.event_type = comp.event_type AND x.pos = comp.pos)"""
+
+
+def _dense_cores(spark, sf):
+    feats = detect.density_features(hourly(spark, sf), KEY, "value")
+    return density.dbscan(feats, KEY, ["f0_z", "f1_z", "f2_z"]).filter("is_core")
+
+
+@query("K5_silhouette_per_metric", _DENSE + """,
+d AS (SELECT p.event_type, p.pos, p.root, q.root AS other, sum(sqrt((p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.c - q.c) ** 2)) AS s, count(*) AS n
+      FROM pt p JOIN pt q ON p.event_type = q.event_type GROUP BY 1, 2, 3, 4),
+m AS (SELECT event_type, pos, max(CASE WHEN root = other THEN s / nullif(n - 1, 0) END) AS i, min(CASE WHEN root <> other THEN s / n END) AS o FROM d GROUP BY 1, 2)
+SELECT event_type, round(avg(coalesce((o - i) / nullif(greatest(o, i), 0), 0)), 6) AS silhouette FROM m GROUP BY 1""")
+def _(spark, sf):
+    return rounded(cluster.silhouette(_dense_cores(spark, sf), "cluster", ["f0_z", "f1_z", "f2_z"], keys=KEY).drop("distance"), "silhouette")
+
+
+@query("K6_davies_bouldin_per_metric", _DENSE + """,
+mid AS (SELECT event_type, root, avg(a) AS a, avg(b) AS b, avg(c) AS c FROM pt GROUP BY 1, 2),
+sp AS (SELECT pt.event_type, pt.root, m.a, m.b, m.c, avg(sqrt((pt.a - m.a) ** 2 + (pt.b - m.b) ** 2 + (pt.c - m.c) ** 2)) AS s FROM pt JOIN mid AS m USING (event_type, root) GROUP BY ALL),
+wr AS (SELECT p.event_type, p.root, max((p.s + q.s) / nullif(sqrt((p.a - q.a) ** 2 + (p.b - q.b) ** 2 + (p.c - q.c) ** 2), 0)) AS worst
+      FROM sp p LEFT JOIN sp q ON p.event_type = q.event_type AND p.root <> q.root GROUP BY 1, 2)
+SELECT event_type, round(avg(coalesce(worst, 0)), 6) AS davies_bouldin FROM wr GROUP BY 1""")
+def _(spark, sf):
+    return rounded(cluster.davies_bouldin(_dense_cores(spark, sf), "cluster", ["f0_z", "f1_z", "f2_z"], KEY), "davies_bouldin")
+
+
 def _analysis(spark, sf):
-    return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value", n_init=2)["report"]
+    return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value")["report"]
 
 
 # Windows and features that vary are counted from the features themselves, the fit is measured on the baseline.

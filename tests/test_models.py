@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import cluster, cover, density, detect, forest
+from tidewatch.operators import cluster, cover, density, detect, forest, lloyd
 from tidewatch.plans.chunks import with_position
 from tidewatch.streaming import live
 
@@ -177,21 +177,73 @@ def test_quality_of_good_and_bad_labels(spark):
     assert cluster.silhouette(good, "label", ["a", "b"], "squared").first().distance == "squared"
 
 
-def test_silhouette_in_blocks_is_the_same(spark, monkeypatch):
-    df, n = blobs(spark)
-    one = df.withColumn("label", F.least(F.lit(3), (F.col("id") / 110).cast("int")))
-    want = cluster.silhouette(one, "label", ["a", "b"]).first()[0]
-    monkeypatch.setattr(cluster, "BLOCK_ROWS", 40)
-    assert abs(cluster.silhouette(one, "label", ["a", "b"]).first()[0] - want) < 1e-9
-    x = np.array([(r.a, r.b) for r in one.orderBy("id").collect()])
-    lab = np.array([r.label for r in one.orderBy("id").collect()])
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
-    s = []
+def brute_silhouette(x, lab, squared=False):
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    d, s = d if squared else np.sqrt(d), []
     for i in range(len(x)):
-        a = d[i][lab == lab[i]].sum() / (np.sum(lab == lab[i]) - 1)
-        b = min(d[i][lab == k].mean() for k in set(lab) - {lab[i]})
-        s.append((b - a) / max(a, b))
-    assert abs(np.mean(s) - want) < 1e-9
+        n = np.sum(lab == lab[i])
+        a = d[i][lab == lab[i]].sum() / (n - 1) if n > 1 else 0
+        b = min((d[i][lab == k].mean() for k in set(lab) - {lab[i]}), default=None)
+        s.append(0 if n == 1 or b is None else (b - a) / max(a, b))
+    return np.mean(s)
+
+
+def brute_davies_bouldin(x, lab):
+    names = sorted(set(lab))
+    m = [x[lab == k].mean(axis=0) for k in names]
+    s = [np.sqrt(((x[lab == k] - c) ** 2).sum(axis=1)).mean() for k, c in zip(names, m)]
+    return np.mean([max(((s[i] + s[j]) / np.linalg.norm(m[i] - m[j]) for j in range(len(m)) if j != i), default=0) for i in range(len(m))])
+
+
+@pytest.mark.parametrize("part,tile", [(8192, 1024), (40, 2)])
+def test_quality_of_groups_against_brute_force(spark, monkeypatch, part, tile):
+    """Clusters cut by the ends of parts, clusters of one point, a group of one cluster, a NULL group, noise as a cluster."""
+    monkeypatch.setattr(cluster, "PART", part)
+    monkeypatch.setattr(cluster, "TILE", tile)
+    rng = np.random.default_rng(6)
+    rows = [(g, int(rng.integers(-1, 4)) if g != "c" else 0, *map(float, rng.normal(0, 1, 3))) for g in ("a", None, "c") for _ in range(130 if g == "a" else 60)]
+    rows += [("a", 77, 9.0, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "g string, label int, x double, y double, z double")
+    by = {g: (np.array([r[2:] for r in rows if r[0] == g]), np.array([r[1] for r in rows if r[0] == g])) for g in ("a", None, "c")}
+    cols = ["x", "y", "z"]
+    for squared, name in ((False, "euclidean"), (True, "squared")):
+        got = {r.g: r.silhouette for r in cluster.silhouette(df, "label", cols, name, ["g"]).collect()}
+        assert got == {g: pytest.approx(brute_silhouette(x, lab, squared)) for g, (x, lab) in by.items()}
+    got = {r.g: r.davies_bouldin for r in cluster.davies_bouldin(df, "label", cols, ["g"]).collect()}
+    assert got == {g: pytest.approx(brute_davies_bouldin(x, lab)) for g, (x, lab) in by.items()}
+
+
+def test_quality_of_ten_thousand_clusters(spark):
+    rng = np.random.default_rng(1)
+    x, lab = rng.uniform(0, 100, (20_000, 2)), np.repeat(np.arange(10_000), 2)
+    df = spark.createDataFrame([(int(k), float(a), float(b)) for k, (a, b) in zip(lab, x)], "label int, a double, b double")
+    m, s = (x[::2] + x[1::2]) / 2, np.linalg.norm(x[::2] - x[1::2], axis=1) / 2
+    worst = [np.max(np.delete((s[i] + s) / np.maximum(np.linalg.norm(m - m[i], axis=1), 1e-300), i)) for i in range(len(m))]
+    assert cluster.davies_bouldin(df, "label", ["a", "b"]).first()[0] == pytest.approx(np.mean(worst))
+    assert -1 < cluster.silhouette(df, "label", ["a", "b"], "squared").first().silhouette < 0
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_kmeans_of_many_groups_in_one_job(spark, monkeypatch, block):
+    """Blocks moved in rounds give what a group gives where it lies; short groups, NULL groups, gaps, constant columns."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g, n in (("a", 90), (None, 60), ("short", 2), ("flat", 20)):
+        for i in range(n):
+            c = rng.integers(3) * 4.0
+            rows.append((g, len(rows), 1.0 if g == "flat" else float(c + rng.normal(0, 0.2)), float(c * 0.5 + rng.normal(0, 0.2)), 7.0))
+    rows += [("a", len(rows), None, 1.0, 7.0), ("a", len(rows) + 1, float("nan"), 1.0, 7.0)]
+    df = spark.createDataFrame(rows, "g string, id int, x double, y double, z double").coalesce(1)
+    want = {r.id: r.cluster for r in cluster.kmeans(df, ["x", "y", "z"], 3, n_init=3, keys=["g"]).collect()}
+    monkeypatch.setattr(lloyd, "BLOCK_ROWS", block)
+    got = cluster.kmeans(df, ["x", "y", "z"], 3, n_init=3, keys=["g"])
+    assert got.columns == [*df.columns, "cluster"] and {r.id: r.cluster for r in got.collect()} == want
+    assert {want[r[1]] for r in rows if r[0] == "short" or r[2] is None or r[2] != r[2]} == {None}
+    for g in ("a", None):
+        mine = [r for r in rows if r[0] == g and r[2] is not None and r[2] == r[2]]
+        assert len({want[r[1]] for r in mine}) == 3
+        assert all(want[r[1]] == round(r[3] / 2) for r in mine)  # numbered by centroid: 0, 4 and 8 in x, half of it in y
+    assert cluster.kmeans(df.limit(0), ["x", "y"], 3, keys=["g"]).count() == 0
 
 
 def test_every_row_can_be_drawn_for_a_tree(spark):

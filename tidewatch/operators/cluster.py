@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.constants import INTERPRETATION, QUALITY_BANDS, QUALITY_DEFAULT
 from tidewatch.operators.clean import standardize
-from tidewatch.plans.chunks import attach
+from tidewatch.operators.lloyd import grouped_kmeans
+from tidewatch.plans.chunks import attach, match, with_position
 from tidewatch.plans.staging import stage
 
 
@@ -28,25 +27,11 @@ def scaled(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> tuple[Data
 
 
 def kmeans(df: DataFrame, cols: Sequence[str], k: int = 4, seed: int = 42, n_init: int = 10,
-           label: str = "cluster") -> DataFrame:
-    """K1: labels on standardized columns. Of ``n_init`` starts, which run side by side, the cheapest wins; labels are
-    numbered by centroid, so that they do not depend on the start's order. With fewer rows than ``k`` there is
-    no model: all labels are NULL (``eligibility`` tells the reason)."""
-    rows = stage(df, "kmeans")  # read by the scaling, every round of training and the result
-    if rows.limit(k).count() < k:
-        return rows.withColumn(label, F.lit(None).cast("int"))
-    z, zs = scaled(rows, cols)
-    data = _assembled(z, zs, "_v").persist()
-    try:
-        data.count()  # once, before the starts share it
-        with ThreadPoolExecutor(min(n_init, 4)) as pool:
-            models = list(pool.map(lambda i: KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="_raw").fit(data), range(n_init)))
-    finally:
-        data.unpersist()
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    order = sorted(range(len(best.clusterCenters())), key=lambda i: tuple(best.clusterCenters()[i]))
-    renumber = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
-    return best.transform(_assembled(z, zs, "_v")).withColumn(label, F.get(renumber, F.col("_raw"))).select(*df.columns, label)
+           label: str = "cluster", keys: Sequence[str] = ()) -> DataFrame:
+    """K1: labels on standardized columns, for every group of ``keys`` in one job. Of ``n_init`` starts, which run side by
+    side, the cheapest wins; labels are numbered by centroid, so that they do not depend on the start's order. With fewer rows
+    than ``k`` a group has no model: its labels are NULL (``eligibility`` tells the reason)."""
+    return grouped_kmeans(df, keys, cols, k, seed, n_init, label)
 
 
 def pca(df: DataFrame, cols: Sequence[str], components: int = 2, standard: bool = True) -> DataFrame:
@@ -77,47 +62,109 @@ def _as_array(cols: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def _means(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in cols])
+TILE = 1024  # clusters, or points against points, that a task holds of either side
+PART = 8192
 
 
-def silhouette_squared(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """K5 at any scale: mean silhouette under squared Euclidean distance, without pairs.
+def _described(df: DataFrame, keys: list[str], label: str, cols: Sequence[str]) -> DataFrame:
+    """Per cluster (g, k): size, mean, mean distance and mean squared distance from it, and its tile of at most TILE clusters."""
+    x = df.select(_group(keys), F.col(label).alias("k"), _as_array(cols).alias("x"))
+    mean = x.groupBy("g", "k").agg(F.count(F.lit(1)).alias("size"), F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(len(cols))]).alias("mean"))
+    far = x.join(mean, ["g", "k"]).select("g", "k", "size", "mean", _sq(F.col("x"), F.col("mean")).alias("d2"))
+    clusters = stage(far.groupBy("g", "k").agg(F.max("size").alias("size"), F.any_value("mean").alias("mean"), F.avg(F.sqrt("d2")).alias("s"), F.avg("d2").alias("var")), "clusters")
+    tiles = clusters.groupBy(F.col("g").alias("tg")).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    return clusters.join(tiles, F.col("g") == F.col("tg")).drop("tg").withColumn("tile", F.pmod(F.xxhash64("k"), F.col("tiles")).cast("int"))
 
-    The mean squared distance from x to a cluster is |x - mean|^2 plus the cluster's mean
-    squared spread, so counts, means and spreads per cluster are enough.
-    """
-    cols = list(cols)
-    mean = _means(df, label, cols).select(F.col(label).alias("_k"), "size", F.array(*cols).alias("_mean"))
-    spread = (
-        df.select(F.col(label).alias("_k"), _as_array(cols).alias("_x")).join(mean, on="_k")
-        .groupBy("_k", "size", "_mean").agg(F.avg(_sq(F.col("_x"), F.col("_mean"))).alias("_var")))
-    clusters = spread.agg(F.collect_list(F.struct("_k", "size", "_mean", "_var")).alias("_all"))  # one entry per cluster
-    rows = attach(df.select(F.col(label).alias("_own"), _as_array(cols).alias("_x")), clusters, [])
-    per = F.transform("_all", lambda c: F.struct(
-        (c["_k"] == F.col("_own")).alias("own"), c["size"].alias("size"), (_sq(F.col("_x"), c["_mean"]) + c["_var"]).alias("d")))
-    own = F.filter(per, lambda p: p["own"])[0]
-    rows = rows.withColumns({"_own_d": own, "_other": F.array_min(F.filter(per, lambda p: ~p["own"])["d"])})
-    a = F.col("_own_d")["d"] * F.col("_own_d")["size"] / F.nullif(F.col("_own_d")["size"] - 1, F.lit(0)).cast("double")
-    s = (F.col("_other") - a) / F.nullif(F.greatest(a, F.col("_other")), F.lit(0.0))
-    value = F.when(F.col("_own_d")["size"] <= 1, F.lit(0.0)).otherwise(F.coalesce(s, F.lit(0.0)))
-    return rows.agg(F.avg(value).alias("silhouette")).withColumn("distance", F.lit("squared"))
-
-
-def davies_bouldin(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
-    """K6: mean over clusters of the worst (scatter_i + scatter_j) / centroid distance."""
-    cols = list(cols)
-    mean = _means(df, label, cols).select(label, F.array(*cols).alias("_mean"))
-    scatter = df.select(label, _as_array(cols).alias("_x")).join(mean, on=label).groupBy(label, "_mean").agg(
-        F.avg(F.sqrt(_sq(F.col("_x"), F.col("_mean")))).alias("_s"))
-    clusters = scatter.agg(F.collect_list(F.struct(F.col(label).alias("k"), F.col("_mean").alias("m"), F.col("_s").alias("s"))).alias("_all"))
 
-    def worst(c: Column) -> Column:
-        others = F.filter("_all", lambda o: o["k"] != c["k"])
-        return F.array_max(F.transform(others, lambda o: (c["s"] + o["s"]) / F.nullif(F.sqrt(_sq(c["m"], o["m"])), F.lit(0.0))))
+def _group(keys: Sequence[str]) -> Column:
+    """The keys as one value that is never NULL."""
+    return (F.struct(*keys) if keys else F.lit(0)).alias("g")
+
+
+def _per_group(scores: DataFrame, keys: list[str], score: Column, name: str) -> DataFrame:
+    out = scores.groupBy("g").agg(score.alias(name)) if keys else scores.agg(score.alias(name))
+    return out.select(*[F.col("g")[k].alias(k) for k in keys], name)
+
 
-    ratios = F.transform("_all", worst)
-    return clusters.select((F.aggregate(ratios, F.lit(0.0), lambda s, r: s + F.coalesce(r, F.lit(0.0))) / F.size("_all")).alias("davies_bouldin"))
+def _flat(column: pa.ChunkedArray, d: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+def silhouette_squared(df: DataFrame, label: str, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """K5 at any scale: mean silhouette under squared Euclidean distance, without pairs of points.
+
+    The mean squared distance from x to a cluster is |x - mean|^2 plus the cluster's mean squared spread, so counts, means and
+    spreads per cluster are enough. Blocks of points meet tiles of clusters; of each a point keeps the smallest.
+    """
+    keys, cols = list(keys), list(cols)
+    d = len(cols)
+    clusters = _described(df, keys, label, cols)
+    points = stage(df.select(_group(keys), F.col(label).alias("own"), _as_array(cols).alias("x"), F.monotonically_increasing_id().alias("id")), "points")
+    tiles = clusters.groupBy(F.col("g").alias("tg")).agg(F.max("tiles").alias("tiles"), F.sum("size").alias("n"))
+    blocks = F.ceil(F.col("n") / PART).cast("int")
+    asks = (points.join(tiles, F.col("g") == F.col("tg")).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+            .select("g", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "id", "own", "x"))
+    shown = (clusters.join(tiles.select("tg", blocks.alias("blocks")), F.col("g") == F.col("tg"))
+             .select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "tile", "k", "size", "mean", "var"))
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.int64())], ["id", "own", "other", "size"])
+        x, mean = _flat(left["x"], d), _flat(right["mean"], d)
+        var, size, name = right["var"].to_numpy(), right["size"].to_numpy(), right["k"].to_pylist()
+        place = {k: i for i, k in enumerate(name)}
+        own = np.array([place.get(k, -1) for k in left["own"].to_pylist()])
+        mine, other = np.full(len(x), np.nan), np.full(len(x), np.inf)
+        for j in range(len(mean)):
+            far = ((x - mean[j]) ** 2).sum(axis=1) + var[j]
+            mine = np.where(own == j, far, mine)
+            other = np.where(own == j, other, np.minimum(other, far))
+        none = np.isinf(other)
+        return pa.table([left["id"], pa.array(mine, mask=own < 0), pa.array(other, mask=none), pa.array(np.where(own < 0, 0, size[own]).astype(np.int64), mask=own < 0)],
+                        ["id", "own", "other", "size"])
+
+    met = asks.groupBy("g", "block", "tile").cogroup(shown.groupBy("g", "block", "tile")).applyInArrow(meet, "id long, own double, other double, size long")
+    per = met.groupBy("id").agg(F.max("own").alias("own"), F.min("other").alias("other"), F.max("size").alias("size"))
+    scores = points.select("g", "id").join(per, "id")
+    a = F.col("own") * F.col("size") / F.nullif(F.col("size") - 1, F.lit(0)).cast("double")
+    return _per_group(scores, keys, F.avg(_score(a, F.col("other"), F.col("size"))), "silhouette").withColumn("distance", F.lit("squared"))
+
+
+def _score(a: Column, b: Column, size: Column) -> Column:
+    """Silhouette of a point: 0 alone in its cluster, or without another cluster."""
+    s = (b - a) / F.nullif(F.greatest(a, b), F.lit(0.0))
+    return F.when((size <= 1) | b.isNull(), F.lit(0.0)).otherwise(F.coalesce(s, F.lit(0.0)))
+
+
+def davies_bouldin(df: DataFrame, label: str, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """K6: mean over clusters of the worst (scatter_i + scatter_j) / centroid distance. Tiles of clusters meet tiles of clusters."""
+    keys, cols = list(keys), list(cols)
+    d = len(cols)
+    clusters = _described(df, keys, label, cols)
+    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    left = clusters.select("g", "tile", every.alias("to"), "k", "mean", "s")
+    right = clusters.select(F.col("g").alias("g2"), every.alias("tile"), F.col("tile").alias("to"), F.col("k").alias("k2"), F.col("mean").alias("mean2"), F.col("s").alias("s2"))
+    kind = clusters.schema["k"].dataType.simpleString()
+    g_kind = clusters.schema["g"].dataType.simpleString()
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        top = np.full(a.num_rows, np.nan)
+        if a.num_rows and b.num_rows:
+            x, y, s, t = _flat(a["mean"], d), _flat(b["mean2"], d), a["s"].to_numpy(), b["s2"].to_numpy()
+            name, other = a["k"].to_pylist(), b["k2"].to_pylist()
+            place = {k: i for i, k in enumerate(other)}
+            for i in range(len(x)):
+                far = np.sqrt(((y - x[i]) ** 2).sum(axis=1))
+                ratio = np.where(far > 0, (s[i] + t) / np.where(far > 0, far, 1), np.nan)
+                if name[i] in place:
+                    ratio[place[name[i]]] = np.nan
+                if not np.isnan(ratio).all():
+                    top[i] = np.nanmax(ratio)
+        return pa.table([a["g"], a["k"], pa.array(top, from_pandas=True)], ["g", "k", "worst"])
+
+    met = left.groupBy("g", "tile", "to").cogroup(right.groupBy("g2", "tile", "to")).applyInArrow(meet, f"g {g_kind}, k {kind}, worst double")
+    worst = met.groupBy("g", "k").agg(F.coalesce(F.max("worst"), F.lit(0.0)).alias("worst"))
+    return _per_group(worst, keys, F.avg("worst"), "davies_bouldin")
 
 
 def quality(silhouette: Column, davies_bouldin_: Column) -> Column:
@@ -166,46 +213,67 @@ def with_enough_rows(df: DataFrame, keys: Sequence[str], needed: int) -> DataFra
     return attach(df, sizes, keys).filter(F.col("_n") >= needed).drop("_n")
 
 
-BLOCK_ROWS = 2048  # points of a block; a task compares two blocks at a time
-
-
-def silhouette(df: DataFrame, label: str, cols: Sequence[str], distance: str = "euclidean") -> DataFrame:
-    """K5: mean silhouette under the ``distance`` asked for, which is told in a column.
+def silhouette(df: DataFrame, label: str, cols: Sequence[str], distance: str = "euclidean", keys: Sequence[str] = ()) -> DataFrame:
+    """K5: mean silhouette under the ``distance`` asked for, which is told in a column; per group of ``keys``.
 
-    The Euclidean score is defined on every point against every other: points are dealt into blocks by a hash, and
-    each task compares one block with one other, giving sums per point and cluster. For tables
-    where that is too much the caller asks for "squared", which needs no pairs.
+    The Euclidean score is defined on every point against every other. Points are cut into parts of ``PART`` in the order of
+    their clusters, and a task compares two parts, once for both. Of the clusters that lie in one part as a whole a
+    point keeps only the smallest mean; sums go on only for its own cluster and for clusters cut by a part's end. For tables
+    where all pairs are too much the caller asks for "squared", which needs none.
     """
     if distance == "squared":
-        return silhouette_squared(df, label, cols)
+        return silhouette_squared(df, label, cols, keys)
     if distance != "euclidean":
         raise ValueError(f"unknown distance {distance!r}")
-    points = stage(df.select(F.monotonically_increasing_id().alias("_id"), F.col(label).cast("int").alias("_own"), _as_array(list(cols)).alias("_x")), "points")
-    blocks = max(1, -(-points.count() // BLOCK_ROWS))
-    dealt = points.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(blocks)))
-    block = stage(dealt.groupBy("_b").agg(F.collect_list(F.struct("_id", "_own", "_x")).alias("_p")), "blocks")
-    left = block.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    pairs = left.repartition(min(blocks * blocks, 4096), "_b", "_to").join(block.select(F.col("_b").alias("_to"), F.col("_p").alias("_q")), "_to").select("_p", "_q")
-
-    def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for p, q in zip(part["_p"], part["_q"]):
-                a, b = (np.array([r["_x"] for r in side], float) for side in (p, q))
-                of = np.array([r["_own"] for r in q])
-                names, at = np.unique(of, return_inverse=True)
-                far = np.empty((len(a), len(b)))
-                for i in range(0, len(a), 64):
-                    far[i:i + 64] = np.sqrt(((a[i:i + 64, None, :] - b[None, :, :]) ** 2).sum(axis=2))
-                member = (at[:, None] == np.arange(len(names))[None, :]).astype(float)
-                sums = far @ member
-                yield pd.DataFrame({
-                    "_id": np.repeat([r["_id"] for r in p], len(names)), "_own": np.repeat([r["_own"] for r in p], len(names)),
-                    "_k": np.tile(names, len(p)), "_s": sums.ravel(), "_n": np.tile(member.sum(axis=0), len(p))})
-
-    sums = pairs.mapInPandas(compare, "_id long, _own int, _k int, _s double, _n double").groupBy("_id", "_own", "_k").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
-    mine = F.col("_k") == F.col("_own")
-    per = sums.groupBy("_id").agg(F.max(F.when(mine, F.col("_n"))).alias("_size"), F.max(F.when(mine, F.col("_s"))).alias("_in"), F.min(F.when(~mine, F.col("_s") / F.col("_n"))).alias("_out"))
-    a = F.col("_in") / F.nullif(F.col("_size") - 1, F.lit(0.0))
-    s = (F.col("_out") - a) / F.nullif(F.greatest(a, F.col("_out")), F.lit(0.0))
-    value = F.when((F.col("_size") <= 1) | F.col("_out").isNull(), 0.0).otherwise(F.coalesce(s, F.lit(0.0)))
-    return per.agg(F.avg(value).alias("silhouette")).withColumn("distance", F.lit("euclidean"))
+    keys, d = list(keys), len(cols)
+    rows = stage(df.select(_group(keys), F.col(label).alias("own"), _as_array(list(cols)).alias("x"), F.monotonically_increasing_id().alias("id")), "points")
+    placed = with_position(rows, ["g"], ["own", "id"])
+    part = (F.col("pos") / PART).cast("int")
+    sized = placed.groupBy("g", "own").agg(F.count(F.lit(1)).alias("size"), (F.min("pos") / PART).cast("int").alias("lo"), (F.max("pos") / PART).cast("int").alias("hi"))
+    named = stage(sized.select("g", "own", F.monotonically_increasing_id().alias("c"), "size", (F.col("lo") == F.col("hi")).alias("whole")), "sizes")
+    points = stage(match(placed.withColumn("part", part), named, ["g", "own"]).select("g", "id", "c", "size", "whole", "x", "part", F.ceil(F.col("n_rows") / PART).cast("int").alias("parts")), "parts")
+    left = points.select("g", "part", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("to"), "id", "c", "size", "whole", "x")
+    right = points.select(F.col("g").alias("g2"), F.explode(F.sequence(F.lit(0), F.col("part"))).alias("part"), F.col("part").alias("to"), F.col("id").alias("id2"), F.col("c").alias("c2"),
+                          F.col("size").alias("size2"), F.col("whole").alias("whole2"), F.col("x").alias("x2"))
+
+    def told(ids, own, sums, names, size, whole):
+        """Rows (id, cluster or NULL for the smallest of the whole ones, value)."""
+        mine = names[None, :] == own[:, None]
+        mean = np.where(whole[None, :] & ~mine, sums / size[None, :], np.inf)
+        low = mean.min(axis=1)
+        keep = mine | ~whole[None, :]
+        i, j = np.nonzero(keep)
+        has = np.flatnonzero(np.isfinite(low))
+        return np.concatenate((ids[has], ids[i])), np.concatenate((np.full(len(has), -1), names[j])), np.concatenate((low[has], sums[i, j]))
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        out = []
+        if a.num_rows and b.num_rows:
+            x, y = _flat(a["x"], d), _flat(b["x2"], d)
+            own, theirs = a["c"].to_numpy(), b["c2"].to_numpy()
+            side = lambda t, end: [np.unique(t[f"c{end}"].to_numpy(), return_index=True), t[f"size{end}"].to_numpy(), t[f"whole{end}"].to_numpy(zero_copy_only=False)]
+            (na, ia), sa, wa = side(a, "")
+            (nb, ib), sb, wb = side(b, "2")
+            to_b = (theirs[:, None] == nb[None, :]).astype(float)
+            back = np.zeros((len(na), len(y)))
+            forth = np.empty((len(x), len(nb)))
+            at = np.searchsorted(na, own)
+            step = max(1, (1 << 22) // max(1, y.size))
+            for i in range(0, len(x), step):
+                far = np.sqrt(((x[i:i + step, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+                forth[i:i + step] = far @ to_b
+                np.add.at(back, at[i:i + step], far)
+            out.append(told(a["id"].to_numpy(), own, forth, nb, sb[ib], wb[ib]))
+            if a["part"][0] != a["to"][0]:
+                out.append(told(b["id2"].to_numpy(), theirs, back.T, na, sa[ia], wa[ia]))
+        ids, names, value = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table([pa.array(ids.astype(np.int64)), pa.array(names.astype(np.int64)), pa.array(value)], ["id", "c", "value"])
+
+    met = left.groupBy("g", "part", "to").cogroup(right.groupBy("g2", "part", "to")).applyInArrow(meet, "id long, c long, value double")
+    lows = met.filter("c < 0").groupBy("id").agg(F.min("value").alias("low"))
+    cut = met.filter("c >= 0").groupBy("id", "c").agg(F.sum("value").alias("sum")).join(named.select("c", F.col("size").alias("n")), "c")
+    cut = cut.join(points.select("id", F.col("c").alias("mine")), "id").groupBy("id").agg(
+        F.max(F.when(F.col("c") == F.col("mine"), F.col("sum"))).alias("inside"), F.min(F.when(F.col("c") != F.col("mine"), F.col("sum") / F.col("n"))).alias("other"))
+    scores = points.select("g", "id", "size").join(cut, "id").join(lows, "id", "left")
+    a = F.col("inside") / F.nullif(F.col("size") - 1, F.lit(0)).cast("double")
+    return _per_group(scores, keys, F.avg(_score(a, F.least("other", "low"), F.col("size"))), "silhouette").withColumn("distance", F.lit("euclidean"))

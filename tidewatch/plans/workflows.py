@@ -12,7 +12,7 @@ from tidewatch.functions.scalar import no_nan, to_number, to_time
 from tidewatch.operators import clean, cluster, detect, features, grid, trend
 from tidewatch.operators.fill import fill_gaps
 from tidewatch.operators.vote import join_flags, vote
-from tidewatch.plans.chunks import match, with_position
+from tidewatch.plans.chunks import attach, match, with_position
 from tidewatch.plans.staging import stage
 from tidewatch.sources.roles import ensure_timestamp, numeric_columns, synthetic_times, to_long
 
@@ -98,38 +98,28 @@ def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: s
     """Window features with clusters, trend anomalies, and one report row per metric: anomalies, patterns
     (clusters), features that vary, windows, silhouette, Davies-Bouldin and their band, and how well the trend fits.
 
-    ``long`` must be gridded and filled. All metrics run together but for the cluster models, one per metric of a
-    short list. A metric with fewer windows than clusters has 0 patterns and a ``reason``.
+    ``long`` must be gridded and filled. All metrics run together, however many there are. A metric with fewer windows than
+    clusters has 0 patterns and a ``reason``.
     """
     keys = list(keys)
     long = stage(long, "series")
     feats = stage(features.impute_features(features.window_features(long, keys, value, size, pos), keys=[metric]), "features")
-    # one row per metric, a handful: its number of windows and the spread of each feature
-    spreads = feats.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"), *[F.stddev_samp(c).alias(c) for c in features.FEATURES])
-    clustered, rated, used_of = None, [], {}
-    for row in sorted(spreads.collect(), key=lambda r: (r[metric] is None, r[metric])):
-        n, used = row["_n"], [c for c in features.FEATURES if row[c] != 0]
-        used_of[row[metric]] = (n, len(used) if n > 1 else 0)
-        if n < k or not used:
-            continue
-        part = feats.filter(F.col(metric).eqNullSafe(F.lit(row[metric])))
-        if method == "kmeans":
-            part = cluster.kmeans(part, used, k, seed, n_init)
-        else:
-            z, zs = cluster.scaled(part, used)
-            part = detect.dbscan(z, [], zs, 0.5, max(1, min(5, n // 10))).drop(*zs, "is_core", "is_noise")
-        part = stage(part, "clustered")
-        z, zs = cluster.scaled(part, used)
-        z = stage(z.select("cluster", *zs), "scaled")
-        rated.append((row[metric], cluster.silhouette(z, "cluster", zs).first()[0], cluster.davies_bouldin(z, "cluster", zs).first()[0]))
-        clustered = part if clustered is None else clustered.unionByName(part)
-    if clustered is None:
-        clustered = feats.withColumn("cluster", F.lit(-1)).filter(F.lit(False))
+    varied = [(F.stddev_samp(c) != 0).cast("int") for c in features.FEATURES]
+    varies = varied[0]
+    for v in varied[1:]:
+        varies = varies + F.coalesce(v, F.lit(0))
+    counts = stage(feats.groupBy(metric).agg(F.count(F.lit(1)).alias("windows"), F.coalesce(varies, F.lit(0)).cast("bigint").alias("features")), "counts")
+    able = attach(feats, counts, [metric]).filter((F.col("windows") >= k) & (F.col("features") > 0))
+    # a feature that doesn't vary in a metric is 0 everywhere once standardized, and moves nothing there
+    z, zs = clean.standardize(able, features.FEATURES, [metric], "_z"), [f"{c}_z" for c in features.FEATURES]
+    if method == "kmeans":
+        clustered = cluster.kmeans(able, features.FEATURES, k, seed, n_init, keys=[metric]).select(*feats.columns, "cluster")
+    else:
+        clustered = _by_density(z, zs, metric).select(*feats.columns, "cluster")
+    clustered = stage(clustered, "clustered")
+    z = stage(clean.standardize(clustered, features.FEATURES, [metric], "_z").select(metric, "cluster", *zs), "scaled")
     scored = stage(detect.residual_scores(trend.predict(long, keys, ts, value, baseline, pos), keys, metric), "scored")
-    kind = long.schema[metric].dataType.simpleString()
-    spark = long.sparkSession
-    counts = spark.createDataFrame([(m, n, u) for m, (n, u) in used_of.items()], f"{metric} {kind}, windows bigint, features bigint")
-    ratings = spark.createDataFrame(rated, f"{metric} {kind}, silhouette double, davies_bouldin double")
+    ratings = match(cluster.silhouette(z, "cluster", zs, keys=[metric]).select(metric, "silhouette"), cluster.davies_bouldin(z, "cluster", zs, [metric]), [metric])
     report = scored.groupBy(metric).agg(F.count_if("residual_anomaly").alias("anomalies"))
     patterns = clustered.groupBy(metric).agg(F.count_distinct("cluster").alias("patterns"))
     for part in (patterns, counts, ratings, trend.fit_metrics(scored, [metric], value, pos=pos)):
@@ -144,6 +134,16 @@ def analyze(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value: s
             "insights": cluster.insights(clustered, [metric], "cluster", features.FEATURES, F.col(metric))}
 
 
+def _by_density(z: DataFrame, zs: Sequence[str], metric: str) -> DataFrame:
+    """Density clusters per metric; a metric needs a tenth of its windows, 1 to 5, to be dense, and metrics of one such number run together."""
+    sized = attach(z, z.groupBy(metric).agg(F.greatest(F.lit(1), F.least(F.lit(5), F.floor(F.count(F.lit(1)) / 10))).cast("int").alias("_least")), [metric])
+    sized, out = stage(sized, "dense"), None
+    for least in range(1, 6):
+        part = detect.dbscan(sized.filter(F.col("_least") == least), [metric], zs, 0.5, least)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def behaviour(df: DataFrame, row_key: Sequence[str], cols: Sequence[str], k: int = 3, eps: float = 0.5, min_samples: int = 5,
               contamination: float = 0.1, seed: int = 42, n_init: int = 10) -> DataFrame:
     """Rows of several metrics side by side with kmeans_cluster, density_cluster, is_outlier_dbscan, is_outlier_iso,

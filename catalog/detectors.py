@@ -10,7 +10,7 @@ from tidewatch.operators import detect, trend, vote
 from tidewatch.operators.cluster import eligibility, quality
 from tidewatch.operators.stats import value_counts
 from tidewatch.plans import reports, workflows
-from tidewatch.plans.chunks import with_position
+from tidewatch.plans.chunks import attach, with_position
 
 # -- T1(a) line plus (weekday, hour) season on the hourly grid: CTE ``fit``
 
@@ -65,6 +65,39 @@ def _(spark, sf):
     return _free_terms(trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", width=0.80))
 
 
+# What makes a fit the best one under its priors: for a slope that changes the residuals' product with its hinge is the penalty,
+# with the change's sign; for one that doesn't it is no larger; for a season it is the coefficient times its own penalty.
+OPTIMAL = HOURLY + """ SELECT event_type, count(*)::BIGINT AS n_rows, 25::BIGINT AS changepoints, 0::BIGINT AS violated, true AS sparse, true AS seasons FROM g GROUP BY 1"""
+
+
+def _optimal(spark, sf, seasons):
+    rows, n = hourly(spark, sf), trend.CHANGEPOINTS
+    placed = attach(rows, trend.fourier_fit(rows, KEY, "ts", "value", seasons), KEY)
+    basis = trend.fourier_basis("ts", seasons)
+    yhat = sum((F.col("_coef")[i] * b for i, b in enumerate(basis)), F.lit(0.0))
+    sums = placed.withColumn("_r", F.col("value") - yhat).groupBy("event_type").agg(
+        F.count("_r").alias("n_rows"), F.any_value("_coef").alias("_coef"), F.any_value("_penalty").alias("_penalty"), F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("_scale"),
+        F.array(*[F.sum(b * F.col("_r")) for b in basis]).alias("_s"))
+    penalty, near = F.col("_penalty"), F.col("_penalty") * 1e-4
+    hinge = F.transform(F.sequence(F.lit(2), F.lit(n + 1)), lambda i: F.when(F.get(F.col("_coef"), i) == 0, F.abs(F.get(F.col("_s"), i)) <= penalty + near).otherwise(
+        F.abs(F.get(F.col("_s"), i) - F.signum(F.get(F.col("_coef"), i)) * penalty) <= near))
+    weight = penalty / F.col("_scale") * trend.CHANGEPOINT_PRIOR / trend.SEASON_PRIOR**2
+    season = F.forall(F.sequence(F.lit(n + 2), F.lit(len(basis) - 1)), lambda i: F.abs(F.get(F.col("_s"), i) - weight * F.get(F.col("_coef"), i)) <= near)
+    zero = F.size(F.filter(F.slice("_coef", 3, n), lambda c: c == 0))
+    return sums.select("event_type", "n_rows", F.size(hinge).cast("bigint").alias("changepoints"), F.size(F.filter(hinge, lambda ok: ~ok)).cast("bigint").alias("violated"),
+                       (zero >= n // 2).alias("sparse"), season.alias("seasons"))
+
+
+@query("T1_fourier_optimality", OPTIMAL)
+def _(spark, sf):
+    return _optimal(spark, sf, ("yearly", "weekly", "daily"))
+
+
+@query("T2_fourier_optimality", OPTIMAL)
+def _(spark, sf):
+    return _optimal(spark, sf, ("weekly", "daily"))
+
+
 DECOMPOSE_SHORT = HOURLY + """, t AS (SELECT *, avg(value) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN {before} PRECEDING AND {after} FOLLOWING) AS trend FROM g),
 s AS (SELECT event_type, pos % {period} AS slot, {mid}(value - trend) AS seasonal FROM t GROUP BY 1, 2),
 p AS (SELECT t.event_type, t.ts, t.pos, t.value, trend, seasonal, trend + seasonal AS predicted, value - trend - seasonal AS residual
@@ -137,6 +170,22 @@ def _(spark, sf):
     return out.select("event_type", "ts", ((F.col("yhat_lower") < F.col("yhat")) & (F.col("yhat") < F.col("yhat_upper"))).alias("inside"))
 
 
+# What the band's variance has beyond the residuals' grows with the third power of the time ahead.
+@query("T5_fourier_band_widens", HOURLY + " SELECT event_type, 1440::BIGINT AS steps, true AS cubic, true AS widens FROM g GROUP BY 1")
+def _(spark, sf):
+    out = trend.fourier_baseline(hourly(spark, sf), KEY, "ts", "value", hours=24, step="1min").filter(F.col("value").isNull())
+    z = trend.Z_OF_WIDTH[0.90]
+    half = (F.col("yhat_upper") - F.col("yhat_lower")) / 2.0
+    last = out.groupBy("event_type").agg(F.min("ts").alias("_first"))
+    k = F.round((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_first").cast("timestamp"))) / 60e6) + 1.0
+    extra = (half / z) * (half / z) - F.col("residual_std") * F.col("residual_std")
+    per = attach(out, last, KEY).withColumns({"_k": k, "_e": extra}).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("steps"), F.max(F.when(F.col("_k") == 1440, F.col("_e"))).alias("_end"), F.max(F.when(F.col("_k") == 720, F.col("_e"))).alias("_mid"),
+        F.max(F.col("residual_std")).alias("_s"), F.corr("_k", half).alias("_c"))
+    tiny = F.col("_end") < 1e-9 * F.col("_s") * F.col("_s")  # a series whose slope never changes
+    return per.select("event_type", "steps", (tiny | (F.abs(F.col("_end") / F.nullif(F.col("_mid"), F.lit(0.0)) - 8.0) < 1e-3)).alias("cubic"), (tiny | (F.col("_c") > 0.5)).alias("widens"))
+
+
 @query("T6_fit_metrics", SEASONAL + """, c AS (SELECT *, yhat - lag(yhat) OVER (PARTITION BY event_type ORDER BY pos) AS step FROM fit)
 SELECT event_type, round(avg(abs(residual)), 6) AS mae, round(sqrt(avg(residual ** 2)), 6) AS rmse,
  round(1 / (1 + stddev_pop(step)), 6) AS trend_stability, round(stddev_samp(value), 6) AS data_volatility FROM c GROUP BY 1""")

@@ -111,6 +111,35 @@ def test_fourier_forecast_continues_the_season(spark):
     assert np.abs(out.yhat - (60 + 0.01 * h + 8 * np.sin(2 * np.pi * h / 24))).max() < 2.5
 
 
+def test_sparse_minimum_against_small_steps():
+    """The searched minimum is where small proximal steps end, and is exactly zero where they are."""
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        x = rng.normal(size=(60, 12)) @ rng.normal(size=(12, 12))
+        y = x[:, :4] @ rng.normal(size=4) + rng.normal(size=60)
+        xx, xy = x.T @ x, x.T @ y
+        quadratic, absolute = np.full(12, 0.5), np.where(np.arange(12) < 3, 0.0, 40.0)
+        got = trend._sparse(xx, xy, quadratic, absolute)
+        g = xx + np.diag(quadratic)
+        slope = xy - g @ got
+        assert (np.abs(slope[absolute == 0]) < 1e-6).all() and (np.abs(slope) <= absolute + 1e-6).all()
+        off = got != 0
+        assert np.allclose(slope[off], absolute[off] * np.sign(got[off]), atol=1e-6)
+
+
+def test_a_bend_is_found_and_the_rest_stays_straight(spark):
+    h = np.arange(60 * 24)
+    values = 50 + np.where(h < 700, 0.02 * h, 14.0 - 0.05 * (h - 700)) + np.random.default_rng(3).normal(0, 0.3, len(h))
+    fit = trend.fourier_fit(hourly(spark, values), ["k"], "ts", "v").first()
+    change = np.array(fit._coef[2:27])
+    assert (change == 0).sum() >= 15 and change.sum() < 0
+    where = (np.abs(change) * (np.arange(1, 26) * 0.8 / 25)).sum() / np.abs(change).sum()
+    assert abs(where - 700 / len(h)) < 0.05
+    out = trend.fourier_baseline(hourly(spark, values), ["k"], "ts", "v", hours=240).filter("v is null").orderBy("ts").toPandas()
+    width = (out.yhat_upper - out.yhat_lower).to_numpy()
+    assert (np.diff(width) > 0).all() and width[-1] > 1.5 * width[0]
+
+
 def test_short_series_take_the_decomposition(spark):
     df = hourly(spark, [1.0, 2.0, 3.0, 2.0, 1.0]).unionByName(hourly(spark, seasonal_values(240), "b"))
     p = trend.predict(df, ["k"], "ts", "v", "seasonal").toPandas()

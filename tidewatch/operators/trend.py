@@ -104,7 +104,7 @@ def seasonal_forecast(df: DataFrame, keys: Sequence[str], ts: str, value: str, h
         (F.col("yhat") + z * F.col("_sigma")).alias("yhat_upper"))
 
 
-# -- T1(b)/T2: piecewise linear trend plus Fourier seasons, ridge regression
+# -- T1(b)/T2: piecewise linear trend with few changes of slope plus Fourier seasons
 
 # Fixed values: (period in days, Fourier order) of each season; changepoints and prior scales.
 SEASONS = {"yearly": (365.25, 10), "weekly": (7.0, 3), "daily": (1.0, 4)}
@@ -146,12 +146,57 @@ def _gram_batches(keys: list[str], size: int):
     return run
 
 
-def _ridge_solver(size: int, n_hinges: int):
-    """Coefficients and residual variance from the aggregated cross-products of one series."""
+def _sparse(xx: np.ndarray, xy: np.ndarray, quadratic: np.ndarray, absolute: np.ndarray) -> np.ndarray:
+    """Minimum of b'(xx + diag(quadratic))b / 2 - b'xy + sum(absolute * |b|), exact up to the solves: the set of
+    coefficients off zero and their signs are searched, one entry at a time; each step lowers the value, so none comes twice."""
+    g = xx + np.diag(quadratic)
+    p = len(xy)
+    free = absolute == 0
+    beta, sign = np.zeros(p), np.zeros(p)
+    on = free.copy()
+    scale = max(float(np.abs(xy).max()), 1e-12)
+
+    def value(b: np.ndarray) -> float:
+        return float(b @ g @ b / 2 - b @ xy + absolute @ np.abs(b))
+
+    for _ in range(50 * p):
+        # to the minimum over the coefficients that are on, with their signs; at a change of sign the best point on the way
+        at = np.flatnonzero(on)
+        goal = np.zeros(p)
+        goal[at] = np.linalg.solve(g[np.ix_(at, at)], xy[at] - absolute[at] * sign[at])
+        turn = [i for i in at if not free[i] and goal[i] * sign[i] < 0]
+        if turn:
+            ways = [beta[i] / (beta[i] - goal[i]) for i in turn if beta[i] != goal[i]]
+            points = [beta + w * (goal - beta) for w in sorted(set(ways))]
+            for q in points:
+                q[~free & (np.abs(q) < 1e-13 * max(1.0, np.abs(q).max()))] = 0.0
+            best = min([*points, goal], key=value)
+            beta = best
+            off = on & ~free & (beta == 0)
+            on &= ~off
+            sign = np.where(free, 0.0, np.sign(beta))
+            continue
+        beta = goal
+        slope = xy - g @ beta
+        over = np.where(on, -np.inf, np.abs(slope) - absolute)
+        j = int(over.argmax())
+        if over[j] <= 1e-9 * scale:
+            return beta
+        on[j], sign[j] = True, np.sign(slope[j])
+    return beta
+
+
+def _map_solver(size: int, n_hinges: int):
+    """Of the aggregated cross-products of one series: coefficients, the penalty on the slopes' changes, and their mean size.
+
+    The changes have a Laplace prior of scale ``CHANGEPOINT_PRIOR`` on values of root mean square 1, so most are exactly
+    zero; seasons have a normal one, level and base slope are all but free.
+    """
     p = size - 1
     prior = np.full(p, SEASON_PRIOR)
-    prior[2:2 + n_hinges] = CHANGEPOINT_PRIOR
-    prior[:2] = 100.0  # level and base slope stay all but free
+    prior[:2] = 100.0
+    hinge = np.zeros(p, bool)
+    hinge[2:2 + n_hinges] = True
 
     def solve(g: np.ndarray) -> list[float] | None:
         g = np.asarray(g, dtype=float).reshape(size, size)
@@ -161,11 +206,12 @@ def _ridge_solver(size: int, n_hinges: int):
         scale = max(np.sqrt(yy / n), 1e-12)
         xy, yy = xy / scale, yy / scale**2
         variance = 1e-2
-        for _ in range(3):  # penalty = residual variance / prior variance
-            beta = np.linalg.solve(xx + np.diag(variance / prior**2 + 1e-9), xy)
+        for _ in range(3):  # penalties rise with the variance of what is left
+            used = variance
+            beta = _sparse(xx, xy, np.where(hinge, 1e-9, used / prior**2 + 1e-9), np.where(hinge, used / CHANGEPOINT_PRIOR, 0.0))
             sse = max(yy - 2 * beta @ xy + beta @ xx @ beta, 0.0)
             variance = max(sse / n, 1e-9)
-        return (beta * scale).tolist()
+        return [*(beta * scale).tolist(), used / CHANGEPOINT_PRIOR * scale, float(np.abs(beta[hinge]).mean()) * scale]
 
     @F.pandas_udf("array<double>")
     def run(grams: pd.Series) -> pd.Series:
@@ -174,45 +220,64 @@ def _ridge_solver(size: int, n_hinges: int):
     return run
 
 
+def fourier_fit(df: DataFrame, keys: Sequence[str], ts: str, value: str, seasons: Sequence[str] = ("weekly", "daily")) -> DataFrame:
+    """T1(b): per series its first and last time (_t0, _t1, in microseconds), coefficients (_coef), the penalty on changes of
+    slope (_penalty) and their mean size (_change). Series with fewer than 10 points have NULLs.
+
+    Rows never meet in one place: each task sums cross-products of its Arrow batches, the sums are added elementwise by
+    Spark, and only one small matrix per series is solved.
+    """
+    keys, us = list(keys), epoch_us(F.col(ts))
+    known = df.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias(value))
+    span = known.groupBy(*keys).agg(F.min(us).alias("_t0"), F.max(us).alias("_t1"))
+    basis = fourier_basis(ts, seasons)
+    size = len(basis) + 1
+    terms = attach(known, span, keys).select(*keys, F.array(*basis, F.col(value)).alias("_z"))
+    grams = terms.mapInArrow(_gram_batches(keys, size), T.StructType([*[df.schema[k] for k in keys], T.StructField("_g", T.ArrayType(T.DoubleType()))]))
+    summed = grams.select(*keys, F.posexplode("_g").alias("_i", "_v")).groupBy(*keys, "_i").agg(F.sum("_v").alias("_v"))
+    solved = summed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_m")).select(
+        *keys, _map_solver(size, CHANGEPOINTS)(F.col("_m")["_v"]).alias("_b"))
+    p = len(basis)
+    coefs = solved.select(*keys, F.slice("_b", 1, p).alias("_coef"), F.get("_b", F.lit(p)).alias("_penalty"), F.get("_b", F.lit(p + 1)).alias("_change"))
+    return stage(attach(span, coefs, keys), "coefficients")
+
+
+def fourier_basis(ts: str, seasons: Sequence[str]) -> list[Column]:
+    """Regressors of a row that carries its series' _t0 and _t1: 1, t, one hinge per change point, sines and cosines."""
+    us = epoch_us(F.col(ts))
+    t = (us - F.col("_t0")).cast("double") / F.greatest((F.col("_t1") - F.col("_t0")).cast("double"), F.lit(1.0))
+    return _basis(us, t, seasons)
+
+
 def fourier_baseline(df: DataFrame, keys: Sequence[str], ts: str, value: str,
                      seasons: Sequence[str] = ("weekly", "daily"), width: float = 0.90,
                      hours: int = 0, step: str = "1h") -> DataFrame:
-    """T1(b): keys, ts, value and the baseline columns; with ``hours`` also
-    the future steps, their value NULL.
+    """T1(b): keys, ts, value and the baseline columns; with ``hours`` also the future steps, their value NULL.
 
-    Rows never meet in one place: each task sums cross-products of its Arrow batches, the
-    sums are added elementwise by Spark, and only one small matrix per series is solved.
+    Ahead of the history the band widens with the time h since its end (the history's length being 1): change points go on
+    at the history's rate, and changes of slope with the Laplace spread of the fitted ones add 2/3 * rate * change^2 * h^3 to the variance.
     """
     keys, seasons = list(keys), list(seasons)
-    us = epoch_us(F.col(ts))
     rows = df.filter(F.col(ts).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias(value))
-    known = rows.filter(F.col(value).isNotNull())
-    span = known.groupBy(*keys).agg(F.min(us).alias("_t0"), F.max(us).alias("_t1"))
-    t = (us - F.col("_t0")).cast("double") / F.greatest((F.col("_t1") - F.col("_t0")).cast("double"), F.lit(1.0))
-    basis = _basis(us, t, seasons)
-    size = len(basis) + 1
-    features = attach(known, span, keys).select(*keys, F.array(*basis, F.col(value)).alias("_z"))
-    key_schema = [df.schema[k] for k in keys]
-    grams = features.mapInArrow(_gram_batches(keys, size),
-                                T.StructType([*key_schema, T.StructField("_g", T.ArrayType(T.DoubleType()))]))
-    summed = grams.select(*keys, F.posexplode("_g").alias("_i", "_v")).groupBy(*keys, "_i").agg(F.sum("_v").alias("_v"))
-    coefs = stage(
-        summed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_m"))
-        .select(*keys, _ridge_solver(size, CHANGEPOINTS)(F.col("_m")["_v"]).alias("_coef")), "coefficients")
+    fit = fourier_fit(df, keys, ts, value, seasons)
     if hours:
         step_us = FREQUENCIES[frequency(step)]
         n = hours * 60 * FREQUENCIES["1min"] // step_us
-        ahead = span.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).select(
+        ahead = fit.withColumn("_k", F.explode(F.sequence(long(1), long(n)))).select(
             *keys, F.timestamp_micros(F.col("_t1") + F.col("_k") * F.lit(step_us)).cast(df.schema[ts].dataType).alias(ts),
             F.lit(None).cast("double").alias(value))
         rows = rows.unionByName(ahead)
-    placed = attach(attach(rows, span, keys), coefs, keys)
-    terms = [F.col("_coef")[i] * b for i, b in enumerate(basis)]
+    placed = attach(rows, fit, keys)
+    terms = [F.col("_coef")[i] * b for i, b in enumerate(fourier_basis(ts, seasons))]
     yhat = terms[0]
     for term in terms[1:]:
         yhat = yhat + term
-    return _banded(placed.withColumn("yhat", yhat), keys, value, width).select(
-        *keys, ts, value, *BASELINE_COLUMNS)
+    us = epoch_us(F.col(ts))
+    h = F.greatest((us - F.col("_t1")).cast("double") / F.greatest((F.col("_t1") - F.col("_t0")).cast("double"), F.lit(1.0)), F.lit(0.0))
+    drift = F.lit(2.0 * CHANGEPOINTS / 3.0) * F.col("_change") * F.col("_change") * h * h * h
+    banded = _banded(placed.withColumns({"yhat": yhat, "_drift": drift}), keys, value, width)
+    half = F.lit(Z_OF_WIDTH[width]) * F.sqrt(F.col("residual_std") * F.col("residual_std") + F.col("_drift"))
+    return banded.withColumns({"yhat_lower": F.col("yhat") - half, "yhat_upper": F.col("yhat") + half}).select(*keys, ts, value, *BASELINE_COLUMNS)
 
 
 # -- T3: moving-average trend plus slot means

@@ -181,9 +181,10 @@ def _(spark, sf):
     extra = (half / z) * (half / z) - F.col("residual_std") * F.col("residual_std")
     per = attach(out, last, KEY).withColumns({"_k": k, "_e": extra}).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("steps"), F.max(F.when(F.col("_k") == 1440, F.col("_e"))).alias("_end"), F.max(F.when(F.col("_k") == 720, F.col("_e"))).alias("_mid"),
-        F.max(F.col("residual_std")).alias("_s"), F.corr("_k", half).alias("_c"))
+        F.max(F.col("residual_std")).alias("_s"),
+        F.max(F.when(F.col("_k") == 1440, half)).alias("_wide"), F.max(F.when(F.col("_k") == 1, half)).alias("_narrow"))
     tiny = F.col("_end") < 1e-9 * F.col("_s") * F.col("_s")  # a series whose slope never changes
-    return per.select("event_type", "steps", (tiny | (F.abs(F.col("_end") / F.nullif(F.col("_mid"), F.lit(0.0)) - 8.0) < 1e-3)).alias("cubic"), (tiny | (F.col("_c") > 0.5)).alias("widens"))
+    return per.select("event_type", "steps", (tiny | (F.abs(F.col("_end") / F.nullif(F.col("_mid"), F.lit(0.0)) - 8.0) < 1e-3)).alias("cubic"), (tiny | (F.col("_wide") > F.col("_narrow"))).alias("widens"))
 
 
 @query("T6_fit_metrics", SEASONAL + """, c AS (SELECT *, yhat - lag(yhat) OVER (PARTITION BY event_type ORDER BY pos) AS step FROM fit)
@@ -358,7 +359,7 @@ def _(spark, sf):
 
 # Daily totals of three event types as the wide daily table with one flag per method and metric.
 DAILY_SQL = """WITH d AS (SELECT date_trunc('day', ts)::TIMESTAMP AS day, sum(value) FILTER (event_type = 'click') AS hr,
-  sum(value) FILTER (event_type = 'view') AS steps, sum(value) FILTER (event_type = 'purchase') AS sleep FROM events GROUP BY 1),
+  sum(value) FILTER (event_type IN ('view', 'signup')) AS steps, sum(value) FILTER (event_type IN ('purchase', 'error')) AS sleep FROM events GROUP BY 1),
 s AS (SELECT avg(hr) AS mh, stddev_samp(hr) AS sh, avg(steps) AS ms, stddev_samp(steps) AS ss, avg(sleep) AS ml, stddev_samp(sleep) AS sl FROM d),
 f AS (SELECT day, hr, steps, sleep, abs(hr - mh) > 1.5 * sh AS flag_threshold_hr, abs(steps - ms) > 1.5 * ss AS flag_threshold_steps, abs(sleep - ml) > 1.5 * sl AS flag_threshold_sleep,
   hr > mh + sh AS flag_trend_hr, steps > ms + ss AS flag_trend_steps, sleep > ml + sl AS flag_trend_sleep, hr < mh - sh AS flag_cluster FROM d, s),
@@ -372,8 +373,8 @@ def _daily(spark, sf):
     from tidewatch.plans.chunks import attach
 
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    of = lambda t: F.sum(F.when(F.col("event_type") == t, F.col("value")))
-    d = table(spark, sf, "events").groupBy(day.alias("day")).agg(of("click").alias("hr"), of("view").alias("steps"), of("purchase").alias("sleep"))
+    of = lambda *t: F.sum(F.when(F.col("event_type").isin(*t), F.col("value")))
+    d = table(spark, sf, "events").groupBy(day.alias("day")).agg(of("click").alias("hr"), of("view", "signup").alias("steps"), of("purchase", "error").alias("sleep"))
     s = d.agg(*[f(c).alias(f"{n}_{c}") for c in ("hr", "steps", "sleep") for n, f in (("m", F.avg), ("s", F.stddev_samp))])
     f = attach(d, s, [])
     for c in ("hr", "steps", "sleep"):

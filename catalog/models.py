@@ -276,6 +276,32 @@ def _(spark, sf):
     return rounded(cluster.davies_bouldin(_dense_cores(spark, sf), "cluster", ["f0_z", "f1_z", "f2_z"], KEY), "davies_bouldin")
 
 
+# Labels as they are given with the vectors.
+@query("K8_cluster_insights", """WITH u AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS i FROM embeddings),
+c AS (SELECT label, i, avg(v) AS m, stddev_samp(v) AS s FROM u GROUP BY 1, 2)
+SELECT label, (SELECT count(*) FROM embeddings e WHERE e.label = c.label)::BIGINT AS size, round(avg(m), 6) AS avg_activity_level, round(avg(s), 6) AS stability,
+  'Cluster ' || label || ' behavior pattern' AS interpretation FROM c GROUP BY 1""")
+def _(spark, sf):
+    return rounded(cluster.insights(_vectors(spark, sf), [], "label", E), "avg_activity_level", "stability")
+
+
+# Density clusters of the readings, numbered by their smallest core point, under the names that have texts.
+@query("K9_cluster_interpretation", _DENSE + """,
+k AS (SELECT event_type, root, row_number() OVER (PARTITION BY event_type ORDER BY min([a, b, c])) - 1 AS cluster FROM pt GROUP BY 1, 2),
+v AS (SELECT CASE pt.event_type WHEN 'click' THEN 'heart_rate' WHEN 'view' THEN 'steps' ELSE pt.event_type END AS metric, k.cluster, g.value
+      FROM pt JOIN k USING (event_type, root) JOIN g ON pt.event_type = g.event_type AND pt.pos = g.pos),
+i AS (SELECT metric, cluster, count(*)::BIGINT AS size, avg(value) AS a, stddev_samp(value) AS d FROM v GROUP BY 1, 2)
+SELECT metric, cluster::INT AS cluster, size, round(a, 6) AS avg_activity_level, round(d, 6) AS stability,
+ CASE WHEN metric = 'heart_rate' THEN CASE WHEN a < 60 THEN 'Low resting heart rate pattern' WHEN a < 70 THEN 'Normal heart rate pattern'
+        WHEN a < 80 THEN 'Elevated heart rate pattern' ELSE 'High heart rate pattern' END
+      WHEN metric = 'steps' THEN CASE WHEN a < 5000 THEN 'Sedentary activity pattern' WHEN a < 10000 THEN 'Moderate activity pattern' ELSE 'Active lifestyle pattern' END
+      ELSE 'Cluster ' || cluster || ' behavior pattern' END AS interpretation FROM i""")
+def _(spark, sf):
+    t = F.col("event_type")
+    rows = _dense_cores(spark, sf).withColumn("metric", F.when(t == "click", "heart_rate").when(t == "view", "steps").otherwise(t))
+    return rounded(cluster.insights(rows, ["metric"], "cluster", ["value"], F.col("metric")), "avg_activity_level", "stability")
+
+
 def _analysis(spark, sf):
     return workflows.analyze(hourly(spark, sf), KEY, "event_type", "ts", "value")["report"]
 
@@ -314,6 +340,18 @@ def _(spark, sf):
     return rounded(out.select("event_type", "ts", "value", "threshold_anomaly", "residual_anomaly", "cluster_anomaly"), "value")
 
 
+# The same with residuals from the line-and-slots fit and its 0.90 band.
+@query("G5_detect_all_seasonal", DENSITY_SQL + SEASONAL.split(HOURLY, 1)[1] + """, rl AS (SELECT *, sum((value > 60)::INT) OVER w3 >= 3 AND event_type = 'click' AS hi,
+   sum((value < 5)::INT) OVER w3 >= 3 AND event_type = 'click' AS lo, (value > 150 OR value < 2) AND event_type = 'error' AS now
+   FROM g WINDOW w3 AS (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT f.event_type, f.ts, round(f.value, 6) AS value, hi OR lo OR now AS threshold_anomaly,
+  abs(residual - mean_r) > 3 * sdp OR f.value > yhat_upper OR f.value < yhat_lower AS residual_anomaly, n.pos IS NULL AS cluster_anomaly
+FROM fit f JOIN rl ON f.event_type = rl.event_type AND f.pos = rl.pos LEFT JOIN near_core n ON f.event_type = n.event_type AND f.pos = n.pos""")
+def _(spark, sf):
+    out = workflows.detect_all(hourly(spark, sf), KEY, "event_type", "ts", "value", rules=(EVENT_RULES[0], EVENT_RULES[2]), baseline="seasonal")
+    return rounded(out.select("event_type", "ts", "value", "threshold_anomaly", "residual_anomaly", "cluster_anomaly"), "value")
+
+
 @query("G6_ensemble_with_outliers")
 def _(spark, sf):
     outliers = detect.multivariate_outliers(wide(spark, sf), ["ts"], METRICS)

@@ -130,11 +130,11 @@ def _(spark, sf):
                          ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
-@query("D4_metric_by_name", """SELECT event_id, 'heart_rate' AS metric, 'resting_bpm' AS source_column, value FROM events WHERE event_type = 'click'
-UNION ALL SELECT event_id, 'steps', 'step_count', value * 10 FROM events WHERE event_type = 'click'
-UNION ALL SELECT event_id, 'metric_1', 'user_id', user_id::DOUBLE FROM events WHERE event_type = 'click'""")
+@query("D4_metric_by_name", """SELECT event_id, 'heart_rate' AS metric, 'resting_bpm' AS source_column, value FROM events
+UNION ALL SELECT event_id, 'steps', 'step_count', value * 10 FROM events
+UNION ALL SELECT event_id, 'metric_1', 'user_id', user_id::DOUBLE FROM events""")
 def _(spark, sf):
-    wide = table(spark, sf, "events").filter("event_type = 'click'").select(
+    wide = table(spark, sf, "events").select(
         "event_id", F.col("value").alias("resting_bpm"), (F.col("value") * 10).alias("step_count"), "user_id")
     return roles.to_long(wide, ["event_id"])
 

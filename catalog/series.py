@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalog.base import CHAIN, HOURLY, KEY, grid_sql, hourly, near_sql, query, r6, rounded, table
 from tidewatch.operators import features, grid, rolling, stats
-from tidewatch.operators.cluster import insights
 from tidewatch.operators.fill import fill_gaps
 from tidewatch.plans.workflows import parse_single_file
 
@@ -393,27 +392,3 @@ def _(spark, sf):
     feats = rounded(feats, *[c for c in features.FEATURES if c not in _COUNTS])
     out = stats.top_features(feats, features.FEATURES, len(features.FEATURES))
     return out.groupBy("relevance").agg(F.count(F.lit(1)).alias("features"), F.count_if(F.col("variance") > 1e-9).alias("varying"))
-
-
-@query("K8_cluster_insights", HOURLY + """, c AS (SELECT event_type, (pos % 4)::INT AS cluster, value, value * 2 AS double_value FROM g)
-SELECT event_type, cluster, count(*)::BIGINT AS size, round((avg(value) + avg(double_value)) / 2, 6) AS avg_activity_level,
-  round((stddev_samp(value) + stddev_samp(double_value)) / 2, 6) AS stability, 'Cluster ' || cluster || ' behavior pattern' AS interpretation FROM c GROUP BY 1, 2""")
-def _(spark, sf):
-    rows = hourly(spark, sf).withColumns({"cluster": (F.col("pos") % 4).cast("int"), "double_value": F.col("value") * 2})
-    return rounded(insights(rows, KEY, "cluster", ["value", "double_value"], F.col("event_type")), "avg_activity_level", "stability")
-
-
-@query("K9_cluster_interpretation", HOURLY + """, c AS (SELECT CASE event_type WHEN 'click' THEN 'heart_rate' WHEN 'view' THEN 'steps' ELSE event_type END AS metric,
-  (pos % 6)::INT AS cluster, CASE event_type WHEN 'click' THEN value + (pos % 6) * 8 WHEN 'view' THEN value * (pos % 6) * 70 ELSE value END AS value FROM g),
-s AS (SELECT metric, cluster, count(*)::BIGINT AS size, avg(value) AS a, stddev_samp(value) AS d FROM c GROUP BY 1, 2)
-SELECT metric, cluster, size, round(a, 6) AS avg_activity_level, round(d, 6) AS stability,
- CASE WHEN metric = 'heart_rate' THEN CASE WHEN a < 60 THEN 'Low resting heart rate pattern' WHEN a < 70 THEN 'Normal heart rate pattern'
-        WHEN a < 80 THEN 'Elevated heart rate pattern' ELSE 'High heart rate pattern' END
-      WHEN metric = 'steps' THEN CASE WHEN a < 5000 THEN 'Sedentary activity pattern' WHEN a < 10000 THEN 'Moderate activity pattern' ELSE 'Active lifestyle pattern' END
-      ELSE 'Cluster ' || cluster || ' behavior pattern' END AS interpretation FROM s""")
-def _(spark, sf):
-    t, p, v = F.col("event_type"), F.col("pos") % 6, F.col("value")
-    rows = hourly(spark, sf).select(
-        F.when(t == "click", "heart_rate").when(t == "view", "steps").otherwise(t).alias("metric"), p.cast("int").alias("cluster"),
-        F.when(t == "click", v + p * 8).when(t == "view", v * p * 70).otherwise(v).alias("value"))
-    return rounded(insights(rows, ["metric"], "cluster", ["value"], F.col("metric")), "avg_activity_level", "stability")

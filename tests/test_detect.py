@@ -1,6 +1,8 @@
 """Rules, residual detectors, votes and trend fits on hand-made series."""
 
 import datetime as dt
+import json
+import random
 
 import numpy as np
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import detect, trend, vote
 from tidewatch.plans import reports, workflows
-from tidewatch.sources import readers, roles
+from tidewatch.sources import arrays, readers, roles
 from tidewatch.operators import profile
 
 T0 = dt.datetime(2024, 1, 1)
@@ -202,3 +204,29 @@ def test_health_report_lines(spark):
     assert rows["heart_rate"].recommendation == "Heart Rate: Review 3 detected anomalies for potential health concerns"
     assert rows["sleep"].recommendation == "Sleep: Patterns appear normal and healthy"
     assert (rows[None].metrics, rows[None].anomalies, rows[None].patterns, rows[None].features) == (2, 3, 1, 62)
+
+
+@pytest.mark.parametrize("share", ["128m", "64", "7"])
+def test_json_arrays_are_read_in_shares(spark, tmp_path, share):
+    """Any cut of the file gives the same records: signs and escapes in strings, nested arrays, several files, no array at all."""
+    rnd = random.Random(5)
+    texts = ["plain", "}", "{", "],[", '"', '\\"', "\\\\", 'a"}\\', "ü }{ é", "line\nbreak", ""]
+    rows = [{"id": i, "a": rnd.choice(texts), "b": {"c": [rnd.choice(texts), "x"], "d": [[{"e": i}], []]}} for i in range(60)]
+    (tmp_path / "one.json").write_text("\n  [" + ",\n ".join(json.dumps(r, ensure_ascii=False) for r in rows[:40]) + " ]\n", encoding="utf-8")
+    (tmp_path / "two.json").write_text(json.dumps(rows[40:58], indent=1))
+    (tmp_path / "three.json").write_text(json.dumps(rows[58]))
+    (tmp_path / "four.json").write_text("[]")
+    (tmp_path / "five.json").write_text("[" + json.dumps(rows[59]) + ', {"id": 99, "a": "cut')
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", share)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = sorted((json.loads(r.record) for r in arrays.array_records(spark, str(tmp_path)).collect()), key=lambda r: r["id"])
+        assert got == rows
+        if share == "64":
+            assert arrays._pieces(spark, str(tmp_path)).select("file", "block").distinct().count() > 50
+            table = readers.read_table(spark, str(tmp_path), fmt="json")
+            assert table.agg(F.count("id"), F.sum("id")).first()[:] == (60, sum(range(60))) and "STRUCT" in table.schema["b"].dataType.simpleString().upper()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", was[1])

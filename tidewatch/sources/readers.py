@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import no_nan
+from tidewatch.sources.arrays import read_json_arrays
 
 # File extension to Spark format.
 FORMATS = {"csv": "csv", "json": "json", "jsonl": "json", "ndjson": "json", "parquet": "parquet"}
@@ -34,10 +35,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
               lines: bool = False) -> DataFrame:
-    """An array of records, or one record per line. Only lines can be split between tasks."""
-    reader = spark.read.option("multiLine", not lines)
-    if schema is not None:
-        reader = reader.schema(schema)
+    """An array of records, or one record per line. Both are read by as many tasks as there are shares of the files."""
+    if not lines:
+        return without_nan(read_json_arrays(spark, path, schema))
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return without_nan(reader.json(path))
 
 

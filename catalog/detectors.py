@@ -11,6 +11,7 @@ from tidewatch.operators.cluster import eligibility, quality
 from tidewatch.operators.stats import value_counts
 from tidewatch.plans import reports, workflows
 from tidewatch.plans.chunks import attach, with_position
+from tidewatch.plans.staging import staging_path
 
 # -- T1(a) line plus (weekday, hour) season on the hourly grid: CTE ``fit``
 
@@ -437,6 +438,43 @@ def _(spark, sf):
     return rounded(workflows.prepare(rows, KEY, "ts", ["value"], order=["event_id"], freq="1h").select("event_type", "ts", "value", "is_anomaly"), "value")
 
 
+def _whole_preparation(spark, sf, out=None):
+    """Every event twice, a third of the values missing in one column, names that the validation rules know."""
+    e = table(spark, sf, "events").select("event_id", "event_type", "ts", "value", F.col("value").alias("heart_rate"),
+                                          F.when(F.col("event_id") % 3 > 0, F.col("value") - 5).alias("steps"))
+    return workflows.prepare_and_report(e.unionByName(e), KEY, numeric=["value"], order=["event_id"], freq="1h", out=out)
+
+
+@query("G1_prepare_profile", """WITH e AS (SELECT event_id, event_type, ts, value, value AS heart_rate, CASE WHEN event_id % 3 > 0 THEN value - 5 END AS steps FROM events),
+u AS (SELECT * FROM e UNION ALL SELECT * FROM e),
+c AS (SELECT 'event_id' AS "column", 'bigint' AS dtype, count(event_id) AS k, min(event_id)::DOUBLE AS lo, max(event_id)::DOUBLE AS hi FROM u
+ UNION ALL SELECT 'event_type', 'string', count(event_type), NULL, NULL FROM u UNION ALL SELECT 'ts', 'timestamp_ntz', count(ts), NULL, NULL FROM u
+ UNION ALL SELECT 'value', 'double', count(value), min(value), max(value) FROM u UNION ALL SELECT 'heart_rate', 'double', count(heart_rate), min(heart_rate), max(heart_rate) FROM u
+ UNION ALL SELECT 'steps', 'double', count(steps), min(steps), max(steps) FROM u)
+SELECT "column", dtype, (n - k)::BIGINT AS missing_count, k::BIGINT AS present_count, round((n - k) / n::DOUBLE * 100, 2) AS missing_pct, lo AS min_value, hi AS max_value
+FROM c, (SELECT count(*) AS n FROM u)""")
+def _(spark, sf):
+    return _whole_preparation(spark, sf)["profile"]
+
+
+@query("G1_prepare_summary", PREPARE_SQL + """, t AS (SELECT count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS m FROM events)
+SELECT 'ts' AS timestamp_column, (2 * n)::BIGINT AS n_rows, 6::BIGINT AS n_columns, n::BIGINT AS duplicates, (2 * m)::BIGINT AS missing_cells, n::BIGINT AS rows_kept,
+  (SELECT count(*) FROM g)::BIGINT AS rows_written FROM t""")
+def _(spark, sf):
+    return _whole_preparation(spark, sf)["summary"]
+
+
+@query("G1_prepare_issues", """SELECT 'heart_rate' AS "column", 'heart_rate outside plausible range (30-220)' AS issue, (2 * count(*) FILTER (value < 30 OR value > 220))::BIGINT AS n FROM events
+UNION ALL SELECT 'steps', 'negative steps', (2 * count(*) FILTER (event_id % 3 > 0 AND value - 5 < 0))::BIGINT FROM events""")
+def _(spark, sf):
+    return _whole_preparation(spark, sf)["issues"]
+
+
+@query("G1_prepare_written", PREPARE_SQL + " SELECT event_type, ts, round(value, 6) AS value FROM g")
+def _(spark, sf):
+    return rounded(_whole_preparation(spark, sf, staging_path(spark, "prepared-csv"))["rows"].select("event_type", "ts", "value"), "value")
+
+
 @query("G2_preprocess", """SELECT doc_id, TIMESTAMP '2024-01-01' + doc_id * INTERVAL 1 MINUTE AS timestamp, metric, source_column, value FROM (
  SELECT d.doc_id, 'metric_1' AS metric, 'quality' AS source_column, coalesce(quality::DOUBLE, (SELECT median(quality) FROM labels)) AS value FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
  UNION ALL SELECT d.doc_id, 'metric_2', 'toxic', coalesce(toxic::DOUBLE, (SELECT median(toxic) FROM labels)) FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""")

@@ -163,6 +163,14 @@ def _(spark, sf):
     return rounded(stats.correlation_matrix(table(spark, sf, "lineitem"), _NUM), "correlation")
 
 
+@query("A4_correlation_embeddings", """WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS i FROM embeddings)
+SELECT 'e' || a.i AS column_a, 'e' || b.i AS column_b, round(corr(a.v, b.v), 6) AS correlation FROM u a JOIN u b USING (vec_id) GROUP BY a.i, b.i""")
+def _(spark, sf):
+    names = [f"e{i}" for i in range(64)]
+    rows = table(spark, sf, "embeddings").select(*[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate(names)])
+    return rounded(stats.correlation_matrix(rows, names), "correlation")
+
+
 @query("A5_histogram", """WITH r AS (SELECT l_returnflag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem GROUP BY 1),
 b AS (SELECT l_returnflag, least(floor((l_extendedprice - lo) / ((hi - lo) / 50.0::DOUBLE)), 49)::INT AS bin, count(*) AS n
       FROM lineitem JOIN r USING (l_returnflag) GROUP BY 1, 2),

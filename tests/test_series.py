@@ -7,9 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import clean, features, grid, rolling
+from tidewatch.operators import clean, features, grid, rolling, stats
 from tidewatch.operators.fill import fill_gaps
 from tidewatch.operators.quantile import exact_quantiles
+from tidewatch.plans import workflows
 from tidewatch.plans.chunks import moving_mean, over_rows, with_position
 
 T0 = dt.datetime(2024, 1, 1)
@@ -177,3 +178,31 @@ def test_features_of_a_constant_window(spark):
 def test_constant_features_are_dropped(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "a double, b double")
     assert features.drop_constant_features(df, ["a", "b"]).columns == ["b"]
+
+
+def test_correlations_over_the_rows_that_have_both(spark):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(1e6, 1, 300), rng.normal(0, 1, 300), np.full(300, 3.0), np.full(300, np.nan)])
+    x[:, 1] += x[:, 0] - 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in row) for i, row in enumerate(x)], "a double, b double, c double, d double").repartition(3)
+    got = {(r.column_a, r.column_b): r.correlation for r in stats.correlation_matrix(df, list("abcd")).collect()}
+    both = ~np.isnan(x[:, 0]) & ~np.isnan(x[:, 1])
+    assert len(got) == 16 and got["a", "b"] == got["b", "a"] == pytest.approx(np.corrcoef(x[both, 0], x[both, 1])[0, 1], abs=1e-9)
+    assert got["a", "a"] == pytest.approx(1) and got["a", "c"] is None and got["c", "c"] is None and got["d", "a"] is None
+    assert stats.correlation_matrix(df.limit(0), ["a", "b"]).filter("correlation is not null").count() == 0
+
+
+def test_one_call_prepares_profiles_and_writes(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("k", t0 + dt.timedelta(minutes=i), float(70 + i % 5), i) for i in range(200)] + [("k", t0, 70.0, 0)] * 3 + [("k", t0 + dt.timedelta(minutes=200), 300.0, 200), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, heart_rate double, n long")
+    done = workflows.prepare_and_report(df, ["series"], numeric=["heart_rate"], order=["n"], out=str(tmp_path / "out"), fmt="parquet")
+    s = done["summary"].first()
+    assert (s.timestamp_column, s.n_rows, s.duplicates, s.missing_cells, s.rows_kept, s.rows_written) == ("timestamp", 205, 3, 4, 201, 201)
+    assert done["rows"].count() == 201 and spark.read.parquet(str(tmp_path / "out")).count() == 201
+    profile = {r.column: r for r in done["profile"].collect()}
+    assert (profile["heart_rate"].min_value, profile["heart_rate"].max_value, profile["heart_rate"].missing_count) == (70.0, 300.0, 1)
+    assert [r.n for r in done["issues"].collect()] == [1]
+    twice = workflows.prepare_and_report(df, ["series"], ts="timestamp", numeric=["heart_rate"], order=["n"], drop_duplicates=False)
+    assert twice["summary"].first().rows_kept == 204

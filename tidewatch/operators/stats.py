@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.constants import RELEVANCE, RELEVANCE_DEFAULT
-from tidewatch.functions.scalar import count_true, epoch_us, moment_kurtosis, moment_skew, safe_div
+from tidewatch.functions.scalar import count_true, epoch_us, moment_kurtosis, moment_skew, no_nan, safe_div
 from tidewatch.operators.quantile import exact_quantiles
 from tidewatch.plans.chunks import attach, match
 
@@ -46,15 +48,40 @@ def hourly_profile(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> D
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A4: Pearson correlation of every pair of columns, pairwise complete, in one aggregation."""
+    """A4: Pearson correlation of every pair of columns, over the rows that have both; NULL where a column doesn't vary.
+
+    Each task adds up products of whole Arrow batches, of values less their column's mean, and of who has a value at all: the work
+    of a pair is a cell of four matrix products, and what moves are the sums of one task's cells.
+    """
     cols = list(cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"_c{i}_{j}")
-                   for i, j in pairs])
-    cells = [F.struct(F.lit(cols[i]).alias("column_a"), F.lit(cols[j]).alias("column_b"),
-                      F.col(f"_c{min(i, j)}_{max(i, j)}").alias("correlation"))
-             for i in range(len(cols)) for j in range(len(cols))]
-    return row.select(F.inline(F.array(*cells)))
+    c = len(cols)
+    rows = df.select(*[no_nan(F.col(x).cast("double")).alias(f"x{i}") for i, x in enumerate(cols)])
+    middle = np.array([v or 0.0 for v in rows.agg(*[F.avg(x) for x in rows.columns]).first()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, c, c))
+        for b in batches:
+            x = np.column_stack([col.to_numpy(zero_copy_only=False) for col in b.columns]).astype(float)
+            has = (~np.isnan(x)).astype(float)
+            x = np.where(has > 0, x - middle, 0.0)
+            sums, squares = x.T @ has, (x * x).T @ has
+            total += np.stack([has.T @ has, sums, sums.T, squares, squares.T, x.T @ x])
+        i, j = np.triu_indices(c)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]], ["i", "j", *_CELL])
+
+    cells = rows.mapInArrow(run, "i int, j int, " + ", ".join(f"{x} double" for x in _CELL)).groupBy("i", "j").agg(*[F.sum(x).alias(x) for x in _CELL])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    spread = lambda s, q: F.col(q) - F.col(s) * F.col(s) / n
+    vx, vy = spread("sx", "qx"), spread("sy", "qy")
+    flat = (vx <= F.col("qx") * 1e-12) | (vy <= F.col("qy") * 1e-12)
+    r = F.when(~flat, (F.col("p") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy))
+    name = lambda k: F.get(F.array(*[F.lit(x) for x in cols]), F.col(k))
+    done = cells.select("i", "j", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("correlation"))
+    both = done.unionByName(done.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
+    return both.select(name("i").alias("column_a"), name("j").alias("column_b"), "correlation")
+
+
+_CELL = ("n", "sx", "sy", "qx", "qy", "p")  # rows with both, sums, squares, products
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) -> DataFrame:

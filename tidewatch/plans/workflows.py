@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidewatch.functions.constants import THRESHOLD_RULES
+from tidewatch.functions.constants import THRESHOLD_RULES, VALIDATION_RULES
 from tidewatch.functions.scalar import no_nan, to_number, to_time
 from tidewatch.operators import clean, cluster, detect, features, grid, trend
 from tidewatch.operators.fill import fill_gaps
+from tidewatch.operators.profile import is_missing
 from tidewatch.operators.vote import join_flags, vote
 from tidewatch.plans.chunks import attach, match, with_position
 from tidewatch.plans.staging import stage
+from tidewatch.sources import writers
 from tidewatch.sources.roles import ensure_timestamp, numeric_columns, synthetic_times, to_long
 
 
@@ -38,6 +40,65 @@ def prepare(df: DataFrame, keys: Sequence[str], ts: str, numeric: Sequence[str],
     return detect.rolling_zscore(rows, keys, detect_on or numeric[0], window, z, flag="is_anomaly", **kw)
 
 
+def prepare_and_report(df: DataFrame, keys: Sequence[str] = (), ts: str | None = None, numeric: Sequence[str] | None = None,
+                       other: Sequence[str] = (), order: Sequence[str] = (), out: str | None = None, fmt: str = "csv",
+                       max_null_pct: float = 90, drop_duplicates: bool = True, rules=VALIDATION_RULES, **kw) -> dict[str, DataFrame]:
+    """G1 from the raw table to the written one: finds the timestamp, profiles, validates, cleans, grids, flags and writes.
+
+    The profile costs no pass of its own: what it counts is observed while the different rows are written for the steps that
+    follow, so the input is scanned once (twice where the timestamp must be looked for). Returns "rows", the prepared
+    rows, read from ``out`` if it is given ("csv", "json" or "parquet"); "profile", a row per column with its type, missing and present values and
+    range; "summary", one row with the table's shape, duplicates, missing cells, rows kept and rows written; and "issues", the number of
+    values that break each rule.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    timed, found = (df, ts) if ts is not None else ensure_timestamp(df)
+    if found is None:
+        timed, found = synthetic_times(df, order), "timestamp"
+    ranged = numeric_columns(timed)
+    numeric = list(numeric) if numeric is not None else [c for c in ranged if c not in (*keys, *order)]
+    checks = [(col, low, high, issue) for col, low, high, issue in rules if col in timed.columns]
+    seen, different, kept, written = (Observation(n) for n in ("seen", "different", "kept", "written"))
+    number = lambda c: no_nan(F.col(c).cast("double"))
+    broken = lambda c, low, high: F.coalesce(((number(c) < F.lit(low)) if low is not None else F.lit(False)) | ((number(c) > F.lit(high)) if high is not None else F.lit(False)), F.lit(False))
+    raw = timed.observe(seen, F.count(F.lit(1)).alias("n"), *[F.count_if(is_missing(timed, c)).alias(f"m{i}") for i, c in enumerate(timed.columns)],
+                        *[f(number(c)).alias(f"{a}{i}") for i, c in enumerate(ranged) for a, f in (("lo", F.min), ("hi", F.max))],
+                        *[F.count_if(broken(c, low, high)).alias(f"b{i}") for i, (c, low, high, _) in enumerate(checks)])
+    unique = raw.groupBy(*timed.columns).agg(F.count(F.lit(1)).alias("_copies")).observe(different, F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n"))
+    if not drop_duplicates:
+        unique = unique.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    rows = stage(clean.drop_sparse_rows(unique.select(*timed.columns), max_null_pct).observe(kept, F.count(F.lit(1)).alias("n")), "different")
+    done = prepare(rows, keys, found, numeric, other, order, 0, False, **kw).observe(written, F.count(F.lit(1)).alias("n"))
+    done = _written(done, out, fmt)
+    got, n = seen.get, seen.get["n"]
+    place = {c: i for i, c in enumerate(ranged)}
+    profile = [(c, t, got[f"m{i}"], n - got[f"m{i}"], round(got[f"m{i}"] / n * 100, 2) if n else None,
+                got[f"lo{place[c]}"] if c in place else None, got[f"hi{place[c]}"] if c in place else None) for i, (c, t) in enumerate(timed.dtypes)]
+    return {
+        "rows": done,
+        "profile": spark.createDataFrame(profile, "column string, dtype string, missing_count bigint, present_count bigint, missing_pct double, min_value double, max_value double"),
+        "summary": spark.createDataFrame([(found, n, len(timed.columns), different.get["n"], sum(p[2] for p in profile), kept.get["n"], written.get["n"])],
+                                         "timestamp_column string, n_rows bigint, n_columns bigint, duplicates bigint, missing_cells bigint, rows_kept bigint, rows_written bigint"),
+        "issues": spark.createDataFrame([(c, issue, got[f"b{i}"]) for i, (c, _, _, issue) in enumerate(checks)], "column string, issue string, n bigint")}
+
+
+def _written(df: DataFrame, out: str | None, fmt: str) -> DataFrame:
+    """``df`` as a table that is read from where it was written."""
+    if out is None:
+        return stage(df, "prepared")
+    spark = df.sparkSession
+    if fmt == "csv":
+        writers.write_csv(df, out)
+        return spark.read.schema(df.schema).options(header=True, **writers.TIME_OPTIONS).csv(out)
+    if fmt == "json":
+        writers.write_json(df, out)
+        return spark.read.schema(df.schema).options(**writers.TIME_OPTIONS).json(out)
+    if fmt != "parquet":
+        raise ValueError(f"unsupported format {fmt!r}")
+    df.write.parquet(out)
+    return spark.read.schema(df.schema).parquet(out)
+
+
 def preprocess(df: DataFrame, keys: Sequence[str] = (), order: Sequence[str] = (),
                metrics: Sequence[str] | None = None) -> DataFrame:
     """Find or make the timestamp, fill numeric NULLs by the median, drop duplicates,

@@ -76,7 +76,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     flat = (vx <= F.col("qx") * 1e-12) | (vy <= F.col("qy") * 1e-12)
     r = F.when(~flat, (F.col("p") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy))
     name = lambda k: F.get(F.array(*[F.lit(x) for x in cols]), F.col(k))
-    done = cells.select("i", "j", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("correlation"))
+    done = cells.select("i", "j", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
     both = done.unionByName(done.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
     return both.select(name("i").alias("column_a"), name("j").alias("column_b"), "correlation")
 

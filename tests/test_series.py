@@ -180,7 +180,9 @@ def test_constant_features_are_dropped(spark):
     assert features.drop_constant_features(df, ["a", "b"]).columns == ["b"]
 
 
-def test_correlations_over_the_rows_that_have_both(spark):
+@pytest.mark.parametrize("few", [8, 1])
+def test_correlations_over_the_rows_that_have_both(spark, monkeypatch, few):
+    monkeypatch.setattr(stats, "FEW_COLUMNS", few)
     rng = np.random.default_rng(4)
     x = np.column_stack([rng.normal(1e6, 1, 300), rng.normal(0, 1, 300), np.full(300, 3.0), np.full(300, np.nan)])
     x[:, 1] += x[:, 0] - 1e6

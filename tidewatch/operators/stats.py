@@ -50,12 +50,16 @@ def hourly_profile(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> D
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A4: Pearson correlation of every pair of columns, over the rows that have both; NULL where a column doesn't vary.
 
-    Each task adds up products of whole Arrow batches, of values less their column's mean, and of who has a value at all: the work
+    Up to ``FEW_COLUMNS`` columns make one aggregation without leaving the JVM. Of more, each task adds up products of whole Arrow batches, of values less their column's mean, and of who has a value at all: the work
     of a pair is a cell of four matrix products, and what moves are the sums of one task's cells.
     """
     cols = list(cols)
     c = len(cols)
     rows = df.select(*[no_nan(F.col(x).cast("double")).alias(f"x{i}") for i, x in enumerate(cols)])
+    names = F.array(*[F.lit(x) for x in cols])
+    name = lambda k: F.get(names, F.col(k))
+    if c <= FEW_COLUMNS:
+        return _few_correlations(rows).select(name("i").alias("column_a"), name("j").alias("column_b"), "correlation")
     middle = np.array([v or 0.0 for v in rows.agg(*[F.avg(x) for x in rows.columns]).first()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,12 +79,27 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     vx, vy = spread("sx", "qx"), spread("sy", "qy")
     flat = (vx <= F.col("qx") * 1e-12) | (vy <= F.col("qy") * 1e-12)
     r = F.when(~flat, (F.col("p") - F.col("sx") * F.col("sy") / n) / F.sqrt(vx * vy))
-    name = lambda k: F.get(F.array(*[F.lit(x) for x in cols]), F.col(k))
     done = cells.select("i", "j", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
     both = done.unionByName(done.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
     return both.select(name("i").alias("column_a"), name("j").alias("column_b"), "correlation")
 
 
+FEW_COLUMNS = 8
+
+
+def _few_correlations(rows: DataFrame) -> DataFrame:
+    """(i, j, correlation) of all columns, from covariances and variances over the rows that have both."""
+    n, pairs = len(rows.columns), []
+    for i in range(n):
+        for j in range(i, n):
+            x, y = F.col(f"x{i}"), F.col(f"x{j}")
+            spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+            r = F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+            pairs.append(F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias(f"r{i}_{j}"))
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"r{min(i, j)}_{max(i, j)}").alias("correlation")) for i in range(n) for j in range(n)])
+    return rows.agg(*pairs).select(F.inline(cells))
+
+
 _CELL = ("n", "sx", "sy", "qx", "qy", "p")  # rows with both, sums, squares, products
 
 

@@ -106,6 +106,15 @@ def test_queries_against_held_out_labels(spark, truth, name, label, least):
     assert sum(p == y for p, y in out) / len(out) >= least
 
 
+def test_toxic_documents_of_the_held_out_fold_are_found(spark):
+    """Where there are enough toxic texts to learn from: a constant answer finds none of them, or accuses all."""
+    d = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    out = [(r.predicted, labels[r.doc_id]) for r in QUERIES["op2_toxicity"](spark, d).filter("held_out").select("doc_id", "predicted").collect() if r.doc_id in labels]
+    hits, toxic, called = sum(p and y for p, y in out), sum(y for _, y in out), sum(p for p, _ in out)
+    assert toxic > 50 and hits / toxic >= 0.65 and hits / called >= 0.9
+
+
 def test_language_query(spark, truth):
     d, _, docs = truth
     rows = language_rows = QUERIES["op7_language_id"](spark, d).collect()

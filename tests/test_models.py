@@ -274,6 +274,38 @@ def test_isolation_flags_a_tenth_and_the_spikes(spark):
     np.testing.assert_allclose(first.iso_score, again.iso_score)
 
 
+def test_isolation_scores_and_flags_against_plain_walks(spark):
+    """Scores are 2 ** -(mean depth / expected depth) over the fitted trees, flags lie above their 0.9 quantile; with density noise they make N10."""
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(0, 0.2, (150, 4)), rng.normal(2, 0.2, (100, 4)), rng.uniform(-4, 6, (12, 4))])
+    cols = list("abcd")
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id int, a double, b double, c double, d double")
+    nodes, per_tree = forest.fit_forest(df, ["id"], cols, trees=25, sample=64)
+    trees = {}
+    for n in nodes.collect():
+        trees.setdefault(n.tree, {})[n.node] = n
+
+    def depth(tree, p):
+        at = tree[0]
+        while at.feature >= 0:
+            at = tree[at.left if p[at.feature] <= at.cut else at.right]
+        return at.value
+
+    expected = 2 * (np.log(per_tree - 1) + np.euler_gamma) - 2 * (per_tree - 1) / per_tree
+    want = np.array([2 ** -(np.mean([depth(t, p) for t in trees.values()]) / expected) for p in x])
+    got = forest.isolation_outliers(df, ["id"], cols, trees=25, sample=64).toPandas().sort_values("id")
+    np.testing.assert_allclose(got.iso_score, want)
+    assert (got.is_outlier_iso.to_numpy() == (want > np.quantile(want, 0.9))).all()
+    for t in trees.values():  # a leaf's value is its depth and what its rows would take on average
+        assert sum(n.feature < 0 for n in t.values()) == sum(n.feature >= 0 for n in t.values()) + 1
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    noise = brute_dbscan(z, 0.5, 5)[1]
+    out = detect.multivariate_outliers(df, ["id"], cols).toPandas().sort_values("id")
+    alone = detect.multivariate_outliers(df, ["id"], cols, by_density=False).toPandas().sort_values("id")
+    assert (out.is_outlier_dbscan.to_numpy() == noise).all()
+    assert (out.is_outlier.to_numpy() == (noise | alone.is_outlier_iso.to_numpy())).all() and noise.any() and not noise.all()
+
+
 RULES = (("m", "x", 0, 10, 3),)
 SCHEMA = "m string, id long, ts timestamp, v double"
 

@@ -194,7 +194,7 @@ def _map_solver(size: int, n_hinges: int):
     """
     p = size - 1
     prior = np.full(p, SEASON_PRIOR)
-    prior[:2] = 100.0
+    prior[:2] = 1e4
     hinge = np.zeros(p, bool)
     hinge[2:2 + n_hinges] = True
 

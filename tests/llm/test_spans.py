@@ -14,22 +14,23 @@ def test_sentence_query_matches_sql(spark, sf):
     assert compare(spark, connect(sf), QUERIES["op8_substring_dedup"], SQL["op8_substring_dedup"], sf)[0] == "ok"
 
 
-def brute(rows, span=2, least=10):
+def brute(rows, least=10, alone=20):
     cut = [re.findall(sentences.SENTENCE, t or "") for _, t in rows]
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
     first, gone = {}, {}
     runs = []
     for i in order:
         plain = [re.sub(r"\s+", " ", s.strip(" ").lower()) for s in cut[i]]
-        for a in range(max(1, len(plain) - span + 1) if plain else 0):
-            run = " ".join(plain[a:a + span])
-            if len(run.split()) >= least:
-                runs.append((run, (rows[i][0] is None, rows[i][0] or 0, a), i))
+        for a in range(len(plain)):
+            ends = [e for e in range(a + 2, len(plain) + 1) if len(" ".join(plain[a:e]).split()) >= least][:1]
+            if len(plain[a].split()) >= (alone if len(plain) > 1 else least):
+                ends.append(a + 1)
+            runs += [((e - a, " ".join(plain[a:e])), (rows[i][0] is None, rows[i][0] or 0, a), i) for e in ends]
     for run, where, _ in runs:
         first[run] = min(first.get(run, where), where)
     for run, where, i in runs:
         if where > first[run]:
-            gone.setdefault(rows[i], set()).update(range(where[2], where[2] + span))
+            gone.setdefault(rows[i], set()).update(range(where[2], where[2] + run[0]))
     out = []
     for (d, t), s in zip(rows, cut):
         g = {x for x in gone.get((d, t), ()) if x < len(s)}
@@ -52,6 +53,17 @@ def test_sentences_against_brute_force(docs_of):
     assert sentences.dedup(docs_of([])).count() == 0
 
 
+def test_lists_of_words_and_long_sentences_alone(docs_of):
+    lines = "".join(f"item{k}\n" for k in range(60))
+    long = " ".join(f"w{k}" for k in range(60)) + ". "
+    rows = [(1, "One head.\n" + lines + "a tail"), (2, lines), (3, "other. " + long + "mine."), (4, "another. " + long + "yours."),
+            (5, "item3\nitem4\nitem5\nitem6\n"), (6, "  \n" + lines), (7, " ".join(f"w{k}" for k in range(12))), (8, " ".join(f"W{k}" for k in range(12)))]
+    got = sorted(tuple(r) for r in sentences.dedup(docs_of(rows)).collect())
+    assert got == brute(rows)
+    assert [(r[0], r[2]) for r in got] == [(1, 0), (2, 60), (3, 0), (4, 1), (5, 0), (6, 60), (7, 0), (8, 1)]
+    assert got[3][4] == "another. yours."
+
+
 def test_texts_of_one_id_lose_only_their_own_repeats(docs_of):
     passage = "this passage of six words more. occurs in two of the texts. "
     for key in (None, 7):

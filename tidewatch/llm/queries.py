@@ -114,11 +114,13 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 OP8 = r"""
 WITH split AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*') AS s FROM documents),
 plain AS (SELECT doc_id, list_transform(s, lambda x: regexp_replace(lower(trim(x, ' ')), '\s+', ' ', 'g')) AS p FROM split WHERE len(s) > 0),
-starts AS (SELECT doc_id, p, unnest(range(greatest(len(p) - 1, 1))) AS pos FROM plain),
-runs AS (SELECT doc_id, pos, array_to_string(p[pos + 1 : pos + 2], ' ') AS run FROM starts),
-spans AS (SELECT * FROM runs WHERE regexp_matches(run, '^(?:\S+\s+){9}\S')),
-firsts AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k FROM spans),
-covered AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM firsts WHERE k > 1),
+counted AS (SELECT doc_id, p, list_transform(p, lambda x: len(regexp_extract_all(x, '\S+'))) AS w FROM plain),
+starts AS (SELECT doc_id, p, w, unnest(range(len(p))) AS pos FROM counted),
+lengths AS (SELECT doc_id, p, pos, list_filter(range(2, 12), lambda n: pos + n <= len(p) AND list_sum(w[pos + 1 : pos + n]) >= 10)[1] AS n FROM starts
+            UNION ALL SELECT doc_id, p, pos, 1 FROM starts WHERE w[pos + 1] >= 20 OR (len(p) = 1 AND w[1] >= 10)),
+spans AS (SELECT doc_id, pos, n, array_to_string(p[pos + 1 : pos + n], ' ') AS run FROM lengths WHERE n IS NOT NULL),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY run, n ORDER BY doc_id, pos) AS k FROM spans),
+covered AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM firsts WHERE k > 1),
 gone AS (SELECT doc_id, list_sort(list(pos)) AS gone FROM covered GROUP BY 1)
 SELECT d.doc_id, len(s)::BIGINT AS n_sentences, coalesce(len(list_filter(gone, lambda i: i < len(s))), 0)::BIGINT AS n_removed,
        coalesce(len(list_filter(gone, lambda i: i < len(s) AND NOT list_contains(gone, i - 1))), 0)::BIGINT AS n_spans,

@@ -1,7 +1,8 @@
 """Substring duplicates by spans of sentences.
 
-Every run of several neighbouring sentences is hashed; of equal runs anywhere in the corpus the first
-by (id, position) stays, and sentences covered by any other are removed. All in built-in functions.
+From every sentence the run of several sentences that first holds enough words is hashed, and sentences long
+enough to be a passage by themselves are hashed alone; of equal runs anywhere in the corpus the first by
+(id, position) stays, and sentences covered by any other are removed. All in built-in functions.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from tidewatch.plans.staging import stage
 
 # A sentence runs to its stops and the space behind them, or to the end of its line; together they are the whole text.
 SENTENCE = r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*"
-SPAN = 2
 LEAST_WORDS = 10  # shorter runs are phrases that unrelated texts share
+ALONE_WORDS = 20  # a sentence of so many words counts without a neighbour
 
 
 def split(text: str | Column) -> Column:
@@ -32,44 +33,64 @@ def _plain(sentence: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(sentence)), r"\s+", " ")
 
 
-def _spans(docs: DataFrame, span: int, least: int) -> DataFrame:
-    """(id, t1, t2, at, h1, h2, digest) of every run of ``span`` sentences with enough words; shorter texts are one run."""
+def _spans(docs: DataFrame, least: int, alone: int) -> DataFrame:
+    """(id, t1, t2, at, n, h1, h2, digest) of every run: from sentence ``at`` on the fewest, two or more, that hold ``least`` words,
+    and sentences by themselves that hold ``alone`` words or, with ``least``, are their whole text. ``n`` goes into the hashes.
+
+    Only the first sentence can be without words, so a run has at most ``least`` + 1 sentences.
+    """
     sentences = docs.select("id", "t1", "t2", F.transform(split("text"), _plain).alias("s")).filter(F.size("s") > 0)
-    starts = F.sequence(F.lit(0), F.greatest(F.size("s") - span, F.lit(0)))
-    runs = sentences.select("id", "t1", "t2", F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("s", i + 1, span), " "))).alias("at", "run"))
-    enough = F.col("run").rlike(rf"^(?:\S+\s+){{{least - 1}}}\S") if least > 1 else F.lit(True)
-    digest = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("run")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "run")), 16, "0")))
-    return runs.filter(enough).select("id", "t1", "t2", "at", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit("again"), "run").alias("h2"), digest.alias("digest"))
+    sentences = sentences.withColumn("w", F.transform("s", lambda x: F.regexp_count(x, F.lit(r"\S+"))))
+    full = lambda a: (a["n"] >= 2) & (a["words"] >= least)
+
+    def length(i: Column) -> Column:
+        none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("n"))
+        longer = lambda a, x: F.when(full(a), a).otherwise(F.struct((a["words"] + x).alias("words"), (a["n"] + 1).alias("n")))
+        return F.aggregate(F.slice("w", i + 1, max(least, 1) + 1), none, longer, lambda a: F.when(full(a), a["n"]))
+
+    every = F.sequence(F.lit(0), F.size("s") - 1)
+    single = F.filter(every, lambda i: (F.get("w", i) >= alone) | ((F.size("s") == 1) & (F.get("w", i) >= least)))
+    places = F.concat(F.transform(every, lambda i: F.struct(i.alias("at"), length(i).alias("n"))),
+                      F.transform(single, lambda i: F.struct(i.alias("at"), F.lit(1).alias("n"))))
+    wide = sentences.select("id", "t1", "t2", "s", F.filter(places, lambda p: p["n"].isNotNull()).alias("p"))
+    runs = wide.select("id", "t1", "t2", F.explode(F.transform("p", lambda p: F.struct(
+        p["at"].alias("at"), p["n"].alias("n"), F.array_join(F.slice("s", p["at"] + 1, p["n"]), " ").alias("run")))).alias("r")).select("id", "t1", "t2", "r.*")
+    h1, h2 = F.xxhash64("n", "run"), F.xxhash64(F.lit("again"), "n", "run")
+    return runs.select("id", "t1", "t2", "at", "n", h1.alias("h1"), h2.alias("h2")).withColumn("digest", _code("h1", "h2"))
+
+
+def _code(h1: str, h2: str) -> Column:
+    return F.concat(F.lower(F.lpad(F.hex(h1), 16, "0")), F.lower(F.lpad(F.hex(h2), 16, "0")))
 
 
-def repeated_sentences(docs: DataFrame, span: int = SPAN, least: int = LEAST_WORDS) -> DataFrame:
+def repeated_sentences(docs: DataFrame, least: int = LEAST_WORDS, alone: int = ALONE_WORDS) -> DataFrame:
     """(id, t1, t2, gone) of (id, text, t1, t2): per text the sorted positions of the sentences that a repeated run covers.
 
     The first run of each kind is found by an aggregate that is summed up before its shuffle. Then runs are
     made a second time, and only those whose hash may be a repeated one are shuffled to be joined.
     """
     where = F.struct(F.col("id").isNull().alias("void"), "id", "at", "t1", "t2")
-    first = (_spans(docs, span, least).groupBy("h1", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = (_spans(docs, least, alone).groupBy("h1", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
              .select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first"))
     first = stage(first, "repeated")
     bits = size_for(first.count())
-    code = F.concat(F.lower(F.lpad(F.hex("_h1"), 16, "0")), F.lower(F.lpad(F.hex("_h2"), 16, "0")))
-    marked = stage(hit(first.select(code.alias("digest")), F.col("digest"), bits), "marked")
-    again = with_hits(_spans(docs, span, least), marked, F.col("digest"), bits, "_maybe").filter("_maybe").select("id", "t1", "t2", "at", "h1", "h2")
+    marked = stage(hit(first.select(_code("_h1", "_h2").alias("digest")), F.col("digest"), bits), "marked")
+    again = with_hits(_spans(docs, least, alone), marked, F.col("digest"), bits, "_maybe").filter("_maybe").select("id", "t1", "t2", "at", "n", "h1", "h2")
     later = again.join(first, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).filter(where > F.col("first"))
-    covered = later.select("id", "t1", "t2", F.explode(F.sequence(F.col("at"), F.col("at") + span - 1)).alias("at")).distinct()
+    covered = later.select("id", "t1", "t2", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at")).distinct()
     return covered.groupBy("id", "t1", "t2").agg(F.array_sort(F.collect_list("at")).alias("gone"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, least: int = LEAST_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, alone: int = ALONE_WORDS) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, n_spans (runs of removed sentences), text (what is left).
 
-    Case and spaces don't matter to equality. Runs under ``least`` words and sentences alone never count.
+    Case and spaces don't matter to equality. However short its sentences are, a passage of ``least`` words in whole sentences
+    counts, and one sentence by itself from ``alone`` words on or where it is the whole text; a text under ``least`` words never goes.
     Null and empty texts have no sentence and stay empty. Texts with one id (or none) are told apart by two hashes, which
     also order what they repeat at the same position; rows that repeat id and text get equal verdicts. An empty table gives no rows.
     """
     slim = _known(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")))
-    gone = stage(repeated_sentences(slim, span, least), "gone")
+    gone = stage(repeated_sentences(slim, least, alone), "gone")
     # texts without a repeat are not shuffled, as long as the filter holds the number of those with one
     name = F.concat(F.lower(F.lpad(F.hex(F.xxhash64("id", "t1", "t2")), 16, "0")), F.lower(F.lpad(F.hex(F.xxhash64(F.lit("again"), "id", "t1", "t2")), 16, "0")))
     bits = size_for(gone.count())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import CHAIN, HOURLY, KEY, NUDGE, grid_sql, hourly, near_sql, query, r6, rounded, table
 from catalog.series import FEATURES_SQL, MINUTES, minutes
-from tidewatch.operators import detect, trend, vote
+from tidewatch.operators import detect, local, trend, vote
 from tidewatch.operators.cluster import eligibility, quality
 from tidewatch.operators.stats import value_counts
 from tidewatch.plans import reports, workflows
@@ -129,6 +129,36 @@ def _(spark, sf):
     return rounded(trend.decompose(hourly(spark, sf), KEY, "value", period=24, robust=True).select("event_type", "ts", *PARTS), *PARTS)
 
 
+def _local_sql(period: int, rounds: int = 3) -> str:
+    half = local.half_width(period)
+    sql = HOURLY + ", r0 AS (SELECT event_type, ts, pos, value, 0::DOUBLE AS s, 1::DOUBLE AS w FROM g)"
+    for i in range(rounds + 1):
+        mid = "median(value - trend)" if i == 0 else "sum(w * (value - trend)) / sum(w)"
+        sql += """,
+t0 AS (SELECT *, median(value) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN {0} PRECEDING AND {0} FOLLOWING) AS trend FROM r0)""".format(period // 2) if i == 0 else f""",
+near{i} AS (SELECT a.event_type, a.pos, (b.pos - a.pos) / {half + 1}::DOUBLE AS d, b.w * pow(1 - pow(abs(d), 3), 3) AS k, b.value - b.s AS y
+      FROM r{i} a JOIN r{i} b ON a.event_type = b.event_type AND b.pos BETWEEN a.pos - {half} AND a.pos + {half}),
+sums{i} AS (SELECT event_type, pos, sum(k) AS s0, sum(k * d) AS s1, sum(k * d * d) AS s2, sum(k * y) AS t0, sum(k * d * y) AS t1 FROM near{i} GROUP BY 1, 2),
+t{i} AS (SELECT r.*, CASE WHEN s0 * s2 - s1 * s1 > 1e-9 * s0 * s0 THEN (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) ELSE t0 / s0 END AS trend
+      FROM r{i} r JOIN sums{i} USING (event_type, pos))"""
+        sql += f""",
+c{i} AS (SELECT event_type, pos % {period} AS slot, {mid} AS seasonal FROM t{i} GROUP BY 1, 2),
+p{i} AS MATERIALIZED (SELECT t.event_type, ts, pos, value, trend, seasonal, trend + seasonal AS predicted, value - trend - seasonal AS residual
+      FROM t{i} t JOIN c{i} c ON t.event_type = c.event_type AND pos % {period} = slot)"""
+        if i < rounds:
+            sql += f""",
+m{i} AS (SELECT event_type, median(abs(residual)) * 6 AS reach FROM p{i} GROUP BY 1),
+r{i + 1} AS (SELECT event_type, ts, pos, value, seasonal AS s, CASE WHEN reach > 0 THEN greatest(0.001::DOUBLE,
+      CASE WHEN abs(residual) < reach THEN pow(1 - pow(residual / reach, 2), 2) ELSE 0 END) WHEN residual = 0 THEN 1 ELSE 0.001 END AS w FROM p{i} JOIN m{i} USING (event_type))"""
+    return sql + f""", z AS (SELECT event_type, stddev_pop(residual) AS sd FROM p{rounds} GROUP BY 1),
+dec AS (SELECT p.*, predicted - 1.96 * sd AS yhat_lower, predicted + 1.96 * sd AS yhat_upper FROM p{rounds} p JOIN z USING (event_type))"""
+
+
+@query("T3_decompose_local", _local_sql(24) + f" SELECT event_type, ts, {PARTS_SQL} FROM dec")
+def _(spark, sf):
+    return rounded(local.local_decompose(hourly(spark, sf), KEY, "value", period=24).select("event_type", "ts", *PARTS), *PARTS)
+
+
 MINUTE_DECOMPOSE = f"""WITH {MINUTES}, {near_sql()}, g AS (SELECT event_type, ts, pos, value AS raw, {CHAIN} AS value FROM near),
 t AS (SELECT *, avg(value) OVER (PARTITION BY event_type ORDER BY pos ROWS BETWEEN 720 PRECEDING AND 719 FOLLOWING) AS trend FROM g),
 s AS (SELECT event_type, pos % 1440 AS slot, avg(value - trend) AS seasonal FROM t GROUP BY 1, 2),

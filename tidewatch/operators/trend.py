@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import epoch_us, long
 from tidewatch.operators.grid import FREQUENCIES, frequency
+from tidewatch.operators.local import LONG_PERIOD, local_decompose
 from tidewatch.operators.quantile import exact_quantiles
 from tidewatch.plans.chunks import attach, match, moving_mean, over_rows
 from tidewatch.plans.staging import stage
@@ -23,9 +24,6 @@ Z_OF_WIDTH = {0.80: 1.2815515655446004, 0.90: 1.6448536269514722, 0.95: 1.959963
 MIN_POINTS = 10
 DAY_US = 86_400_000_000.0
 
-# Period of the decomposition on a minute grid.
-LONG_PERIOD = 1440
-
 
 def _banded(df: DataFrame, keys: list[str], value: str, width: float) -> DataFrame:
     """Residual and yhat +/- z * residual std per series."""
@@ -341,8 +339,8 @@ def decompose(df: DataFrame, keys: Sequence[str], value: str, pos: str = "pos",
 
 def predict(df: DataFrame, keys: Sequence[str], ts: str, value: str, baseline: str = "fourier", pos: str = "pos",
             **kw) -> DataFrame:
-    """T4: yhat and its band by the chosen baseline; series with fewer than 10 points, which
-    the trend fits refuse, take the decomposition."""
+    """T4: yhat and its band by the chosen baseline ("decompose", "local", "seasonal", "fourier"); series with fewer
+    than 10 points, which the trend fits refuse, take the decomposition."""
     keys = list(keys)
     wanted = [*df.columns, *BASELINE_COLUMNS]
 
@@ -352,6 +350,8 @@ def predict(df: DataFrame, keys: Sequence[str], ts: str, value: str, baseline: s
 
     if baseline == "decompose":
         return as_yhat(decompose(df, keys, value, pos, **kw))
+    if baseline == "local":
+        return as_yhat(local_decompose(df, keys, value, pos, **kw))
     sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
     sized = attach(df, sizes, keys)
     enough = sized.filter(F.col("_n") >= MIN_POINTS).drop("_n")

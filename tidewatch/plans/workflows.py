@@ -221,7 +221,8 @@ def detect_all(long: DataFrame, keys: Sequence[str], metric: str, ts: str, value
                rules=THRESHOLD_RULES, residual_k: float = 3.0, eps: float = 0.5, min_samples: int = 5,
                period: int | None = None, baseline: str = "decompose") -> DataFrame:
     """Threshold, residual and density flags on every reading of every metric. ``baseline``: what the
-    residuals are taken from; the trend fits ("seasonal", "fourier") fall back to the decomposition for short series."""
+    residuals are taken from; "local" is the robust decomposition, the trend fits ("seasonal", "fourier") fall back to "decompose" for
+    short series."""
     keys = list(keys)
     flagged = detect.threshold_rules(long, keys, metric, value, rules, pos)
     whole = fill_gaps(long, keys, pos, [value], "chain")

@@ -103,7 +103,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: in
     rest = joined.select("id", "gone", F.when(F.size("gone") > 0, split("text")).alias("s"), "text",
                          F.coalesce(F.regexp_count("text", F.lit(SENTENCE)), F.lit(0)).alias("n"))
     mine = F.filter("gone", lambda i: i < F.col("n"))
-    kept = F.when(F.size(mine) > 0, F.array_join(F.filter("s", lambda x, i: ~F.array_contains("gone", i)), "")).otherwise(F.col("text"))
-    heads = F.size(F.filter(mine, lambda i: ~F.array_contains("gone", i - 1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), "gone")  # by hashing: long texts may lose very many sentences
+    kept = F.when(F.size(mine) > 0, F.array_join(F.transform(stay, lambda i: F.get("s", i)), "")).otherwise(F.col("text"))
+    heads = F.size(F.filter(mine, lambda i, k: F.coalesce(F.get("gone", k - 1) != i - 1, F.lit(True))))
     return rest.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_sentences"), F.size(mine).cast("long").alias("n_removed"),
                        heads.cast("long").alias("n_spans"), kept.alias("text"))

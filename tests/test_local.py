@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidewatch.operators import local
+from tidewatch.operators import local, trend
 
 
 def line(y, w, half):
@@ -68,3 +68,10 @@ def test_short_constant_and_empty_series(spark):
     got = local.local_decompose(df, ["k"], "v").toPandas()
     assert np.allclose(got.predicted, got.v) and np.allclose(got.yhat_upper, got.v) and len(got) == 10
     assert local.local_decompose(df.filter("k = 'none'"), ["k"], "v").count() == 0
+
+
+def test_baseline_of_predictions(spark):
+    df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(series(200, 3))], "k string, pos long, v double") \
+        .selectExpr("k", "pos", "timestamp_seconds(pos * 3600) AS ts", "v")
+    got = trend.predict(df, ["k"], "ts", "v", "local", period=24).toPandas()
+    assert len(got) == 200 and got.yhat.notna().all() and (got.yhat_lower < got.yhat_upper).all()

@@ -213,6 +213,27 @@ def test_quality_of_groups_against_brute_force(spark, monkeypatch, part, tile):
     assert got == {g: pytest.approx(brute_davies_bouldin(x, lab)) for g, (x, lab) in by.items()}
 
 
+@pytest.mark.parametrize("sums", [1 << 23, 50])
+def test_silhouette_by_products_of_tiles(spark, monkeypatch, sums):
+    """Tiles cut by clusters and clusters by tiles, close pairs far from zero; copies are compared once, with their number as weight."""
+    for name, n in (("PART", 40), ("TILE", 16), ("SQUARE", 7), ("SUMS", sums)):
+        monkeypatch.setattr(cluster, name, n)
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(1e4, 1, (60, 5)), rng.normal(1e4, 1e-3, (30, 5)), np.tile(rng.normal(1e4, 1, (2, 5)), (25, 1)), rng.normal(-3, 1e-6, (20, 5))])
+    lab = np.concatenate((rng.integers(0, 4, 140), np.repeat([5, 6], 10)))
+    df = spark.createDataFrame([(int(k), *map(float, p)) for k, p in zip(lab, x)], "label int, a double, b double, c double, d double, e double")
+    sizes, keep = {}, cluster.stage
+
+    def counted(df, tag):
+        df = keep(df, tag)
+        sizes[tag] = df.count()
+        return df
+
+    monkeypatch.setattr(cluster, "stage", counted)
+    assert cluster.silhouette(df, "label", list("abcde")).first().silhouette == pytest.approx(brute_silhouette(x, lab), abs=1e-9)
+    assert sizes["points"] == len(set(map(tuple, np.column_stack((lab, x))))) < len(x)
+
+
 def test_quality_of_ten_thousand_clusters(spark):
     rng = np.random.default_rng(1)
     x, lab = rng.uniform(0, 100, (20_000, 2)), np.repeat(np.arange(10_000), 2)

@@ -63,7 +63,11 @@ def _as_array(cols: Sequence[str]) -> Column:
 
 
 TILE = 1024  # clusters, or points against points, that a task holds of either side
-PART = 8192
+PART, PARTS = 32768, 16  # points of a part; parts of a group whose parts would otherwise be larger than a tile
+PART_VALUES = 1 << 21  # coordinates of a part, which has fewer points in many columns
+SQUARE = 384  # points of the tiles whose distances are computed at once
+SUMS = 1 << 23  # sums of distances that a task holds
+CLOSE = 1e-5  # squared distances below this share of the squared norms are taken by differences
 
 
 def _described(df: DataFrame, keys: list[str], label: str, cols: Sequence[str]) -> DataFrame:
@@ -86,6 +90,11 @@ def _per_group(scores: DataFrame, keys: list[str], score: Column, name: str) ->
     return out.select(*[F.col("g")[k].alias(k) for k in keys], name)
 
 
+def _part(d: int) -> int:
+    """Points of ``d`` columns that a task holds of either side."""
+    return max(1, min(PART, PART_VALUES // d))
+
+
 def _flat(column: pa.ChunkedArray, d: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
@@ -101,7 +110,7 @@ def silhouette_squared(df: DataFrame, label: str, cols: Sequence[str], keys: Seq
     clusters = _described(df, keys, label, cols)
     points = stage(df.select(_group(keys), F.col(label).alias("own"), _as_array(cols).alias("x"), F.monotonically_increasing_id().alias("id")), "points")
     tiles = clusters.groupBy(F.col("g").alias("tg")).agg(F.max("tiles").alias("tiles"), F.sum("size").alias("n"))
-    blocks = F.ceil(F.col("n") / PART).cast("int")
+    blocks = F.ceil(F.col("n") / _part(d)).cast("int")
     asks = (points.join(tiles, F.col("g") == F.col("tg")).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
             .select("g", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), "id", "own", "x"))
     shown = (clusters.join(tiles.select("tg", blocks.alias("blocks")), F.col("g") == F.col("tg"))
@@ -213,67 +222,108 @@ def with_enough_rows(df: DataFrame, keys: Sequence[str], needed: int) -> DataFra
     return attach(df, sizes, keys).filter(F.col("_n") >= needed).drop("_n")
 
 
+def _distances(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """All distances of two small tiles, in the memory ``held``, from one product of matrices; pairs so close that it would cost digits are taken by differences."""
+    middle = y.mean(axis=0)
+    p, q = x - middle, y - middle
+    n, m = (p * p).sum(axis=1), (q * q).sum(axis=1)
+    d2 = np.matmul(np.column_stack((p, n, np.ones(len(p)))), np.column_stack((-2 * q, np.ones(len(q)), m)).T, out=held[:len(x) * len(y)].reshape(len(x), len(y)))
+    close = CLOSE * (n.max() + m.max())
+    if not d2.min() > close:
+        i, j = np.nonzero(~(d2 > close))
+        for k in range(0, len(i), 1 << 15):
+            s = slice(k, k + (1 << 15))
+            d2[i[s], j[s]] = ((x[i[s]] - y[j[s]]) ** 2).sum(axis=1)
+    return np.sqrt(d2, out=d2)
+
+
+def _sums(x: np.ndarray, v: np.ndarray, y: np.ndarray, w: np.ndarray, of_x: np.ndarray | None, of_y: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Per row of ``x`` the distances to the rows of ``y``, weighted by ``w`` and summed over the runs of ``y`` that begin at ``of_y``;
+    if ``of_x`` is given, the same per row of ``y`` over the runs of ``x``, weighted by ``v``."""
+    there, back, held = np.zeros((len(x), len(of_y))), None if of_x is None else np.zeros((len(of_x), len(y))), np.empty(SQUARE * SQUARE)
+
+    def runs(starts: np.ndarray, a: int, e: int) -> tuple[slice, np.ndarray]:
+        first, last = np.searchsorted(starts, (a, e - 1), side="right") - 1
+        return slice(first, last + 1), np.maximum(starts[first:last + 1], a) - a
+
+    for j in range(0, len(y), SQUARE):
+        cols = slice(j, min(j + SQUARE, len(y)))
+        names, cuts = runs(of_y, cols.start, cols.stop)
+        for i in range(0, len(x), SQUARE):
+            rows = slice(i, min(i + SQUARE, len(x)))
+            far = _distances(x[rows], y[cols], held)
+            if back is not None:
+                own, own_cuts = runs(of_x, rows.start, rows.stop)
+                back[own, cols] += v[rows] @ far if len(own_cuts) == 1 else np.add.reduceat(far * v[rows, None], own_cuts, axis=0)
+            there[rows, names] += (far @ w[cols])[:, None] if len(cuts) == 1 else np.add.reduceat(far * w[cols], cuts, axis=1)
+    return there, None if back is None else back.T
+
+
 def silhouette(df: DataFrame, label: str, cols: Sequence[str], distance: str = "euclidean", keys: Sequence[str] = ()) -> DataFrame:
     """K5: mean silhouette under the ``distance`` asked for, which is told in a column; per group of ``keys``.
 
-    The Euclidean score is defined on every point against every other. Points are cut into parts of ``PART`` in the order of
-    their clusters, and a task compares two parts, once for both. Of the clusters that lie in one part as a whole a
-    point keeps only the smallest mean; sums go on only for its own cluster and for clusters cut by a part's end. For tables
-    where all pairs are too much the caller asks for "squared", which needs none.
+    The Euclidean score is defined on every point against every other. Equal points of a cluster are merged into one point with
+    a weight. Points are cut into parts of at most ``PART`` (fewer in many columns) in the order of their clusters, and a task
+    compares two parts, tile by tile as products of matrices. Of the clusters that lie in one part as a whole a point keeps only
+    the smallest mean; sums go on only for its own cluster and for clusters cut by a part's end. The pairs grow with the
+    square of the points; for tables where all pairs are too much the caller asks for "squared", which needs none.
     """
     if distance == "squared":
         return silhouette_squared(df, label, cols, keys)
     if distance != "euclidean":
         raise ValueError(f"unknown distance {distance!r}")
     keys, d = list(keys), len(cols)
-    rows = stage(df.select(_group(keys), F.col(label).alias("own"), _as_array(list(cols)).alias("x"), F.monotonically_increasing_id().alias("id")), "points")
-    placed = with_position(rows, ["g"], ["own", "id"])
-    part = (F.col("pos") / PART).cast("int")
-    sized = placed.groupBy("g", "own").agg(F.count(F.lit(1)).alias("size"), (F.min("pos") / PART).cast("int").alias("lo"), (F.max("pos") / PART).cast("int").alias("hi"))
+    rows = df.select(_group(keys), F.col(label).alias("own"), _as_array(list(cols)).alias("x")).groupBy("g", "own", "x").agg(F.count(F.lit(1)).alias("w"))
+    rows = stage(rows.select("g", "own", "x", "w", F.monotonically_increasing_id().alias("id")), "points")
+    most, length = _part(d), F.ceil(F.col("n_rows") / PARTS).cast("int")
+    length = F.least(F.lit(most), F.greatest(F.lit(TILE), length))
+    placed = with_position(rows, ["g"], ["own", "id"]).withColumn("part", (F.col("pos") / length).cast("int"))
+    sized = placed.groupBy("g", "own").agg(F.sum("w").alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi"))
     named = stage(sized.select("g", "own", F.monotonically_increasing_id().alias("c"), "size", (F.col("lo") == F.col("hi")).alias("whole")), "sizes")
-    points = stage(match(placed.withColumn("part", part), named, ["g", "own"]).select("g", "id", "c", "size", "whole", "x", "part", F.ceil(F.col("n_rows") / PART).cast("int").alias("parts")), "parts")
-    left = points.select("g", "part", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("to"), "id", "c", "size", "whole", "x")
-    right = points.select(F.col("g").alias("g2"), F.explode(F.sequence(F.lit(0), F.col("part"))).alias("part"), F.col("part").alias("to"), F.col("id").alias("id2"), F.col("c").alias("c2"),
-                          F.col("size").alias("size2"), F.col("whole").alias("whole2"), F.col("x").alias("x2"))
-
-    def told(ids, own, sums, names, size, whole):
-        """Rows (id, cluster or NULL for the smallest of the whole ones, value)."""
+    points = stage(match(placed, named, ["g", "own"]).select("g", "id", "c", "size", "whole", "x", "w", "part", F.ceil(F.col("n_rows") / length).cast("int").alias("parts")), "parts")
+    left = points.select("g", "part", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("to"), "id", "c", "size", "whole", "x", "w")
+    right = points.select(F.col("g").alias("g2"), F.explode(F.sequence(F.lit(0), F.col("part"))).alias("part"), F.col("part").alias("to"), "id", "c", "size", "whole", "x", "w")
+
+    def side(t: pa.Table):
+        """Points in the order of their clusters, where each cluster begins, and the clusters."""
+        order = np.argsort(t["c"].to_numpy(), kind="stable")
+        own = t["c"].to_numpy()[order]
+        starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        return (_flat(t["x"], d)[order], t["w"].to_numpy()[order].astype(float), t["id"].to_numpy()[order], own, starts,
+                t["size"].to_numpy()[order][starts], t["whole"].to_numpy(zero_copy_only=False)[order][starts])
+
+    def told(ids, own, sums, names, sizes, whole):
+        """Rows (id, cluster or -1 for the smallest mean of the whole ones, value)."""
         mine = names[None, :] == own[:, None]
-        mean = np.where(whole[None, :] & ~mine, sums / size[None, :], np.inf)
-        low = mean.min(axis=1)
-        keep = mine | ~whole[None, :]
-        i, j = np.nonzero(keep)
+        low = np.where(whole[None, :] & ~mine, sums / sizes[None, :], np.inf).min(axis=1)
+        i, j = np.nonzero(mine | ~whole[None, :])
         has = np.flatnonzero(np.isfinite(low))
         return np.concatenate((ids[has], ids[i])), np.concatenate((np.full(len(has), -1), names[j])), np.concatenate((low[has], sums[i, j]))
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        out = []
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if a.num_rows and b.num_rows:
-            x, y = _flat(a["x"], d), _flat(b["x2"], d)
-            own, theirs = a["c"].to_numpy(), b["c2"].to_numpy()
-            side = lambda t, end: [np.unique(t[f"c{end}"].to_numpy(), return_index=True), t[f"size{end}"].to_numpy(), t[f"whole{end}"].to_numpy(zero_copy_only=False)]
-            (na, ia), sa, wa = side(a, "")
-            (nb, ib), sb, wb = side(b, "2")
-            to_b = (theirs[:, None] == nb[None, :]).astype(float)
-            back = np.zeros((len(na), len(y)))
-            forth = np.empty((len(x), len(nb)))
-            at = np.searchsorted(na, own)
-            step = max(1, (1 << 22) // max(1, y.size))
-            for i in range(0, len(x), step):
-                far = np.sqrt(((x[i:i + step, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-                forth[i:i + step] = far @ to_b
-                np.add.at(back, at[i:i + step], far)
-            out.append(told(a["id"].to_numpy(), own, forth, nb, sb[ib], wb[ib]))
-            if a["part"][0] != a["to"][0]:
-                out.append(told(b["id2"].to_numpy(), theirs, back.T, na, sa[ia], wa[ia]))
-        ids, names, value = (np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            same = a["part"][0] == a["to"][0]
+            one, two = side(a), side(b)
+            if not same and len(one[0]) * len(two[4]) + len(two[0]) * len(one[4]) <= SUMS:
+                there, back = _sums(*one[:2], *two[:2], one[4], two[4])
+                out += [told(*one[2:4], there, two[3][two[4]], *two[5:]), told(*two[2:4], back, one[3][one[4]], *one[5:])]
+            else:
+                for (x, v, ids, own, *_), (y, w, _, names, starts, *of) in ((one, two),) if same else ((one, two), (two, one)):
+                    step = max(1, SUMS // len(starts))
+                    for i in range(0, len(x), step):
+                        s = slice(i, i + step)
+                        out.append(told(ids[s], own[s], _sums(x[s], v[s], y, w, None, starts)[0], names[starts], *of))
+        ids, names, value = (np.concatenate(c) for c in zip(*out))
         return pa.table([pa.array(ids.astype(np.int64)), pa.array(names.astype(np.int64)), pa.array(value)], ["id", "c", "value"])
 
     met = left.groupBy("g", "part", "to").cogroup(right.groupBy("g2", "part", "to")).applyInArrow(meet, "id long, c long, value double")
+    met = stage(met, "met")
     lows = met.filter("c < 0").groupBy("id").agg(F.min("value").alias("low"))
     cut = met.filter("c >= 0").groupBy("id", "c").agg(F.sum("value").alias("sum")).join(named.select("c", F.col("size").alias("n")), "c")
     cut = cut.join(points.select("id", F.col("c").alias("mine")), "id").groupBy("id").agg(
         F.max(F.when(F.col("c") == F.col("mine"), F.col("sum"))).alias("inside"), F.min(F.when(F.col("c") != F.col("mine"), F.col("sum") / F.col("n"))).alias("other"))
-    scores = points.select("g", "id", "size").join(cut, "id").join(lows, "id", "left")
+    scores = points.select("g", "id", "size", "w").join(cut, "id").join(lows, "id", "left")
     a = F.col("inside") / F.nullif(F.col("size") - 1, F.lit(0)).cast("double")
-    return _per_group(scores, keys, F.avg(_score(a, F.least("other", "low"), F.col("size"))), "silhouette").withColumn("distance", F.lit("euclidean"))
+    mean = F.sum(F.col("w") * _score(a, F.least("other", "low"), F.col("size"))) / F.sum("w")
+    return _per_group(scores, keys, mean, "silhouette").withColumn("distance", F.lit("euclidean"))

@@ -65,10 +65,7 @@ def _(spark, sf):
     path = staging_path(spark, "array") + ".json"
     rows = table(spark, sf, "events").select("event_id", "event_type", "value", F.format_string('n%d }],{[ " \\ "}', "event_id").alias("note"),
                                              F.array("event_id", F.col("event_id") + 1).alias("list"))
-    first = F.col("event_id") == rows.select(F.min("event_id")).scalar()
-    text = rows.select("event_id", F.concat(F.when(first, "[").otherwise(","), F.to_json(F.struct(*rows.columns))).alias("value"))
-    end = text.agg((F.max("event_id") + 1).alias("event_id")).select("event_id", F.lit("]").alias("value"))
-    text.unionByName(end).coalesce(1).sortWithinPartitions("event_id").select("value").write.text(path)
+    writers.write_json_array(rows, path)
     return rounded(readers.read_table(spark, path, rows.schema), "value")
 
 

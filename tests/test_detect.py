@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import detect, trend, vote
 from tidewatch.plans import reports, workflows
-from tidewatch.sources import arrays, readers, roles
+from tidewatch.sources import arrays, readers, roles, writers
 from tidewatch.operators import profile
 
 T0 = dt.datetime(2024, 1, 1)
@@ -230,3 +230,18 @@ def test_json_arrays_are_read_in_shares(spark, tmp_path, share):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", was[0])
         spark.conf.set("spark.sql.files.openCostInBytes", was[1])
+
+
+def test_json_arrays_of_any_length_have_bounded_shares(spark, tmp_path, monkeypatch):
+    """One file of one array, written in no order and with no smallest row; no share has more than eight pieces, no task more than a few shares."""
+    rows = spark.range(0, 300, 1, 7).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("id"), F.format_string('%d }],{[ " ', "id").alias("note"))
+    path = str(tmp_path / "one.json")
+    writers.write_json_array(rows, path)
+    assert len(list((tmp_path / "one.json").glob("part-*"))) == 1
+    monkeypatch.setattr(arrays, "SHARE_BITS", 3)
+    pieces = arrays._pieces(spark, path)
+    sizes = [r["count"] for r in pieces.groupBy("file", "block").count().collect()]
+    assert sum(sizes) > 600 and max(sizes) <= 8 and pieces.rdd.getNumPartitions() * arrays.SHARES >= len(sizes) > 70
+    assert sorted(map(str, readers.read_table(spark, path, rows.schema).collect())) == sorted(map(str, rows.collect()))
+    writers.write_json_array(rows.limit(0), str(tmp_path / "none.json"))
+    assert readers.read_table(spark, str(tmp_path / "none.json"), rows.schema).count() == 0

@@ -3,8 +3,8 @@
 A parser of a whole array has to start at its first byte. Here the file is cut behind every closing brace, wherever
 tasks' shares of it begin, and each piece tells what it does to the parser: how many unescaped quotes it
 has, and how it moves the depth of braces and brackets if it starts outside a string or inside one. Sums of these over the
-shares of a file, one row per share, give the state in which each share starts, and so where records end. Records become lines, which
-Spark's JSON reader takes in any number of tasks.
+shares of a file, one row per share, give the state in which each share starts, and so where records end. A share has at most
+2 ** ``SHARE_BITS`` pieces, and a task some ``SHARES`` shares, however large the file is. Records become lines, which Spark's JSON reader takes in any number of tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from tidewatch.plans.staging import scratch, stage, staging_path
 
+SHARE_BITS = 15
+SHARES = 4  # shares of a task
+
 
 def _depth(text: Column) -> Column:
     """Opening less closing braces and brackets."""
@@ -22,14 +25,20 @@ def _depth(text: Column) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """Pieces (file, block, id, value) up to a closing brace, the quotes in each, and its moves (from outside, from inside a string)."""
+    """Pieces (file, block, id, value) up to a closing brace, the quotes in each, its moves (from outside, from inside a string), and whether it has an
+    opening brace; dealt out by their shares, which ``block`` names in their order in the file."""
     rows = spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value")
+    rows = rows.withColumn("block", F.struct("start", F.shiftright("id", SHARE_BITS).alias("share"))).drop("start")
     parts = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1)
     side = lambda k: F.array_join(F.filter(parts, lambda s, i: i % 2 == k), "")
     quotes = (F.size(parts) - 1).cast("long")
     even = F.when(quotes % 2 == 0, 1).otherwise(0)  # the brace behind the piece counts if it is outside a string
-    return rows.select("*", quotes.alias("quotes"), (_depth(side(0)) - even).cast("long").alias("outside"), (_depth(side(1)) - (1 - even)).cast("long").alias("inside"))
+    told = rows.select("*", quotes.alias("quotes"), (_depth(side(0)) - even).cast("long").alias("outside"), (_depth(side(1)) - (1 - even)).cast("long").alias("inside"),
+                       (F.instr("value", "{") > 0).alias("opens"))
+    told = stage(told, "pieces")
+    shares = told.select("file", "block").distinct().count()
+    return told.repartition(max(1, -(-shares // SHARES)), "file", "block")
 
 
 def _before(rows: DataFrame, column: str) -> DataFrame:
@@ -54,7 +63,7 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     first = moved.groupBy(F.col("file").alias("_file")).agg(F.min_by("value", F.struct("block", "id")).alias("_v"))
     base = first.select("_file", F.when(F.ltrim(F.regexp_replace("_v", r"^[\s﻿]+", "")).startswith("["), 1).otherwise(0).alias("base"))
     deep = _before(moved, "moves").join(base, F.col("file") == F.col("_file")).drop("_file")
-    ends = (~F.col("open") & (F.col("moves_before") + F.col("moves") == F.col("base")) & ((F.instr("value", "{") > 0) | (F.col("moves_before") > F.col("base"))))
+    ends = (~F.col("open") & (F.col("moves_before") + F.col("moves") == F.col("base")) & (F.col("opens") | (F.col("moves_before") > F.col("base"))))
     told = _before(deep.withColumn("ends", ends.cast("long")), "ends")
     inner = F.col("ends_before") - F.col("ends_at")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "value"))), lambda p: F.concat(p["value"], F.lit("}"))), "")

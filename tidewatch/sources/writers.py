@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,20 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**TIME_OPTIONS).json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One file that is one JSON array of the rows, in no order. One task writes it and holds no more than a batch of rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign = "["
+        for b in batches:
+            if b.num_rows:
+                signs = pa.array([sign] + [","] * (b.num_rows - 1), b.schema.field(0).type)
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(signs, b.column(0), "")], ["value"])
+                sign = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if sign == "," else "[]"])], ["value"])
+
+    as_json(df, "value").coalesce(1).mapInArrow(run, "value string").write.text(path)
+
+
 def as_json(df: DataFrame, name: str = "report") -> DataFrame:
     """Each row as one JSON text."""
     return df.select(F.to_json(F.struct(*df.columns)).alias(name))

@@ -30,6 +30,7 @@ LEAF = 512  # different points of a leaf
 AXES = 4  # columns along which a cell is cut
 ASKS, PARTNERS = 2048, 16  # points that ask one copy of a leaf, leaves that one copy is linked with
 SLACK = 1e-9
+ROUNDING = 1e-11  # share of the squared norms within which a product of matrices doesn't decide
 
 
 def _far(a: str | Column, b: str | Column) -> Column:
@@ -92,10 +93,24 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _within(a: np.ndarray, b: np.ndarray, eps: float):
-    """Rows of ``a`` in small runs, with who of ``b`` is within eps."""
-    step = max(1, (1 << 21) // max(1, b.size))
+    """Rows of ``a`` in small runs, with who of ``b`` is within eps: by a product of matrices, and by differences where rounding could decide."""
+    step = max(1, (1 << 18) // max(1, len(b)))
+    middle = b.mean(axis=0) if len(b) else 0.0
+    q = b - middle
+    m = (q * q).sum(axis=1)
+    q = np.column_stack((-2 * q, np.ones(len(q)), m)).T
     for i in range(0, len(a), step):
-        yield i, ((a[i:i + step, None, :] - b[None, :, :]) ** 2).sum(axis=2) <= eps * eps
+        x = a[i:i + step]
+        p = x - middle
+        n = (p * p).sum(axis=1)
+        d2 = np.column_stack((p, n, np.ones(len(p)))) @ q
+        near = d2 <= eps * eps
+        slack = ROUNDING * (n.max(initial=0.0) + m.max(initial=0.0) + eps * eps)
+        r, c = np.nonzero(~(np.abs(d2 - eps * eps) > slack))
+        for k in range(0, len(r), 1 << 14):
+            s = slice(k, k + (1 << 14))
+            near[r[s], c[s]] = ((x[r[s]] - b[c[s]]) ** 2).sum(axis=1) <= eps * eps
+        yield i, near
 
 
 def _ask(asks: DataFrame, targets: DataFrame, both: DataFrame, nodes: DataFrame, eps: float, how: str) -> DataFrame:

@@ -109,6 +109,77 @@ def test_a_dense_ball_in_many_columns_makes_no_pairs(spark, monkeypatch):
     assert len(between) >= 6 and max(between) == 0 and max(size for _, size in sizes) == n
 
 
+def by_differences(x, eps, m):
+    """Core, noise and cluster numbers: by the smallest core point, a border point's the lowest next to it."""
+    d = ((x[:, None] - x[None]) ** 2).sum(-1) <= eps * eps
+    core = d.sum(1) >= m
+    label, number = -np.ones(len(x), int), 0
+    for i in sorted(np.flatnonzero(core), key=lambda i: tuple(x[i])):
+        todo = [i] if label[i] < 0 else []
+        number += bool(todo)
+        while todo:
+            j = todo.pop()
+            if label[j] < 0:
+                label[j] = number - 1
+                todo += [k for k in np.flatnonzero(d[j] & core) if label[k] < 0]
+    for i in np.flatnonzero(~core & (d & core[None]).any(1)):
+        label[i] = -2 - min(label[np.flatnonzero(d[i] & core)])
+    return core, label == -1, np.where(label < -1, -2 - label, label)
+
+
+def test_points_that_ask_many_leaves_are_not_copied(spark, monkeypatch):
+    """800 points in 24 columns about eps apart, in leaves of at most 16 that are all within reach: no staged table is larger than the points."""
+    import os
+    from urllib.parse import unquote, urlparse
+
+    for name, n in (("LEAF", 16), ("ASKS", 64), ("PARTNERS", 4)):
+        monkeypatch.setattr(cover, name, n)
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 1, (800, 24))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype("f4").astype(float)
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id int, " + ", ".join(f"f{i} double" for i in range(24)))
+    taken, keep = {}, cover.stage
+
+    def measured(frame, tag):
+        frame = keep(frame, tag)
+        size = sum(os.path.getsize(unquote(urlparse(f).path)) for f in frame.inputFiles())
+        taken[tag] = max(taken.get(tag, 0), size, 100 * frame.count())
+        return frame
+
+    monkeypatch.setattr(cover, "stage", measured)
+    got = density.dbscan(df, [], [f"f{i}" for i in range(24)], 0.95, 4).toPandas().sort_values("id")
+    core, noise, label = by_differences(x, 0.95, 4)
+    assert 100 < core.sum() < 700 and noise.sum() > 50 and label.max() > 0
+    assert (got.is_core.to_numpy() == core).all() and (got.is_noise.to_numpy() == noise).all() and (got.cluster.to_numpy() == label).all()
+    assert max(taken.values()) < 3 * x.nbytes, taken
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_equal_points_in_many_columns_are_one(spark, monkeypatch, clash):
+    """Rows that share all coordinates count together, whether or not other rows share their hash; 0.0 and -0.0 are equal."""
+    if clash:
+        monkeypatch.setattr(density, "_hash", lambda *cols: F.lit(1))
+    x = np.repeat(np.array([[0.0, 1, 2, 3], [5, 1, 2, 3], [9, 1, 2, 3], [9.3, 1, 2, 3], [20, 1, 2, 3]]), [4, 3, 2, 2, 1], axis=0)
+    x[1, 0] = -0.0
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "id int, a double, b double, c double, d double")
+    got = density.dbscan(df, [], ["a", "b", "c", "d"], 0.5, 4).toPandas().sort_values("id")
+    assert got.is_core.tolist() == [True] * 4 + [False] * 3 + [True] * 4 + [False]
+    assert got.cluster.tolist() == [0] * 4 + [-1] * 3 + [1] * 4 + [-1]
+
+
+@pytest.mark.parametrize("offset,scale", [(0.0, 1.0), (1e6, 1.0), (0.0, 1e-20), (0.0, 1e30)])
+def test_products_tell_points_as_differences_do(offset, scale):
+    """Pairs exactly eps apart, far from the origin, very small and very large numbers, and one infinite point."""
+    rng = np.random.default_rng(4)
+    x = (np.round(rng.uniform(-2, 2, (300, 6)), 1) + offset) * scale
+    x[7, 2] = np.inf
+    eps = 0.9 * scale
+    with np.errstate(all="ignore"):
+        want = ((x[:, None] - x[None]) ** 2).sum(-1) <= eps * eps
+    assert (cover._Sides(x, x, eps).near(slice(0, 300), slice(0, 300)) == want).all()
+    assert (cover._Sides(x[:40], x[40:], eps).near(np.arange(3, 30), slice(5, 200)) == want[3:30, 45:240]).all()
+
+
 def test_dbscan_keeps_all_rows(spark):
     """Keys that look alike as text, NULL keys and NULL coordinates."""
     rows = [(a, b, i, float(i % 5) / 10, 0.0) for a, b in (("a|b", "c"), ("a", "b|c"), (None, "c"), ("c", None)) for i in range(10)]

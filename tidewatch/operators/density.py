@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.cover import by_cover
-from tidewatch.plans.chunks import one_key
+from tidewatch.plans.chunks import match, one_key
 from tidewatch.plans.staging import drop, scratch, stage, stage_at
 
 CELL_DIMS = 3
@@ -190,6 +190,8 @@ def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float =
     if not d:
         raise ValueError("no columns to cluster on")
     added = ["is_core", "is_noise", "cluster"] if labels else ["is_core", "is_noise"]
+    if d > CELL_DIMS:
+        return _by_balls(df, keys, cols, eps, min_samples, labels, added)
     xs = [f"_x{i}" for i in range(d)]
     rows = stage(df.withColumns({x: F.col(c).cast("double") for x, c in zip(xs, cols)}), "rows")
     keyed, key = one_key(rows, keys)
@@ -199,17 +201,50 @@ def dbscan(df: DataFrame, keys: Sequence[str], cols: Sequence[str], eps: float =
     whole = F.coalesce(whole, F.lit(False))
     with scratch(df.sparkSession):
         points = keyed.filter(whole).groupBy(*key, *[F.col(x).alias(f"x{i}") for i, x in enumerate(xs)]).agg(F.count(F.lit(1)).alias("w"))
-        if d <= CELL_DIMS:
-            verdicts = _by_cells(points, key, d, eps, min_samples, labels)
-        else:
-            verdicts = by_cover(points, key, d, eps, min_samples, labels, components)
-        found = stage(verdicts, "verdicts", keep=True)
+        found = stage(_by_cells(points, key, d, eps, min_samples, labels), "verdicts", keep=True)
     found = found.withColumnsRenamed({f"x{i}": x for i, x in enumerate(xs)})
     done = keyed.filter(whole).join(found, on=[*key, *xs]).select(*df.columns, *added)
     kinds = {c: found.schema[c].dataType for c in added}
     return done.unionByName(keyed.filter(~whole).select(*df.columns, *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()]))
 
 
+def _hash(*cols: str) -> Column:
+    return F.xxhash64(*cols)
+
+
+def _by_balls(df: DataFrame, keys: Sequence[str], cols: list[str], eps: float, min_samples: int, labels: bool, added: list[str]) -> DataFrame:
+    """``dbscan`` of more than three columns. Rows keep a number, so that they aren't joined on their coordinates, and these go as
+    4-byte numbers where that is exact. Points are grouped only where two rows share a hash."""
+    spark = df.sparkSession
+    keyed, key = one_key(stage(df.withColumn("_row", F.monotonically_increasing_id()), "rows"), keys)
+    xs = [F.col(c).cast("double") for c in cols]
+    whole = F.lit(True)
+    for x in xs:
+        whole = whole & F.coalesce(x.isNotNull() & ~F.isnan(x), F.lit(False))
+    with scratch(spark):
+        points = keyed.filter(whole).select(*key, F.col("_row").alias("id"), F.array(*[x + F.lit(0.0) for x in xs]).alias("v"))  # -0.0 is 0.0
+        if points.filter(F.exists("v", lambda x: x.cast("float").cast("double") != x)).isEmpty():
+            points = points.withColumn("v", F.col("v").cast("array<float>"))
+        hashed = points.withColumn("hash", _hash(*key, "v"))
+        alias = None
+        if hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            points = points.select(*key, "id", F.lit(1).cast("long").alias("w"), "v")
+        else:
+            merged = stage(hashed.groupBy(*key, "v", "hash").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("w")), "merged")
+            if merged.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+                alias = hashed.select("hash", "id").join(merged.select("hash", "first"), "hash")
+            else:
+                alias = match(hashed, merged.select(*key, "v", "first"), [*key, "v"])
+            alias = stage(alias.filter("id <> first").select("id", "first"), "alias")
+            points = merged.select(*key, F.col("first").alias("id"), "w", "v")
+        verdicts = by_cover(points, key, len(cols), eps, min_samples, labels, components)
+        if alias is not None:
+            verdicts = stage(verdicts, "firsts")
+            verdicts = verdicts.unionByName(alias.join(verdicts.withColumnRenamed("id", "first"), "first").drop("first"))
+        found = stage(verdicts.withColumnRenamed("id", "_row"), "verdicts", keep=True)
+    return keyed.join(found, "_row", "left").select(*df.columns, *added)
+
+
 def _by_cells(points: DataFrame, keys: list[str], d: int, eps: float, min_samples: int, labels: bool) -> DataFrame:
     """Verdicts (keys, x*, is_core, is_noise, cluster) of different points in up to three dimensions."""
     side = eps / sqrt(d) * SIDE_SLACK
